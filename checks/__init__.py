@@ -1,8 +1,8 @@
 """Queries over the given tables, one per operator, with equivalent SQL where SQL can express it."""
 
-from checks import processors
+from checks import processors, relational, synthesis
 
-SUITES = [processors.suite]
+SUITES = [processors.suite, relational.suite, synthesis.suite]
 
 
 def flagship(spark, folder):
