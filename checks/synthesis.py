@@ -57,7 +57,7 @@ MODE_SQL = "(select segment from g where segment is not null group by 1 order by
 
 def _impute_sql(value: str) -> str:
     return f"""with g as ({GAP_SQL})
-select id, {sr(f"coalesce(balance, (select {value} from g))")} as balance, nation,
+select id, {sr(f"coalesce(balance, (select {value} from g limit 1))")} as balance, nation,
        coalesce(segment, {MODE_SQL}) as segment from g"""
 
 
