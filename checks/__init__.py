@@ -1,8 +1,8 @@
 """Queries over the given tables, one per operator, with equivalent SQL where SQL can express it."""
 
-from checks import metrics, processors, relational, synthesis
+from checks import linked, metrics, processors, relational, synthesis
 
-SUITES = [processors.suite, relational.suite, synthesis.suite, metrics.suite]
+SUITES = [processors.suite, relational.suite, synthesis.suite, metrics.suite, linked.suite]
 
 
 def flagship(spark, folder):
