@@ -18,20 +18,22 @@ from dataclasses import dataclass
 from math import ceil
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from maskloom.functions.validation import col
 from maskloom.session import materialize
 
-LEAF_ROWS = 4_000
+LEAF_ROWS = 2_000
 MAX_LEAVES = 16_384
 SAMPLE_PER_LEAF = 16
-QUERY_CHUNK = 4_000
+QUERY_CHUNK = 2_000
 CANDIDATE_CHUNK = 20_000
-BLOCK_CELLS = 4_000_000
+BLOCK_CELLS = 250_000
 
 
 @dataclass(frozen=True)
@@ -67,6 +69,8 @@ def fit_partition(candidates: DataFrame, vector: str, key: str, rows: int) -> Sp
         share = min(1.0, 1.2 * wanted / rows)
         chosen = F.pmod(F.xxhash64(col(key), F.lit(17)), F.lit(1_000_000)) < int(share * 1_000_000)
         sample = candidates.where(chosen).select(vector).limit(2 * wanted).toPandas()[vector]
+        if sample.empty:
+            return SpacePartition(axis[:1], cut[:1], 0)
         groups = {0: np.stack(sample.to_numpy())}
         for node in range(nodes):
             points = groups.pop(node)
@@ -86,13 +90,25 @@ def fit_partition(candidates: DataFrame, vector: str, key: str, rows: int) -> Sp
     return SpacePartition(axis, cut, depth)
 
 
+def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
+    """Rows x dimensions of a list column, without a Python object per row."""
+    if isinstance(vectors, pa.ChunkedArray):
+        vectors = vectors.combine_chunks()
+    flat = vectors.flatten().to_numpy(zero_copy_only=False)
+    return flat.reshape(len(vectors), -1)
+
+
+def _values(table: pa.Table, name: str) -> np.ndarray:
+    return table[name].to_numpy()
+
+
 def _with_leaf(df: DataFrame, vector: str, partition: SpacePartition) -> DataFrame:
     if partition.depth == 0:
         return df.withColumn("leaf", F.lit(0).cast("long"))
 
-    @F.pandas_udf("long")
-    def leaf(points: pd.Series) -> pd.Series:
-        return pd.Series(partition.assign(np.stack(points.to_numpy())))
+    @F.arrow_udf("long")
+    def leaf(points: pa.Array) -> pa.Array:
+        return pa.array(partition.assign(_matrix(points)))
 
     return df.withColumn("leaf", leaf(F.col(vector)))
 
@@ -106,9 +122,11 @@ def _chunk(key: str, rows: F.Column | str, size: int):
 def _squared(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
     """Squared distances by direct differences, dimension after dimension."""
     out = np.zeros((len(queries), len(candidates)))
+    step = np.empty_like(out)
     for d in range(queries.shape[1]):
-        step = queries[:, d, None] - candidates[None, :, d]
-        out += step * step
+        np.subtract(queries[:, d, None], candidates[None, :, d], out=step)
+        np.multiply(step, step, out=step)
+        out += step
     return out
 
 
@@ -221,13 +239,13 @@ def nearest(
     keep = k + int(exclude_self)
 
     dims = _vector_width(candidates, "vec")
-    same = Window.partitionBy("vec").orderBy("cid")
-    # a rank limit runs as a partial limit before the shuffle, so copies never travel in bulk
-    useful = candidates.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= keep)
-    useful = useful.select("cid", "vec", F.lit(1).cast("bigint").alias("weight"))
-    partition = fit_partition(useful, "vec", "cid", total)
-    useful = _with_leaf(useful, "vec", partition)
+    partition = fit_partition(candidates, "vec", "cid", total)
     placed = _with_leaf(queries, "vec", partition)
+    same = Window.partitionBy("leaf", "vec").orderBy("cid")
+    # a rank limit runs as a partial limit before the shuffle, so copies never travel in bulk
+    useful = _with_leaf(candidates, "vec", partition)
+    useful = useful.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= keep)
+    useful = useful.select("cid", "vec", "leaf", F.lit(1).cast("bigint").alias("weight"))
     if partition.depth:
         useful, placed = materialize(useful), materialize(placed)
         boxes = _boxes(useful, dims)
@@ -235,7 +253,7 @@ def nearest(
     else:
         # one leaf: the exact rows per leaf are not needed, their bound is the total
         boxes = _Boxes(*(np.array([v]) for v in (0, 0, 0, total, total)))
-        visits = placed
+        visits = placed.withColumn("r2", F.lit(float("inf")))
 
     id_type = useful.schema["cid"].dataType
     q_type = placed.schema["qid"].dataType
@@ -244,11 +262,13 @@ def nearest(
         T.StructField("d2", T.DoubleType()),
     ])
 
-    def search(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        return _top(left, right, k, exclude_self)
+    out_type = to_arrow_schema(schema)
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        return _top(left, right, k, exclude_self, out_type)
 
     left, right = _block_pairs(visits, useful, boxes)
-    found = left.cogroup(right).applyInPandas(search, schema)
+    found = left.cogroup(right).applyInArrow(search, schema)
     best = Window.partitionBy("qid").orderBy("d2", "cid")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     return ranked.select(
@@ -257,64 +277,92 @@ def nearest(
     )
 
 
-def _top(left: pd.DataFrame, right: pd.DataFrame, k: int, exclude_self: bool) -> pd.DataFrame:
+def _top(
+    left: pa.Table, right: pa.Table, k: int, exclude_self: bool, schema: pa.Schema
+) -> pa.Table:
     """The k nearest of ``right`` for each row of ``left``; ties by key, kept exactly."""
-    empty = pd.DataFrame({"qid": left["qid"][:0], "cid": right["cid"][:0], "d2": np.zeros(0)})
-    if left.empty or right.empty:
-        return empty
-    right = right.sort_values("cid", kind="stable")
-    points, others = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
-    qid, cid = left["qid"].to_numpy(), right["cid"].to_numpy()
-    out = []
+    if not left.num_rows or not right.num_rows:
+        return schema.empty_table()
+    right = right.sort_by("cid")
+    points, others = _matrix(left["vec"]), _matrix(right["vec"])
+    limit = _values(left, "r2")
+    own = _own(left, right) if exclude_self else None
+    found = []
     for part in _slices(len(points), len(others)):
         d2 = _squared(points[part], others)
         if exclude_self:
-            d2[qid[part][:, None] == cid[None, :]] = np.inf
-        if k < d2.shape[1]:
-            bound = np.partition(d2, k - 1, axis=1)[:, k - 1 : k]
-        else:
-            bound = np.full((len(d2), 1), np.inf)
+            d2[own[part]] = np.inf
+        bound = limit[part, None].copy()
+        loose = np.flatnonzero(np.isinf(bound[:, 0]))
+        if len(loose) and k < d2.shape[1]:
+            bound[loose] = np.partition(d2[loose], k - 1, axis=1)[:, k - 1 : k]
         rows, cols = np.nonzero((d2 <= bound) & np.isfinite(d2))
         dist = d2[rows, cols]
         order = np.lexsort((cols, dist, rows))
         rows, cols, dist = rows[order], cols[order], dist[order]
         starts = np.searchsorted(rows, np.arange(len(d2)))
         keep = np.arange(len(rows)) - starts[rows] < k
-        rows, cols, dist = rows[keep], cols[keep], dist[keep]
-        out.append(pd.DataFrame({"qid": qid[part][rows], "cid": cid[cols], "d2": dist}))
-    return pd.concat(out, ignore_index=True)
+        found.append((rows[keep] + part.start, cols[keep], dist[keep]))
+    rows, cols, dist = (np.concatenate(x) for x in zip(*found))
+    return pa.table(
+        [left["qid"].take(pa.array(rows)), right["cid"].take(pa.array(cols)), pa.array(dist)],
+        schema=schema,
+    )
+
+
+class _own:
+    """Cells of a block in which a query meets itself."""
+
+    def __init__(self, left: pa.Table, right: pa.Table) -> None:
+        place = pc.index_in(left["qid"].combine_chunks(), value_set=right["cid"].combine_chunks())
+        self.column = place.fill_null(-1).to_numpy(zero_copy_only=False)
+
+    def __getitem__(self, part: slice) -> tuple[np.ndarray, np.ndarray]:
+        column = self.column[part]
+        rows = np.flatnonzero(column >= 0)
+        return rows, column[rows]
 
 
 def _visits(
     placed: DataFrame, useful: DataFrame, boxes: _Boxes, k: int, exclude_self: bool
 ) -> DataFrame:
-    """(qid, vec, leaf) for every leaf that may hold one of the k nearest."""
+    """(qid, vec, r2, leaf) for every leaf that may hold one of the k nearest.
+
+    ``r2`` bounds the squared distance of the k-th neighbour.
+    """
     schema = T.StructType([
         placed.schema["qid"],
         T.StructField("vec", T.ArrayType(T.DoubleType())),
-        T.StructField("leaves", T.ArrayType(T.LongType())),
+        T.StructField("r2", T.DoubleType()),
+        T.StructField("leaf", T.LongType()),
     ])
-
-    def bound(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty:
-            return pd.DataFrame({"qid": left["qid"], "vec": [], "leaves": []})
-        radius = np.full(len(left), np.inf)
-        points = np.stack(left["vec"].to_numpy())
-        if not right.empty:
-            others, cid = np.stack(right["vec"].to_numpy()), right["cid"].to_numpy()
-            qid = left["qid"].to_numpy()
-            if len(others) >= k + int(exclude_self):
-                for part in _slices(len(points), len(others)):
-                    d2 = _squared(points[part], others)
-                    if exclude_self:
-                        d2[qid[part][:, None] == cid[None, :]] = np.inf
-                    radius[part] = np.partition(d2, k - 1, axis=1)[:, k - 1]
-        leaves = []
+    out_type = to_arrow_schema(schema)
+
+    def bound(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return out_type.empty_table()
+        points = _matrix(left["vec"])
+        radius = np.full(len(points), np.inf)
+        if right.num_rows >= k + int(exclude_self):
+            others = _matrix(right["vec"])
+            own = _own(left, right) if exclude_self else None
+            for part in _slices(len(points), len(others)):
+                d2 = _squared(points[part], others)
+                if exclude_self:
+                    d2[own[part]] = np.inf
+                radius[part] = np.partition(d2, k - 1, axis=1)[:, k - 1]
+        found = []
         for part in _slices(len(points), len(boxes.leaf)):
             near = _box_distance(points[part], boxes.low, boxes.high) <= radius[part, None]
-            leaves += [boxes.leaf[row].tolist() for row in near]
-        return pd.DataFrame({"qid": left["qid"].to_numpy(), "vec": left["vec"].to_numpy(),
-                             "leaves": leaves})
+            rows, cols = np.nonzero(near)
+            found.append((rows + part.start, boxes.leaf[cols]))
+        rows, leaves = (np.concatenate(x) for x in zip(*found))
+        take = pa.array(rows)
+        return pa.table(
+            [left["qid"].take(take), left["vec"].take(take), pa.array(radius[rows]),
+             pa.array(leaves)],
+            schema=out_type,
+        )
 
     # the first chunk of the own leaf is enough for a valid radius
     rows = F.broadcast(_leaf_table(useful, boxes))
@@ -326,10 +374,10 @@ def _visits(
     right = probe.join(counts, "leaf").withColumn(
         "qc", F.explode(F.sequence(F.lit(0), q_chunks - 1))
     ).select("leaf", "qc", "cid", "vec")
-    bounded = left.groupBy("leaf", "qc").cogroup(right.groupBy("leaf", "qc")).applyInPandas(
+    bounded = left.groupBy("leaf", "qc").cogroup(right.groupBy("leaf", "qc")).applyInArrow(
         bound, schema
     )
-    return materialize(bounded.select("qid", "vec", F.explode("leaves").alias("leaf")))
+    return materialize(bounded)
 
 
 def count_within(
@@ -352,13 +400,13 @@ def count_within(
         col(radius).cast("double").alias("r2"),
     )
     candidates = _prepare(candidates, candidate_key, candidate_vector, "cid")
-    distinct = candidates.groupBy("vec").agg(
-        F.min("cid").alias("cid"), F.count(F.lit(1)).alias("weight")
-    )
     total = candidates.count()
     dims = _vector_width(candidates, "vec")
-    partition = fit_partition(distinct, "vec", "cid", total)
-    distinct = materialize(_with_leaf(distinct, "vec", partition))
+    partition = fit_partition(candidates, "vec", "cid", total)
+    distinct = _with_leaf(candidates, "vec", partition).groupBy("leaf", "vec").agg(
+        F.min("cid").alias("cid"), F.count(F.lit(1)).alias("weight")
+    )
+    distinct = materialize(distinct)
     boxes = _boxes(distinct, dims)
     schema = T.StructType([
         queries.schema["qid"], T.StructField("vec", T.ArrayType(T.DoubleType())),
@@ -366,37 +414,48 @@ def count_within(
         T.StructField("leaves", T.ArrayType(T.LongType())),
     ])
 
-    def split(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            if pdf.empty:
+    split_type = to_arrow_schema(schema)
+
+    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
                 continue
-            points, r2 = np.stack(pdf["vec"].to_numpy()), pdf["r2"].to_numpy()
-            inside, leaves = [], []
+            points, r2 = _matrix(batch["vec"]), batch["r2"].to_numpy()
+            inside, counts, leaves = [], [], []
             for part in _slices(len(points), len(boxes.leaf)):
                 ball = r2[part, None]
                 near = _box_distance(points[part], boxes.low, boxes.high) < ball
                 whole = _reach(points[part], boxes.low, boxes.high) < ball
                 inside.append((whole * boxes.weight[None, :]).sum(axis=1))
-                leaves += [boxes.leaf[row].tolist() for row in near & ~whole]
-            yield pdf.assign(inside=np.concatenate(inside).astype("int64"), leaves=leaves)
-
-    parted = materialize(queries.mapInPandas(split, schema))
+                rows, cols = np.nonzero(near & ~whole)
+                counts.append(np.bincount(rows, minlength=len(near)))
+                leaves.append(boxes.leaf[cols])
+            ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype("int32")
+            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(leaves)))
+            yield pa.RecordBatch.from_arrays(
+                [batch["qid"], batch["vec"], batch["r2"],
+                 pa.array(np.concatenate(inside).astype("int64")), lists],
+                schema=split_type,
+            )
+
+    parted = materialize(queries.mapInArrow(split, schema))
     cut = parted.select("qid", "vec", "r2", F.explode("leaves").alias("leaf"))
     out_schema = T.StructType([queries.schema["qid"], T.StructField("n", T.LongType())])
+    count_type = to_arrow_schema(out_schema)
 
-    def count(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
-        if left.empty or right.empty:
-            return pd.DataFrame({"qid": left["qid"][:0], "n": np.zeros(0, dtype="int64")})
-        points, others = np.stack(left["vec"].to_numpy()), np.stack(right["vec"].to_numpy())
-        r2, weight = left["r2"].to_numpy(), right["weight"].to_numpy()
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return count_type.empty_table()
+        points, others = _matrix(left["vec"]), _matrix(right["vec"])
+        r2, weight = _values(left, "r2"), _values(right, "weight")
         n = np.zeros(len(points), dtype="int64")
         for part in _slices(len(points), len(others)):
             nearer = _squared(points[part], others) < r2[part, None]
             n[part] = (nearer * weight[None, :]).sum(axis=1)
-        return pd.DataFrame({"qid": left["qid"].to_numpy(), "n": n})
+        return pa.table([left["qid"], pa.array(n)], schema=count_type)
 
     left, right = _block_pairs(cut, distinct, boxes)
-    compared = left.cogroup(right).applyInPandas(count, out_schema)
+    compared = left.cogroup(right).applyInArrow(count, out_schema)
     known = parted.select("qid", F.col("inside").alias("n"))
     both = known.unionByName(compared).groupBy("qid").agg(F.sum("n").alias("n"))
     return both.select(F.col("qid").alias("query_id"), "n")

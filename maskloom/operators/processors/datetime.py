@@ -13,12 +13,16 @@ from maskloom.functions.validation import col, is_time
 EPOCH = "TIMESTAMP_NTZ'1970-01-01 00:00:00'"
 
 
-def to_seconds(name: str, data_type: T.DataType) -> Column:
+def seconds_sql(name: str, data_type: T.DataType) -> str:
     """Double seconds since the epoch, microseconds kept."""
+    quoted = "`" + name.replace("`", "``") + "`"
     if isinstance(data_type, T.TimestampType):
-        return F.unix_micros(col(name)) / F.lit(1e6)
-    micros = F.timestamp_diff("MICROSECOND", F.expr(EPOCH), col(name).cast("timestamp_ntz"))
-    return micros / F.lit(1e6)
+        return f"unix_micros({quoted}) / 1e6D"
+    return f"timestampdiff(MICROSECOND, {EPOCH}, cast({quoted} as timestamp_ntz)) / 1e6D"
+
+
+def to_seconds(name: str, data_type: T.DataType) -> Column:
+    return F.expr(seconds_sql(name, data_type))
 
 
 def from_seconds(seconds: Column, data_type: T.DataType) -> Column:

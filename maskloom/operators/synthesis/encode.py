@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskloom.functions.validation import col, is_number, is_time
-from maskloom.operators.processors.datetime import to_seconds
+from maskloom.operators.processors.datetime import seconds_sql, to_seconds
 from maskloom.operators.profile import modality_counts
 
 MAX_LEVELS = 2_000
@@ -32,6 +32,10 @@ class Feature:
     weight: float
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 @dataclass(frozen=True)
 class Encoder:
     """Fitted features; a few numbers per column and modality, at most ``MAX_LEVELS`` of these."""
@@ -42,29 +46,32 @@ class Encoder:
     def columns(self) -> list[str]:
         return list(dict.fromkeys(f.column for f in self.features))
 
-    def expressions(self, df: DataFrame, features: Sequence[Feature] | None = None) -> list[Column]:
+    def expressions(self, df: DataFrame, features: Sequence[Feature] | None = None) -> Column:
+        """Array of the feature values.
+
+        Written as one SQL text: a feature per modality would otherwise cost the driver several
+        calls into the JVM each.
+        """
         fields = {f.name: f for f in df.schema.fields}
         out = []
         for feature in self.features if features is None else features:
             if feature.scale == 0.0:
-                out.append(F.lit(0.0))
+                out.append("0.0D")
                 continue
-            if feature.level is None:
-                field = fields[feature.column]
-                value = (
-                    to_seconds(feature.column, field.dataType)
-                    if is_time(field) else col(feature.column).cast("double")
-                )
+            name = "`" + feature.column.replace("`", "``") + "`"
+            if feature.level is not None:
+                value = f"if(cast({name} as string) = {_quoted(feature.level)}, 1.0D, 0.0D)"
+            elif is_time(fields[feature.column]):
+                value = seconds_sql(feature.column, fields[feature.column].dataType)
             else:
-                same = col(feature.column).cast("string") == F.lit(feature.level)
-                value = F.when(same, 1.0).otherwise(0.0)
+                value = f"cast({name} as double)"
             factor = sqrt(feature.weight) / feature.scale
-            out.append((value - F.lit(feature.centre)) * F.lit(factor))
-        return out
+            out.append(f"({value} - ({feature.centre!r}D)) * {factor!r}D")
+        return F.expr(f"cast(array({', '.join(out)}) as array<double>)")
 
     def encode(self, df: DataFrame, row_key: str, output: str = "features") -> DataFrame:
         """(row_key, features): only the encoded columns are read."""
-        return df.select(col(row_key), F.array(*self.expressions(df)).alias(output))
+        return df.select(col(row_key), self.expressions(df).alias(output))
 
 
 def fit_encoder(

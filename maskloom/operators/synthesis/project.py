@@ -63,8 +63,8 @@ class Space:
     def _features(self, df: DataFrame, row_key: str) -> DataFrame:
         if self.reduction is None:
             return self.encoder.encode(df, row_key)
-        plain = F.array(*self.encoder.expressions(df, self.numbers)).cast("array<double>")
-        block = F.array(*self.encoder.expressions(df, self.indicators))
+        plain = self.encoder.expressions(df, self.numbers)
+        block = self.encoder.expressions(df, self.indicators)
         parts = df.select(col(row_key), plain.alias("__plain"), block.alias("__block"))
         reduced = self.reduction.transform(parts, "__block")
         return reduced.select(col(row_key), F.concat("__plain", "__block").alias("features"))
@@ -106,7 +106,7 @@ def fit_space(
     assert all(is_number(fields[f.column]) or is_time(fields[f.column]) for f in numbers)
     reduction = None
     if use_categorical_reduction and len(indicators) > 1:
-        block = df.select(F.array(*encoder.expressions(df, indicators)).alias("__block"))
+        block = df.select(encoder.expressions(df, indicators).alias("__block"))
         reduction = fit_components(block, "__block", min(REDUCED_DIMS, len(indicators)))
     space = Space(encoder, numbers, indicators, reduction, None)
     if ncp is None:
