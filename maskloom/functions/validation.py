@@ -27,15 +27,15 @@ def col(name: str) -> Column:
     return F.col("`" + name.replace("`", "``") + "`")
 
 
+def missing(df: DataFrame, name: str) -> Column:
+    """NULL, or NaN in a floating column."""
+    empty = col(name).isNull()
+    return empty | F.isnan(col(name)) if isinstance(df.schema[name].dataType, FLOATS) else empty
+
+
 def null_counts(df: DataFrame, columns: Sequence[str]) -> dict[str, int]:
     """Nulls (and NaNs) per column in one pass over just those columns."""
-    fields = {f.name: f for f in df.schema.fields}
-    exprs = []
-    for name in dict.fromkeys(columns):
-        missing = col(name).isNull()
-        if isinstance(fields[name].dataType, FLOATS):
-            missing = missing | F.isnan(col(name))
-        exprs.append(F.count_if(missing).alias(name))
+    exprs = [F.count_if(missing(df, name)).alias(name) for name in dict.fromkeys(columns)]
     if not exprs:
         return {}
     return df.agg(*exprs).first().asDict()

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from maskloom.functions.sizing import broadcast_if_small
 from maskloom.functions.validation import col, is_number
-from maskloom.operators.neighbors import nearest
+from maskloom.operators.neighbors import nearest, task_count
 from maskloom.operators.scan import scan
 
 # Names of the link methods.
@@ -121,8 +121,11 @@ def assign_parents(
     rows = originals.count()
     if rows != synthetic.count():
         raise ValueError("Expected as many synthetic parents as original parents")
-    left = _in_blocks(originals, key, rows, block_rows).groupBy("block")
-    right = _in_blocks(synthetic, key, rows, block_rows).groupBy("block")
+    tasks = task_count(originals, ceil(rows / block_rows))
+    left, right = (
+        _in_blocks(df, key, rows, block_rows).repartition(tasks, "block").groupBy("block")
+        for df in (originals, synthetic)
+    )
     key_type = originals.schema[key].dataType
     schema = T.StructType([
         T.StructField("parent_id", key_type), T.StructField("synthetic_id", key_type),

@@ -34,6 +34,9 @@ SAMPLE_PER_LEAF = 16
 QUERY_CHUNK = 2_000
 CANDIDATE_CHUNK = 20_000
 BLOCK_CELLS = 250_000
+# below these sizes one pass over all pairs of chunks is cheaper than the partition
+SMALL_CANDIDATES = 20_000
+SMALL_QUERIES = 50_000
 
 
 @dataclass(frozen=True)
@@ -181,16 +184,23 @@ def _boxes(candidates: DataFrame, dims: int) -> _Boxes:
     )
 
 
-def _vector_width(df: DataFrame, vector: str) -> int:
-    row = df.select(F.size(col(vector)).alias("n")).limit(1).first()
-    return int(row["n"]) if row else 0
-
-
 def _leaf_table(df: DataFrame, boxes: _Boxes) -> DataFrame:
     rows = [(int(a), int(b)) for a, b in zip(boxes.leaf, boxes.rows)]
     return df.sparkSession.createDataFrame(rows, "leaf bigint, leaf_rows bigint")
 
 
+def task_count(df: DataFrame, groups: int) -> int:
+    """Partitions for CPU-bound groups.
+
+    Given explicitly, because adaptive execution sizes partitions by bytes and would merge small but
+    expensive groups into one task.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    shuffle = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, min(max(groups, 1), max(cores, shuffle)))
+
+
 def _block_pairs(visits: DataFrame, candidates: DataFrame, boxes: _Boxes):
     """Both sides keyed by (leaf, query chunk, candidate chunk), ready for a cogroup.
 
@@ -208,7 +218,19 @@ def _block_pairs(visits: DataFrame, candidates: DataFrame, boxes: _Boxes):
         {"cc": c_chunk, "qc": F.explode(F.sequence(F.lit(0), q_chunks - 1))}
     )
     keys = ["leaf", "qc", "cc"]
-    return left.groupBy(*keys), right.select(*keys, "cid", "vec", "weight").groupBy(*keys)
+    tasks = task_count(visits, 4 * len(boxes.leaf))
+    right = right.select(*keys, "cid", "vec", "weight")
+    return left.repartition(tasks, *keys).groupBy(*keys), right.repartition(tasks, *keys).groupBy(*keys)
+
+
+def _small_pairs(queries: DataFrame, candidates: DataFrame, rows: int):
+    """Query chunks against all of a small candidate table."""
+    chunks = max(1, ceil(rows / (QUERY_CHUNK // 2)))
+    left = queries.withColumn("qc", F.pmod(F.xxhash64("qid"), F.lit(chunks)).cast("int"))
+    every = F.sequence(F.lit(0), F.lit(chunks - 1))
+    right = candidates.select("cid", "vec", F.explode(every).alias("qc"))
+    tasks = task_count(queries, chunks)
+    return left.repartition(tasks, "qc").groupBy("qc"), right.repartition(tasks, "qc").groupBy("qc")
 
 
 def _prepare(df: DataFrame, key: str, vector: str, name: str) -> DataFrame:
@@ -233,48 +255,54 @@ def nearest(
     """
     queries = _prepare(queries, query_key, query_vector, "qid")
     candidates = _prepare(candidates, candidate_key, candidate_vector, "cid")
-    total = candidates.count()
+    total, dims = _shape(candidates)
     if k < 1 or total - int(exclude_self) < k:
         raise ValueError(f"Expected k between 1 and {total - int(exclude_self)}, got {k} instead")
-    keep = k + int(exclude_self)
-
-    dims = _vector_width(candidates, "vec")
-    partition = fit_partition(candidates, "vec", "cid", total)
-    placed = _with_leaf(queries, "vec", partition)
-    same = Window.partitionBy("leaf", "vec").orderBy("cid")
-    # a rank limit runs as a partial limit before the shuffle, so copies never travel in bulk
-    useful = _with_leaf(candidates, "vec", partition)
-    useful = useful.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= keep)
-    useful = useful.select("cid", "vec", "leaf", F.lit(1).cast("bigint").alias("weight"))
-    if partition.depth:
-        useful, placed = materialize(useful), materialize(placed)
-        boxes = _boxes(useful, dims)
-        visits = _visits(placed, useful, boxes, k, exclude_self)
-    else:
-        # one leaf: the exact rows per leaf are not needed, their bound is the total
-        boxes = _Boxes(*(np.array([v]) for v in (0, 0, 0, total, total)))
-        visits = placed.withColumn("r2", F.lit(float("inf")))
-
-    id_type = useful.schema["cid"].dataType
-    q_type = placed.schema["qid"].dataType
     schema = T.StructType([
-        T.StructField("qid", q_type), T.StructField("cid", id_type),
-        T.StructField("d2", T.DoubleType()),
+        T.StructField("query_id", queries.schema["qid"].dataType),
+        T.StructField("neighbor_id", candidates.schema["cid"].dataType),
+        T.StructField("d2", T.DoubleType()), T.StructField("rank", T.IntegerType()),
     ])
-
     out_type = to_arrow_schema(schema)
 
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         return _top(left, right, k, exclude_self, out_type)
 
+    if total <= SMALL_CANDIDATES:
+        rows = queries.count()
+        if rows <= SMALL_QUERIES:
+            free = queries.withColumn("r2", F.lit(float("inf")))
+            left, right = _small_pairs(free, candidates, rows)
+            found = left.cogroup(right).applyInArrow(search, schema)
+            return _with_distance(found)
+
+    keep = k + int(exclude_self)
+    partition = fit_partition(candidates, "vec", "cid", total)
+    placed = materialize(_with_leaf(queries, "vec", partition))
+    same = Window.partitionBy("leaf", "vec").orderBy("cid")
+    # a rank limit runs as a partial limit before the shuffle, so copies never travel in bulk
+    useful = _with_leaf(candidates, "vec", partition)
+    useful = useful.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= keep)
+    useful = materialize(
+        useful.select("cid", "vec", "leaf", F.lit(1).cast("bigint").alias("weight"))
+    )
+    boxes = _boxes(useful, dims)
+    visits = _visits(placed, useful, boxes, k, exclude_self)
     left, right = _block_pairs(visits, useful, boxes)
     found = left.cogroup(right).applyInArrow(search, schema)
-    best = Window.partitionBy("qid").orderBy("d2", "cid")
+    best = Window.partitionBy("query_id").orderBy("d2", "neighbor_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-    return ranked.select(
-        F.col("qid").alias("query_id"), F.col("cid").alias("neighbor_id"),
-        F.sqrt("d2").alias("distance"), F.col("rank").cast("int").alias("rank"),
-    )
+    return _with_distance(ranked)
+
+
+def _with_distance(found: DataFrame) -> DataFrame:
+    return found.select("query_id", "neighbor_id", F.sqrt("d2").alias("distance"), "rank")
+
+
+def _shape(df: DataFrame) -> tuple[int, int]:
+    """(rows, dimensions) in one pass."""
+    row = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
+    return int(row["n"]), int(row["d"] or 0)
 
 
 def _top(
@@ -295,17 +323,24 @@ def _top(
         bound = limit[part, None].copy()
         loose = np.flatnonzero(np.isinf(bound[:, 0]))
         if len(loose) and k < d2.shape[1]:
-            bound[loose] = np.partition(d2[loose], k - 1, axis=1)[:, k - 1 : k]
-        rows, cols = np.nonzero((d2 <= bound) & np.isfinite(d2))
+            # the k-th smallest of every n-th candidate bounds the k-th smallest of all
+            some = d2[loose, :: max(1, d2.shape[1] // max(1_000, 8 * k))]
+            bound[loose] = np.partition(some, k - 1, axis=1)[:, k - 1 : k]
+        rows, cols = np.nonzero(d2 <= bound)
         dist = d2[rows, cols]
+        if exclude_self:
+            real = np.isfinite(dist)
+            rows, cols, dist = rows[real], cols[real], dist[real]
         order = np.lexsort((cols, dist, rows))
         rows, cols, dist = rows[order], cols[order], dist[order]
         starts = np.searchsorted(rows, np.arange(len(d2)))
         keep = np.arange(len(rows)) - starts[rows] < k
-        found.append((rows[keep] + part.start, cols[keep], dist[keep]))
-    rows, cols, dist = (np.concatenate(x) for x in zip(*found))
+        rank = (np.arange(len(rows)) - starts[rows])[keep] + 1
+        found.append((rows[keep] + part.start, cols[keep], dist[keep], rank.astype("int32")))
+    rows, cols, dist, rank = (np.concatenate(x) for x in zip(*found))
     return pa.table(
-        [left["qid"].take(pa.array(rows)), right["cid"].take(pa.array(cols)), pa.array(dist)],
+        [left["qid"].take(pa.array(rows)), right["cid"].take(pa.array(cols)), pa.array(dist),
+         pa.array(rank)],
         schema=schema,
     )
 
@@ -374,9 +409,9 @@ def _visits(
     right = probe.join(counts, "leaf").withColumn(
         "qc", F.explode(F.sequence(F.lit(0), q_chunks - 1))
     ).select("leaf", "qc", "cid", "vec")
-    bounded = left.groupBy("leaf", "qc").cogroup(right.groupBy("leaf", "qc")).applyInArrow(
-        bound, schema
-    )
+    tasks = task_count(placed, 4 * len(boxes.leaf))
+    left, right = (x.repartition(tasks, "leaf", "qc").groupBy("leaf", "qc") for x in (left, right))
+    bounded = left.cogroup(right).applyInArrow(bound, schema)
     return materialize(bounded)
 
 
@@ -400,8 +435,7 @@ def count_within(
         col(radius).cast("double").alias("r2"),
     )
     candidates = _prepare(candidates, candidate_key, candidate_vector, "cid")
-    total = candidates.count()
-    dims = _vector_width(candidates, "vec")
+    total, dims = _shape(candidates)
     partition = fit_partition(candidates, "vec", "cid", total)
     distinct = _with_leaf(candidates, "vec", partition).groupBy("leaf", "vec").agg(
         F.min("cid").alias("cid"), F.count(F.lit(1)).alias("weight")

@@ -10,10 +10,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskloom.functions.validation import col, has_nulls, null_counts
+from maskloom.functions.validation import col, null_counts
 from maskloom.operators.affine import value_before
 from maskloom.operators.processors import messages as msg
-from maskloom.operators.scan import MAX_GROUP_ROWS, group_sizes, scan
+from maskloom.operators.scan import MAX_GROUP_ROWS, GroupProfile, profile_groups, scan
 
 
 def relative_change(value: Column, origin: Column, lower: float, upper: float) -> Column:
@@ -44,6 +44,20 @@ def bounds(df: DataFrame, columns: Sequence[str]) -> tuple[float, float]:
     return min(row[:n]), max(row[n:])
 
 
+def profile_changes(
+    dest: DataFrame, by: str, seed: str, changes: Sequence[str], limits: tuple[float, float]
+) -> tuple[GroupProfile, Column]:
+    """Profile of encoded records, with the flag of those outside the affine limits.
+
+    A seed outside the bounds or a change beyond 1 lets values cross a bound, where the absolute
+    distances change sign.
+    """
+    outside = ~col(seed).cast("double").between(*limits)
+    for c in changes:
+        outside = outside | (F.abs(col(c)) > 1)
+    return profile_groups(dest, by, [seed, *changes], outside), outside
+
+
 def _values_before(
     df: DataFrame,
     by: str,
@@ -51,32 +65,29 @@ def _values_before(
     seed: str,
     changes: Sequence[str],
     limits: tuple[float, float],
+    profile: GroupProfile,
+    outside: Column,
     max_group_rows: int,
 ) -> DataFrame:
     """Append ``__before``, the value each record starts from, whatever the length of the group."""
     lower, upper = limits
-    largest, rows = group_sizes(df, [by])
     ordered = scan(
         df, [by], order, first={"__seed": seed}, ordinal="__ordinal",
-        max_group_rows=max_group_rows, sizes=(largest, rows),
+        max_group_rows=max_group_rows, sizes=profile.sizes,
     )
     a, b = F.lit(1.0), F.lit(0.0)
     for c in changes:
         next_a, next_b = change_map(col(c).cast("double"), lower, upper)
         a, b = next_a * a, next_a * b + next_b
     ordered = ordered.withColumns({"__ma": a, "__mb": b})
-
-    # outside these limits the absolute distances change sign and the maps are no longer affine
-    outside = ~F.col("__seed").between(lower, upper)
-    for c in changes:
-        outside = outside | (F.abs(col(c)) > 1)
-    strays = ordered.where(outside).select(col(by).alias("__stray")).distinct()
     fields = dict(
-        ordinal="__ordinal", a="__ma", b="__mb", seed="__seed", largest=largest, output="__before"
+        ordinal="__ordinal", a="__ma", b="__mb", seed="__seed", largest=profile.largest,
+        output="__before",
     )
-    if strays.limit(1).count() == 0:
+    if not profile.flagged:
         out = value_before(ordered, [by], **fields)
     else:
+        strays = df.where(outside).select(col(by).alias("__stray")).distinct()
         match = col(by) == F.col("__stray")
         regular = ordered.join(strays, match, "left_anti")
         stray = ordered.join(strays, match, "left_semi")
@@ -119,13 +130,13 @@ class BoundedCumulatedModel:
 
     def preprocess(self, df: DataFrame) -> DataFrame:
         s = self.spec
-        s.check_source(df)
+        profile = s.check_source(df)
         lower, upper = bounds(df, [s.target_variable])
         out = scan(
             df, [s.id_variable], [*s.order_by, s.row_key],
             first={s.new_first_variable_name: s.target_variable},
             lag={"__previous": s.target_variable},
-            max_group_rows=s.max_group_rows,
+            max_group_rows=s.max_group_rows, sizes=profile.sizes,
         )
         value = col(s.target_variable).cast("double")
         origin = F.coalesce(F.col("__previous").cast("double"), value)
@@ -136,12 +147,15 @@ class BoundedCumulatedModel:
 
     def postprocess(self, source: DataFrame, dest: DataFrame) -> DataFrame:
         s = self.spec
-        s.check_dest(source, dest)
-        limits = bounds(source, [s.target_variable])
+        limits = s.check_columns(source, dest)
         change = s.new_difference_variable_name
+        profile, outside = profile_changes(
+            dest, s.id_variable, s.new_first_variable_name, [change], limits
+        )
+        s.check_profile(profile)
         out = _values_before(
             dest, s.id_variable, [*s.order_by, s.row_key], s.new_first_variable_name, [change],
-            limits, s.max_group_rows,
+            limits, profile, outside, s.max_group_rows,
         )
         value = apply_change(col(change).cast("double"), F.col("__before"), *limits)
         if s.should_round_output:
@@ -169,19 +183,20 @@ class InterRecordBoundedCumulatedDifferenceProcessor:
     def fit(self, df: DataFrame) -> BoundedCumulatedModel:
         return BoundedCumulatedModel(self)
 
-    def check_source(self, df: DataFrame) -> None:
+    def check_source(self, df: DataFrame) -> GroupProfile:
         for role in ("id_variable", "target_variable"):
             if getattr(self, role) not in df.columns:
                 raise ValueError(msg.COLUMN_INVALID.format(role=role, name=getattr(self, role)))
-        nulls = null_counts(df, [self.id_variable, self.target_variable])
-        if nulls[self.id_variable]:
+        profile = profile_groups(df, self.id_variable, [self.target_variable])
+        if profile.nulls[self.id_variable]:
             raise ValueError(msg.ID_NULLS)
-        if nulls[self.target_variable]:
+        if profile.nulls[self.target_variable]:
             raise ValueError(msg.TARGET_NULLS)
+        return profile
 
-    def check_dest(self, source: DataFrame, dest: DataFrame) -> None:
-        roles = ("new_first_variable_name", "new_difference_variable_name")
-        for role in roles:
+    def check_columns(self, source: DataFrame, dest: DataFrame) -> tuple[float, float]:
+        """Columns of both tables and nulls of the source; returns the bounds."""
+        for role in ("new_first_variable_name", "new_difference_variable_name"):
             if getattr(self, role) not in dest.columns:
                 raise ValueError(msg.COLUMN_INVALID.format(role=role, name=getattr(self, role)))
         nulls = null_counts(source, [self.id_variable, self.target_variable])
@@ -189,9 +204,11 @@ class InterRecordBoundedCumulatedDifferenceProcessor:
             raise ValueError(msg.ID_NULLS_SOURCE)
         if nulls[self.target_variable]:
             raise ValueError(msg.TARGET_NULLS_SOURCE)
-        nulls = null_counts(dest, [getattr(self, r) for r in roles])
-        for role in reversed(roles):
-            if nulls[getattr(self, role)]:
+        return bounds(source, [self.target_variable])
+
+    def check_profile(self, profile: GroupProfile) -> None:
+        for role in ("new_difference_variable_name", "new_first_variable_name"):
+            if profile.nulls[getattr(self, role)]:
                 raise ValueError(msg.COLUMN_NULLS.format(role=role))
 
 
@@ -201,13 +218,13 @@ class BoundedRangeModel:
 
     def preprocess(self, df: DataFrame) -> DataFrame:
         s = self.spec
-        s.check_source(df)
+        profile = s.check_source(df)
         start, end = s.target_start_variable, s.target_end_variable
         lower, upper = bounds(df, [start, end])
         out = scan(
             df, [s.id_variable], s.order,
             first={s.new_first_variable_name: start}, lag={"__previous_end": end},
-            max_group_rows=s.max_group_rows,
+            max_group_rows=s.max_group_rows, sizes=profile.sizes,
         )
         begin, finish = col(start).cast("double"), col(end).cast("double")
         origin = F.coalesce(F.col("__previous_end").cast("double"), begin)
@@ -223,9 +240,12 @@ class BoundedRangeModel:
         s = self.spec
         limits = bounds(source, [s.target_start_variable, s.target_end_variable])
         gap, length = s.new_difference_variable_name, s.new_range_variable
+        profile, outside = profile_changes(
+            dest, s.id_variable, s.new_first_variable_name, [gap, length], limits
+        )
         out = _values_before(
             dest, s.id_variable, s.order, s.new_first_variable_name, [gap, length], limits,
-            s.max_group_rows,
+            profile, outside, s.max_group_rows,
         )
         begin = apply_change(col(gap).cast("double"), F.col("__before"), *limits)
         out = out.withColumn("__begin", begin)
@@ -276,7 +296,7 @@ class InterRecordBoundedRangeDifferenceProcessor:
     def fit(self, df: DataFrame) -> BoundedRangeModel:
         return BoundedRangeModel(self)
 
-    def check_source(self, df: DataFrame) -> None:
+    def check_source(self, df: DataFrame) -> GroupProfile:
         roles = ("id_variable", "target_start_variable", "target_end_variable", "sort_by_variable")
         names = [getattr(self, r) for r in roles]
         present = [n for n in names if n]
@@ -284,5 +304,7 @@ class InterRecordBoundedRangeDifferenceProcessor:
             raise ValueError(
                 msg.COLUMNS_INVALID.format(roles=msg.tick(*roles), names=msg.quote(*names))
             )
-        if has_nulls(df, present):
+        profile = profile_groups(df, self.id_variable, present)
+        if any(profile.nulls.values()):
             raise ValueError(msg.COLUMNS_NULLS.format(roles=msg.tick(*roles)))
+        return profile

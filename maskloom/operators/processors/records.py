@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from maskloom.functions.validation import col, has_nulls, null_counts, same_keys
 from maskloom.operators.processors import messages as msg
-from maskloom.operators.scan import MAX_GROUP_ROWS, scan
+from maskloom.operators.scan import MAX_GROUP_ROWS, profile_groups, scan
 
 
 def in_source_order(dest, source, row_key, order_columns):
@@ -45,10 +45,10 @@ class InterRecordCumulatedDifferenceProcessor:
         for role in ("id_variable", "target_variable"):
             if getattr(self, role) not in df.columns:
                 raise ValueError(msg.COLUMN_INVALID.format(role=role, name=getattr(self, role)))
-        nulls = null_counts(df, [self.id_variable, self.target_variable])
-        if nulls[self.id_variable]:
+        profile = profile_groups(df, self.id_variable, [self.target_variable])
+        if profile.nulls[self.id_variable]:
             raise ValueError(msg.ID_NULLS)
-        if nulls[self.target_variable]:
+        if profile.nulls[self.target_variable]:
             raise ValueError(msg.TARGET_NULLS)
         out = scan(
             df,
@@ -57,6 +57,7 @@ class InterRecordCumulatedDifferenceProcessor:
             first={self.new_first_variable_name: self.target_variable},
             lag={"__previous": self.target_variable},
             max_group_rows=self.max_group_rows,
+            sizes=profile.sizes,
         )
         step = F.coalesce(col(self.target_variable) - F.col("__previous"), F.lit(0)).cast("double")
         return out.withColumn(self.new_difference_variable_name, step).drop(
@@ -73,9 +74,9 @@ class InterRecordCumulatedDifferenceProcessor:
             raise ValueError(msg.ID_NULLS_SOURCE)
         if nulls[self.target_variable]:
             raise ValueError(msg.TARGET_NULLS_SOURCE)
-        nulls = null_counts(dest, [getattr(self, r) for r in roles])
+        profile = profile_groups(dest, self.id_variable, [getattr(self, r) for r in roles])
         for role in reversed(roles):
-            if nulls[getattr(self, role)]:
+            if profile.nulls[getattr(self, role)]:
                 raise ValueError(msg.COLUMN_NULLS.format(role=role))
         order = list(self.order_by)
         working = dest
@@ -87,6 +88,7 @@ class InterRecordCumulatedDifferenceProcessor:
             [*order, self.row_key],
             cumsum={"__moved": self.new_difference_variable_name},
             max_group_rows=self.max_group_rows,
+            sizes=profile.sizes,
         )
         value = col(self.new_first_variable_name) + F.col("__moved")
         kept = [c for c in dest.columns if c not in {getattr(self, r) for r in roles}]
@@ -119,7 +121,8 @@ class InterRecordRangeDifferenceProcessor:
             raise ValueError(
                 msg.COLUMNS_INVALID.format(roles=msg.tick(*roles), names=msg.quote(*names))
             )
-        if has_nulls(df, names):
+        profile = profile_groups(df, self.id_variable, names)
+        if any(profile.nulls.values()):
             raise ValueError(msg.COLUMNS_NULLS.format(roles=msg.tick(*roles)))
         start, end = self.target_start_variable, self.target_end_variable
         out = scan(
@@ -129,6 +132,7 @@ class InterRecordRangeDifferenceProcessor:
             first={self.new_first_variable: start},
             lag={"__previous_end": end},
             max_group_rows=self.max_group_rows,
+            sizes=profile.sizes,
         )
         gap = F.coalesce(col(start) - F.col("__previous_end"), F.lit(0)).cast("double")
         kept = [c for c in df.columns if c not in (start, end)]
@@ -154,7 +158,8 @@ class InterRecordRangeDifferenceProcessor:
                     role="sort_by_variable", name=f"'{self.sort_by_variable}'"
                 )
             )
-        if has_nulls(dest, names):
+        profile = profile_groups(dest, self.id_variable, names)
+        if any(profile.nulls.values()):
             raise ValueError(msg.COLUMNS_NULLS.format(roles=msg.tick(*roles)))
         if has_nulls(source, [self.sort_by_variable]):
             raise ValueError(msg.SORT_NULLS_SOURCE)
@@ -168,6 +173,7 @@ class InterRecordRangeDifferenceProcessor:
             [*order, self.row_key],
             cumsum={"__ranges": self.new_range_variable, "__gaps": self.new_difference_variable},
             max_group_rows=self.max_group_rows,
+            sizes=profile.sizes,
         )
         # ranges of the earlier records only: the running sum less the record's own range
         earlier = F.col("__ranges") - col(self.new_range_variable)

@@ -10,12 +10,13 @@ A range partition has two boundaries, so the carry table has at most two rows pe
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import dataclass
 from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from maskloom.functions.validation import col
+from maskloom.functions.validation import col, missing
 from maskloom.session import materialize
 
 MAX_GROUP_ROWS = 2_000_000
@@ -24,6 +25,42 @@ PART = "__part"
 MERGE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
+@dataclass(frozen=True)
+class GroupProfile:
+    """What one pass over a grouped table tells: group sizes, missing values and a flag."""
+
+    largest: int
+    rows: int
+    nulls: Mapping[str, int]
+    flagged: bool
+
+    @property
+    def sizes(self) -> tuple[int, int]:
+        return self.largest, self.rows
+
+
+def profile_groups(
+    df: DataFrame, by: str, checked: Sequence[str] = (), flag: Column | None = None
+) -> GroupProfile:
+    """Sizes per group, nulls of ``by`` and ``checked``, and whether ``flag`` holds anywhere.
+
+    Counts are combined before the only shuffle, so a hot group is one row per map task.
+    """
+    others = [c for c in dict.fromkeys(checked) if c != by]
+    aggs = [F.count(F.lit(1)).alias("n")]
+    aggs += [F.count_if(missing(df, c)).alias(f"m{i}") for i, c in enumerate(others)]
+    aggs.append(F.max(F.coalesce(flag, F.lit(False)) if flag is not None else F.lit(False)).alias("f"))
+    groups = df.groupBy(col(by).alias("g")).agg(*aggs)
+    row = groups.agg(
+        F.max("n").alias("largest"), F.sum("n").alias("rows"),
+        F.sum(F.when(F.col("g").isNull(), F.col("n"))).alias("keyless"), F.max("f").alias("f"),
+        *[F.sum(f"m{i}").alias(f"m{i}") for i in range(len(others))],
+    ).first()
+    nulls = {by: int(row["keyless"] or 0)}
+    nulls |= {c: int(row[f"m{i}"] or 0) for i, c in enumerate(others)}
+    return GroupProfile(int(row["largest"] or 0), int(row["rows"] or 0), nulls, bool(row["f"]))
+
+
 def group_sizes(df: DataFrame, by: Sequence[str]) -> tuple[int, int]:
     """(rows of the largest group, rows in total); counts are combined before the shuffle."""
     sizes = df.groupBy(*map(col, by)).count()

@@ -87,8 +87,7 @@ def impute(
 def _impute_knn(df, missing, numbers, row_key, k, fraction, seed, distance_columns) -> DataFrame:
     """Mean (or vote) over the k nearest complete rows, by the standardised observed numbers.
 
-    Rows are handled per pattern of missing columns: within one pattern the observed columns are
-    the same, so each pattern is one exact neighbour search.
+    Rows are grouped by the numbers they observe, each group is one exact neighbour search.
     """
     axes = [c for c in (distance_columns or df.columns) if c in numbers and c != row_key]
     stats = df.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(axes)],
@@ -113,21 +112,25 @@ def _impute_knn(df, missing, numbers, row_key, k, fraction, seed, distance_colum
     donors = training.select(col(row_key).alias("neighbor_id"),
                              *[col(c).alias(f"__d_{c}") for c in missing])
     parts = [complete.drop("__pattern")]
+    # patterns that observe the same numbers share one search
+    by_axes: dict[tuple[str, ...], list[str]] = {}
     for p in sorted(patterns):
-        absent = [c for c, bit in zip(needed, p) if bit == "1"]
+        absent = {c for c, bit in zip(needed, p) if bit == "1"}
         if not absent:
             continue
-        rows = table.where(F.col("__pattern") == p).drop("__pattern")
-        seen = [c for c in z if c not in absent]
+        seen = tuple(c for c in z if c not in absent)
         if not seen:
             raise ValueError(f"rows without {absent} have no observed number to measure distances")
+        by_axes.setdefault(seen, []).append(p)
+    for seen, group in by_axes.items():
+        rows = table.where(F.col("__pattern").isin(group)).drop("__pattern")
         vector = F.array(*[z[c] for c in seen])
         near = nearest(
             rows.select(col(row_key), vector.alias("features")),
             training.select(col(row_key), vector.alias("features")),
             k, query_key=row_key, candidate_key=row_key,
         )
-        fill = [c for c in absent if c in missing]
+        fill = [c for c in missing if any(p[needed.index(c)] == "1" for p in group)]
         picked = near.join(donors, "neighbor_id", "inner")
         aggs = []
         for c in fill:

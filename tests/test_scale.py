@@ -137,6 +137,7 @@ def small_leaves(monkeypatch):
     monkeypatch.setattr(neighbors, "QUERY_CHUNK", 30)
     monkeypatch.setattr(neighbors, "CANDIDATE_CHUNK", 25)
     monkeypatch.setattr(neighbors, "BLOCK_CELLS", 500)
+    monkeypatch.setattr(neighbors, "SMALL_CANDIDATES", 0)
 
 
 @pytest.mark.parametrize("dims, k, exclude", [(1, 3, True), (3, 7, True), (3, 1, False), (6, 5, True)])
@@ -149,6 +150,25 @@ def test_nearest_matches_brute_force(spark, small_leaves, dims, k, exclude):
     assert got == brute(points, points, k, exclude)
 
 
+def test_nearest_on_a_small_table(spark):
+    df, points = cloud(spark, 300, 3, seed=31)
+    found = neighbors.nearest(df, df, 6, query_key="id", candidate_key="id", exclude_self=True)
+    got = {}
+    for r in sorted(found.collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append(r["neighbor_id"])
+    assert got == brute(points, points, 6, True)
+
+
+def test_nearest_with_text_keys(spark, small_leaves):
+    df, points = cloud(spark, 150, 2, seed=41)
+    df = df.withColumn("id", F.lpad(F.col("id").cast("string"), 5, "0"))
+    found = neighbors.nearest(df, df, 3, query_key="id", candidate_key="id", exclude_self=True)
+    got = {}
+    for r in sorted(found.collect(), key=lambda r: r["rank"]):
+        got.setdefault(int(r["query_id"]), []).append(int(r["neighbor_id"]))
+    assert got == brute(points, points, 3, True)
+
+
 def test_nearest_between_tables(spark, small_leaves):
     a, pa = cloud(spark, 220, 3, seed=11, copies=0.0)
     b, pb = cloud(spark, 350, 3, seed=12)
