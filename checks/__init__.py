@@ -6,4 +6,4 @@ SUITES = [processors.suite, relational.suite, synthesis.suite, metrics.suite, li
 
 
 def flagship(spark, folder):
-    return processors.p16(spark, folder)
+    return synthesis.a13b(spark, folder)

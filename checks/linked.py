@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.common import Suite, r, sr, su, table
-from checks.metrics import POINTS_SQL, TWIN_SQL, one, points, source, twin
+from checks.metrics import POINTS_SQL, SOURCE_SQL, TWIN_SQL, one, points, source, twin
+from checks.synthesis import pca_two_sql
 from maskloom.operators import multitable as mt
 from maskloom.operators import timeseries as ts
 from maskloom.operators.metrics import privacy, signal
 from maskloom.operators.neighbors import nearest
 from maskloom.operators.synthesis.generate import neighbor_weights
+from maskloom.session import materialize
 
 suite = Suite()
 
@@ -62,6 +64,19 @@ def m04(spark, sf):
     return mt.assign_parents(a, b, "id").withColumn("distance", r("distance"))
 
 
+@suite.add("m04_link_linear_sum_line", f"""
+with o as (select balance, row_number() over (order by balance, id) as pos from ({SOURCE_SQL})),
+     s as (select balance, row_number() over (order by balance, id) as pos from ({TWIN_SQL}))
+select count(*) as pairs, count(*) as parents, count(*) as targets, {sr('sum(abs(o.balance - s.balance))', 3)} as total
+from o join s using (pos)""")
+def m04b(spark, sf):
+    """On a line the sorted matching is the least assignment, and blocks do not break it."""
+    a, b = (df.select("id", F.array("balance").alias("features")) for df in (source(spark, sf), twin(spark, sf)))
+    return mt.assign_parents(a, b, "id").agg(
+        F.count(F.lit(1)).alias("pairs"), F.count_distinct("parent_id").alias("parents"),
+        F.count_distinct("synthetic_id").alias("targets"), r(F.sum("distance"), 3).alias("total"))
+
+
 def _parents(spark, sf):
     customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_size")
@@ -127,9 +142,9 @@ def _aligned(spark, sf, method="specified", n=POINTS):
 def _aligned_sql(n: str) -> str:
     return f"""
 e as (select user_id, epoch_us(ts) / 1e6 as t, event_id, value as v from events),
-l as (select user_id, min(t) as lo, max(t) as hi, count(*) as n from e group by 1),
-k as (select {n} as k from l),
-g as (select user_id, point, lo + point * ((hi - lo) / (k - 1.0)) as t from l, k, (select unnest(range(10000)) as point) where point < k),
+lim as (select user_id, min(t) as lo, max(t) as hi, count(*) as n from e group by 1),
+len as (select {n} as k from lim),
+g as (select user_id, point, lo + point * ((hi - lo) / (k - 1.0)) as t from lim, len, (select unnest(range(10000)) as point) where point < k),
 b as (select g.user_id, point, any_value(g.t) as t,
              max_by(e.t, (e.t, event_id)) filter (e.t <= g.t) as t0, max_by(v, (e.t, event_id)) filter (e.t <= g.t) as v0,
              min_by(e.t, (e.t, event_id)) filter (e.t >= g.t) as t1, min_by(v, (e.t, event_id)) filter (e.t >= g.t) as v1
@@ -165,6 +180,26 @@ suite.add("ts02_flatten_scores")(_scores("flatten"))
 suite.add("ts03_fpca_scores")(_scores("fpca"))
 
 
+def _two_points_sql(weight: str) -> str:
+    return f"""
+with {_aligned_sql('any_value(2)')},
+wide as (select user_id, max(case when point = 0 then v end) * {weight} as a0, max(case when point = 1 then v end) * {weight} as b0
+         from aligned group by 1),
+z as (select user_id as id, a0 - (select avg(a0) from wide) as zx, b0 - (select avg(b0) from wide) as zy from wide),
+{pca_two_sql('z', 'id', 'zx', 'zy')}
+select id as user_id, {sr('x1', 4)} as s0, {sr('x2', 4)} as s1 from proj"""
+
+
+for _projection, _weight in (("flatten", "1.0"), ("fpca", "(1.0 / sqrt(2.0))")):
+    def _query(spark, sf, projection=_projection):
+        scores, _ = ts.series_scores(_aligned(spark, sf, n=2), "user_id", ["value"], 2,
+                                     projection=projection, nf=2)
+        at = F.col("features")
+        return scores.select("user_id", r(at[0], 4).alias("s0"), r(at[1], 4).alias("s1"))
+
+    suite.add(f"ts0{'2' if _projection == 'flatten' else '3'}_{_projection}_scores_two_points", _two_points_sql(_weight))(_query)
+
+
 @suite.add("ts04_attach_scores", """
 with u as (select user_id, avg(value) as m, stddev_samp(value) as s from events where user_id % 5 <> 0 group by 1)
 select c_custkey, round(m, 6) as score_1, round(s, 6) as score_2 from customer left join u on user_id = c_custkey""")
@@ -211,12 +246,30 @@ def ts06(spark, sf):
     return out.select("user_id", "point", seconds.alias("seconds"), r("value", 4).alias("value"))
 
 
+@suite.add("ts07_series_metrics_flat", f"""
+with {JOINT_SQL},
+o as (select user_id as id, list(v order by point) as x from aligned group by 1),
+s as (select user_id as id, list(v order by point) as x from joint_series group by 1),
+d as (select o.id as id, s.id as other, list_sum(list_transform(list_zip(o.x, s.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) as d2 from o, s),
+k as (select *, row_number() over (partition by id order by d2, other) as rk from d),
+own as (select id, d2 as r2 from d where id = other),
+n as (select d.id, count(case when d2 < r2 then 1 end) as n from d join own on d.id = own.id group by 1)
+select {sr("(select 100.0 * avg(cast(id <> other as int)) from k where rk = 1)")} as hidden_rate,
+       {sr("(select quantile_cont(n, 0.5) from n)")} as local_cloaking""")
+def ts07b(spark, sf):
+    a = materialize(ts.series_vectors(_aligned(spark, sf), "user_id", ["value"], POINTS, "flatten"))
+    b = materialize(ts.series_vectors(_joint(spark, sf), "user_id", ["value"], POINTS, "flatten"))
+    return one(spark, hidden_rate=privacy.hidden_rate(a, b, "user_id"),
+               local_cloaking=privacy.local_cloaking(a, b, "user_id"))
+
+
 @suite.add("ts07_series_metrics")
 def ts07(spark, sf):
-    aligned = _aligned(spark, sf)
-    scores, components = ts.series_scores(aligned, "user_id", ["value"], POINTS, nf=3)
+    aligned = materialize(_aligned(spark, sf))
+    _, components = ts.series_scores(aligned, "user_id", ["value"], POINTS, nf=3)
     vectors = ts.series_vectors(_joint(spark, sf), "user_id", ["value"], POINTS, "fpca")
-    placed = components.transform(vectors, "features")
-    originals = components.transform(ts.series_vectors(aligned, "user_id", ["value"], POINTS, "fpca"), "features")
+    placed = materialize(components.transform(vectors, "features"))
+    own = ts.series_vectors(aligned, "user_id", ["value"], POINTS, "fpca")
+    originals = materialize(components.transform(own, "features"))
     return one(spark, hidden_rate=privacy.hidden_rate(originals, placed, "user_id"),
                local_cloaking=privacy.local_cloaking(originals, placed, "user_id"))

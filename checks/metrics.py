@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.common import Suite, r, sr, su, table
+from checks.synthesis import TWO_SQL, two_space
 from maskloom.functions.uniform import uniform
 from maskloom.operators.metrics import privacy, signal
 from maskloom.operators.synthesis.project import fit_space
@@ -302,6 +303,30 @@ def v3(spark, sf):
     return signal.contributions(df, space).withColumn("contribution", r("contribution"))
 
 
+@suite.add("v3_contributions_two", f"""
+with {TWO_SQL}
+select 'balance' as "column", 1 as component, {sr('p1 * p1 * l1 / (l1 + l2)')} as contribution from c
+union all select 'nation', 1, {sr('q1 * q1 * l1 / (l1 + l2)')} from c
+union all select 'balance', 2, {sr('p2 * p2 * l2 / (l1 + l2)')} from c
+union all select 'nation', 2, {sr('q2 * q2 * l2 / (l1 + l2)')} from c""")
+def v3b(spark, sf):
+    df, space = two_space(spark, sf)
+    return signal.contributions(df, space).withColumn("contribution", r("contribution"))
+
+
+@suite.add("v4_projection_points_two", f"""
+with {TWO_SQL}, t as ({TWIN_SQL}),
+tz as (select id, (balance - (select avg(balance) from f)) / (select stddev_pop(balance) from f) * sqrt(4.0) as zx,
+              (nation - (select avg(nation) from f)) / (select stddev_pop(nation) from f) as zy from t)
+select id, 'original' as side, {sr('x1')} as x1, {sr('x2')} as x2 from proj
+union all select id, 'synthetic', {sr('zx * p1 + zy * q1')}, {sr('zx * p2 + zy * q2')} from tz, c""")
+def v4b(spark, sf):
+    df, space = two_space(spark, sf)
+    out = signal.projection_points(
+        space.place(df, "id"), space.place(twin(spark, sf), "id"), "id", 2)
+    return out.withColumns({c: r(c) for c in ("x1", "x2")})
+
+
 @suite.add("v4_projection_points")
 def v4(spark, sf):
     df, other = source(spark, sf), twin(spark, sf)

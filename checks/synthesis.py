@@ -149,6 +149,40 @@ def a08(spark, sf):
     return out.select("id", *[r(F.col("features")[i]).alias(f"x{i}") for i in range(5)])
 
 
+def pca_two_sql(source: str, key: str, x: str, y: str) -> str:
+    """Components of two centred columns in closed form, as CTEs ``c`` (loadings) and ``proj``."""
+    return f"""
+m as (select var_samp({x}) as a, covar_samp({x}, {y}) as b, var_samp({y}) as d from {source}),
+l as (select *, (a + d + sqrt((a - d) * (a - d) + 4 * b * b)) / 2 as l1,
+             (a + d - sqrt((a - d) * (a - d) + 4 * b * b)) / 2 as l2 from m),
+u as (select *, b / sqrt(b * b + (l1 - a) * (l1 - a)) as p1, (l1 - a) / sqrt(b * b + (l1 - a) * (l1 - a)) as q1,
+             b / sqrt(b * b + (l2 - a) * (l2 - a)) as p2, (l2 - a) / sqrt(b * b + (l2 - a) * (l2 - a)) as q2 from l),
+c as (select l1, l2, p1 * s1 as p1, q1 * s1 as q1, p2 * s2 as p2, q2 * s2 as q2 from (
+        select *, case when abs(p1) >= abs(q1) then sign(p1) else sign(q1) end as s1,
+               case when abs(p2) >= abs(q2) then sign(p2) else sign(q2) end as s2 from u)),
+proj as (select {key} as id, {x} * p1 + {y} * q1 as x1, {x} * p2 + {y} * q2 as x2 from {source}, c)"""
+
+
+TWO_SQL = f"""
+f as ({FULL_SQL}),
+z as (select id, (balance - (select avg(balance) from f)) / (select stddev_pop(balance) from f) * sqrt(4.0) as zx,
+             (nation - (select avg(nation) from f)) / (select stddev_pop(nation) from f) as zy from f),
+{pca_two_sql('z', 'id', 'zx', 'zy')}"""
+
+
+def two_space(spark, sf):
+    df = full(spark, sf)
+    return df, fit_space(df, ["balance", "nation"], row_key="id", ncp=2, weights={"balance": 4.0})
+
+
+@suite.add("a08_projection_two", f"""
+with {TWO_SQL} select id, {sr('x1')} as x1, {sr('x2')} as x2 from proj""")
+def a08c(spark, sf):
+    df, space = two_space(spark, sf)
+    at = F.col("features")
+    return space.place(df, "id").select("id", r(at[0]).alias("x1"), r(at[1]).alias("x2"))
+
+
 @suite.add("a08_projection_embeddings")
 def a08b(spark, sf):
     df = table(spark, sf, "embeddings")

@@ -1,18 +1,59 @@
-"""Broadcast hints behind a check of the size."""
+"""Joins with tables whose size and key counts are checked first."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskloom.functions.validation import col
+
 BROADCAST_ROWS = 200_000
+HOT_ROWS = 1_000_000
+MAX_HOT_KEYS = 1_000
+
+
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Reads no more than ``max_rows + 1`` rows."""
+    return df.limit(max_rows + 1).count() <= max_rows
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave the join to Spark.
 
     Without the hint the join shuffles both sides and adaptive execution splits skewed partitions.
-    The check reads no more than ``max_rows + 1`` rows.
     """
-    small = df.limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if small else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
+
+
+def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> list:
+    """The heaviest keys with more than ``hot_rows`` rows, at most ``MAX_HOT_KEYS`` of them.
+
+    Only the key column is read and counts are combined before the shuffle.
+    """
+    counts = df.where(col(key).isNotNull()).groupBy(col(key).alias("k")).count()
+    heavy = counts.where(F.col("count") > (HOT_ROWS if hot_rows is None else hot_rows))
+    return [r["k"] for r in heavy.orderBy(F.desc("count")).limit(MAX_HOT_KEYS).collect()]
+
+
+def lookup(
+    left: DataFrame,
+    right: DataFrame,
+    key: str,
+    *,
+    how: str = "left",
+    rows_per_key: int = 1,
+) -> DataFrame:
+    """Join ``left`` with a table holding at most ``rows_per_key`` rows per ``key``.
+
+    A small ``right`` is broadcast. Otherwise both sides are shuffled, except for the hot keys of
+    ``left``: their few rows of ``right`` are broadcast, so a key with a third of all rows never
+    lands in one task. No row is lost: each key takes exactly one of the two ways.
+    """
+    if is_small(right):
+        return left.join(F.broadcast(right), key, how)
+    keys = hot_keys(left, key)[: max(1, BROADCAST_ROWS // rows_per_key)]
+    if not keys:
+        return left.join(right, key, how)
+    hot = F.coalesce(col(key).isin(keys), F.lit(False))
+    heavy = left.where(hot).join(F.broadcast(right.where(hot)), key, how)
+    return heavy.unionByName(left.where(~hot).join(right.where(~hot), key, how))

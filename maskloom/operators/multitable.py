@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from maskloom.functions.sizing import broadcast_if_small
+from maskloom.functions.sizing import lookup
 from maskloom.functions.validation import col, is_number
 from maskloom.operators.neighbors import nearest, task_count
 from maskloom.operators.scan import scan
@@ -84,7 +84,7 @@ def relink(
     target = mapping.select(
         F.col("parent_id").alias("__parent"), F.col("synthetic_id").alias(child_field)
     )
-    return rows.join(broadcast_if_small(target), "__parent", "left").drop("__parent")
+    return lookup(rows, target, "__parent").drop("__parent")
 
 
 def nearest_parents(originals: DataFrame, synthetic: DataFrame, key: str) -> DataFrame:
@@ -196,10 +196,11 @@ def flatten(child: DataFrame, parents: Sequence[Parent]) -> DataFrame:
     out = child
     for parent in parents:
         named = parent.data.select(
-            col(parent.key).alias("__pk"),
+            col(parent.key).alias(parent.child_field),
             *[col(c).alias(f"{parent.name}_{c}") for c in parent.data.columns if c != parent.key],
         )
-        out = out.join(named, col(parent.child_field) == F.col("__pk"), "left").drop("__pk")
+        columns = [*out.columns, *[c for c in named.columns if c != parent.child_field]]
+        out = lookup(out, named, parent.child_field).select(*map(col, columns))
     return out
 
 

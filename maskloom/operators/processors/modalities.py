@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskloom.functions.sizing import broadcast_if_small
+from maskloom.functions.sizing import lookup
 from maskloom.functions.validation import col
 from maskloom.operators.processors import messages as msg
 from maskloom.operators.profile import categorical_columns, distinct_counts, modality_counts
@@ -26,14 +26,13 @@ class GroupModalitiesModel:
         out = df
         for c in self.thresholds:
             names = self.rare.where(F.col("column") == F.lit(c)).select(
-                F.col("value").alias("__rare")
+                F.col("value").alias("__value"), F.lit(True).alias("__rare")
             )
-            out = out.join(broadcast_if_small(names), col(c).cast("string") == F.col("__rare"),
-                           "left")
+            out = lookup(out.withColumn("__value", col(c).cast("string")), names, "__value")
             renamed = F.when(F.col("__rare").isNotNull(), F.lit(self.new_category)).otherwise(
                 col(c).cast("string")
             )
-            out = out.withColumn(c, renamed).drop("__rare")
+            out = out.withColumn(c, renamed).select(*map(col, df.columns))
         return out
 
     def postprocess(self, source: DataFrame, dest: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from maskloom.functions.sizing import lookup
 from maskloom.functions.uniform import exponential, uniform
 from maskloom.functions.validation import INTEGERS, col, is_number, is_time, null_counts
 from maskloom.operators.neighbors import nearest
@@ -55,7 +56,8 @@ def weighted_rows(
 ) -> DataFrame:
     """(row_key, columns): weighted mean of numbers and times, heaviest vote of categories.
 
-    One join brings each neighbour's values, one grouping folds the k rows of each synthetic row.
+    One join brings each neighbour's values (copies share neighbours, so it splits hot keys), one
+    grouping folds the k rows of each synthetic row.
     """
     fields = {f.name: f for f in donors.schema.fields}
     values, folds, outs = [], [], []
@@ -73,7 +75,7 @@ def weighted_rows(
             folds.append(F.collect_list(vote).alias(f"s{i}"))
             outs.append(heaviest(F.col(f"s{i}")).alias(c))
     table = donors.select(col(row_key).alias("neighbor_id"), *values)
-    joined = weights.join(table, "neighbor_id", "inner")
+    joined = lookup(weights, table, "neighbor_id", how="inner")
     folded = joined.groupBy("query_id").agg(F.sum("weight").alias("total"), *folds)
     return folded.select(F.col("query_id").alias(row_key), *outs)
 
@@ -196,6 +198,6 @@ def attach_excluded(
         synthesis.place(rows), synthesis.originals, 1, query_key=key, candidate_key=key
     ).select(F.col("query_id").alias("__q"), F.col("neighbor_id").alias("__donor"))
     matched = rows.join(near, col(key) == F.col("__q"), "left")
-    return matched.join(extra, "__donor", "left").select(
+    return lookup(matched, extra, "__donor").select(
         *map(col, rows.columns), *map(col, excluded)
     )

@@ -8,6 +8,7 @@ from math import isfinite
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskloom.functions.sizing import lookup
 from maskloom.functions.uniform import uniform
 from maskloom.functions.validation import col, is_number, null_counts
 from maskloom.operators.neighbors import nearest
@@ -131,7 +132,7 @@ def _impute_knn(df, missing, numbers, row_key, k, fraction, seed, distance_colum
             k, query_key=row_key, candidate_key=row_key,
         )
         fill = [c for c in missing if any(p[needed.index(c)] == "1" for p in group)]
-        picked = near.join(donors, "neighbor_id", "inner")
+        picked = lookup(near, donors, "neighbor_id", how="inner")
         aggs = []
         for c in fill:
             if c in numbers:

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from maskloom.functions.sizing import lookup
 from maskloom.functions.validation import col, is_time
 from maskloom.operators.processors.datetime import from_seconds, to_seconds
 from maskloom.operators.scan import MAX_GROUP_ROWS, scan
@@ -152,7 +153,7 @@ def weighted_series(
     ``columns`` include the time, which is mixed like any value.
     """
     donors = aligned.withColumnRenamed(id_variable, "neighbor_id")
-    joined = weights.join(donors, "neighbor_id", "inner")
+    joined = lookup(weights, donors, "neighbor_id", how="inner", rows_per_key=MAX_POINTS)
     total = F.sum("weight")
     return joined.groupBy("query_id", "point").agg(
         *[(F.sum(F.col("weight") * col(c)) / total).alias(c) for c in columns]

@@ -8,6 +8,7 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from maskloom.functions.sizing import lookup
 from maskloom.functions.validation import col, is_number
 from maskloom.operators import multitable as mt
 from maskloom.operators import timeseries as ts
@@ -236,10 +237,10 @@ def publish(
             if link.parent_table not in fresh or link.child_field not in rows.columns:
                 continue
             renamed = fresh[link.parent_table].select(
-                F.col("__old").alias("__fk"), F.col("__new").alias("__fresh")
+                F.col("__old").alias(link.child_field), F.col("__new").alias("__fresh")
             )
-            joined = rows.join(renamed, col(link.child_field) == F.col("__fk"), "left")
-            rows = joined.withColumn(link.child_field, F.col("__fresh")).drop("__fk", "__fresh")
+            joined = lookup(rows, renamed, link.child_field)
+            rows = joined.withColumn(link.child_field, F.col("__fresh")).drop("__fresh")
         if t in fresh:
             named = fresh[t].withColumnRenamed("__old", keys[t])
             rows = rows.join(named, keys[t], "inner").withColumn(keys[t], F.col("__new")).drop("__new")

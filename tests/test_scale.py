@@ -9,6 +9,7 @@ import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
 
+from maskloom.functions import sizing
 from maskloom.operators import affine, neighbors, ordinal, quantiles
 from maskloom.operators.processors import (
     InterRecordBoundedCumulatedDifferenceProcessor,
@@ -207,6 +208,18 @@ def test_partition_covers_every_point(spark, small_leaves):
     assert leaves.min() >= 0 and leaves.max() < partition.leaves
 
 
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_lookup_splits_hot_keys(spark, make, monkeypatch, how):
+    monkeypatch.setattr(sizing, "BROADCAST_ROWS", 5)
+    monkeypatch.setattr(sizing, "HOT_ROWS", 20)
+    left = make("g string, v bigint", g=["h"] * 60 + [None] * 30 + [f"k{i % 40}" for i in range(60)],
+                v=list(range(150)))
+    right = spark.createDataFrame([("h", 7)] + [(f"k{i}", i) for i in range(30)], "g string, w bigint")
+    assert sizing.hot_keys(left, "g") == ["h"]
+    got, want = sizing.lookup(left, right, "g", how=how), left.join(right, "g", how)
+    assert got.exceptAll(want).count() == 0 and got.count() == want.count()
+
+
 # -- quantiles and ordinals --------------------------------------------------------------------
 
 @pytest.mark.parametrize("values", [
