@@ -50,5 +50,6 @@ def su(seed: int, stream: str, *keys: str) -> str:
     return f"(concat('0x', substr(md5(concat_ws('|', {parts})), 1, 8))::UBIGINT / 4294967296.0)"
 
 
-def big(*names: str) -> list[Column]:
-    return [F.col(n).cast("bigint").alias(n) for n in names]
+def micros(name: str) -> Column:
+    """Microseconds since 1970 of a timestamp without time zone, whatever the session's zone."""
+    return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(name))

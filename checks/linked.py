@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from checks.common import Suite, r, sr, su, table
+from checks.common import Suite, micros, r, sr, su, table
 from checks.metrics import POINTS_SQL, SOURCE_SQL, TWIN_SQL, one, points, source, twin
 from checks.synthesis import pca_two_sql
 from maskloom.operators import multitable as mt
@@ -242,7 +242,7 @@ def ts05(spark, sf):
 with {JOINT_SQL} select user_id, point, cast(round(t) as bigint) as seconds, {sr('v', 4)} as value from joint_series""")
 def ts06(spark, sf):
     out = ts.rebuild(_joint(spark, sf), "user_id", "ts", table(spark, sf, "events"))
-    seconds = F.round(F.unix_micros(F.col("ts").cast("timestamp")) / 1e6).cast("bigint")
+    seconds = F.round(micros("ts") / 1e6).cast("bigint")
     return out.select("user_id", "point", seconds.alias("seconds"), r("value", 4).alias("value"))
 
 

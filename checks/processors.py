@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks.common import Suite, big, r, sr, su, table
+from checks.common import Suite, micros, r, sr, su, table
 from maskloom.functions.rounding import saferound_columns, saferound_groups
 from maskloom.functions.uniform import uniform
 from maskloom.operators.processors import (
@@ -42,8 +42,7 @@ def p02(spark, sf):
     model = DatetimeProcessor().fit(df)
     later = model.preprocess(df).withColumn("o_orderdate", F.col("o_orderdate") + 43200.0)
     out = model.postprocess(df, later)
-    micros = F.unix_micros(F.col("o_orderdate").cast("timestamp"))
-    return out.select("o_orderkey", micros.alias("micros"))
+    return out.select("o_orderkey", micros("o_orderdate").alias("micros"))
 
 
 # -- categories --------------------------------------------------------------------------------
@@ -433,8 +432,7 @@ from ({B_SQL})""")
 def p17(spark, sf):
     df = _timed(spark, sf)
     out = BOUNDED.fit(df).preprocess(df)
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
-    return out.withColumns({"step": r("step"), "ts": micros})
+    return out.withColumns({"step": r("step"), "ts": micros("ts")})
 
 
 @suite.add("p18_bounded_cumulated_post", f"""
@@ -498,9 +496,8 @@ window w as (partition by user_id order by t, event_id)"""
 
 
 def _bounded_ranges(spark, sf):
-    micros = F.unix_micros(F.col("ts").cast("timestamp"))
     return table(spark, sf, "events").select(
-        "event_id", "user_id", micros.alias("t"), F.col("value").alias("s"),
+        "event_id", "user_id", micros("ts").alias("t"), F.col("value").alias("s"),
         (F.lit(500.0) - F.col("value")).alias("e"),
     )
 

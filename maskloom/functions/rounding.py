@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from maskloom.functions.sizing import broadcast_if_small
 from maskloom.functions.validation import col
 from maskloom.operators.scan import MAX_GROUP_ROWS, scan
+from maskloom.session import materialize
 
 DIFFERENCE, LARGEST, SMALLEST = "difference", "largest", "smallest"
 STRATEGIES = (DIFFERENCE, LARGEST, SMALLEST)
@@ -119,6 +120,8 @@ def saferound_groups(
         *[col(c).alias(f"__g{i}") for i, c in enumerate(by)], "__size",
         _units(gap, places).alias("__n"),
     )
+    per_group = materialize(per_group)
+    shape = per_group.agg(F.max("__size").alias("largest"), F.sum("__size").alias("rows")).first()
     match = F.lit(True)
     for i, c in enumerate(by):
         match = match & col(c).eqNullSafe(F.col(f"__g{i}"))
@@ -131,7 +134,8 @@ def saferound_groups(
     # the error is compared at 12 decimals, so that noise in the last bits cannot reorder ties
     df3 = df2.withColumn("__place", F.round(place, 12))
     ranked = scan(
-        df3, by, ["__place", row_key], ordinal="__rank", max_group_rows=max_group_rows
+        df3, by, ["__place", row_key], ordinal="__rank", max_group_rows=max_group_rows,
+        sizes=(shape["largest"] or 0, shape["rows"] or 0),
     )
     each = F.floor(F.abs(F.col("__n")) / F.col("__size")).cast("bigint")
     extra = F.abs(F.col("__n")) % F.col("__size")

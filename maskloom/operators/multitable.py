@@ -16,6 +16,7 @@ from maskloom.functions.sizing import lookup
 from maskloom.functions.validation import col, is_number
 from maskloom.operators.neighbors import nearest, task_count
 from maskloom.operators.scan import scan
+from maskloom.session import materialize
 
 # Names of the link methods.
 LINEAR_SUM_ASSIGNMENT = "linear_sum_assignment"
@@ -81,9 +82,9 @@ def relink(
     rows = synthetic_child.drop(child_field).join(own, child_key, "left")
     if mapping is None:
         return rows.withColumnRenamed("__parent", child_field)
-    target = mapping.select(
+    target = materialize(mapping.select(
         F.col("parent_id").alias("__parent"), F.col("synthetic_id").alias(child_field)
-    )
+    ))
     return lookup(rows, target, "__parent").drop("__parent")
 
 

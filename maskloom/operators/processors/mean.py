@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from maskloom.functions.sizing import broadcast_if_small
 from maskloom.functions.validation import col
 from maskloom.operators.profile import grouped_mean_std
+from maskloom.session import materialize
 
 
 @dataclass(frozen=True)
@@ -26,6 +27,8 @@ class ExpectedMeanModel:
 
     def postprocess(self, source: DataFrame, dest: DataFrame) -> DataFrame:
         current = grouped_mean_std(dest, self.targets, self.by)
+        if self.by:
+            current = materialize(current)
         keep_std = {c: self.same_std for c in self.targets}
         if self.same_std:
             flags = current.agg(
@@ -53,7 +56,7 @@ class ExpectedMeanModel:
         for k in keys:
             both = both & F.col(k).eqNullSafe(F.col(f"__want{k}"))
         # the two group tables meet first, so that the rows are joined once
-        shift = now.join(want, both, "inner")
+        shift = materialize(now.join(want, both, "inner"))
         match = F.lit(True)
         for c, k in zip(self.by, keys):
             match = match & col(c).eqNullSafe(F.col(k))
@@ -91,5 +94,5 @@ class ExpectedMeanProcessor:
 
     def fit(self, df: DataFrame) -> ExpectedMeanModel:
         by = tuple(self.groupby_variables or ())
-        statistics = grouped_mean_std(df, self.target_variables, by)
+        statistics = materialize(grouped_mean_std(df, self.target_variables, by))
         return ExpectedMeanModel(tuple(self.target_variables), by, self.same_std, statistics)

@@ -12,6 +12,7 @@ from maskloom.functions.sizing import lookup
 from maskloom.functions.validation import col
 from maskloom.operators.processors import messages as msg
 from maskloom.operators.profile import categorical_columns, distinct_counts, modality_counts
+from maskloom.session import materialize
 
 
 @dataclass(frozen=True)
@@ -81,4 +82,6 @@ class GroupModalitiesProcessor:
         limit = F.create_map(*[F.lit(v) for pair in thresholds.items() for v in pair])
         counts = modality_counts(df, list(thresholds))
         rare = counts.where(F.col("n") <= limit[F.col("column")]).select("column", "value")
+        # read once per column and once per size check
+        rare = materialize(rare)
         return GroupModalitiesModel(thresholds, rare, self.new_category)

@@ -194,9 +194,9 @@ def attach_excluded(
         raise ValueError(
             f"Expected {ROW_ORDER!r} or {COORDINATE_SIMILARITY!r}, got {strategy!r} instead"
         )
-    near = nearest(
+    near = materialize(nearest(
         synthesis.place(rows), synthesis.originals, 1, query_key=key, candidate_key=key
-    ).select(F.col("query_id").alias("__q"), F.col("neighbor_id").alias("__donor"))
+    ).select(F.col("query_id").alias("__q"), F.col("neighbor_id").alias("__donor")))
     matched = rows.join(near, col(key) == F.col("__q"), "left")
     return lookup(matched, extra, "__donor").select(
         *map(col, rows.columns), *map(col, excluded)

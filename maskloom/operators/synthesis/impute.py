@@ -126,11 +126,11 @@ def _impute_knn(df, missing, numbers, row_key, k, fraction, seed, distance_colum
     for seen, group in by_axes.items():
         rows = table.where(F.col("__pattern").isin(group)).drop("__pattern")
         vector = F.array(*[z[c] for c in seen])
-        near = nearest(
+        near = materialize(nearest(
             rows.select(col(row_key), vector.alias("features")),
             training.select(col(row_key), vector.alias("features")),
             k, query_key=row_key, candidate_key=row_key,
-        )
+        ))
         fill = [c for c in missing if any(p[needed.index(c)] == "1" for p in group)]
         picked = lookup(near, donors, "neighbor_id", how="inner")
         aggs = []

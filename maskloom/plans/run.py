@@ -213,8 +213,6 @@ def link_children(
             mapping = mt.nearest_parents(parent.originals, parent.placed, parent.key)
         elif link.method == mt.LINEAR_SUM_ASSIGNMENT:
             mapping = mt.assign_parents(parent.originals, parent.placed, parent.key)
-        if mapping is not None:
-            mapping = materialize(mapping)
         rows = mt.relink(rows, row_key_of(spec), spec.data, link.child_field, mapping)
     return rows
 
