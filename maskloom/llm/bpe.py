@@ -269,11 +269,11 @@ def bpe_round_trip(
     repeated rows each give a row; other columns are left out. No shuffle; memory is bounded by a block
     of texts or the longest one.
     """
-    shipped = df.sparkSession.sparkContext.broadcast(load_vocabulary(tokenizer))
+    shipped = df.sparkSession.sparkContext.broadcast(vars(load_vocabulary(tokenizer)))
     decoding = any(o.startswith("decoded") for o in outputs)
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
-        encoder = Encoder(shipped.value)
+        encoder = Encoder(Vocabulary(**shipped.value))
         for batch in batches:
             sizes = [x or 0 for x in pa.compute.binary_length(batch["t"].cast(pa.binary())).to_pylist()]
             for a, b in blocks(sizes):

@@ -92,6 +92,14 @@ def unsigned(column: pa.Array) -> np.ndarray:
     return column.to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
 
 
+def small_side(df: DataFrame, row_bytes: int, limit: int = 32 << 20) -> DataFrame:
+    """Hint a broadcast where the rows, of ``row_bytes`` each, are counted to be under ``limit`` bytes.
+
+    Beyond that the join shuffles both sides, as without the hint.
+    """
+    return F.broadcast(df) if df.count() * row_bytes <= limit else df
+
+
 def empty(spark: SparkSession, schema: str) -> DataFrame:
     return spark.createDataFrame([], schema)
 

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 
 from maskloom.llm.bpe import bpe_round_trip
 from maskloom.llm.common import table
+from maskloom.llm.leaks import find_leaks
 from maskloom.llm.lines import line_dedup
+from maskloom.llm.near import near_groups
+from maskloom.llm.rules import STATS, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -61,3 +64,20 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return bpe_round_trip(
         table(spark, folder, "documents"), tokenizer=tokenizer_path(),
         outputs=("n_tokens", "ids_sha256", "decoded_sha256"))
+
+
+@query("op9_quality_rules")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    good = table(spark, folder, "labels").where("quality = 1")
+    return quality_rules(table(spark, folder, "documents"), reference=good).select(
+        "doc_id", *STATS, "base_failed", "kept", "loss")
+
+
+@query("op10_near_groups")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return near_groups(table(spark, folder, "documents")).drop("th")
+
+
+@query("op8_find_leaks")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("th")
