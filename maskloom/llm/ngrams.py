@@ -66,11 +66,11 @@ def discounted(grams: DataFrame, bits: int) -> DataFrame:
     """Adds ``d``, the discount of each count, from the counts of counts of its group."""
     pieces = [F.sum(F.when(F.col("n") == k, 1).otherwise(0)).alias(f"n{k}") for k in (1, 2, 3, 4)]
     few = grams.groupBy("g").agg(*pieces)
-    y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+    y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
 
     def rate(k: int) -> Column:
         a, b = F.col(f"n{k}"), F.col(f"n{k + 1}")
-        value = k - (k + 1) * y * b / a
+        value = k - (k + 1) * y * F.try_divide(b, a)
         good = (F.col("n1") > 0) & (a > 0) & (b > 0) & (value > 0) & (value < k)
         return F.when(good, value).otherwise(PLAIN[k - 1])
 

@@ -11,6 +11,7 @@ from maskloom.llm.common import table
 from maskloom.llm.leaks import find_leaks
 from maskloom.llm.lines import line_dedup
 from maskloom.llm.near import near_groups
+from maskloom.llm.secrets import BASE, find_secrets
 from maskloom.llm.rules import STATS, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -81,3 +82,13 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
 @query("op8_find_leaks")
 def op8(spark: SparkSession, folder: str) -> DataFrame:
     return find_leaks(table(spark, folder, "documents"), table(spark, folder, "benchmark")).drop("th")
+
+
+@query("op4_find_secrets")
+def op4(spark: SparkSession, folder: str) -> DataFrame:
+    joined = "array_join(transform({}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
+    base = "filter(spans, s -> s.kind IN ('assign', 'access', 'hex'))"
+    count = "cast(size(filter(spans, s -> s.kind = '{0}')) AS long) AS n_{0}"
+    return find_secrets(table(spark, folder, "documents")).selectExpr(
+        "doc_id", *[count.format(k) for k in BASE], f"sha2({joined.format(base)}, 256) AS base_sha256",
+        f"{joined.format('spans')} AS spans")
