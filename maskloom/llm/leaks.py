@@ -121,3 +121,13 @@ def find_leaks(
         F.least(F.col("n_windows") / F.col("total"), F.lit(1.0)).alias("coverage"),
         F.col("n_slots").cast("long").alias("n_slots"), F.col("n_changed").cast("long").alias("n_changed"))
     return found.where(F.col("coverage") >= least)
+
+
+def without_leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` in which ``find_leaks`` finds no item."""
+    found = materialize(find_leaks(docs, benchmark, **settings).select(
+        F.col("doc_id").alias("__d"), F.col("th").alias("__th")).distinct())
+    marked = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__key": text_key("text")})
+    return marked.join(
+        small_side(found, 16), F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__key") == F.col("__th")),
+        "left_anti").select(*docs.columns)

@@ -281,21 +281,8 @@ def losses_of(packs: DataFrame, answers: DataFrame) -> DataFrame:
 OUTPUTS = {"n_lines": "long", "n_dropped": "long", "kept": "string", "kept_sha256": "string"}
 
 
-def line_dedup(
-    docs: DataFrame, *, least: int = 10, keep: tuple[str, ...] = (),
-    outputs: tuple[str, ...] = ("n_lines", "n_dropped", "kept"),
-) -> DataFrame:
-    r"""Drop lines that an earlier document holds.
-
-    ``docs`` needs ``doc_id`` and ``text``. A text is split at ``\n`` (null or empty: one empty line). A
-    line's key is the line without blanks at both ends, A-Z in lower case. Keys of ``least`` code points or
-    more that two documents hold lose all their lines except in the smallest ``doc_id`` holding them;
-    the other lines stay, joined by ``\n``.
-
-    One row per input row: ``doc_id``, ``outputs`` of ``OUTPUTS`` and the columns of ``keep`` as they
-    are; other columns are left out. A null ``doc_id`` neither loses lines nor makes others lose any.
-    Repeated rows count as one document and are treated alike. No rows give no rows.
-    """
+def deduped(docs: DataFrame, least: int, keep: tuple[str, ...], outputs: tuple[str, ...]) -> DataFrame:
+    """d, o (the columns of ``keep``) and ``outputs`` for each row of ``docs``."""
     plain = need(docs, "doc_id", "text")
     packs = materialize(packs_of(plain.select(F.col("doc_id").cast("long").alias("d"),
                                               F.col("text").alias("t")), least))
@@ -303,9 +290,8 @@ def line_dedup(
     shards = max(1, counts.count() // SHARD_KEYS + 1)
     index = materialize(shards_of(counts, shards))
     lost = losses_of(packs, answers_of(requests_of(packs, shards), index))
-    others = [c for c in keep if c not in ("doc_id", "text")]
     left = docs.select(F.col("doc_id").cast("long").alias("__d"), F.col("text").alias("__t"),
-                       F.struct(*[F.col(c) for c in others]).alias("__o") if others
+                       F.struct(*[F.col(c) for c in keep]).alias("__o") if keep
                        else F.lit(None).cast("string").alias("__o"))
     both = left.join(lost, F.col("__d") == F.col("doc"), "left").select("__d", "__t", "__o", "keys")
     other_type = both.schema["__o"].dataType.simpleString()
@@ -332,5 +318,33 @@ def line_dedup(
             yield {"d": batch["__d"], "o": batch["__o"], **result}
 
     schema = ", ".join(["d long", f"o {other_type}", *(f"{o} {OUTPUTS[o]}" for o in outputs)])
-    done = arrow_map(both, work, schema)
-    return done.select(F.col("d").alias("doc_id"), *[F.col(f"o.{c}").alias(c) for c in others], *outputs)
+    return arrow_map(both, work, schema)
+
+
+def line_dedup(
+    docs: DataFrame, *, least: int = 10,
+    outputs: tuple[str, ...] = ("n_lines", "n_dropped", "kept"),
+) -> DataFrame:
+    r"""Drop lines that an earlier document holds.
+
+    ``docs`` needs ``doc_id`` and ``text``. A text is split at ``\n`` (null or empty: one empty line). A
+    line's key is the line without blanks at both ends, A-Z in lower case. Keys of ``least`` code points or
+    more that two documents hold lose all their lines except in the smallest ``doc_id`` holding them;
+    the other lines stay, joined by ``\n``.
+
+    One row per input row: ``doc_id`` and ``outputs`` of ``OUTPUTS``; other columns are left out. A null ``doc_id`` neither loses lines nor makes others lose any.
+    Repeated rows count as one document and are treated alike. No rows give no rows.
+    """
+    return deduped(docs, least, (), outputs).select(F.col("d").alias("doc_id"), *outputs)
+
+
+def without_repeated_lines(docs: DataFrame, *, least: int = 10) -> DataFrame:
+    """``docs`` with the kept lines as ``text`` (and their length as ``n_chars``, where that column is there).
+
+    Documents that lose lines and have no word left are gone.
+    """
+    others = tuple(c for c in docs.columns if c != "text")
+    new = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    done = deduped(docs, least, others, ("n_dropped", "kept")).where(
+        (F.col("n_dropped") == 0) | F.col("kept").rlike(r"[^\x20\x09-\x0D]"))
+    return done.select(*[new.get(c, F.col("o")[c]).alias(c) for c in docs.columns])

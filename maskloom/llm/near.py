@@ -287,3 +287,13 @@ def near_groups(
         F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("d")).alias("component_id"), "th")
     kept = F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull())
     return out.select("doc_id", "n_shingles", "component_id", kept.alias("kept"), "th")
+
+
+def one_of_each_group(docs: DataFrame, **settings) -> DataFrame:
+    """The rows of ``docs`` that ``near_groups`` keeps, each repeated row once."""
+    kept = near_groups(docs, **settings).where("kept").select(
+        F.col("doc_id").alias("__d"), F.col("th").alias("__th")).distinct()
+    marked = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__key": text_key("text")})
+    found = marked.join(
+        kept, F.col("__id").eqNullSafe(F.col("__d")) & (F.col("__key") == F.col("__th")), "left_semi")
+    return found.dropDuplicates(["__id", "__key"]).select(*docs.columns)

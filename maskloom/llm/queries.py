@@ -12,6 +12,7 @@ from maskloom.llm.leaks import find_leaks
 from maskloom.llm.lines import line_dedup
 from maskloom.llm.near import near_groups
 from maskloom.llm.secrets import BASE, find_secrets
+from maskloom.llm.repeats import remove_repeats
 from maskloom.llm.rules import STATS, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -92,3 +93,9 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return find_secrets(table(spark, folder, "documents")).selectExpr(
         "doc_id", *[count.format(k) for k in BASE], f"sha2({joined.format(base)}, 256) AS base_sha256",
         f"{joined.format('spans')} AS spans")
+
+
+@query("op5_remove_repeats")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return remove_repeats(table(spark, folder, "documents"),
+                          outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"))

@@ -139,30 +139,16 @@ def count_bytes(rows: DataFrame) -> DataFrame:
     return counted.groupBy("g", "code").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
 
-def quality_rules(
-    docs: DataFrame, *, reference: DataFrame | None = None, keep: tuple[str, ...] = (),
-    least_words: int = 10, most_repeated: int = 20, upper: float = 8.0, lower: float = 25.0,
-    least_spread: float = 0.01,
+def judge(
+    docs: DataFrame, reference: DataFrame | None, keep: tuple[str, ...], least_words: int, most_repeated: int,
+    upper: float, lower: float, least_spread: float,
 ) -> DataFrame:
-    r"""Judge each whole text by base counts and by its perplexity under the model of its language.
-
-    ``docs`` needs ``doc_id``, ``text`` and ``lang``; ``reference`` has the ``doc_id`` of texts known to be
-    good (null or absent ids are ignored). Words are ``[^\x20\x09-\x0D]+``. Returns one row per input
-    row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, loss (mean
-    natural loss of a byte, null without bytes), kept and the columns of ``keep``.
-
-    ``base_failed``: fewer than ``least_words`` words, or 100 * n_repeat_words > ``most_repeated`` *
-    n_words. ``kept`` is false if base_failed or if the loss is more than ``upper`` spreads above or
-    ``lower`` spreads below the median of its language, a spread being the median deviation (at least
-    ``least_spread``) times the square root of median length / own length where that is more than 1.
-    A null text counts as empty; a null language is a language of its own; repeated rows count each.
-    """
+    """Rows of ``quality_rules`` with the columns of ``keep`` in a struct ``o``."""
     spark = docs.sparkSession
-    others = [c for c in keep if c != "doc_id"]
     rows = docs.select(
         F.col("doc_id").cast("long").alias("d"), F.coalesce(F.col("text"), F.lit("")).alias("t"),
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("g"),
-        F.struct(*[F.col(c) for c in others]).alias("o") if others
+        F.struct(*[F.col(c) for c in keep]).alias("o") if keep
         else F.lit(None).cast("string").alias("o"))
     good = None
     if reference is not None:
@@ -222,7 +208,32 @@ def quality_rules(
         "g", "m", "length", F.greatest(1.4826 * F.col("s"), F.lit(least_spread)).alias("s"))
     wide = F.greatest(F.lit(1.0), F.sqrt(F.col("length") / F.col("n_bytes"))) * F.col("s")
     inside = (F.col("loss") <= F.col("m") + upper * wide) & (F.col("loss") >= F.col("m") - lower * wide)
-    judged = whole.join(bands, "g", "left").withColumn(
+    return whole.join(bands, "g", "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
-    return judged.select(F.col("d").alias("doc_id"), *STATS, "base_failed", "loss", "kept",
-                         *[F.col(f"o.{c}").alias(c) for c in others])
+
+
+def quality_rules(
+    docs: DataFrame, *, reference: DataFrame | None = None, least_words: int = 10, most_repeated: int = 20, upper: float = 8.0, lower: float = 25.0,
+    least_spread: float = 0.01,
+) -> DataFrame:
+    r"""Judge each whole text by base counts and by its perplexity under the model of its language.
+
+    ``docs`` needs ``doc_id``, ``text`` and ``lang``; ``reference`` has the ``doc_id`` of texts known to be
+    good (null or absent ids are ignored). Words are ``[^\x20\x09-\x0D]+``. Returns one row per input
+    row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, loss (mean
+    natural loss of a byte, null without bytes) and kept; other columns are left out.
+
+    ``base_failed``: fewer than ``least_words`` words, or 100 * n_repeat_words > ``most_repeated`` *
+    n_words. ``kept`` is false if base_failed or if the loss is more than ``upper`` spreads above or
+    ``lower`` spreads below the median of its language, a spread being the median deviation (at least
+    ``least_spread``) times the square root of median length / own length where that is more than 1.
+    A null text counts as empty; a null language is a language of its own; repeated rows count each.
+    """
+    judged = judge(docs, reference, (), least_words, most_repeated, upper, lower, least_spread)
+    return judged.select(F.col("d").alias("doc_id"), *STATS, "base_failed", "loss", "kept")
+
+
+def good_documents(docs: DataFrame, reference: DataFrame | None = None) -> DataFrame:
+    """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns as they are."""
+    judged = judge(docs, reference, tuple(docs.columns), 10, 20, 8.0, 25.0, 0.01)
+    return judged.where("kept").select(*[F.col("o")[c].alias(c) for c in docs.columns])
