@@ -16,26 +16,32 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskloom.llm.common import as_array, arrow_map, blocks, mix64, need, text_key
 from maskloom.llm.ngrams import union_all
+from maskloom.llm.repeats import packed
 from maskloom.llm.rules import Hashes, window_hashes
 from maskloom.session import materialize
 
 #: Minwise tokens of a class, of which trees and levels pick theirs.
 COORDINATES = 32
+#: Further minwise tokens, kept as one byte each, for the comparison of pairs.
+MARKS = 96
 TREES = 6
 LEVELS = 3
 #: Classes that one task compares exhaustively, on average.
-LEAF = 400
-#: Equal minwise tokens from which a pair is compared on full sets.
-ALIKE = 13
+LEAF = 3000
+#: Shingles that the classes of such a node have together at most.
+LEAF_SHINGLES = 2_000_000
+#: Equal tokens and marks, of all 128, from which a pair is compared on full sets.
+ALIKE = 78
 PIVOTS = 4
 #: Tokens that name a child at levels below the first, and children that a class enters there.
 JOINT, CHILDREN = 2, 2
-STEPS = (np.arange(1, COORDINATES + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
+STEPS = (np.arange(1, COORDINATES + MARKS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
 
 
 def shingle_sets(texts: list[bytes], known: Hashes, width: int) -> list[np.ndarray]:
@@ -58,7 +64,7 @@ def shingle_sets(texts: list[bytes], known: Hashes, width: int) -> list[np.ndarr
 
 
 def sketches(docs: DataFrame, width: int) -> DataFrame:
-    """d, th, n (set size), fp (128-bit fingerprint of the set), tokens (minwise, empty without words)."""
+    """d, th, n (set size), fp (128-bit fingerprint of the set), tokens and marks (minwise)."""
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
         known = Hashes()
@@ -68,21 +74,22 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 sets = shingle_sets(every[a:b], known, width)
                 sizes = np.array([len(s) for s in sets])
                 full = np.flatnonzero(sizes)
-                prints, tokens = [b""] * len(sets), [[]] * len(sets)
+                prints, tokens, marks = [b""] * len(sets), [[]] * len(sets), [b""] * len(sets)
                 if len(full):
                     flat = np.concatenate([sets[i] for i in full])
                     starts = np.cumsum(sizes[full]) - sizes[full]
                     low = np.stack([np.minimum.reduceat((flat ^ s) * s, starts) for s in STEPS], 1)
-                    low = (mix64(low) >> np.uint64(32)).astype(np.uint32).view(np.int32)
+                    low = (mix64(low) >> np.uint64(32)).astype(np.uint32)
+                    few, rest = low[:, :COORDINATES].view(np.int32), low[:, COORDINATES:].astype(np.uint8)
                     one = np.add.reduceat(mix64(flat), starts)
                     two = np.bitwise_xor.reduceat(mix64(flat + np.uint64(1)), starts)
                     both = np.stack([one, two], 1).astype("<u8")
                     for k, i in enumerate(full):
-                        prints[i], tokens[i] = both[k].tobytes(), low[k]
+                        prints[i], tokens[i], marks[i] = both[k].tobytes(), few[k], rest[k].tobytes()
                 yield {"d": batch["d"].slice(a, b - a), "th": batch["th"].slice(a, b - a),
-                       "n": sizes, "fp": prints, "tokens": tokens}
+                       "n": sizes, "fp": prints, "tokens": tokens, "marks": marks}
 
-    return arrow_map(docs, work, "d long, th long, n long, fp binary, tokens array<int>")
+    return arrow_map(docs, work, "d long, th long, n long, fp binary, tokens array<int>, marks binary")
 
 
 class Forest:
@@ -108,9 +115,10 @@ LINK = "a binary, b binary"
 def compare(rows: pa.Table, width: int, percent: int) -> pa.Table:
     """Links that join the classes of one piece: exhaustive but for pairs already connected.
 
-    Rows: fp, n, tokens, t (text), label (known group), pivot (bool). Every pair is compared by its minwise
-    tokens; full sets decide on the pairs that agree in ``ALIKE`` of them (a pair at 85 per cent agrees in
-    fewer with a probability of about 1e-9) and whose sizes allow the threshold.
+    Rows: fp, n, tokens, marks, z (packed text), label (known group), pivot (bool). Every pair is compared by
+    its 128 minwise values; full sets decide on the pairs that agree in ``ALIKE`` of them (a pair at 80
+    per cent agrees in fewer with a probability of about 1e-7, at 85 per cent of 1e-11) and whose sizes
+    allow the threshold.
     """
     target = pa.schema([("a", pa.binary()), ("b", pa.binary())])
     seen: dict[bytes, int] = {}
@@ -121,11 +129,13 @@ def compare(rows: pa.Table, width: int, percent: int) -> pa.Table:
     rows = rows.take(pa.array(order, pa.int64()))
     prints, labels, sizes = (rows.column(c).to_pylist() for c in ("fp", "label", "n"))
     tokens = np.array(rows.column("tokens").to_pylist(), np.int32)
-    texts, known, sets = rows.column("t"), Hashes(), {}
+    marks = np.frombuffer(b"".join(rows.column("marks").to_pylist()), np.uint8).reshape(-1, MARKS)
+    texts, known, sets = rows.column("z"), Hashes(), {}
+    unpack = zstandard.ZstdDecompressor().decompress
 
     def full(i: int) -> np.ndarray:
         if i not in sets:
-            sets[i] = shingle_sets([texts[i].as_py().encode()], known, width)[0]
+            sets[i] = shingle_sets([unpack(texts[i].as_py())], known, width)[0]
         return sets[i]
 
     forest, links, first = Forest(len(prints)), [], {}
@@ -134,7 +144,8 @@ def compare(rows: pa.Table, width: int, percent: int) -> pa.Table:
             forest.join(first[label], i)
         first.setdefault(label, i)
     for i in range(len(prints)):
-        alike = (tokens[i + 1 :] == tokens[i]).sum(1) >= ALIKE
+        alike = np.count_nonzero(tokens[i + 1 :] == tokens[i], 1) + np.count_nonzero(
+            marks[i + 1 :] == marks[i], 1) >= ALIKE
         for j in (np.flatnonzero(alike) + i + 1).tolist():
             low, high = min(sizes[i], sizes[j]), max(sizes[i], sizes[j])
             if 100 * low < percent * high or forest.root(i) == forest.root(j):
@@ -156,7 +167,7 @@ def roots(classes: DataFrame, trees: int) -> DataFrame:
     """First level: a class enters one child of each tree's root, named by one token."""
     picks = [int(x) for x in np.random.default_rng(7).permutation(COORDINATES)[:trees]]
     children = F.array(*[F.xxhash64(F.lit(c), F.col("tokens")[c]) for c in picks])
-    return classes.select("fp", F.explode(children).alias("node"))
+    return classes.select("fp", "n", F.explode(children).alias("node"))
 
 
 def branches(members: DataFrame, classes: DataFrame, level: int) -> DataFrame:
@@ -166,18 +177,22 @@ def branches(members: DataFrame, classes: DataFrame, level: int) -> DataFrame:
         tokens = [F.element_at("tokens", coordinate(f"{level}-{c}-{j}", F.col("node")) + 1)
                   for j in range(JOINT)]
         children.append(F.xxhash64(F.col("node"), F.lit(level), F.lit(c), *tokens))
-    return (members.select("node", "fp").join(classes.select("fp", "tokens"), "fp")
-            .select("fp", F.explode(F.array(*children)).alias("node")))
+    return (members.select("node", "fp").join(classes.select("fp", "n", "tokens"), "fp")
+            .select("fp", "n", F.explode(F.array(*children)).alias("node")))
 
 
 def open_nodes(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of nodes that hold two groups or more; of nodes with the same members one is kept."""
+    """Members of nodes that hold two groups or more; of nodes with the same members one is kept.
+
+    ``rows``: node, fp, n. Adds label and ``cut``, the pieces of the size of a leaf that a node makes.
+    """
     labelled = rows.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     sizes = labelled.groupBy("node").agg(
-        F.count("*").alias("m"), F.min("label").alias("low"), F.max("label").alias("high"),
+        F.count("*").alias("m"), F.sum("n").alias("shingles"), F.min("label").alias("low"), F.max("label").alias("high"),
         F.bit_xor(F.xxhash64("fp")).alias("x"), F.sum(F.shiftright(F.xxhash64("fp"), 20)).alias("y"))
-    once = sizes.where("low != high").groupBy("m", "x", "y").agg(F.min("node").alias("node"))
-    return labelled.join(once.select("node", "m"), "node")
+    once = sizes.where("low != high").groupBy("m", "x", "y").agg(F.min("node").alias("node"), F.ceil(
+        F.greatest(F.col("m") / LEAF, F.first("shingles") / LEAF_SHINGLES)).cast("long").alias("cut"))
+    return labelled.drop("n").join(once.select("node", "cut"), "node")
 
 
 def groups_of(links: DataFrame) -> DataFrame:
@@ -224,15 +239,16 @@ def near_groups(
     rows = materialize(sketches(plain.select("d", "th", "t"), width))
     classes = materialize(
         rows.where("n > 0").groupBy("fp").agg(
-            F.min("d").alias("d"), F.min(F.struct(F.coalesce("d", F.lit(-1)), "th", "d", "n", "tokens")).alias("r"))
+            F.min("d").alias("d"), F.min(F.struct(F.coalesce("d", F.lit(-1)), "th", "d", "n", "tokens", "marks")).alias("r"))
         .select("fp", "d", F.col("r.d").alias("rd"), F.col("r.th").alias("th"), F.col("r.n").alias("n"),
-                F.col("r.tokens").alias("tokens")))
+                F.col("r.tokens").alias("tokens"), F.col("r.marks").alias("marks")))
     nobody = spark.createDataFrame([], "fp binary, label binary")
     members = materialize(open_nodes(roots(classes, trees), nobody))
-    wanted = members.select("fp").distinct().join(classes, "fp").select("fp", "n", "tokens", "rd", "th")
+    wanted = members.select("fp").distinct().join(classes, "fp").select("fp", "n", "tokens", "marks", "rd", "th")
+    every = packed(plain.select("d", "th", "t"))
     texts = materialize(
-        plain.join(wanted, plain["d"].eqNullSafe(wanted["rd"]) & (plain["th"] == wanted["th"]))
-        .select("fp", "n", "tokens", F.coalesce("t", F.lit("")).alias("t")).dropDuplicates(["fp"]))
+        every.join(wanted, every["d"].eqNullSafe(wanted["rd"]) & (every["th"] == wanted["th"]))
+        .select("fp", "n", "tokens", "marks", "z").dropDuplicates(["fp"]))
     run = lambda t: compare(t, width, percent)
 
     def compared(piece: DataFrame) -> DataFrame:
@@ -241,9 +257,9 @@ def near_groups(
 
     def pieces(large: DataFrame) -> DataFrame:
         """Large nodes cut by hash, with the node's pivots in each piece."""
-        cut = F.ceil(F.col("m") / LEAF).cast("long")
+        cut = F.col("cut")
         dealt = large.withColumn("piece", F.pmod(F.xxhash64(F.lit(1), "fp"), cut))
-        marks = large.groupBy("node", "m").agg(*[
+        marks = large.groupBy("node", "cut").agg(*[
             F.min(F.struct(F.xxhash64(F.lit(100 + k), "fp"), "fp", "label")).alias(f"p{k}") for k in range(PIVOTS)])
         pivots = (
             marks.select("node", F.explode(F.sequence(F.lit(0).cast("long"), cut - 1)).alias("piece"), F.array(
@@ -253,25 +269,25 @@ def near_groups(
         return dealt.select(key, "fp", "label", F.lit(False).alias("pivot")).unionByName(
             pivots.select(key, "fp", "label", F.lit(True).alias("pivot")))
 
-    small = members.where(F.col("m") <= LEAF)
+    small = members.where(F.col("cut") == 1)
     links = materialize(compared(small.select(
         F.col("node").cast("string").alias("key"), "fp", "label", F.lit(False).alias("pivot"))))
-    large = members.where(F.col("m") > LEAF)
+    large = members.where(F.col("cut") > 1)
     for level in range(1, LEVELS + 1):
         if not large.take(1):
             break
         links = materialize(links.unionByName(compared(pieces(large))))
         labels = groups_of(links)
-        left = open_nodes(large.select("node", "fp"), labels)
+        left = open_nodes(large.join(classes.select("fp", "n"), "fp").select("node", "fp", "n"), labels)
         children = materialize(open_nodes(branches(left, classes, level), labels))
-        small = children.where(F.col("m") <= LEAF)
+        small = children.where(F.col("cut") == 1)
         links = materialize(links.unionByName(compared(small.select(
             F.col("node").cast("string").alias("key"), "fp", "label", F.lit(False).alias("pivot")))))
-        large = children.where(F.col("m") > LEAF)
+        large = children.where(F.col("cut") > 1)
     if large.take(1):
         labels = groups_of(links)
-        large = open_nodes(large.select("node", "fp"), labels)
-        cut = F.ceil(F.col("m") / LEAF).cast("long")
+        large = open_nodes(large.join(classes.select("fp", "n"), "fp").select("node", "fp", "n"), labels)
+        cut = F.col("cut")
         own = F.pmod(F.xxhash64(F.lit(1), "fp"), cut)
         pairs = large.withColumn("own", own).withColumn(
             "other", F.explode(F.sequence(F.lit(0).cast("long"), cut - 1)))
