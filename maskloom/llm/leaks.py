@@ -26,94 +26,97 @@ UNITS = (
 ).split()
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
 #: A number or word, with the end of the sentence before it where there is one.
-TOKEN = r"(?:[.!?\n][^\p{L}\p{N}]*+)?(?:\p{N}++(?:[.,]\p{N}++)*+|[\p{L}\p{M}]++)"
+TOKEN = r"(?:[.!?\n][^\p{L}\p{N}]*+)?(?:[0-9]++(?:[.,][0-9]++)*+|[\p{L}\p{M}]++)"
 
 
-def templates(texts: DataFrame, *keys: str) -> DataFrame:
-    """Adds ``v`` (lower-case tokens), ``plain`` and ``typed`` (templates), aligned, for column ``t``."""
+def templates(texts: DataFrame, *keys: str, values: bool = False) -> DataFrame:
+    """``plain`` and ``typed`` (templates) and with ``values`` also ``v`` (tokens), aligned, of column ``t``."""
     units = ", ".join(f"'{u}'" for u in UNITS)
     token = TOKEN.replace("\\", "\\\\")
+    # a token that opens a sentence still has the end of the sentence before it
     raw = texts.select(*keys, F.expr(f"regexp_extract_all(concat('\\n', coalesce(t, '')), '{token}', 0)").alias("x"))
-    opens = "substr(w, 1, 1) IN ('.', '!', '?', '\\n')"
-    parts = raw.select(*keys, F.expr(
-        f"transform(x, w -> CASE WHEN {opens} THEN regexp_replace(w, '^[^\\\\p{{L}}\\\\p{{N}}]+', '') ELSE w END)"
-    ).alias("y"), F.expr(f"transform(x, w -> {opens})").alias("o"))
-    lower = parts.select(*keys, "y", "o", F.expr("transform(y, w -> lower(w))").alias("v"))
-    digit = "w >= '0' AND w < ':'"
-    plain = lower.select(*keys, "y", "o", "v", F.expr(
-        f"transform(v, w -> CASE WHEN {digit} OR w rlike '^\\\\p{{N}}' THEN '{NUMBER}' "
-        f"WHEN length(w) < 12 AND w IN ({units}) THEN '{UNIT}' ELSE w END)").alias("plain"))
-    named = (f"NOT o[i] AND length(w) > 1 AND w <> y[i] AND substr(w, 1, 1) <> substr(y[i], 1, 1) "
-             f"AND w NOT IN ('{NUMBER}', '{UNIT}')")
-    return plain.select(*keys, "v", "plain", F.expr(
-        f"CASE WHEN concat_ws('', y) = concat_ws('', v) THEN plain "
-        f"ELSE transform(plain, (w, i) -> CASE WHEN {named} THEN '{NAME}' ELSE w END) END").alias("typed"))
-
-
-def windows(rows: DataFrame, width: int, *keys: str) -> DataFrame:
-    """Hashes of windows with their place; those of the second template only where it differs."""
+    word = ("CASE WHEN w < '0' THEN lower(regexp_replace(w, '^[^\\\\p{L}0-9]+', '')) "
+            "WHEN w >= '?' AND w < 'A' THEN lower(regexp_replace(w, '^[^\\\\p{L}0-9]+', '')) ELSE lower(w) END")
+    lower = raw.select(*keys, "x", F.expr(f"transform(x, w -> {word})").alias("v"))
+    plain = lower.select(*keys, "x", "v", F.expr(
+        f"transform(v, w -> CASE WHEN w < ':' THEN '{NUMBER}' WHEN w IN ({units}) THEN '{UNIT}' ELSE w END)"
+    ).alias("plain"))
+    capital = "((w >= 'A' AND w < '[') OR (w >= 'À' AND w < 'ß')) AND length(w) > 1"
+    return plain.select(*keys, *["v"] * values, "plain", F.expr(
+        f"CASE WHEN exists(x, w -> {capital}) THEN transform(x, (w, i) -> CASE WHEN {capital} "
+        f"AND plain[i] NOT IN ('{NUMBER}', '{UNIT}') THEN '{NAME}' ELSE plain[i] END) ELSE plain END").alias("typed"))
+
+
+def windows(rows: DataFrame, width: int, stride: int, *keys: str) -> DataFrame:
+    """Hashes of every ``stride``-th window with its place; those of the second template where it differs."""
     def every(column: str) -> str:
-        return (f"transform(sequence(0, size({column}) - {width}), "
+        return (f"transform(sequence(0, size({column}) - {width}, {stride}), "
                 f"i -> struct(i AS at, xxhash64(slice({column}, i + 1, {width})) AS h))")
 
     both = F.expr(
-        f"CASE WHEN size(plain) < {width} THEN array() WHEN plain = typed THEN {every('plain')} "
-        f"ELSE array_union({every('plain')}, {every('typed')}) END")
+        f"CASE WHEN size(plain) < {width} THEN array() WHEN NOT array_contains(typed, '{NAME}') THEN {every('plain')} "
+        f"ELSE concat({every('plain')}, filter({every('typed')}, "
+        f"w -> array_contains(slice(typed, w.at + 1, {width}), '{NAME}'))) END")
     return rows.select(*keys, F.explode(both).alias("w")).select(*keys, "w.at", "w.h")
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, *, width: int = 5, least: float = 0.5,
+    docs: DataFrame, benchmark: DataFrame, *, width: int = 7, stride: int = 3, least: float = 0.5,
 ) -> DataFrame:
     """Documents that hold a benchmark item, as it is or with other numbers, names or units.
 
     ``docs`` needs ``doc_id`` and ``text``, ``benchmark`` needs ``item_id`` and ``text``. One row per
-    document and item found: doc_id, th (hash of the text), item_id, n_windows (windows of the item found on
-    consistent diagonals), coverage (their share of the item's windows, at least ``least``), n_slots
-    (placeholder positions compared) and n_changed (those whose values differ).
-
-    Items with fewer than ``width`` tokens are not searched: so short a run says nothing. Null texts have
-    no tokens; null ids take part as such; repeated documents and items are reported once each; other
-    columns are left out.
+    document and item found: doc_id, th (hash of the text), item_id, n_windows (windows of ``width`` tokens of
+    the item found on consistent diagonals), coverage (their share of the item's windows, at least
+    ``least``), n_slots (placeholder positions compared) and n_changed (those whose values differ).
+
+    Hash-joined are all windows of ``width - stride + 1`` tokens of the items with every ``stride``-th one
+    of the documents, of which each window of ``width`` tokens holds one. Items with fewer than ``width``
+    tokens are not searched: so short a run says nothing. Null texts have no tokens; null ids take part as
+    such; repeated documents and items are reported once each; other columns are left out.
     """
+    seed = width - stride + 1
+    if seed < 1 or stride < 1:
+        raise ValueError("stride must be between 1 and width")
     items = templates(
         need(benchmark, "item_id", "text").distinct().select(
-            "item_id", F.monotonically_increasing_id().alias("k"), F.col("text").alias("t")), "item_id", "k")
-    items = materialize(items.where(F.size("plain") >= width))
-    asked = materialize(windows(items, width, "k").distinct())
+            "item_id", F.monotonically_increasing_id().alias("k"), F.col("text").alias("t")),
+        "item_id", "k", values=True)
+    items = materialize(items.where(F.size("plain") >= width).withColumn("total", F.size("plain") - (width - 1)))
+    asked = materialize(windows(items, seed, 1, "k").distinct().withColumnRenamed("at", "iat"))
     texts = need(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long").alias("d"), text_key("text").alias("th"), F.col("text").alias("t"))
-    own = windows(templates(texts, "d", "th"), width, "d", "th")
-    hits = own.join(small_side(asked.withColumnRenamed("at", "iat"), 32), "h").groupBy(
-        "d", "th", "k", (F.col("at") - F.col("iat")).alias("diagonal")).agg(
-        F.countDistinct("iat").alias("n"))
-    totals = items.select("k", (F.size("plain") - (width - 1)).alias("total"))
-    hits = materialize(hits.join(small_side(totals, 16), "k"))
-    strong = hits.groupBy("d", "th", "k").agg(F.sum("n").alias("all"), F.first("total").alias("total")).where(
-        F.col("all") >= least * F.col("total")).drop("total")
+    own = windows(templates(texts, "d", "th"), seed, stride, "d", "th")
+    hits = materialize(own.join(small_side(asked, 32), "h").groupBy(
+        "d", "th", "k", (F.col("at") - F.col("iat")).alias("diagonal")).agg(F.countDistinct("at").alias("n")))
+    # a share of the windows needs at least so many seeds
+    enough = hits.groupBy("d", "th", "k").agg(F.sum("n").alias("n")).join(
+        small_side(items.select("k", "total"), 16), "k").where(F.col("n") * stride >= least * F.col("total"))
+    enough = enough.select(F.col("d").alias("ed"), F.col("th").alias("eth"), F.col("k").alias("ek"))
     chosen = materialize(hits.join(
-        strong.withColumnsRenamed({"d": "sd", "th": "sth", "k": "sk"}),
-        F.col("d").eqNullSafe(F.col("sd")) & (F.col("th") == F.col("sth")) & (F.col("k") == F.col("sk")),
+        enough, F.col("d").eqNullSafe(F.col("ed")) & (F.col("th") == F.col("eth")) & (F.col("k") == F.col("ek")),
         "left_semi"))
-    # values of the few documents with enough windows
     names = chosen.select(F.col("d").alias("cd"), F.col("th").alias("cth")).distinct()
     picked = texts.join(small_side(names, 16), F.col("d").eqNullSafe(F.col("cd")) & (F.col("th") == F.col("cth")),
                         "left_semi").dropDuplicates(["d", "th"])
-    values = templates(picked, "d", "th").select(
+    values = templates(picked, "d", "th", values=True).select(
         F.col("d").alias("vd"), F.col("th").alias("vth"), F.col("v").alias("dv"), F.col("plain").alias("dplain"),
         F.col("typed").alias("dtyped"))
     aligned = (
         chosen.join(values, F.col("d").eqNullSafe(F.col("vd")) & (F.col("th") == F.col("vth")))
         .join(small_side(items, 4096), "k"))
+    same = F.expr("transform(plain, (p, i) -> coalesce(p = get(dplain, i + diagonal) "
+                  "OR typed[i] = get(dtyped, i + diagonal), false))")
     slots = F.expr(f"""filter(transform(plain, (p, i) -> struct(
           CASE WHEN p = get(dplain, i + diagonal) AND p IN ('{NUMBER}', '{UNIT}') THEN p
-               WHEN p <> get(dplain, i + diagonal) AND typed[i] = '{NAME}' AND get(dtyped, i + diagonal) = '{NAME}'
+               WHEN typed[i] = '{NAME}' AND (typed[i] = get(dtyped, i + diagonal) OR p = get(dplain, i + diagonal))
                THEN '{NAME}' END AS kind,
           v[i] AS a, get(dv, i + diagonal) AS b)), s -> s.kind IS NOT NULL)""")
-    judged = aligned.select("d", "th", "k", "item_id", "n", "total", slots.alias("s")).where(
+    windows_found = F.expr(f"size(filter(sequence(0, total - 1), i -> NOT array_contains(slice(m, i + 1, {width}), false)))")
+    judged = aligned.select("d", "th", "k", "item_id", "total", same.alias("m"), slots.alias("s")).where(
         "size(array_distinct(s)) = size(array_distinct(transform(s, x -> struct(x.kind, x.a)))) AND "
         "size(array_distinct(s)) = size(array_distinct(transform(s, x -> struct(x.kind, x.b))))")
-    found = judged.groupBy("d", "th", "k", "item_id").agg(
+    found = judged.withColumn("n", windows_found).where("n > 0").groupBy("d", "th", "k", "item_id").agg(
         F.sum("n").alias("n_windows"), F.first("total").alias("total"), F.sum(F.size("s")).alias("n_slots"),
         F.sum(F.expr("size(filter(s, x -> x.a <> x.b))")).alias("n_changed"))
     found = found.select(
