@@ -54,6 +54,16 @@ def count_codes(codes: np.ndarray, weight: np.ndarray | None = None):
     return code[starts], n, marked
 
 
+def merge_counts(parts: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """One table of codes and both counts from several."""
+    code = np.concatenate([p[0] for p in parts])
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+    n, m = (np.add.reduceat(np.concatenate([p[k] for p in parts])[order], starts) for k in (1, 2))
+    return code[starts], n, m
+
+
 def suffix(code: Column, k: int, bits: int) -> Column:
     return code.bitwiseAND(F.lit((1 << (bits * k)) - 1))
 
@@ -146,7 +156,8 @@ class Arrays:
 
     def get(self, group: str, codes: np.ndarray) -> np.ndarray:
         """Values of codes; 0 where a code is not in this block."""
-        out = np.zeros(len(codes), np.float32)
+        width = next((v[3].shape[1:] for v in self.of.values()), ())
+        out = np.zeros((len(codes), *width), np.float32)
         if group not in self.of:
             return out
         keys, index, shift, values = self.of[group]
@@ -169,17 +180,19 @@ class Arrays:
         return out
 
 
-def array_blocks(table: DataFrame, column: str):
-    """``Arrays`` of a (g, code, value) table, in blocks of at most about ``BLOCK_ENTRIES`` entries each.
+def array_blocks(table: DataFrame, *columns: str):
+    """``Arrays`` of a (g, code, values) table, in blocks of at most about ``BLOCK_ENTRIES`` entries each.
 
     A block is fetched, broadcast and used before the next one, so the driver never holds more.
     """
     parts = max(1, -(-table.count() // BLOCK_ENTRIES))
     for part in range(parts):
         rows = table if parts == 1 else table.where(F.pmod(F.xxhash64("code"), F.lit(parts)) == part)
-        got = rows.select("g", "code", F.col(column).cast("float").alias("v")).toArrow()
+        got = rows.select("g", "code", *[F.col(c).cast("float") for c in columns]).toArrow()
+        values = np.stack([got.column(c).to_numpy() for c in columns], 1)
         yield Arrays().fill(np.array(got.column("g").to_pylist(), dtype=object).astype(str),
-                            got.column("code").to_numpy().view(np.uint64), got.column("v").to_numpy())
+                            got.column("code").to_numpy().view(np.uint64),
+                            values[:, 0] if len(columns) == 1 else values)
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

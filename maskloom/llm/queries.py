@@ -10,9 +10,12 @@ from maskloom.llm.bpe import bpe_round_trip
 from maskloom.llm.common import table
 from maskloom.llm.leaks import find_leaks
 from maskloom.llm.lines import line_dedup
+from maskloom.llm.lm import cross_entropy_difference
 from maskloom.llm.near import near_groups
 from maskloom.llm.secrets import BASE, find_secrets
 from maskloom.llm.repeats import remove_repeats
+from maskloom.llm.tokens import attribute_tokens
+from maskloom.llm.warc import archive_round_trip
 from maskloom.llm.rules import STATS, quality_rules
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -99,3 +102,29 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return remove_repeats(table(spark, folder, "documents"),
                           outputs=("n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
+@query("op3_archive_round_trip", """
+with p as (select page_id, coalesce(html, '') as html from pages),
+d as (select page_id, octet_length(encode(html)) as n, sha256(html) as digest from p),
+f as (select digest, min(page_id) as first from d where n >= 100 group by digest)
+select d.page_id, d.n as payload_bytes, d.digest as payload_digest,
+  case when f.first is not null and d.page_id <> f.first then 'revisit' else 'response' end as record_type,
+  case when d.page_id <> f.first then f.first end as refers_to
+from d left join f on d.digest = f.digest and d.n >= 100
+""")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    return archive_round_trip(table(spark, folder, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op1_attribute_tokens")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    return attribute_tokens(table(spark, folder, "documents"), tokenizer=tokenizer_path())
+
+
+@query("op2_cross_entropy_difference")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return cross_entropy_difference(
+        table(spark, folder, "documents"), table(spark, folder, "labels").where("quality = 1"),
+        tokenizer=tokenizer_path())

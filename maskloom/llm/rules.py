@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 
 from maskloom.llm.common import arrow_map, blocks, mix64, small_side
 from maskloom.llm.ngrams import (
-    BLOCK_ENTRIES, Arrays, array_blocks, codes_of, count_codes, losses, union_all,
+    BLOCK_ENTRIES, Arrays, array_blocks, codes_of, count_codes, losses, merge_counts,
+    union_all,
 )
 from maskloom.session import materialize
 
@@ -110,13 +111,8 @@ def count_bytes(rows: DataFrame) -> DataFrame:
         waiting: dict[str, list] = {}
 
         def merged(group: str) -> dict:
-            parts = waiting.pop(group)
-            code = np.concatenate([p[0] for p in parts])
-            order = np.argsort(code, kind="stable")
-            code = code[order]
-            starts = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
-            n, m = (np.add.reduceat(np.concatenate([p[k] for p in parts])[order], starts) for k in (1, 2))
-            return {"g": [group] * len(starts), "code": code[starts].view(np.int64), "n": n, "m": m}
+            code, n, m = merge_counts(waiting.pop(group))
+            return {"g": [group] * len(code), "code": code.view(np.int64), "n": n, "m": m}
 
         for batch in batches:
             groups, good = batch["g"].to_pylist(), np.array(batch["good"].to_pylist(), bool)
@@ -199,14 +195,14 @@ def judge(
         whole = union_all(parts).groupBy("r").agg(*same, F.sum("total").alias("total"))
     base = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     whole = materialize(whole.withColumn("base_failed", base).withColumn(
-        "loss", F.when(F.col("n_bytes") > 0, F.col("total") / F.col("n_bytes"))))
+        "loss", F.try_divide("total", "n_bytes")))
     sound = whole.where(~F.col("base_failed")).select("g", "loss", "n_bytes")
     middle = sound.groupBy("g").agg(F.percentile_approx("loss", 0.5, 10_000).alias("m"),
         F.percentile_approx("n_bytes", 0.5, 10_000).alias("length"))
     spread = sound.join(middle, "g").groupBy("g").agg(F.percentile_approx(F.abs(F.col("loss") - F.col("m")), 0.5, 10_000).alias("s"))
     bands = middle.join(spread, "g").select(
         "g", "m", "length", F.greatest(1.4826 * F.col("s"), F.lit(least_spread)).alias("s"))
-    wide = F.greatest(F.lit(1.0), F.sqrt(F.col("length") / F.col("n_bytes"))) * F.col("s")
+    wide = F.greatest(F.lit(1.0), F.sqrt(F.try_divide("length", "n_bytes"))) * F.col("s")
     inside = (F.col("loss") <= F.col("m") + upper * wide) & (F.col("loss") >= F.col("m") - lower * wide)
     return whole.join(bands, "g", "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
