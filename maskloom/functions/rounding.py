@@ -105,7 +105,8 @@ def saferound_groups(
     """Round ``value`` so that every group keeps its rounded total.
 
     Group sums come from a map-side combined aggregate; the order inside a group comes from
-    :func:`scan`, so a hot group is never sorted in one task.
+    :func:`scan`, so a hot group is never sorted in one task. Rows without a value take no part and keep
+    NULL as their output.
     """
     check_strategy(strategy)
     keep = {"__rounded": F.round(col(value), places)}
@@ -141,4 +142,6 @@ def saferound_groups(
     extra = F.abs(F.col("__n")) % F.col("__size")
     units = (each + (F.col("__rank") <= extra).cast("bigint")).cast("double") * sign
     result = F.round(F.col("__rounded") + _unit(units, places), places)
-    return ranked.select(*map(col, df.columns), result.alias(output))
+    done = ranked.select(*map(col, df.columns), result.alias(output))
+    without = df.where(col(value).isNull())
+    return done.unionByName(without.withColumn(output, F.lit(None).cast(done.schema[output].dataType)))

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from math import exp
+from math import ceil, exp
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -46,11 +46,16 @@ def shuffled(df: DataFrame, row_key: str, seed: int = 0) -> DataFrame:
     ).drop("__u")
 
 
-def poisson_thresholds(rate: float, terms: int = 40) -> list[float]:
-    """P(copies <= n) for n = 0, 1, ... of a Poisson variable."""
+#: Largest rate of one Poisson draw; larger ones are sums of independent draws.
+RATE = 50.0
+
+
+def poisson_thresholds(rate: float) -> list[float]:
+    """P(copies <= n) for n = 0, 1, ... of a Poisson variable, until the rest is below 2^-53."""
     term = upto = exp(-rate)
-    out = [upto]
-    for n in range(1, terms):
+    out, n = [upto], 0
+    while n < rate or term > 2.0**-53:
+        n += 1
         term *= rate / n
         upto += term
         out.append(upto)
@@ -64,10 +69,11 @@ def sample_with_replacement(
 
     The copies of one row are bounded by the tail of the Poisson law, so nothing skews.
     """
-    u = uniform(seed, "bootstrap", col(row_key))
-    copies = F.lit(0)
-    for threshold in poisson_thresholds(fraction):
-        copies = copies + (u >= F.lit(threshold)).cast("int")
+    copies, draws = F.lit(0), max(1, ceil(fraction / RATE))
+    for k in range(draws):
+        u = uniform(seed, f"bootstrap{k or ''}", col(row_key))
+        for threshold in poisson_thresholds(fraction / draws):
+            copies = copies + (u >= F.lit(threshold)).cast("int")
     return df.withColumn("__copies", copies).where("__copies > 0").select(
         *map(col, df.columns), F.explode(F.sequence(F.lit(1), F.col("__copies"))).alias("copy")
     )

@@ -122,8 +122,9 @@ def scan(
         opens = F.col("l.__ordinal") == 1
         out.append(F.when(opens, F.col(f"r.__lag_{name}")).otherwise(_side("l", name)).alias(name))
     for name in cumsum:
-        before = F.coalesce(F.col(f"r.__sum_{name}"), F.lit(0))
-        out.append((_side("l", name) + before).alias(name))
+        # NULL until the first value: of the partition (local) and of the group (before)
+        local_sum, before = _side("l", name), F.col(f"r.__sum_{name}")
+        out.append(F.coalesce(local_sum + before, local_sum, before).alias(name))
     for name, (kind, source) in total.items():
         here = MERGE[kind](_side("l", source)).over(whole)
         out.append(F.when(is_split, F.col(f"r.__total_{name}")).otherwise(here).alias(name))

@@ -9,6 +9,11 @@ Mechanism, for a total budget ``epsilon`` per row:
   e^share / (e^share + m - 1), m the number of listed modalities, otherwise it is one of the other
   modalities, each alike (randomised response).
 
+A column named in ``missing`` (public knowledge as well: which columns can have gaps) spends half of its
+share on whether the value is missing, reported by randomised response, and the rest on the value. In
+any other column a gap is filled: by the noisy mean plus noise, or by a random modality. Means are over
+the values present.
+
 By sequential composition a row spends ``epsilon``. Bounds and modalities must be public knowledge,
 not read from the data. The noise is a function of ``seed``: the guarantee holds only if the seed is
 secret and random, and used once. Fixed seeds are for tests.
@@ -34,6 +39,7 @@ def private_rows(
     bounds: Mapping[str, tuple[float, float]],
     modalities: Mapping[str, Sequence[str]],
     preprocess_budget_ratio: float = 0.5,
+    missing: Sequence[str] = (),
     seed: int = 0,
 ) -> DataFrame:
     """(row_key, columns of ``bounds`` and ``modalities``) with noise; one aggregate, no shuffle."""
@@ -44,19 +50,36 @@ def private_rows(
     out: list[Column] = [col(row_key)]
     means = noisy_means(df, bounds, epsilon * preprocess_budget_ratio, seed)
     for c, (low, high) in bounds.items():
-        centred = clip(col(c), low, high) - F.lit(means[c])
-        noise = laplace((high - low) / share, seed, f"cell:{c}", col(row_key))
+        centred = F.coalesce(clip(col(c), low, high) - F.lit(means[c]), F.lit(0.0))
+        own = share / 2 if c in missing else share
+        noise = laplace((high - low) / own, seed, f"cell:{c}", col(row_key))
         value = clip(centred + noise + F.lit(means[c]), low, high)
         if isinstance(types[c], INTEGERS):
             value = F.round(value)
-        out.append(value.cast(types[c]).alias(c))
+        out.append(with_gaps(value.cast(types[c]), c, missing, share, row_key, seed).alias(c))
     for c, values in modalities.items():
-        out.append(randomised_response(c, values, share, row_key, seed).alias(c))
+        own = share / 2 if c in missing else share
+        value = randomised_response(c, values, own, row_key, seed)
+        out.append(with_gaps(value, c, missing, share, row_key, seed).alias(c))
     return df.select(*out)
 
 
+def with_gaps(
+    value: Column, column: str, missing: Sequence[str], share: float, row_key: str, seed: int
+) -> Column:
+    """NULL where the reported flag of a column in ``missing`` says so; the flag is true to the data with
+    probability e^(share / 2) / (e^(share / 2) + 1)."""
+    if column not in missing:
+        return value
+    keep = exp(share / 2) / (exp(share / 2) + 1)
+    honest = uniform(seed, f"gap:{column}", col(row_key)) < F.lit(keep)
+    return F.when(col(column).isNull() == honest, F.lit(None)).otherwise(value)
+
+
 def clip(value: Column, low: float, high: float) -> Column:
-    return F.least(F.greatest(value.cast("double"), F.lit(float(low))), F.lit(float(high)))
+    """Within the bounds; NULL stays NULL."""
+    inside = F.least(F.greatest(value.cast("double"), F.lit(float(low))), F.lit(float(high)))
+    return F.when(value.isNotNull(), inside)
 
 
 def noisy_means(
@@ -66,11 +89,12 @@ def noisy_means(
     if not bounds:
         return {}
     share = budget / len(bounds)
-    aggs = [F.count(F.lit(1)).alias("__n")]
-    aggs += [F.avg(clip(col(c), lo, hi)).alias(c) for c, (lo, hi) in bounds.items()]
+    aggs = [F.avg(clip(col(c), lo, hi)).alias(c) for c, (lo, hi) in bounds.items()]
+    aggs += [F.greatest(F.count(col(c)), F.lit(1)).alias(f"__n{i}") for i, c in enumerate(bounds)]
     noise = [
-        (laplace((hi - lo) / share, seed, f"mean:{c}", F.lit(c)) / F.col("__n") + col(c)).alias(c)
-        for c, (lo, hi) in bounds.items()
+        (laplace((hi - lo) / share, seed, f"mean:{c}", F.lit(c)) / F.col(f"__n{i}")
+         + F.coalesce(col(c), F.lit((lo + hi) / 2))).alias(c)
+        for i, (c, (lo, hi)) in enumerate(bounds.items())
     ]
     return df.agg(*aggs).select(*noise).first().asDict()
 

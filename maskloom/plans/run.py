@@ -83,8 +83,14 @@ def synthesize_table(spec: TableSpec, p: Parameters) -> Twin:
         pair = spec.data.select(col(key), *map(col, used))
         return twin_from_pair(pair, spec.synthetic_data.select(col(key), *map(col, used)), key, p)
     if p.dp_epsilon:
+        bare = [c for c in used if c not in p.dp_bounds and c not in p.dp_modalities]
+        if bare:
+            raise ValueError(
+                f"Expected dp_bounds or dp_modalities for {', '.join(bare)} of table {spec.name!r}, "
+                "or these columns among exclude_variable_names"
+            )
         private = private_rows(
-            spec.data, key, epsilon=p.dp_epsilon, bounds=p.dp_bounds, modalities=p.dp_modalities,
+            spec.data.drop(*excluded), key, epsilon=p.dp_epsilon, bounds=p.dp_bounds, modalities=p.dp_modalities,
             preprocess_budget_ratio=p.dp_preprocess_budget_ratio, seed=p.seed,
         )
         private = materialize(private)

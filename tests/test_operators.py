@@ -28,6 +28,7 @@ from maskloom.operators.relational import (
     shuffled,
     value_count_difference,
 )
+from maskloom.operators.scan import scan
 from maskloom.operators.split import batch_parts, first_occurrences
 from maskloom.sources.results import RunResult, read_records, write_records
 from maskloom.sources.tables import read_csv, read_table, write_csv
@@ -252,3 +253,23 @@ def test_run_result_catalogue(spark, make, tmp_path):
     assert back.privacy_metrics("t").first()["value"] == 50.0
     with pytest.raises(ValueError, match="has no result"):
         back.signal_metrics("t")
+
+
+def test_split_scan_carries_sums_over_nulls(spark):
+    df = spark.range(400).selectExpr(
+        "id", "'g' as g", "case when id < 30 or id % 90 between 20 and 70 then null else id end as v")
+    whole = scan(df, ["g"], ["id"], cumsum={"s": "v"})
+    cut = scan(df, ["g"], ["id"], cumsum={"s": "v"}, max_group_rows=40)
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, cut.collect()))
+
+
+def test_group_rounding_keeps_rows_without_value(spark, make):
+    df = make("g string, v double", g=["a", "a", "a"], v=[1.4, None, 1.4])
+    got = rows_of(saferound_groups(df, ["g"], "v", "k", 0))["rounded"]
+    assert got[1] is None and got[0] + got[2] == 3.0
+
+
+def test_bootstrap_copies_have_no_upper_end(spark):
+    for rate in (60.0, 3.0):
+        n = sample_with_replacement(spark.range(2000), "id", rate, seed=1).count()
+        assert n / 2000 == pytest.approx(rate, rel=0.03)

@@ -27,6 +27,7 @@ from maskloom.operators.synthesis.generate import (
 )
 from maskloom.operators.synthesis.impute import impute
 from maskloom.operators.synthesis.noise import private_rows
+from maskloom.operators.synthesis.noise import private_rows
 from maskloom.operators.synthesis.project import fit_space
 from maskloom.plans.parameters import Parameters, ParameterSet
 from maskloom.plans.pipeline import Pipeline
@@ -344,12 +345,25 @@ def test_run_on_a_given_pair(iris, spark):
 def test_run_private(iris):
     dataset = DatasetSpec("d").add_table("iris", iris, primary_key="id")
     parameters = ParameterSet().set(
-        "iris", dp_epsilon=5.0, dp_bounds={"sepal_length": (4.0, 8.0)},
+        "iris", dp_epsilon=5.0, dp_bounds={"sepal_length": (4.0, 8.0), "sepal_width": (1.0, 5.0)},
         dp_modalities={"variety": ["Setosa", "Versicolor", "Virginica"]}, ncp=2)
+    with pytest.raises(ValueError, match="Expected dp_bounds or dp_modalities for petal_length, petal_width"):
+        run(dataset, parameters, stages=["synthesis"])
+    parameters = parameters.update("iris", exclude_variable_names=["petal_length", "petal_width"])
     out = run(dataset, parameters, stages=["synthesis"])
     assert out.shuffled("iris").count() == 150
 
 
+def test_private_rows_keep_means_and_gaps(spark):
+    df = spark.range(3000).selectExpr(
+        "id", "case when id % 4 = 0 then null else 50.0 end as x", "case when id % 5 = 0 then null else 'a' end as c")
+    settings = dict(epsilon=40.0, bounds={"x": (0.0, 100.0)}, modalities={"c": ["a", "b"]})
+    plain = private_rows(df, "id", **settings).agg(F.avg("x"), F.count("x"), F.min("x")).first()
+    assert plain[0] == pytest.approx(50.0, abs=3) and plain[1] == 3000
+    gaps = private_rows(df, "id", **settings, missing=["x", "c"]).agg(F.count("x"), F.count("c")).first()
+    assert gaps[0] == pytest.approx(2250, abs=60) and gaps[1] == pytest.approx(2400, abs=60)
+
+
 def test_run_series(spark):
     events = spark.read.parquet(f"{SMALL}/events.parquet").select("event_id", "user_id", "ts", "value")
     users = events.groupBy("user_id").agg(F.avg("value").alias("mean"), F.count(F.lit(1)).alias("n"))
