@@ -37,7 +37,7 @@ SHARD_BYTES = 1 << 20
 #: Kinds of region of one anchor from which its regions are cut.
 KINDS = 1000
 #: Windows of a text that are anchored at once; more are handled piece by piece.
-PIECE = 4 << 20
+PIECE = 1 << 20
 BASE = 0x9E3779B97F4A7C15
 PLACE = np.int64((1 << 24) - 1)
 
