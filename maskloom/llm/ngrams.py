@@ -12,9 +12,10 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from maskloom.llm.common import small_side
 from maskloom.session import materialize
 
 #: Discounts where a table is too small to estimate them.
@@ -72,21 +73,20 @@ def context(code: Column, k: int, bits: int) -> Column:
     return F.shiftright(suffix(code, k, bits), bits)
 
 
-def discounted(grams: DataFrame, bits: int) -> DataFrame:
-    """Adds ``d``, the discount of each count, from the counts of counts of its group."""
-    pieces = [F.sum(F.when(F.col("n") == k, 1).otherwise(0)).alias(f"n{k}") for k in (1, 2, 3, 4)]
-    few = grams.groupBy("g").agg(*pieces)
+def discounts(grams: dict[int, DataFrame]) -> DataFrame:
+    """g, k, d1, d2, d3: the discounts of each group and order, from its counts of counts."""
+    every = union_all([df.select("g", "n").withColumn("k", F.lit(k)) for k, df in grams.items()])
+    pieces = [F.sum(F.when(F.col("n") == i, 1).otherwise(0)).alias(f"n{i}") for i in (1, 2, 3, 4)]
+    few = every.groupBy("g", "k").agg(*pieces)
     y = F.try_divide(F.col("n1"), F.col("n1") + 2 * F.col("n2"))
 
-    def rate(k: int) -> Column:
-        a, b = F.col(f"n{k}"), F.col(f"n{k + 1}")
-        value = k - (k + 1) * y * F.try_divide(b, a)
-        good = (F.col("n1") > 0) & (a > 0) & (b > 0) & (value > 0) & (value < k)
-        return F.when(good, value).otherwise(PLAIN[k - 1])
+    def rate(i: int) -> Column:
+        a, b = F.col(f"n{i}"), F.col(f"n{i + 1}")
+        value = i - (i + 1) * y * F.try_divide(b, a)
+        good = (F.col("n1") > 0) & (a > 0) & (b > 0) & (value > 0) & (value < i)
+        return F.when(good, value).otherwise(PLAIN[i - 1])
 
-    few = few.select("g", *[rate(k).alias(f"d{k}") for k in (1, 2, 3)])
-    d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-    return grams.join(few, "g").select("g", "code", "n", d.alias("d"))
+    return materialize(few.select("g", "k", *[rate(i).alias(f"d{i}") for i in (1, 2, 3)]))
 
 
 def losses(counts: DataFrame, order: int, bits: int, weight: str) -> DataFrame:
@@ -94,44 +94,51 @@ def losses(counts: DataFrame, order: int, bits: int, weight: str) -> DataFrame:
 
     ``counts`` has ``g`` (group, not null), ``code`` and counts; codes with a zero weight get the loss
     the model gives to unseen n-grams. A group without any weight gives all its codes the same loss.
-    Returns g, code, loss.
+    Returns g, code, loss. All n-grams with one context meet in a task: at most as many as there are
+    symbols.
     """
     grams = {order: counts.where(F.col(weight) > 0).select("g", "code", F.col(weight).alias("n"))}
     for k in range(order - 1, 0, -1):
         grams[k] = (grams[k + 1].groupBy("g", suffix(F.col("code"), k, bits).alias("code"))
                     .agg(F.count("*").alias("n")))
-    known, asked = None, counts.select("g", "code")
-    # probabilities of the seen n-grams, from the lowest order up
-    seen, weights = {}, {}
+    rates = discounts(grams)
+    d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
+    seen: dict[int, DataFrame] = {}
     for k in range(1, order + 1):
-        rows = discounted(grams[k], bits).withColumn("c", context(F.col("code"), k, bits))
-        totals = rows.groupBy("g", "c").agg(F.sum("n").alias("total"), F.sum("d").alias("freed"),
-                                            F.count("*").alias("kinds"))
-        rows = rows.join(totals, ["g", "c"])
+        own = Window.partitionBy("g", "c")
+        rows = grams[k].join(small_side(rates.where(F.col("k") == k).drop("k"), 48), "g").select(
+            "g", "code", "n", d.alias("d"), context(F.col("code"), k, bits).alias("c")).withColumns({
+                "total": F.sum("n").over(own), "freed": F.sum("d").over(own), "kinds": F.count("*").over(own)})
+        w = F.col("freed") / F.col("total")
         if k == 1:
             lower = 1 / (F.col("kinds") + 1)
         else:
-            below = seen[k - 1].withColumnRenamed("p", "lower")
-            rows = rows.withColumn("s", suffix(F.col("code"), k - 1, bits)).join(below, ["g", "s"])
+            rows = rows.withColumn("s", suffix(F.col("code"), k - 1, bits)).join(
+                seen[k - 1].select("g", F.col("code").alias("s"), F.col("p").alias("lower")), ["g", "s"])
             lower = F.col("lower")
-        p = (F.col("n") - F.col("d")) / F.col("total") + F.col("freed") / F.col("total") * lower
-        known = materialize(rows.select(
-            "g", "code", "c", p.alias("p"), (F.col("freed") / F.col("total")).alias("w"), "kinds"))
-        seen[k] = known.select("g", F.col("code").alias("s"), "p")
-        weights[k] = known.select("g", "c", "w", "kinds").distinct()
-    # every asked code from the unigram up: seen, else the weight of its context times the order below
-    p = asked.join(weights[1].select("g", "w", "kinds"), "g", "left").select(
-        "g", "code", F.coalesce(F.col("w") / (F.col("kinds") + 1), F.lit(1 / 257)).alias("q"))
+        seen[k] = materialize(rows.select(
+            "g", "code", "c", ((F.col("n") - F.col("d")) / F.col("total") + w * lower).alias("p"), w.alias("w"),
+            "kinds"))
+    top = seen[order].select("g", "code", (-F.log("p")).alias("loss"))
+    unseen = counts.where(F.coalesce(F.col(weight), F.lit(0)) <= 0).select("g", "code")
+    # what an unseen code needs: its suffixes' probabilities, its contexts' weights, the group's base
+    known = [seen[k].select("g", F.lit(k).alias("k"), F.col("code").alias("key"), F.col("p").alias("v")) for k in seen]
+    known += [seen[k].select("g", F.lit(-k).alias("k"), F.col("c").alias("key"), F.col("w").alias("v")).distinct()
+              for k in seen if k > 1]
+    known.append(seen[1].select("g", F.lit(0).alias("k"), F.lit(0).cast("long").alias("key"),
+                                (F.col("w") / (F.col("kinds") + 1)).alias("v")).distinct())
+    code = F.col("code")
+    keys = [(k, suffix(code, k, bits)) for k in range(1, order + 1)]
+    keys += [(-k, context(code, k, bits)) for k in range(2, order + 1)] + [(0, F.lit(0).cast("long"))]
+    asked = unseen.select("g", "code", F.explode(F.array(*[
+        F.struct(F.lit(k).alias("k"), key.alias("key")) for k, key in keys])).alias("x")).select(
+            "g", "code", "x.k", "x.key")
+    found = asked.join(union_all(known), ["g", "k", "key"], "left").groupBy("g", "code").agg(*[
+        F.max(F.when(F.col("k") == k, F.col("v"))).alias(f"v{k}") for k, _ in keys])
+    q = F.coalesce("v0", F.lit(1 / 257))
     for k in range(1, order + 1):
-        p = p.withColumn("s", suffix(F.col("code"), k, bits)).withColumn("c", context(F.col("code"), k, bits))
-        p = p.join(seen[k], ["g", "s"], "left")
-        if k > 1:
-            p = p.join(weights[k].select("g", "c", "w"), ["g", "c"], "left")
-            q = F.coalesce("p", F.col("w") * F.col("q"), "q")
-        else:
-            q = F.coalesce("p", "q")
-        p = p.select("g", "code", q.alias("q"))
-    return p.select("g", "code", (-F.log("q")).alias("loss"))
+        q = F.coalesce(f"v{k}", F.col(f"v{-k}") * q, q) if k > 1 else F.coalesce("v1", q)
+    return top.unionByName(found.select("g", "code", (-F.log(q)).alias("loss")))
 
 
 class Arrays:
