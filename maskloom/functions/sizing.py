@@ -2,37 +2,61 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from maskloom.functions.validation import col
+from maskloom.session import materialize
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 HOT_ROWS = 1_000_000
-MAX_HOT_KEYS = 1_000
+SALT = "__salt"
 
 
-def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Reads no more than ``max_rows + 1`` rows."""
-    return df.limit(max_rows + 1).count() <= max_rows
+def row_bytes(df: DataFrame) -> Column:
+    """About the bytes of a row: lengths of texts and lists, 8 for each other value."""
+    total = F.lit(0).cast("bigint")
+    for f in df.schema.fields:
+        if isinstance(f.dataType, (T.StringType, T.BinaryType)):
+            size = F.octet_length(col(f.name))
+        elif isinstance(f.dataType, T.ArrayType):
+            size = 16 * F.size(col(f.name))
+        elif isinstance(f.dataType, (T.StructType, T.MapType)):
+            size = F.octet_length(F.to_json(col(f.name)))
+        else:
+            size = F.lit(8)
+        total = total + F.coalesce(size, F.lit(0)) + 8
+    return total
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast when ``df`` has at most ``max_rows`` rows, else leave the join to Spark.
+def is_small(df: DataFrame, max_rows: int | None = None) -> bool:
+    """At most ``max_rows`` rows of ``BROADCAST_BYTES`` in all; reads no more than one row beyond."""
+    max_rows = BROADCAST_ROWS if max_rows is None else max_rows
+    head = df.select(row_bytes(df).alias("b")).limit(max_rows + 1)
+    row = head.agg(F.count(F.lit(1)).alias("n"), F.sum("b").alias("b")).first()
+    return row["n"] <= max_rows and (row["b"] or 0) <= BROADCAST_BYTES
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None) -> DataFrame:
+    """Hint a broadcast when ``df`` is small in rows and bytes, else leave the join to Spark.
 
     Without the hint the join shuffles both sides and adaptive execution splits skewed partitions.
     """
     return F.broadcast(df) if is_small(df, max_rows) else df
 
 
-def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> list:
-    """The heaviest keys with more than ``hot_rows`` rows, at most ``MAX_HOT_KEYS`` of them.
+def hot_keys(df: DataFrame, key: str, hot_rows: int | None = None) -> DataFrame:
+    """(key, pieces) of the keys with more than ``hot_rows`` rows, a piece having so many at most.
 
     Only the key column is read and counts are combined before the shuffle.
     """
-    counts = df.where(col(key).isNotNull()).groupBy(col(key).alias("k")).count()
-    heavy = counts.where(F.col("count") > (HOT_ROWS if hot_rows is None else hot_rows))
-    return [r["k"] for r in heavy.orderBy(F.desc("count")).limit(MAX_HOT_KEYS).collect()]
+    limit = HOT_ROWS if hot_rows is None else hot_rows
+    counts = df.where(col(key).isNotNull()).groupBy(col(key)).count()
+    return counts.where(F.col("count") > limit).select(
+        col(key), F.ceil(F.col("count") / F.lit(limit)).cast("int").alias("__pieces")
+    )
 
 
 def lookup(
@@ -41,19 +65,25 @@ def lookup(
     key: str,
     *,
     how: str = "left",
-    rows_per_key: int = 1,
 ) -> DataFrame:
-    """Join ``left`` with a table holding at most ``rows_per_key`` rows per ``key``.
+    """Join ``left`` with a table of few rows per ``key``.
 
-    A small ``right`` is broadcast. Otherwise both sides are shuffled, except for the hot keys of
-    ``left``: their few rows of ``right`` are broadcast, so a key with a third of all rows never
-    lands in one task. No row is lost: each key takes exactly one of the two ways.
+    A small ``right`` is broadcast. Otherwise both sides are shuffled; the rows of a hot key of ``left``
+    are dealt to as many salts as it has pieces and its rows of ``right`` are copied to each, so a key
+    with a third of all rows never lands in one task. There are at most rows / ``HOT_ROWS`` hot keys;
+    they stay a table.
     """
     if is_small(right):
         return left.join(F.broadcast(right), key, how)
-    keys = hot_keys(left, key)[: max(1, BROADCAST_ROWS // rows_per_key)]
-    if not keys:
+    hot = materialize(hot_keys(left, key))
+    if not hot.take(1):
         return left.join(right, key, how)
-    hot = F.coalesce(col(key).isin(keys), F.lit(False))
-    heavy = left.where(hot).join(F.broadcast(right.where(hot)), key, how)
-    return heavy.unionByName(left.where(~hot).join(right.where(~hot), key, how))
+    hot = broadcast_if_small(hot)
+    pieces = F.coalesce(F.col("__pieces"), F.lit(1))
+    # the task's number, not a random one: a task that runs again deals its rows alike
+    dealt = left.withColumn("__task", F.spark_partition_id()).join(hot, key, "left")
+    place = F.pmod(F.xxhash64(F.col("__task"), *[col(c) for c in left.columns]), pieces).cast("int")
+    copies = right.join(hot, key, "left").withColumn(
+        SALT, F.explode(F.sequence(F.lit(0), pieces - 1))).drop("__pieces")
+    joined = dealt.withColumn(SALT, place).drop("__task", "__pieces").join(copies, [key, SALT], how)
+    return joined.drop(SALT)

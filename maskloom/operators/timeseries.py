@@ -49,9 +49,12 @@ def align(
     *,
     method: str = MAX,
     nb_points: int | None = None,
+    carried: Sequence[str] = (),
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
-    """(id, point, time, values): every series at the same number of even times.
+    """(id, point, time, values, carried): every series at the same number of even times.
+
+    ``carried`` columns, of any type, keep the value of the record that ends the segment of a point.
 
     Times are doubles (seconds for timestamps); values are interpolated linearly. Each record emits
     the grid points between its predecessor and itself, so there is one ordered pass and no join.
@@ -62,6 +65,7 @@ def align(
     rows = df.where(col(time_variable).isNotNull()).select(
         col(id_variable), time.cast("double").alias("__t"), col(row_key).alias("__k"),
         *[col(c).cast("double").alias(f"__v{i}") for i, c in enumerate(values)],
+        *[col(c).alias(f"__c{i}") for i, c in enumerate(carried)],
     )
     ordered = scan(
         rows, [id_variable], ["__t", "__k"],
@@ -87,6 +91,7 @@ def align(
     for i, c in enumerate(values):
         before = F.coalesce(F.col(f"__p{i}"), F.col(f"__v{i}"))
         outs.append((before + share * (F.col(f"__v{i}") - before)).alias(c))
+    outs += [F.col(f"__c{i}").alias(c) for i, c in enumerate(carried)]
     return points.select(col(id_variable), "point", at.alias(time_variable), *outs)
 
 
@@ -146,17 +151,20 @@ def attach_scores(
 
 
 def weighted_series(
-    weights: DataFrame, aligned: DataFrame, id_variable: str, columns: Sequence[str]
+    weights: DataFrame, aligned: DataFrame, id_variable: str, columns: Sequence[str],
+    carried: Sequence[str] = (),
 ) -> DataFrame:
-    """(id, point, columns): aligned series mixed with the neighbour weights of the individuals.
+    """(id, point, columns, carried): aligned series mixed with the neighbour weights of the individuals.
 
-    ``columns`` include the time, which is mixed like any value.
+    ``columns`` include the time, which is mixed like any value; ``carried`` columns come from the
+    heaviest neighbour.
     """
     donors = aligned.withColumnRenamed(id_variable, "neighbor_id")
-    joined = lookup(weights, donors, "neighbor_id", how="inner", rows_per_key=MAX_POINTS)
+    joined = lookup(weights, donors, "neighbor_id", how="inner")
     total = F.sum("weight")
     return joined.groupBy("query_id", "point").agg(
-        *[(F.sum(F.col("weight") * col(c)) / total).alias(c) for c in columns]
+        *[(F.sum(F.col("weight") * col(c)) / total).alias(c) for c in columns],
+        *[F.max_by(col(c), F.struct("weight", "neighbor_id")).alias(c) for c in carried],
     ).withColumnRenamed("query_id", id_variable)
 
 

@@ -113,37 +113,86 @@ def synthesize_table(spec: TableSpec, p: Parameters) -> Twin:
     return Twin(key, tuple(used), made.source, rows, made.originals, placed, made)
 
 
+@dataclass(frozen=True)
+class Series:
+    """A table of series, its synthetic rows, and one coordinate row per individual for either."""
+
+    key: str
+    columns: tuple[str, ...]
+    source: DataFrame
+    unshuffled: DataFrame
+    originals: DataFrame
+    placed: DataFrame
+
+
 def synthesize_series(
-    spec: TableSpec, link: LinkSpec, parent: TableSpec, p: Parameters, q: Parameters
-) -> tuple[Twin, DataFrame]:
-    """Individuals and their series together.
+    tables: Sequence[tuple[TableSpec, LinkSpec, Parameters]], parent: TableSpec, p: Parameters
+) -> tuple[Twin, dict[str, Series]]:
+    """Individuals and all their series together.
 
-    The series of every individual becomes ``nf`` scores next to the individual's columns; the
-    neighbours and weights found there mix both the individual rows and the aligned series.
+    Every number of every series becomes ``time_series_nf`` scores next to the individual's columns;
+    the neighbours and weights found there mix both the individual rows and the aligned series.
     """
-    ident, time = link.child_field, spec.time_series_time
-    values = [
-        f.name for f in spec.data.schema.fields
-        if is_number(f) and f.name not in {ident, time, *spec.keys}
-    ]
-    key = row_key_of(spec)
-    n = ts.common_length(spec.data, ident, q.time_series_method, q.time_series_nb_points)
-    aligned = materialize(ts.align(
-        spec.data, ident, time, values, key, method=ts.SPECIFIED, nb_points=n
-    ))
-    scores, _ = ts.series_scores(
-        aligned, ident, values, n, projection=q.time_series_projection_type, nf=q.time_series_nf
-    )
-    nf = min(q.time_series_nf, n * len(values))
-    enriched = materialize(ts.attach_scores(
-        parent.data, row_key_of(parent), scores, ident, nf, prefix="__score"
-    ))
+    enriched, fitted = parent.data, {}
+    for spec, link, q in tables:
+        ident, time = link.child_field, spec.time_series_time
+        own = [f for f in spec.data.schema.fields if f.name not in {ident, time, *spec.keys}]
+        values = [f.name for f in own if is_number(f)]
+        carried = [f.name for f in own if not is_number(f)]
+        n = ts.common_length(spec.data, ident, q.time_series_method, q.time_series_nb_points)
+        aligned = materialize(ts.align(
+            spec.data, ident, time, values, row_key_of(spec), method=ts.SPECIFIED, nb_points=n,
+            carried=carried,
+        ))
+        models = {}
+        for i, value in enumerate(values):
+            scores, models[value] = ts.series_scores(
+                aligned, ident, [value], n, projection=q.time_series_projection_type, nf=q.time_series_nf
+            )
+            enriched = materialize(ts.attach_scores(
+                enriched, row_key_of(parent), scores, ident, min(q.time_series_nf, n),
+                prefix=f"__score_{len(fitted)}_{i}",
+            ))
+        fitted[spec.name] = (spec, ident, time, values, carried, n, aligned, models, q)
     twin = synthesize_table(replace(parent, data=enriched), p)
     if twin.synthesis is None:
         raise ValueError("series need their individuals to be synthesised with k")
     weights = neighbor_weights(twin.synthesis.neighbors, p.seed)
-    mixed = ts.weighted_series(weights, aligned, ident, [time, *values])
-    return twin, materialize(ts.rebuild(mixed, ident, time, spec.data))
+    made = {}
+    for name, (spec, ident, time, values, carried, n, aligned, models, q) in fitted.items():
+        mixed = materialize(ts.weighted_series(weights, aligned, ident, [time, *values], carried))
+        rows = ts.rebuild(mixed, ident, time, spec.data)
+        pair = F.concat_ws("/", col(ident).cast("string"), F.col("point").cast("string"))
+        rows = hash_ordinal(rows.withColumn("__pair", pair), "__pair", seed=p.seed, stream=name, output="__new")
+        key = spec.primary_key
+        rows = rows.withColumn(key, F.col("__new").cast(spec.data.schema[key].dataType))
+        order = [c for c in spec.data.columns if c in rows.columns]
+        made[name] = Series(
+            ident, (*values, *carried), spec.data, materialize(rows.select(*map(col, order), "point")),
+            *[materialize(series_places(x, ident, n, models, q)) for x in (aligned, mixed)])
+    return twin, made
+
+
+def series_places(aligned: DataFrame, ident: str, n: int, models: dict, q: Parameters) -> DataFrame:
+    """(ident, features): the scores of all numbers of a series in one array."""
+    out = None
+    for value, components in models.items():
+        vectors = ts.series_vectors(aligned, ident, [value], n, q.time_series_projection_type)
+        scores = components.transform(vectors, "features").select(col(ident), F.col("features").alias("__f"))
+        if out is None:
+            out = scores.withColumnRenamed("__f", "features")
+        else:
+            out = out.join(scores, ident).select(col(ident), F.concat("features", "__f").alias("features"))
+    return out
+
+
+def series_signal(made: Series) -> dict[str, float]:
+    return signal_values(made.source, made.unshuffled, made.columns)
+
+
+def series_privacy(made: Series, p: Parameters) -> dict[str, float]:
+    """Distances between the series of individuals; row matches make no sense on mixed times."""
+    return distance_values(made.originals, made.placed, made.key, p)
 
 
 def metric_records(
@@ -165,10 +214,10 @@ def signal_values(source: DataFrame, synthetic: DataFrame, columns: Sequence[str
     return out
 
 
-def privacy_values(twin: Twin, p: Parameters) -> dict[str, float]:
-    a, b, key = twin.originals, twin.placed, twin.key
+def distance_values(a: DataFrame, b: DataFrame, key: str, p: Parameters) -> dict[str, float]:
+    """Privacy metrics that need only the coordinates of originals and synthetic rows."""
     closest = materialize(privacy.closest_distances(a, b, key))
-    out = {
+    return {
         "hidden_rate": privacy.hidden_rate(a, b, key),
         "local_cloaking": privacy.local_cloaking(a, b, key),
         **privacy.distance_to_closest(closest),
@@ -177,8 +226,13 @@ def privacy_values(twin: Twin, p: Parameters) -> dict[str, float]:
             a, closest, key, percentage_threshold=p.closest_rate_percentage_threshold,
             ratio_threshold=p.closest_rate_ratio_threshold,
         ),
+    }
+
+
+def privacy_values(twin: Twin, p: Parameters) -> dict[str, float]:
+    out = distance_values(twin.originals, twin.placed, twin.key, p) | {
         "column_direct_match_protection": privacy.column_direct_match_protection(
-            twin.source, twin.unshuffled, key, twin.columns
+            twin.source, twin.unshuffled, twin.key, twin.columns
         ),
         "row_direct_match_protection": privacy.row_direct_match_protection(
             twin.source, twin.unshuffled, twin.columns
@@ -186,12 +240,12 @@ def privacy_values(twin: Twin, p: Parameters) -> dict[str, float]:
     }
     if p.categorical_hidden_rate_variables:
         out["categorical_hidden_rate"] = privacy.categorical_hidden_rate(
-            twin.source, twin.unshuffled, key, list(p.categorical_hidden_rate_variables)
+            twin.source, twin.unshuffled, twin.key, list(p.categorical_hidden_rate_variables)
         )
     if p.known_variables:
-        source = impute(twin.source, twin.columns, method=MODE, row_key=key)
-        made = impute(twin.unshuffled, twin.columns, method=MODE, row_key=key)
-        known = list(p.known_variables)
+        source = impute(twin.source, twin.columns, method=MODE, row_key=twin.key)
+        made = impute(twin.unshuffled, twin.columns, method=MODE, row_key=twin.key)
+        key, known = twin.key, list(p.known_variables)
         others = [c for c in twin.columns if c not in known]
         out["correlation_protection_rate"] = privacy.correlation_protection_rate(
             source, made, key, known, others, ncp=p.ncp
@@ -316,21 +370,21 @@ def run(
     spark = next(iter(dataset.tables.values())).data.sparkSession
     twins: dict[str, Twin] = {}
     unshuffled: dict[str, DataFrame] = {}
-    series: dict[str, str] = {}
+    series: dict[str, Series] = {}
 
     for name in dataset.parents_first():
         spec = dataset.tables[name]
         in_time = [x for x in dataset.parents_of(name) if x.method == mt.TIME_SERIES]
         if in_time:
-            series[name] = in_time[0].child_field
             continue
         timed = [x for x in dataset.children_of(name) if x.method == mt.TIME_SERIES]
         if timed:
-            child = dataset.tables[timed[0].child_table]
-            twin, rows = synthesize_series(
-                child, timed[0], spec, parameters.get(name), parameters.get(child.name)
+            twin, made = synthesize_series(
+                [(dataset.tables[x.child_table], x, parameters.get(x.child_table)) for x in timed], spec,
+                parameters.get(name),
             )
-            unshuffled[child.name] = rows
+            series |= made
+            unshuffled |= {child: rows.unshuffled for child, rows in made.items()}
             scores = [c for c in twin.unshuffled.columns if c.startswith("__score")]
             twin = replace(
                 twin, unshuffled=twin.unshuffled.drop(*scores), source=twin.source.drop(*scores),
@@ -364,9 +418,12 @@ def run(
         if stage in stages:
             for t, twin in twins.items():
                 tables[t][stage] = result(spark, t, twin, views.get(t, []), parameters.get(t))
+            for t, made in series.items():
+                values = series_signal(made) if stage == "signal_metrics" else series_privacy(made, parameters.get(t))
+                tables[t][stage] = metric_records(spark, t, STANDALONE, None, values)
     whole = {}
     for stage, meta in (("signal_metrics", "meta_signal_metric"), ("privacy_metrics", "meta_privacy_metric")):
-        found = [tables[t][stage] for t in twins if stage in tables[t]]
+        found = [tables[t][stage] for t in tables if stage in tables[t]]
         if found:
             union = found[0]
             for df in found[1:]:

@@ -215,11 +215,18 @@ def test_lookup_splits_hot_keys(spark, make, monkeypatch, how):
     left = make("g string, v bigint", g=["h"] * 60 + [None] * 30 + [f"k{i % 40}" for i in range(60)],
                 v=list(range(150)))
     right = spark.createDataFrame([("h", 7)] + [(f"k{i}", i) for i in range(30)], "g string, w bigint")
-    assert sizing.hot_keys(left, "g") == ["h"]
+    assert [tuple(r) for r in sizing.hot_keys(left, "g").collect()] == [("h", 3)]
     got, want = sizing.lookup(left, right, "g", how=how), left.join(right, "g", how)
     assert got.exceptAll(want).count() == 0 and got.count() == want.count()
 
 
+def test_wide_rows_are_not_small(spark, monkeypatch):
+    wide = spark.range(50).selectExpr("id", "repeat('x', 1000) as t", "array_repeat(1.0, 10) as a")
+    assert sizing.is_small(wide)
+    monkeypatch.setattr(sizing, "BROADCAST_BYTES", 40_000)
+    assert not sizing.is_small(wide) and sizing.is_small(wide.select("id"))
+
+
 # -- quantiles and ordinals --------------------------------------------------------------------
 
 @pytest.mark.parametrize("values", [

@@ -356,7 +356,7 @@ def test_run_private(iris):
 
 def test_private_rows_keep_means_and_gaps(spark):
     df = spark.range(3000).selectExpr(
-        "id", "case when id % 4 = 0 then null else 50.0 end as x", "case when id % 5 = 0 then null else 'a' end as c")
+        "id", "case when id % 4 = 0 then null else 50.0D end as x", "case when id % 5 = 0 then null else 'a' end as c")
     settings = dict(epsilon=40.0, bounds={"x": (0.0, 100.0)}, modalities={"c": ["a", "b"]})
     plain = private_rows(df, "id", **settings).agg(F.avg("x"), F.count("x"), F.min("x")).first()
     assert plain[0] == pytest.approx(50.0, abs=3) and plain[1] == 3000
@@ -381,6 +381,33 @@ def test_run_series(spark):
     assert out.shuffled("user").count() == users.count()
 
 
+def test_run_two_series_with_all_columns_and_metrics(spark):
+    users = spark.range(40).selectExpr("id as user_id", "cast(id % 7 as double) as x")
+    records = users.selectExpr("user_id", "explode(sequence(0, 5)) as n")
+    one = records.selectExpr("user_id * 10 + n as pk", "user_id", "cast(n as double) as t",
+                             "sin(n) + user_id as v", "cos(n) as w", "if(n > 2, 'late', 'early') as note")
+    two = records.selectExpr("user_id * 10 + n as pk", "user_id", "cast(n * n as double) as t", "n * 1.0D as u")
+    dataset = (
+        DatasetSpec("s").add_table("user", users, primary_key="user_id", individual_level=True)
+        .add_table("one", one, primary_key="pk", foreign_keys=("user_id",), time_series_time="t")
+        .add_table("two", two, primary_key="pk", foreign_keys=("user_id",), time_series_time="t")
+        .add_link("user", "user_id", "one", "user_id", "time_series")
+        .add_link("user", "user_id", "two", "user_id", "time_series")
+    )
+    parameters = ParameterSet().set("user", k=3, ncp=3)
+    for name in ("one", "two"):
+        parameters = parameters.set(name, time_series_nb_points=4, time_series_method="specified", time_series_nf=2)
+    out = run(dataset, parameters, multi_table_metrics=False)
+    rows = out.unshuffled("one")
+    assert rows.columns == ["pk", "user_id", "t", "v", "w", "note", "point"]
+    assert rows.count() == rows.select("pk").distinct().count() == 160
+    assert {r["note"] for r in rows.collect()} <= {"late", "early"}
+    assert out.unshuffled("two").count() == 160
+    for name in ("one", "two"):
+        assert "hellinger_mean" in {r["metric"] for r in out.signal_metrics(name).collect()}
+        assert {"hidden_rate", "local_cloaking", "nndr"} <= {r["metric"] for r in out.privacy_metrics(name).collect()}
+
+
 def test_advice(clinic):
     got = advise_parameters(clinic, ParameterSet(), "patient").get("patient")
     assert (got.k, got.ncp, got.use_categorical_reduction) == (6, 5, False)
