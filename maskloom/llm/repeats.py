@@ -31,7 +31,7 @@ from maskloom.llm.common import as_array, arrow_map, blocks, mix64, need, signed
 from maskloom.llm.sais import permuted_prefixes, suffix_array
 from maskloom.session import materialize
 
-LENGTH, GRAM = 200, 32
+LENGTH, GRAM = 200, 100
 #: Bytes of regions that one suffix array holds, on average.
 SHARD_BYTES = 1 << 20
 #: Kinds of region of one anchor from which its regions are cut.
@@ -260,7 +260,9 @@ def remove_repeats(
     places = materialize(every.join(twice, "h", "left_semi"))
     kind = materialize(places.groupBy("h", "r", "n", "a").agg(
         F.count("*").alias("c"), F.min(F.struct("d", "th", "lo")).alias("rep")))
-    several = kind.groupBy("h").count().where("count > 1").select("h")
+    # kinds found twice are repeated as a whole: only one found once has something to learn
+    several = kind.groupBy("h").agg(F.count("*").alias("kinds"), F.min("c").alias("least")).where(
+        "kinds > 1 AND least = 1").select("h")
     found = sorted_spans(fetch(kind.join(several, "h", "left_semi"), texts, length), length, gram, shard_bytes, kinds)
     whole = kind.where("c > 1").select("h", "r", F.lit(0).alias("first"), F.col("n").alias("last"))
     spans = materialize(whole.unionByName(found)).groupBy("h", "r").agg(

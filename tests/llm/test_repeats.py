@@ -45,7 +45,7 @@ def rows_of(length):
     return rows + [(3, rows[3][1]), (None, base), (None, None), (70, None), (71, ""), (72, rows[5][1])]
 
 
-@pytest.mark.parametrize("length, gram, kinds, shard", [(20, 8, 1000, 1 << 20), (20, 8, 1, 300), (200, 32, 1000, 5000)])
+@pytest.mark.parametrize("length, gram, kinds, shard", [(20, 8, 1000, 1 << 20), (20, 8, 1, 300), (200, 100, 1000, 5000)])
 def test_matches_brute_force(spark, monkeypatch, length, gram, kinds, shard):
     monkeypatch.setattr(repeats, "PIECE", 1000)
     rows = rows_of(length)
