@@ -21,6 +21,8 @@ from maskloom.llm.ngrams import Arrays, array_blocks, codes_of, count_codes, los
 from maskloom.session import materialize
 
 ORDER, BITS = 2, 20
+#: Bytes of token ids whose n-grams are arrays at once, some 25 bytes each.
+BLOCK = 4 << 20
 
 
 def gram_codes(coded: list[bytes], order: int) -> tuple[np.ndarray, np.ndarray]:
@@ -44,7 +46,7 @@ def count_tokens(rows: DataFrame, order: int) -> DataFrame:
 
         for batch in batches:
             coded, good = batch["ids"].to_pylist(), np.array(batch["good"].to_pylist(), bool)
-            for a, b in blocks([len(c) for c in coded]):
+            for a, b in blocks([len(c) for c in coded], BLOCK):
                 codes, _ = gram_codes(coded[a:b], order)
                 if len(codes):
                     waiting.append(count_codes(codes, np.repeat(good[a:b], [len(c) // 4 for c in coded[a:b]])))
@@ -92,7 +94,7 @@ def cross_entropy_difference(
             arrays = Arrays(shipped.value)
             for batch in batches:
                 every = batch["ids"].to_pylist()
-                for a, b in blocks([len(c) for c in every]):
+                for a, b in blocks([len(c) for c in every], BLOCK):
                     codes, starts = gram_codes(every[a:b], order)
                     total = np.zeros((b - a, 2))
                     if len(codes):

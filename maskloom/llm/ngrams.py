@@ -12,6 +12,7 @@ from __future__ import annotations
 from functools import reduce
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,8 +21,8 @@ from maskloom.session import materialize
 
 #: Discounts where a table is too small to estimate them.
 PLAIN = (0.5, 1.0, 1.5)
-#: Entries of a broadcast block of losses (12 bytes each); a larger table is looked up block by block.
-BLOCK_ENTRIES = 12_000_000
+#: Entries of a broadcast block of losses (about 24 bytes each); a larger table is looked up block by block.
+BLOCK_ENTRIES = 4_000_000
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -147,7 +148,8 @@ class Arrays:
     def __init__(self, of: dict | None = None) -> None:
         self.of = {} if of is None else of
 
-    def fill(self, groups: np.ndarray, codes: np.ndarray, values: np.ndarray) -> Arrays:
+    def fill(self, groups: np.ndarray, codes: np.ndarray, values: np.ndarray, of: list | None = None) -> Arrays:
+        """``groups`` are names, or numbers of the names in ``of``."""
         order = np.argsort(groups, kind="stable")
         groups, codes, values = groups[order], codes[order], values[order]
         names, starts = np.unique(groups, return_index=True) if len(groups) else ([], [])
@@ -157,7 +159,7 @@ class Arrays:
             keys = keys[at]
             lead = max(1, int(b - a).bit_length())
             index = np.searchsorted(keys >> np.uint64(64 - lead), np.arange(1 << lead, dtype=np.uint64))
-            self.of[str(name)] = (keys, index.astype(np.int32), np.uint64(64 - lead),
+            self.of[str(of[name] if of else name)] = (keys, index.astype(np.int32), np.uint64(64 - lead),
                                   values[a:b][at].astype(np.float32))
         return self
 
@@ -197,9 +199,11 @@ def array_blocks(table: DataFrame, *columns: str):
         rows = table if parts == 1 else table.where(F.pmod(F.xxhash64("code"), F.lit(parts)) == part)
         got = rows.select("g", "code", *[F.col(c).cast("float") for c in columns]).toArrow()
         values = np.stack([got.column(c).to_numpy() for c in columns], 1)
-        yield Arrays().fill(np.array(got.column("g").to_pylist(), dtype=object).astype(str),
-                            got.column("code").to_numpy().view(np.uint64),
-                            values[:, 0] if len(columns) == 1 else values)
+        names = got.column("g").combine_chunks().dictionary_encode()
+        if isinstance(names, pa.ChunkedArray):
+            names = names.combine_chunks()
+        yield Arrays().fill(names.indices.to_numpy(), got.column("code").to_numpy().view(np.uint64),
+                            values[:, 0] if len(columns) == 1 else values, names.dictionary.to_pylist())
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -26,6 +26,8 @@ from maskloom.session import materialize
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = b"#*$%&|<>"
 ORDER, BITS = 5, 9
+#: Bytes of text whose n-grams are arrays at once, some 100 bytes each.
+BLOCK = 1 << 20
 WINDOW = 5
 
 
@@ -117,7 +119,7 @@ def count_bytes(rows: DataFrame) -> DataFrame:
         for batch in batches:
             groups, good = batch["g"].to_pylist(), np.array(batch["good"].to_pylist(), bool)
             texts = batch["t"].cast(pa.binary()).to_pylist()
-            for a, b in blocks([len(t) for t in texts]):
+            for a, b in blocks([len(t) for t in texts], BLOCK):
                 for group in dict.fromkeys(groups[a:b]):
                     rows = [i for i in range(a, b) if groups[i] == group and texts[i]]
                     if not rows:
@@ -174,7 +176,7 @@ def judge(
             for batch in batches:
                 groups = batch["g"].to_pylist()
                 every = batch["t"].cast(pa.binary()).to_pylist()
-                for a, b in blocks([len(t) for t in every]):
+                for a, b in blocks([len(t) for t in every], BLOCK):
                     texts = every[a:b]
                     total = np.zeros(b - a)
                     for group in dict.fromkeys(groups[a:b]):
