@@ -212,7 +212,7 @@ def repeated_windows(shard: pa.Table, length: int) -> pa.Table:
 
 def sorted_spans(regions: DataFrame, length: int, gram: int, shard_bytes: int, kinds: int) -> DataFrame:
     """Runs of repeated windows (h, r, first, last) of regions whose anchors have several kinds."""
-    done, alone, level = [], None, 0
+    regions, done, alone, level = materialize(regions), [], None, 0
     while True:
         sizes = regions.groupBy("key").agg(F.count("*").alias("c"))
         several = regions.join(sizes.where("c > 1"), "key")
