@@ -340,3 +340,16 @@ select bin, {sr("bin * ((b - a) / 20.0) + a")} as lower,
 def r22(spark, sf):
     out = histogram(table(spark, sf, "events"), "value", 20)
     return out.withColumns({"lower": r("lower"), "upper": r("upper")})
+
+
+@suite.add("r19_analytic_with_nulls", """
+with e as (select event_id, user_id, ts, case when event_id % 7 < 3 then null else cast(round(value * 100) as bigint) end as v
+           from events)
+select event_id, sum(v) over (order by ts, event_id rows unbounded preceding) as running from e""")
+def r19b(spark, sf):
+    from maskloom.operators.scan import scan
+
+    v = F.when(F.col("event_id") % 7 >= 3, F.round(F.col("value") * 100).cast("bigint"))
+    df = table(spark, sf, "events").select("event_id", "ts", v.alias("v"), F.lit(1).alias("g"))
+    out = scan(df, ["g"], ["ts", "event_id"], cumsum={"running": "v"}, max_group_rows=1000)
+    return out.select("event_id", "running")

@@ -208,6 +208,22 @@ def a09(spark, sf):
     return out.withColumn("distance", r("distance"))
 
 
+@suite.add("a09_nearest_by_partition", f"""
+with q as (select c_custkey as id, c_acctbal / 40.0 as x, c_nationkey * 10.0 as y from customer),
+     d as (select o_orderkey as id, o_totalprice / 1000.0 as x, day(o_orderdate) * 8.0 as y from orders),
+     p as (select q.id as query_id, d.id as neighbor_id, (q.x - d.x) * (q.x - d.x) + (q.y - d.y) * (q.y - d.y) as d2
+           from q, d),
+     n as (select *, row_number() over (partition by query_id order by d2, neighbor_id) as rk from p)
+select query_id, neighbor_id, {sr('sqrt(d2)')} as distance, cast(rk as int) as rank from n where rk <= 5""")
+def a09c(spark, sf):
+    q = table(spark, sf, "customer").select(F.col("c_custkey").alias("id"), F.array(
+        F.col("c_acctbal") / 40.0, F.col("c_nationkey") * F.lit(10.0)).alias("features"))
+    d = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.array(
+        F.col("o_totalprice") / 1000.0, F.day("o_orderdate") * F.lit(8.0)).alias("features"))
+    out = nearest(q, d, 5, query_key="id", candidate_key="id", small=0)
+    return out.withColumn("distance", r("distance"))
+
+
 @suite.add("a09_nearest_embeddings", """
 with e as (select vec_id as id, embedding::double[] as x from embeddings),
      n as (select q.id as query_id, d.id as neighbor_id,

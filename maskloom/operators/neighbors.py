@@ -247,11 +247,13 @@ def nearest(
     query_vector: str = "features",
     candidate_vector: str = "features",
     exclude_self: bool = False,
+    small: int | None = None,
 ) -> DataFrame:
     """(query_id, neighbor_id, distance, rank): the ``k`` nearest candidates of every query.
 
     Ties go to the smaller key. ``exclude_self`` drops the candidate with the query's own key.
-    Fails when there are fewer than ``k`` candidates to choose from.
+    Fails when there are fewer than ``k`` candidates to choose from. Up to ``small`` candidates are
+    compared without the partition; both ways give the same rows.
     """
     queries = _prepare(queries, query_key, query_vector, "qid")
     candidates = _prepare(candidates, candidate_key, candidate_vector, "cid")
@@ -268,7 +270,7 @@ def nearest(
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         return _top(left, right, k, exclude_self, out_type)
 
-    if total <= SMALL_CANDIDATES:
+    if total <= (SMALL_CANDIDATES if small is None else small):
         rows = queries.count()
         if rows <= SMALL_QUERIES:
             free = queries.withColumn("r2", F.lit(float("inf")))

@@ -18,7 +18,8 @@ class PerturbationProcessor:
     """``level`` 0 gives the source back, 1 keeps the synthetic value.
 
     Numbers move linearly; categories are taken from the synthetic row with probability ``level``.
-    Source and synthetic rows are matched on ``row_key``.
+    Source and synthetic rows are matched on ``row_key``; synthetic rows without a source row stay as they
+    are.
     """
 
     row_key: str
@@ -39,15 +40,17 @@ class PerturbationProcessor:
         levels = {c: v for c, v in levels.items() if v != 1.0}
         if not levels:
             return dest
-        twin = source.select(col(self.row_key), *[col(c).alias(f"__src_{c}") for c in levels])
-        joined = dest.join(twin, self.row_key, "inner")
+        twin = source.select(col(self.row_key), *[col(c).alias(f"__src_{c}") for c in levels],
+                             F.lit(True).alias("__twin"))
+        joined = dest.join(twin, self.row_key, "left")
         numbers = {f.name for f in dest.schema.fields if is_number(f)}
         columns = {}
         for c, level in levels.items():
             before, after = col(f"__src_{c}"), col(c)
             if c in numbers:
-                columns[c] = before + (after - before) * F.lit(float(level))
+                value = before + (after - before) * F.lit(float(level))
             else:
                 drawn = uniform(self.seed, f"perturb:{c}", col(self.row_key)) < F.lit(float(level))
-                columns[c] = F.when(drawn, after).otherwise(before)
+                value = F.when(drawn, after).otherwise(before)
+            columns[c] = F.when(col("__twin"), value).otherwise(after)
         return joined.withColumns(columns).select(*map(col, dest.columns))

@@ -56,6 +56,19 @@ def shared_folder(spark: SparkSession) -> str:
     raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can read")
 
 
+#: Sub-folder of this process's intermediate tables.
+RUN = f"maskloom-{uuid.uuid4().hex}"
+
+
+def drop_intermediate(spark: SparkSession) -> bool:
+    """Delete all intermediate tables of this process; results that still read them become unusable.
+
+    To be called when everything of a run has been written. True if there was something to delete.
+    """
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark).rstrip('/')}/{RUN}")
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once as parquet in the shared folder and return a scan of it.
 
@@ -63,6 +76,6 @@ def materialize(df: DataFrame) -> DataFrame:
     of any executor.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark).rstrip('/')}/maskloom-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/{RUN}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
