@@ -26,7 +26,7 @@ from maskloom.llm.common import arrow_map, blocks
 
 INFINITE = np.iinfo(np.int64).max
 #: Pieces that a task remembers before it starts anew; bounds memory, not results.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 #: Single marks that are a pretoken of their own after letters.
 MARKS = ".,;:!?"
 #: White space of the Unicode property; Python's own notion has four control characters more.

@@ -31,6 +31,22 @@ def schema_of(text: str) -> StructType:
     return _parse_datatype_string(text)
 
 
+#: Bytes of an Arrow batch: what a Python worker holds in several copies at once.
+BATCH_BYTES = 8 << 20
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's limit of bytes in an Arrow batch to ``BATCH_BYTES`` where it is higher.
+
+    The default of 64 MB, in several copies and workers, is more than a small executor has to spare.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name, None) or ""
+    digits = now[:-1] if now[-1:] == "b" else now
+    if not digits.isdigit() or int(digits) > BATCH_BYTES:
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
 def arrow_map(df: DataFrame, work: Callable[[Iterator[dict]], Iterator[dict]], schema: str) -> DataFrame:
     """``mapInArrow`` with columns as Arrow arrays by name, in and out.
 
@@ -38,6 +54,7 @@ def arrow_map(df: DataFrame, work: Callable[[Iterator[dict]], Iterator[dict]], s
     bytes by the session's Arrow settings.
     """
     target = to_arrow_schema(schema_of(schema))
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         columns = ({n: b.column(i) for i, n in enumerate(b.schema.names)} for b in batches)

@@ -35,7 +35,7 @@ class Hashes(dict):
     """64-bit hash of each word, remembered."""
 
     def __missing__(self, word: bytes) -> int:
-        if len(self) > 1_000_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
