@@ -3,7 +3,8 @@
 The model is a byte n-gram model of each language. All texts are counted; the probabilities come from
 the texts marked as good in ``reference`` (all texts if no mark is there), as a model of good text makes
 unlike text improbable. The bands are robust: the median of all texts that pass the base rules, plus
-and minus multiples of the median deviation, wider for short texts.
+and minus multiples of the median deviation, wider for short texts. Model and bands count copies of a
+text once, so that a text with many copies does not decide them.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from maskloom.llm.common import arrow_map, blocks, mix64, small_side
+from maskloom.llm.common import arrow_map, blocks, mix64, small_side, text_key
 from maskloom.llm.ngrams import (
     BLOCK_ENTRIES, Arrays, array_blocks, codes_of, count_codes, losses, merge_counts,
     union_all,
@@ -137,6 +138,17 @@ def count_bytes(rows: DataFrame) -> DataFrame:
     return counted.groupBy("g", "code").agg(F.sum("n").alias("n"), F.sum("m").alias("m"))
 
 
+def distinct_texts(marked: DataFrame) -> DataFrame:
+    """Each text of a language ``g`` once, ``good`` if one of its copies is; only texts with copies are shuffled."""
+    same = ["g", "th"]
+    often = materialize(marked.groupBy(*same).count().where("count > 1").select(*same))
+    often = small_side(often, 32)
+    once = marked.join(often, same, "left_anti")
+    copies = marked.join(often, same, "left_semi").groupBy(*same).agg(
+        F.first("t").alias("t"), F.max("good").alias("good"))
+    return once.unionByName(copies).select("g", "t", "good")
+
+
 def judge(
     docs: DataFrame, reference: DataFrame | None, keep: tuple[str, ...], least_words: int, most_repeated: int,
     upper: float, lower: float, least_spread: float,
@@ -148,21 +160,18 @@ def judge(
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("g"),
         F.struct(*[F.col(c) for c in keep]).alias("o") if keep
         else F.lit(None).cast("string").alias("o"))
-    good = None
-    if reference is not None:
-        good = reference.select(F.col("doc_id").cast("long").alias("d")).where("d is not null").distinct()
-        if not good.take(1):
-            good = None
-    if good is None:
-        marked = rows.withColumn("good", F.lit(True))
+    rows = rows.withColumn("th", text_key("t"))
+    if reference is None:
+        marked = rows.withColumn("good", F.lit(False))
     else:
+        good = reference.select(F.col("doc_id").cast("long").alias("d")).where("d is not null").distinct()
         marked = rows.join(small_side(good.withColumn("mark", F.lit(True)), 16), "d", "left").withColumn(
             "good", F.coalesce("mark", F.lit(False)))
-    counts = materialize(count_bytes(marked.select("g", "t", "good")))
+    counts = materialize(count_bytes(distinct_texts(marked.select("g", "th", "t", "good"))))
     table = materialize(losses(counts, ORDER, BITS, "m"))
     other_type = rows.schema["o"].dataType.simpleString()
     stats = ", ".join(f"{s} long" for s in STATS)
-    schema = f"d long, g string, o {other_type}, r long, {stats}, n_bytes long, total double"
+    schema = f"d long, g string, th long, o {other_type}, r long, {stats}, n_bytes long, total double"
     if table.count() > BLOCK_ENTRIES:  # rows are scored block by block and need a name that stays
         rows = materialize(rows.withColumn("r", F.monotonically_increasing_id()))
     else:
@@ -184,7 +193,7 @@ def judge(
                         if own:
                             codes, starts = byte_codes([texts[i] for i in own])
                             total[own] = np.add.reduceat(arrays.get(group, codes).astype(np.float64), starts)
-                    part = {c: batch[c].slice(a, b - a) for c in ("d", "g", "o", "r")}
+                    part = {c: batch[c].slice(a, b - a) for c in ("d", "g", "th", "o", "r")}
                     yield part | statistics(texts, known) | {
                         "n_bytes": [len(t) for t in texts], "total": total}
 
@@ -193,12 +202,13 @@ def judge(
     parts = [scored(arrays) for arrays in array_blocks(table, "loss")]
     whole = parts[0]
     if len(parts) > 1:
-        same = [F.first(c).alias(c) for c in ("d", "g", "o", *STATS, "n_bytes")]
+        same = [F.first(c).alias(c) for c in ("d", "g", "th", "o", *STATS, "n_bytes")]
         whole = union_all(parts).groupBy("r").agg(*same, F.sum("total").alias("total"))
     base = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     whole = materialize(whole.withColumn("base_failed", base).withColumn(
         "loss", F.try_divide("total", "n_bytes")))
-    sound = whole.where(~F.col("base_failed")).select("g", "loss", "n_bytes")
+    sound = materialize(whole.where(~F.col("base_failed")).groupBy("g", "th").agg(
+        F.first("loss").alias("loss"), F.first("n_bytes").alias("n_bytes")))
     middle = sound.groupBy("g").agg(F.percentile_approx("loss", 0.5, 10_000).alias("m"),
         F.percentile_approx("n_bytes", 0.5, 10_000).alias("length"))
     spread = sound.join(middle, "g").groupBy("g").agg(F.percentile_approx(F.abs(F.col("loss") - F.col("m")), 0.5, 10_000).alias("s"))
@@ -225,7 +235,8 @@ def quality_rules(
     n_words. ``kept`` is false if base_failed or if the loss is more than ``upper`` spreads above or
     ``lower`` spreads below the median of its language, a spread being the median deviation (at least
     ``least_spread``) times the square root of median length / own length where that is more than 1.
-    A null text counts as empty; a null language is a language of its own; repeated rows count each.
+    Model, medians and deviations are of the distinct texts of a language (a text is good if one of its
+    copies is); every row is scored. A null text counts as empty; a null language is a language of its own.
     """
     judged = judge(docs, reference, (), least_words, most_repeated, upper, lower, least_spread)
     return judged.select(F.col("d").alias("doc_id"), *STATS, "base_failed", "loss", "kept")

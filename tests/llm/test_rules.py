@@ -70,3 +70,13 @@ def test_losses_in_blocks_are_the_same(spark, monkeypatch):
     monkeypatch.setattr(ngrams, "BLOCK_ENTRIES", 700)
     monkeypatch.setattr(rules, "BLOCK_ENTRIES", 700)
     assert rows() == one
+
+
+def test_a_majority_of_labelled_copies_does_not_move_the_band(spark):
+    good, _, _ = rows_of()
+    clean = good[:60]
+    copies = [(5000 + i, sentence(random.Random(8), 90), "en") for i in range(200)]
+    df = spark.createDataFrame(clean + copies + copies[:5], "doc_id bigint, text string, lang string")
+    reference = spark.createDataFrame([(i,) for i in [*range(0, 60, 2), *range(5000, 5080)]], "doc_id bigint")
+    got = quality_rules(df, reference=reference).select("doc_id", "kept").collect()
+    assert len(got) == 265 and all(r.kept for r in got)
