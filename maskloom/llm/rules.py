@@ -1,7 +1,7 @@
 """Quality rules: counts per text, and perplexity bands of a modified Kneser-Ney model per language.
 
 The model is a byte n-gram model of each language. All texts are counted; the probabilities come from
-the texts marked as good in ``reference`` (all texts if no mark is there), as a model of good text makes
+the texts marked as good in ``reference`` (all texts of a language without any mark), as a model of good text makes
 unlike text improbable. The bands are robust: the median of all texts that pass the base rules, plus
 and minus multiples of the median deviation, wider for short texts. Model and bands count copies of a
 text once, so that a text with many copies does not decide them.
@@ -168,6 +168,9 @@ def judge(
         marked = rows.join(small_side(good.withColumn("mark", F.lit(True)), 16), "d", "left").withColumn(
             "good", F.coalesce("mark", F.lit(False)))
     counts = materialize(count_bytes(distinct_texts(marked.select("g", "th", "t", "good"))))
+    labelled = counts.groupBy("g").agg((F.sum("m") > 0).alias("labelled"))
+    counts = counts.join(small_side(labelled, 32), "g").withColumn(
+        "m", F.when(F.col("labelled"), F.col("m")).otherwise(F.col("n"))).drop("labelled")
     table = materialize(losses(counts, ORDER, BITS, "m"))
     other_type = rows.schema["o"].dataType.simpleString()
     stats = ", ".join(f"{s} long" for s in STATS)
@@ -227,7 +230,7 @@ def quality_rules(
     r"""Judge each whole text by base counts and by its perplexity under the model of its language.
 
     ``docs`` needs ``doc_id``, ``text`` and ``lang``; ``reference`` has the ``doc_id`` of texts known to be
-    good (null or absent ids are ignored). Words are ``[^\x20\x09-\x0D]+``. Returns one row per input
+    good (null or absent ids are ignored); a language in which no text is good takes all its texts as good. Words are ``[^\x20\x09-\x0D]+``. Returns one row per input
     row: doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, loss (mean
     natural loss of a byte, null without bytes) and kept; other columns are left out.
 

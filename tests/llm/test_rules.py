@@ -80,3 +80,16 @@ def test_a_majority_of_labelled_copies_does_not_move_the_band(spark):
     reference = spark.createDataFrame([(i,) for i in [*range(0, 60, 2), *range(5000, 5080)]], "doc_id bigint")
     got = quality_rules(df, reference=reference).select("doc_id", "kept").collect()
     assert len(got) == 265 and all(r.kept for r in got)
+
+
+def test_a_language_without_labels_has_a_model_of_all_its_texts(spark):
+    good, junk, _ = rows_of()
+    rng = random.Random(4)
+    french = [(3000 + i, sentence(rng, rng.randint(12, 120)), "fr") for i in range(100)]
+    null = [(4000 + i, sentence(rng, rng.randint(12, 120)), None) for i in range(100)]
+    bad = [(6000, junk[0][1], "fr"), (6001, junk[1][1], None)]
+    df = spark.createDataFrame(good + french + null + bad, "doc_id bigint, text string, lang string")
+    reference = spark.createDataFrame([(i,) for i in range(0, 150, 2)], "doc_id bigint")
+    got = {r.doc_id: r for r in quality_rules(df, reference=reference).collect()}
+    assert {d for d, r in got.items() if not r.kept} == {6000, 6001}
+    assert len({round(got[d].loss, 6) for d, *_ in french}) > 50
