@@ -30,6 +30,8 @@ ORDER, BITS = 5, 9
 #: Bytes of text whose n-grams are arrays at once, some 100 bytes each.
 BLOCK = 1 << 20
 WINDOW = 5
+#: The lower limit: so many times the spreads of which good texts lie below by this share, and this at least.
+LOW_SHARE, LOW_MARGIN, LOW_LEAST = 0.01, 2.5, 5.0
 
 
 class Hashes(dict):
@@ -161,12 +163,10 @@ def judge(
         F.struct(*[F.col(c) for c in keep]).alias("o") if keep
         else F.lit(None).cast("string").alias("o"))
     rows = rows.withColumn("th", text_key("t"))
-    if reference is None:
-        marked = rows.withColumn("good", F.lit(False))
-    else:
-        good = reference.select(F.col("doc_id").cast("long").alias("d")).where("d is not null").distinct()
-        marked = rows.join(small_side(good.withColumn("mark", F.lit(True)), 16), "d", "left").withColumn(
-            "good", F.coalesce("mark", F.lit(False)))
+    good = spark.createDataFrame([], "d long") if reference is None else reference.select(
+        F.col("doc_id").cast("long").alias("d")).where("d is not null").distinct()
+    good = small_side(good.withColumn("mark", F.lit(True)), 16)
+    marked = rows.join(good, "d", "left").withColumn("good", F.coalesce("mark", F.lit(False)))
     counts = materialize(count_bytes(distinct_texts(marked.select("g", "th", "t", "good"))))
     labelled = counts.groupBy("g").agg((F.sum("m") > 0).alias("labelled"))
     counts = counts.join(small_side(labelled, 32), "g").withColumn(
@@ -209,16 +209,23 @@ def judge(
         whole = union_all(parts).groupBy("r").agg(*same, F.sum("total").alias("total"))
     base = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     whole = materialize(whole.withColumn("base_failed", base).withColumn(
-        "loss", F.try_divide("total", "n_bytes")))
+        "loss", F.try_divide("total", "n_bytes")).join(good, "d", "left").withColumn(
+            "good", F.coalesce("mark", F.lit(False))).drop("mark"))
     sound = materialize(whole.where(~F.col("base_failed")).groupBy("g", "th").agg(
-        F.first("loss").alias("loss"), F.first("n_bytes").alias("n_bytes")))
+        F.first("loss").alias("loss"), F.first("n_bytes").alias("n_bytes"), F.max("good").alias("good")))
     middle = sound.groupBy("g").agg(F.percentile_approx("loss", 0.5, 10_000).alias("m"),
         F.percentile_approx("n_bytes", 0.5, 10_000).alias("length"))
     spread = sound.join(middle, "g").groupBy("g").agg(F.percentile_approx(F.abs(F.col("loss") - F.col("m")), 0.5, 10_000).alias("s"))
     bands = middle.join(spread, "g").select(
         "g", "m", "length", F.greatest(1.4826 * F.col("s"), F.lit(least_spread)).alias("s"))
     wide = F.greatest(F.lit(1.0), F.sqrt(F.try_divide("length", "n_bytes"))) * F.col("s")
-    inside = (F.col("loss") <= F.col("m") + upper * wide) & (F.col("loss") >= F.col("m") - lower * wide)
+    low = F.percentile_approx((F.col("m") - F.col("loss")) / wide, 1 - LOW_SHARE, 10_000)
+    good_low = F.percentile_approx(
+        F.when(F.col("good"), (F.col("m") - F.col("loss")) / wide), 1 - LOW_SHARE, 10_000)
+    below = sound.join(bands, "g").groupBy("g").agg(F.coalesce(good_low, low).alias("low"))
+    bands = bands.join(below, "g").withColumn(
+        "below", F.least(F.lit(lower), F.greatest(F.lit(LOW_LEAST), LOW_MARGIN * F.col("low"))))
+    inside = (F.col("loss") <= F.col("m") + upper * wide) & (F.col("loss") >= F.col("m") - F.col("below") * wide)
     return whole.join(bands, "g", "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
 
@@ -236,8 +243,10 @@ def quality_rules(
 
     ``base_failed``: fewer than ``least_words`` words, or 100 * n_repeat_words > ``most_repeated`` *
     n_words. ``kept`` is false if base_failed or if the loss is more than ``upper`` spreads above or
-    ``lower`` spreads below the median of its language, a spread being the median deviation (at least
+    ``below`` spreads below the median of its language, a spread being the median deviation (at least
     ``least_spread``) times the square root of median length / own length where that is more than 1.
+    ``below`` is measured: 2.5 times the spreads by which the lowest hundredth of the good texts (of all in a
+    language without good ones) lies below, between 5 and ``lower``.
     Model, medians and deviations are of the distinct texts of a language (a text is good if one of its
     copies is); every row is scored. A null text counts as empty; a null language is a language of its own.
     """

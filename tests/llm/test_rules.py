@@ -93,3 +93,18 @@ def test_a_language_without_labels_has_a_model_of_all_its_texts(spark):
     got = {r.doc_id: r for r in quality_rules(df, reference=reference).collect()}
     assert {d for d, r in got.items() if not r.kept} == {6000, 6001}
     assert len({round(got[d].loss, 6) for d, *_ in french}) > 50
+
+
+def test_too_predictable_text_goes(spark):
+    rng = random.Random(9)
+    word = lambda n: "".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=n))
+    common = [word(10) for _ in range(30)]
+    text = lambda n: " ".join(rng.choice(common) if rng.random() < 0.4 else word(rng.randint(3, 9)) for _ in range(n))
+    good = [(i, text(rng.randint(60, 120)), "en") for i in range(200)]
+    dull = (900, " ".join(rng.choices(common, k=300)), "en")
+    df = spark.createDataFrame([*good, dull], "doc_id bigint, text string, lang string")
+    reference = spark.createDataFrame([(i,) for i in range(200)], "doc_id bigint")
+    for labels in (reference, None):
+        got = {r.doc_id: r for r in quality_rules(df, reference=labels).collect()}
+        assert not got[900].base_failed
+        assert {d for d, r in got.items() if not r.kept} == {900}
