@@ -6,7 +6,8 @@ do not open a sentence) replaced as well; the first finds copies that lost their
 copies with other names. Windows of tokens are hashed and hash-joined with the windows of the benchmark.
 Windows of a document and an item that lie on one diagonal are then aligned token by token: the values
 behind placeholders must map one to one (the same number in the item is always the same number in the
-document, and the other way round).
+document, and the other way round). A window with a pair of values that another pair contradicts as often
+or more often does not count, unless its tokens are the same in both.
 """
 
 from __future__ import annotations
@@ -68,7 +69,7 @@ def find_leaks(
     ``docs`` needs ``doc_id`` and ``text``, ``benchmark`` needs ``item_id`` and ``text``. One row per
     document and item found: doc_id, th (hash of the text), item_id, n_windows (windows of ``width`` tokens of
     the item found on consistent diagonals), coverage (their share of the item's windows, at least
-    ``least``), n_slots (placeholder positions compared) and n_changed (those whose values differ).
+    ``least``), n_slots (placeholder positions in matched windows) and n_changed (those whose values differ).
 
     Hash-joined are all windows of ``width - stride + 1`` tokens of the items with every ``stride``-th one
     of the documents, of which each window of ``width`` tokens holds one. Items with fewer than ``width``
@@ -107,18 +108,35 @@ def find_leaks(
         .join(small_side(items, 4096), "k"))
     same = F.expr("transform(plain, (p, i) -> coalesce(p = get(dplain, i + diagonal) "
                   "OR typed[i] = get(dtyped, i + diagonal), false))")
-    slots = F.expr(f"""filter(transform(plain, (p, i) -> struct(
+    exact = F.expr("transform(v, (w, i) -> coalesce(w = get(dv, i + diagonal), false))")
+    kind = F.expr(f"""transform(plain, (p, i) ->
           CASE WHEN p = get(dplain, i + diagonal) AND p IN ('{NUMBER}', '{UNIT}') THEN p
                WHEN typed[i] = '{NAME}' AND (typed[i] = get(dtyped, i + diagonal) OR p = get(dplain, i + diagonal))
-               THEN '{NAME}' END AS kind,
-          v[i] AS a, get(dv, i + diagonal) AS b)), s -> s.kind IS NOT NULL)""")
-    windows_found = F.expr(f"size(filter(sequence(0, total - 1), i -> NOT array_contains(slice(m, i + 1, {width}), false)))")
-    judged = aligned.select("d", "th", "k", "item_id", "total", same.alias("m"), slots.alias("s")).where(
-        "size(array_distinct(s)) = size(array_distinct(transform(s, x -> struct(x.kind, x.a)))) AND "
-        "size(array_distinct(s)) = size(array_distinct(transform(s, x -> struct(x.kind, x.b))))")
-    found = judged.withColumn("n", windows_found).where("n > 0").groupBy("d", "th", "k", "item_id").agg(
-        F.sum("n").alias("n_windows"), F.first("total").alias("total"), F.sum(F.size("s")).alias("n_slots"),
-        F.sum(F.expr("size(filter(s, x -> x.a <> x.b))")).alias("n_changed"))
+               THEN '{NAME}' END)""")
+    judged = aligned.select("d", "th", "k", "item_id", "total", "v", "dv", "diagonal", same.alias("m"),
+                            exact.alias("e"), kind.alias("kind"))
+    steps = {
+        "w": f"transform(sequence(0, total - 1), i -> NOT array_contains(slice(m, i + 1, {width}), false))",
+        # slots count where a matched window holds them
+        "s": f"""transform(kind, (t, i) -> CASE WHEN t IS NOT NULL AND array_contains(
+              slice(w, greatest(i - {width - 1}, 0) + 1, least(i, {width - 1}) + 1), true)
+              THEN struct(t AS kind, v[i] AS a, get(dv, i + diagonal) AS b) END)""",
+        "held": "filter(s, x -> x IS NOT NULL)",
+        "pairs": "transform(array_distinct(held), p -> struct(p AS p, size(filter(held, q -> q = p)) AS n))",
+        # pairs that another pair with one of their values equals or outnumbers
+        "odd": """transform(filter(pairs, x -> exists(pairs, y -> y.p <> x.p AND y.p.kind = x.p.kind
+              AND (y.p.a = x.p.a OR y.p.b = x.p.b) AND y.n >= x.n)), x -> x.p)""",
+        "bad": "transform(s, x -> coalesce(array_contains(odd, x), false))",
+        "n": f"""size(filter(sequence(0, total - 1), i -> w[i] AND (NOT array_contains(slice(e, i + 1, {width}), false)
+              OR NOT array_contains(slice(bad, i + 1, {width}), true))))""",
+    }
+    for name, text in steps.items():
+        if name in ("w", "s", "pairs", "bad", "n"):  # stored, or the optimiser puts it into the loops of the next
+            judged = materialize(judged)
+        judged = judged.withColumn(name, F.expr(text))
+    found = materialize(judged).where("n > 0").groupBy("d", "th", "k", "item_id").agg(
+        F.sum("n").alias("n_windows"), F.first("total").alias("total"), F.sum(F.size("held")).alias("n_slots"),
+        F.sum(F.expr("size(filter(held, x -> x.a <> x.b))")).alias("n_changed"))
     found = found.select(
         F.col("d").alias("doc_id"), "th", "item_id", F.least("n_windows", "total").cast("long").alias("n_windows"),
         F.least(F.col("n_windows") / F.col("total"), F.lit(1.0)).alias("coverage"),

@@ -39,3 +39,17 @@ def test_empty_tables(spark):
     assert find_leaks(docs.limit(0), bench).collect() == []
     assert find_leaks(docs, bench.limit(0)).collect() == []
     assert without_leaks(docs, bench.limit(0)).count() == 1
+
+
+NAMES = ("In New York the train for New Jersey waits until noon while people from New Haven read about the bridge to "
+         "New London and its old keeper")
+GERMAN = ("Der Bauer trug am Morgen einen Korb mit vielen Eiern in das Dorf und stellte dort den Korb vor die Tür "
+          "seiner Tante, die noch schlief und von den Hühnern im Hof träumte")
+
+
+def test_one_contradicted_value_spoils_only_its_windows(spark):
+    bench = spark.createDataFrame([(1, NAMES), (2, GERMAN), (3, ITEM)], "item_id bigint, text string")
+    rows = [(1, PAD + NAMES.replace("people", "many people")), (2, PAD + GERMAN.replace("den Korb", "den Sack")),
+            (3, PAD + ITEM.replace("gave 3", "gave 9")), (4, PAD)]
+    got = {(r.doc_id, r.item_id): r.coverage for r in find_leaks(frame(spark, rows), bench).collect()}
+    assert set(got) == {(1, 1), (2, 2), (3, 3)} and all(0.5 <= c < 1 for c in got.values())
