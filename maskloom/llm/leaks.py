@@ -1,9 +1,10 @@
 """Benchmark decontamination by templates: questions are found again when numbers, names or units change.
 
-DataFrame and SQL functions only. A text becomes two aligned arrays of tokens: its words in lower case
-with numbers and units replaced by typed placeholders, and the same with names (capitalised words that
-do not open a sentence) replaced as well; the first finds copies that lost their capitals, the second
-copies with other names. Windows of tokens are hashed and hash-joined with the windows of the benchmark.
+DataFrame and SQL functions only. A text becomes three aligned arrays of tokens: its words in lower case
+with numbers and units replaced by typed placeholders, and the same with names replaced as well, once
+capitalised words that do not open a sentence and once all capitalised words; the first finds copies that
+lost their capitals, the others copies with other names. Scripts without capitals have no names, and a
+letter of a script without spaces is a token. Windows of tokens are hashed and hash-joined with the windows of the benchmark.
 Windows of a document and an item that lie on one diagonal are then aligned token by token: the values
 behind placeholders must map one to one (the same number in the item is always the same number in the
 document, and the other way round). A window with a pair of values that another pair contradicts as often
@@ -27,53 +28,74 @@ UNITS = (
 ).split()
 NUMBER, UNIT, NAME = "<number>", "<unit>", "<name>"
 #: A number or word, with the end of the sentence before it where there is one.
+LETTERS = r"[\p{L}\p{M}]++"
 TOKEN = r"(?:[.!?\n][^\p{L}\p{N}]*+)?(?:[0-9]++(?:[.,][0-9]++)*+|[\p{L}\p{M}]++)"
+#: Scripts without spaces (Thai, Lao, Burmese, Khmer, Japanese, Chinese): one letter is a token.
+RANGES = (r"\x{e00}-\x{eff}\x{1000}-\x{109f}\x{1780}-\x{17ff}\x{3040}-\x{30ff}\x{3400}-\x{4dbf}\x{4e00}-\x{9fff}"
+          r"\x{f900}-\x{faff}\x{20000}-\x{3ffff}")
+
+
+SPACELESS = rf"[{RANGES}]".replace("\\", "\\\\")
+EITHER = rf"[{RANGES}&&[\p{{L}}]]\p{{M}}*+|[\p{{L}}\p{{M}}&&[^{RANGES}]]++".replace("\\", "\\\\")
+LETTERS = LETTERS.replace("\\", "\\\\")
 
 
 def templates(texts: DataFrame, *keys: str, values: bool = False) -> DataFrame:
-    """``plain`` and ``typed`` (templates) and with ``values`` also ``v`` (tokens), aligned, of column ``t``."""
+    """``plain``, ``typed`` and ``opened`` (templates) and with ``values`` also ``v`` (tokens), aligned, of column ``t``."""
     units = ", ".join(f"'{u}'" for u in UNITS)
     token = TOKEN.replace("\\", "\\\\")
     # a token that opens a sentence still has the end of the sentence before it
-    raw = texts.select(*keys, F.expr(f"regexp_extract_all(concat('\\n', coalesce(t, '')), '{token}', 0)").alias("x"))
-    word = ("CASE WHEN w < '0' THEN lower(regexp_replace(w, '^[^\\\\p{L}0-9]+', '')) "
-            "WHEN w >= '?' AND w < 'A' THEN lower(regexp_replace(w, '^[^\\\\p{L}0-9]+', '')) ELSE lower(w) END")
-    lower = raw.select(*keys, "x", F.expr(f"transform(x, w -> {word})").alias("v"))
-    plain = lower.select(*keys, "x", "v", F.expr(
+    raw = texts.select(*keys, F.expr(
+        f"CASE WHEN octet_length(t) > length(t) AND t RLIKE '{SPACELESS}' "
+        f"THEN regexp_extract_all(concat('\\n', t), '{token.replace(LETTERS, EITHER)}', 0) "
+        f"ELSE regexp_extract_all(concat('\\n', coalesce(t, '')), '{token}', 0) END").alias("x"))
+    strip = "regexp_replace(w, '^[^\\\\p{L}0-9]+', '')"
+    word = raw.select(*keys, "x", F.expr(
+        f"transform(x, w -> CASE WHEN w < '0' THEN {strip} WHEN w >= '?' AND w < 'A' THEN {strip} ELSE w END)").alias("o"))
+    lower = word.select(*keys, "x", "o", F.expr("transform(o, w -> lower(w))").alias("v"))
+    plain = lower.select(*keys, "x", "o", "v", F.expr(
         f"transform(v, w -> CASE WHEN w < ':' THEN '{NUMBER}' WHEN w IN ({units}) THEN '{UNIT}' ELSE w END)"
     ).alias("plain"))
-    capital = "((w >= 'A' AND w < '[') OR (w >= 'À' AND w < 'ß')) AND length(w) > 1"
-    return plain.select(*keys, *["v"] * values, "plain", F.expr(
-        f"CASE WHEN exists(x, w -> {capital}) THEN transform(x, (w, i) -> CASE WHEN {capital} "
-        f"AND plain[i] NOT IN ('{NUMBER}', '{UNIT}') THEN '{NAME}' ELSE plain[i] END) ELSE plain END").alias("typed"))
+    # upper case of any script, in the first of several letters
+    capital = (f"p NOT IN ('{NUMBER}', '{UNIT}') AND o[i] <> v[i] AND substr(o[i], 1, 1) <> substr(v[i], 1, 1) "
+               "AND length(o[i]) > 1")
+    opened = plain.select(*keys, "x", "o", "v", "plain", F.expr(
+        f"CASE WHEN o = v THEN plain ELSE transform(plain, (p, i) -> CASE WHEN {capital} THEN '{NAME}' ELSE p END) END"
+    ).alias("opened"))
+    return opened.select(*keys, *["v"] * values, "plain", F.expr(
+        f"CASE WHEN x = o THEN opened ELSE transform(opened, (p, i) -> CASE WHEN x[i] <> o[i] THEN plain[i] ELSE p END) END"
+    ).alias("typed"), "opened")
 
 
 def windows(rows: DataFrame, width: int, stride: int, *keys: str) -> DataFrame:
-    """Hashes of every ``stride``-th window with its place; those of the second template where it differs."""
+    """Hashes of every ``stride``-th window with its place; those of the other templates where they differ."""
     def every(column: str) -> str:
         return (f"transform(sequence(0, size({column}) - {width}, {stride}), "
                 f"i -> struct(i AS at, xxhash64(slice({column}, i + 1, {width})) AS h))")
 
+    part = f"i + 1, {width}"
+    opening = (f"transform(filter(sequence(0, size(opened) - {width}, {stride}), i -> slice(opened, {part}) <> "
+               f"slice(typed, {part})), i -> struct(i AS at, xxhash64(slice(opened, {part})) AS h))")
     both = F.expr(
-        f"CASE WHEN size(plain) < {width} THEN array() WHEN NOT array_contains(typed, '{NAME}') THEN {every('plain')} "
+        f"CASE WHEN size(plain) < {width} THEN array() WHEN NOT array_contains(opened, '{NAME}') THEN {every('plain')} "
         f"ELSE concat({every('plain')}, filter({every('typed')}, "
-        f"w -> array_contains(slice(typed, w.at + 1, {width}), '{NAME}'))) END")
+        f"w -> array_contains(slice(typed, w.at + 1, {width}), '{NAME}')), {opening}) END")
     return rows.select(*keys, F.explode(both).alias("w")).select(*keys, "w.at", "w.h")
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, *, width: int = 7, stride: int = 3, least: float = 0.5,
+    docs: DataFrame, benchmark: DataFrame, *, width: int = 7, stride: int = 3, least: float = 0.5, run: int = 16,
 ) -> DataFrame:
     """Documents that hold a benchmark item, as it is or with other numbers, names or units.
 
     ``docs`` needs ``doc_id`` and ``text``, ``benchmark`` needs ``item_id`` and ``text``. One row per
     document and item found: doc_id, th (hash of the text), item_id, n_windows (windows of ``width`` tokens of
     the item found on consistent diagonals), coverage (their share of the item's windows, at least
-    ``least``), n_slots (placeholder positions in matched windows) and n_changed (those whose values differ).
+    ``least``, or less where ``run`` tokens of the item stand verbatim in the document), n_slots (placeholder positions in matched windows) and n_changed (those whose values differ).
 
     Hash-joined are all windows of ``width - stride + 1`` tokens of the items with every ``stride``-th one
     of the documents, of which each window of ``width`` tokens holds one. Items with fewer than ``width``
-    tokens are not searched: so short a run says nothing. Null texts have no tokens; null ids take part as
+    tokens are one window and found where all their tokens stand in a row as they are. Null texts have no tokens; null ids take part as
     such; repeated documents and items are reported once each; other columns are left out.
     """
     seed = width - stride + 1
@@ -83,16 +105,19 @@ def find_leaks(
         need(benchmark, "item_id", "text").distinct().select(
             "item_id", F.monotonically_increasing_id().alias("k"), F.col("text").alias("t")),
         "item_id", "k", values=True)
-    items = materialize(items.where(F.size("plain") >= width).withColumn("total", F.size("plain") - (width - 1)))
+    items = materialize(items.withColumn("total", F.size("plain") - (width - 1)))
+    short = items.where((F.col("total") < 1) & (F.size("plain") > 0)).select("item_id", F.col("v").alias("iv"))
+    items = items.where("total >= 1")
     asked = materialize(windows(items, seed, 1, "k").distinct().withColumnRenamed("at", "iat"))
     texts = need(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long").alias("d"), text_key("text").alias("th"), F.col("text").alias("t"))
     own = windows(templates(texts, "d", "th"), seed, stride, "d", "th")
     hits = materialize(own.join(small_side(asked, 32), "h").groupBy(
         "d", "th", "k", (F.col("at") - F.col("iat")).alias("diagonal")).agg(F.countDistinct("at").alias("n")))
-    # a share of the windows needs at least so many seeds
-    enough = hits.groupBy("d", "th", "k").agg(F.sum("n").alias("n")).join(
-        small_side(items.select("k", "total"), 16), "k").where(F.col("n") * stride >= least * F.col("total"))
+    # a share of the windows, or a verbatim run, needs at least so many seeds
+    enough = hits.groupBy("d", "th", "k").agg(F.sum("n").alias("n"), F.max("n").alias("most")).join(
+        small_side(items.select("k", "total"), 16), "k").where(
+            (F.col("n") * stride >= least * F.col("total")) | (F.col("most") >= (run - seed + 1) // stride))
     enough = enough.select(F.col("d").alias("ed"), F.col("th").alias("eth"), F.col("k").alias("ek"))
     chosen = materialize(hits.join(
         enough, F.col("d").eqNullSafe(F.col("ed")) & (F.col("th") == F.col("eth")) & (F.col("k") == F.col("ek")),
@@ -102,20 +127,22 @@ def find_leaks(
                         "left_semi").dropDuplicates(["d", "th"])
     values = templates(picked, "d", "th", values=True).select(
         F.col("d").alias("vd"), F.col("th").alias("vth"), F.col("v").alias("dv"), F.col("plain").alias("dplain"),
-        F.col("typed").alias("dtyped"))
+        F.col("typed").alias("dtyped"), F.col("opened").alias("dopened"))
     aligned = (
         chosen.join(values, F.col("d").eqNullSafe(F.col("vd")) & (F.col("th") == F.col("vth")))
         .join(small_side(items, 4096), "k"))
     same = F.expr("transform(plain, (p, i) -> coalesce(p = get(dplain, i + diagonal) "
-                  "OR typed[i] = get(dtyped, i + diagonal), false))")
+                  "OR typed[i] = get(dtyped, i + diagonal) OR opened[i] = get(dopened, i + diagonal), false))")
     exact = F.expr("transform(v, (w, i) -> coalesce(w = get(dv, i + diagonal), false))")
     kind = F.expr(f"""transform(plain, (p, i) ->
           CASE WHEN p = get(dplain, i + diagonal) AND p IN ('{NUMBER}', '{UNIT}') THEN p
-               WHEN typed[i] = '{NAME}' AND (typed[i] = get(dtyped, i + diagonal) OR p = get(dplain, i + diagonal))
+               WHEN opened[i] = '{NAME}' AND (opened[i] = get(dopened, i + diagonal) OR p = get(dplain, i + diagonal))
                THEN '{NAME}' END)""")
     judged = aligned.select("d", "th", "k", "item_id", "total", "v", "dv", "diagonal", same.alias("m"),
                             exact.alias("e"), kind.alias("kind"))
     steps = {
+        "verbatim": f"""exists(filter(sequence(0, size(e)), i -> i + {run} <= size(e)),
+              i -> NOT array_contains(slice(e, i + 1, {run}), false))""",
         "w": f"transform(sequence(0, total - 1), i -> NOT array_contains(slice(m, i + 1, {width}), false))",
         # slots count where a matched window holds them
         "s": f"""transform(kind, (t, i) -> CASE WHEN t IS NOT NULL AND array_contains(
@@ -136,12 +163,23 @@ def find_leaks(
         judged = judged.withColumn(name, F.expr(text))
     found = materialize(judged).where("n > 0").groupBy("d", "th", "k", "item_id").agg(
         F.sum("n").alias("n_windows"), F.first("total").alias("total"), F.sum(F.size("held")).alias("n_slots"),
-        F.sum(F.expr("size(filter(held, x -> x.a <> x.b))")).alias("n_changed"))
+        F.sum(F.expr("size(filter(held, x -> x.a <> x.b))")).alias("n_changed"), F.max("verbatim").alias("verbatim"))
     found = found.select(
         F.col("d").alias("doc_id"), "th", "item_id", F.least("n_windows", "total").cast("long").alias("n_windows"),
         F.least(F.col("n_windows") / F.col("total"), F.lit(1.0)).alias("coverage"),
-        F.col("n_slots").cast("long").alias("n_slots"), F.col("n_changed").cast("long").alias("n_changed"))
-    return found.where(F.col("coverage") >= least)
+        F.col("n_slots").cast("long").alias("n_slots"), F.col("n_changed").cast("long").alias("n_changed"), "verbatim")
+    found = found.where((F.col("coverage") >= least) | F.col("verbatim")).drop("verbatim")
+    lengths = [r.n for r in short.select(F.size("iv").alias("n")).distinct().orderBy("n").collect()]
+    if not lengths:
+        return found
+    pieces = ", ".join(
+        f"CASE WHEN size(v) >= {n} THEN transform(sequence(0, size(v) - {n}), i -> slice(v, i + 1, {n})) ELSE array() END"
+        for n in lengths)
+    runs = templates(texts, "d", "th", values=True).select("d", "th", F.explode(F.expr(f"concat({pieces})")).alias("iv"))
+    whole = runs.join(small_side(short, 512), "iv").select(
+        F.col("d").alias("doc_id"), "th", "item_id", F.lit(1).cast("long").alias("n_windows"),
+        F.lit(1.0).alias("coverage"), F.lit(0).cast("long").alias("n_slots"), F.lit(0).cast("long").alias("n_changed"))
+    return found.unionByName(whole.distinct())
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, **settings) -> DataFrame:

@@ -53,3 +53,17 @@ def test_one_contradicted_value_spoils_only_its_windows(spark):
             (3, PAD + ITEM.replace("gave 3", "gave 9")), (4, PAD)]
     got = {(r.doc_id, r.item_id): r.coverage for r in find_leaks(frame(spark, rows), bench).collect()}
     assert set(got) == {(1, 1), (2, 2), (3, 3)} and all(0.5 <= c < 1 for c in got.values())
+
+
+def test_names_that_open_sentences_short_items_and_long_runs(spark):
+    tom = "Tom has 5 apples. Tom buys 3 apples. Tom eats 2 apples. How many apples does Tom have?"
+    ivan = "Вчера вечером старый Иван пошёл к реке, где Иван ловил рыбу, пока сосед Ивана спал"
+    chinese = "小明有五个苹果他又买了三个苹果"
+    long = " ".join(f"{a}{b}" for a in "bcdfgh" for b in ["ab", "ol", "un", "ig", "er", "as", "ot", "im", "ev", "ad"])
+    bench = spark.createDataFrame([(1, tom), (2, chinese), (3, long), (4, "Name three rivers"), (5, ivan), (6, "!")],
+                                  "item_id bigint, text string")
+    rows = [(1, tom.replace("Tom", "Ann")), (2, "前面的话" + chinese + "后面"), (3, PAD + " ".join(long.split()[20:45])),
+            (4, PAD + "name three rivers. " + PAD), (5, ivan.replace("Иван ", "Пётр ")), (6, PAD + "name three big rivers"),
+            (7, PAD + " ".join(long.split()[20:35]))]
+    got = find_leaks(frame(spark, rows), bench).collect()
+    assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in (1, 2, 3, 4, 5)}
