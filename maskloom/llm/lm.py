@@ -1,7 +1,7 @@
 """Cross-entropy difference of matched n-gram models.
 
-Target and background model have the same order, smoothing and vocabulary (the tokens of one
-tokenizer); both are counted in one pass over all texts. For every n-gram of the corpus its loss under
+Target and background model have the same order, smoothing and vocabulary (the distinct
+tokens of all texts); both are counted in one pass over all texts. For every n-gram of the corpus its loss under
 either model is looked up once; the mean difference over a text's tokens is its score: the lower, the
 more the text is like the target.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from maskloom.llm.bpe import bpe_round_trip
 from maskloom.llm.common import arrow_map, blocks, small_side
-from maskloom.llm.ngrams import Arrays, array_blocks, codes_of, count_codes, losses, merge_counts, union_all
+from maskloom.llm.ngrams import Arrays, array_blocks, codes_of, count_codes, losses, merge_counts, suffix, union_all
 from maskloom.session import materialize
 
 ORDER, BITS = 2, 20
@@ -83,8 +83,9 @@ def cross_entropy_difference(
         "ids", F.coalesce("good", F.lit(False)).alias("good"))
     counts = materialize(count_tokens(marked, order))
     known = bool(counts.where("m > 0").take(1))
-    both = losses(counts, order, BITS, "n").withColumnRenamed("loss", "b").join(
-        losses(counts, order, BITS, "m").withColumnRenamed("loss", "a"), ["g", "code"])
+    vocabulary = counts.select(suffix(F.col("code"), 1, BITS)).distinct().count()
+    both = losses(counts, order, BITS, "n", vocabulary).withColumnRenamed("loss", "b").join(
+        losses(counts, order, BITS, "m", vocabulary).withColumnRenamed("loss", "a"), ["g", "code"])
     table = materialize(both)
     parts = []
     for arrays in array_blocks(table, "a", "b"):

@@ -90,12 +90,13 @@ def discounts(grams: dict[int, DataFrame]) -> DataFrame:
     return materialize(few.select("g", "k", *[rate(i).alias(f"d{i}") for i in (1, 2, 3)]))
 
 
-def losses(counts: DataFrame, order: int, bits: int, weight: str) -> DataFrame:
+def losses(counts: DataFrame, order: int, bits: int, weight: str, vocabulary: int | None = None) -> DataFrame:
     """Loss of every (g, code) of ``counts`` under the model of the counts in column ``weight``.
 
     ``counts`` has ``g`` (group, not null), ``code`` and counts; codes with a zero weight get the loss
     the model gives to unseen n-grams. A group without any weight gives all its codes the same loss.
-    Returns g, code, loss. All n-grams with one context meet in a task: at most as many as there are
+    Unigrams are interpolated with 1 / ``vocabulary`` (by default the group's own distinct symbols and one
+    for all others), seen or not. Returns g, code, loss. All n-grams with one context meet in a task: at most as many as there are
     symbols.
     """
     grams = {order: counts.where(F.col(weight) > 0).select("g", "code", F.col(weight).alias("n"))}
@@ -103,6 +104,7 @@ def losses(counts: DataFrame, order: int, bits: int, weight: str) -> DataFrame:
         grams[k] = (grams[k + 1].groupBy("g", suffix(F.col("code"), k, bits).alias("code"))
                     .agg(F.count("*").alias("n")))
     rates = discounts(grams)
+    base = F.lit(vocabulary) if vocabulary else F.col("kinds") + 1
     d = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
     seen: dict[int, DataFrame] = {}
     for k in range(1, order + 1):
@@ -112,7 +114,7 @@ def losses(counts: DataFrame, order: int, bits: int, weight: str) -> DataFrame:
                 "total": F.sum("n").over(own), "freed": F.sum("d").over(own), "kinds": F.count("*").over(own)})
         w = F.col("freed") / F.col("total")
         if k == 1:
-            lower = 1 / (F.col("kinds") + 1)
+            lower = 1 / base
         else:
             rows = rows.withColumn("s", suffix(F.col("code"), k - 1, bits)).join(
                 seen[k - 1].select("g", F.col("code").alias("s"), F.col("p").alias("lower")), ["g", "s"])
@@ -127,7 +129,7 @@ def losses(counts: DataFrame, order: int, bits: int, weight: str) -> DataFrame:
     known += [seen[k].select("g", F.lit(-k).alias("k"), F.col("c").alias("key"), F.col("w").alias("v")).distinct()
               for k in seen if k > 1]
     known.append(seen[1].select("g", F.lit(0).alias("k"), F.lit(0).cast("long").alias("key"),
-                                (F.col("w") / (F.col("kinds") + 1)).alias("v")).distinct())
+                                (F.col("w") / base).alias("v")).distinct())
     code = F.col("code")
     keys = [(k, suffix(code, k, bits)) for k in range(1, order + 1)]
     keys += [(-k, context(code, k, bits)) for k in range(2, order + 1)] + [(0, F.lit(0).cast("long"))]
@@ -136,7 +138,7 @@ def losses(counts: DataFrame, order: int, bits: int, weight: str) -> DataFrame:
             "g", "code", "x.k", "x.key")
     found = asked.join(union_all(known), ["g", "k", "key"], "left").groupBy("g", "code").agg(*[
         F.max(F.when(F.col("k") == k, F.col("v"))).alias(f"v{k}") for k, _ in keys])
-    q = F.coalesce("v0", F.lit(1 / 257))
+    q = F.coalesce("v0", F.lit(1 / (vocabulary or 257)))
     for k in range(1, order + 1):
         q = F.coalesce(f"v{k}", F.col(f"v{-k}") * q, q) if k > 1 else F.coalesce("v1", q)
     return top.unionByName(found.select("g", "code", (-F.log(q)).alias("loss")))

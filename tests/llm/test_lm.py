@@ -1,8 +1,11 @@
+import math
 import random
 
 import public_tokenizers
 
+from maskloom.llm import lm
 from maskloom.llm.lm import cross_entropy_difference
+from maskloom.llm.ngrams import array_blocks
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -32,3 +35,15 @@ def test_no_target_and_no_rows(spark):
     none = spark.createDataFrame([], "doc_id bigint")
     assert all(r.score is None and r.background_loss > 0 for r in cross_entropy_difference(df, none, tokenizer=PATH).collect())
     assert cross_entropy_difference(df.limit(0), none, tokenizer=PATH).collect() == []
+
+
+def test_unigrams_of_both_models_sum_to_one_over_all_tokens(spark, monkeypatch):
+    tables = []
+    monkeypatch.setattr(lm, "array_blocks", lambda table, *columns: tables.append(table) or array_blocks(table, *columns))
+    text = lambda i: "the law of the sea" if not i else f"word{i} and some other thing {i * 37}"
+    df = spark.createDataFrame([(i, text(i)) for i in range(40)], "doc_id bigint, text string")
+    target = spark.createDataFrame([(0,)], "doc_id bigint")
+    cross_entropy_difference(df, target, tokenizer=PATH, order=1).collect()
+    rows = tables[0].collect()
+    assert len(rows) > 40
+    assert all(abs(sum(math.exp(-r[c]) for r in rows) - 1) < 1e-6 for c in ("a", "b"))
