@@ -14,6 +14,7 @@ from maskloom.llm.lm import cross_entropy_difference
 from maskloom.llm.near import near_groups
 from maskloom.llm.secrets import BASE, find_secrets
 from maskloom.llm.repeats import remove_repeats
+from maskloom.llm.token_files import token_file_round_trip
 from maskloom.llm.tokens import attribute_tokens
 from maskloom.llm.warc import archive_round_trip
 from maskloom.llm.rules import STATS, quality_rules
@@ -128,3 +129,10 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
     return cross_entropy_difference(
         table(spark, folder, "documents"), table(spark, folder, "labels").where("quality = 1"),
         tokenizer=tokenizer_path())
+
+
+@query("op13_token_files")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    import public_tokenizers
+
+    return token_file_round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
