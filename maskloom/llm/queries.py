@@ -18,6 +18,7 @@ from maskloom.llm.token_files import token_file_round_trip
 from maskloom.llm.tokens import attribute_tokens
 from maskloom.llm.warc import archive_round_trip
 from maskloom.llm.rules import STATS, quality_rules
+from maskloom.llm.whiten import whiten
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -136,3 +137,8 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     import public_tokenizers
 
     return token_file_round_trip(table(spark, folder, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op11_whiten")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return whiten(table(spark, folder, "embeddings"), components=32)
