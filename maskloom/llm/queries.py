@@ -5,12 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from maskloom.llm.bpe import bpe_round_trip
 from maskloom.llm.common import table
 from maskloom.llm.leaks import find_leaks
 from maskloom.llm.lines import line_dedup
 from maskloom.llm.lm import cross_entropy_difference
+from maskloom.llm.negatives import mine_negatives
 from maskloom.llm.near import near_groups
 from maskloom.llm.secrets import BASE, find_secrets
 from maskloom.llm.repeats import remove_repeats
@@ -142,3 +144,29 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
 @query("op11_whiten")
 def op11(spark: SparkSession, folder: str) -> DataFrame:
     return whiten(table(spark, folder, "embeddings"), components=32)
+
+
+NEGATIVES_SQL = """
+with r as (
+  select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+    list_transform(embedding, x -> floor(256 * x::double)) as v
+  from embeddings where vec_id is not null and label is not null and len(embedding) > 0
+    and len(list_filter(embedding, x -> x is null or not isfinite(x))) = 0),
+s as (
+  select a.vec_id as a, a.label = b.label as same, b.vec_id as b,
+    list_inner_product(a.v, b.v)::bigint as score
+  from r a join r b on a.vec_id <> b.vec_id where a.vec_id % 50 = 0),
+p as (select a, b, score from s where same qualify row_number() over (partition by a order by score desc, b) <= 5)
+select p.a as anchor_id, p.b as positive_id,
+  row_number() over (partition by p.a, p.b order by s.score desc, s.b)::int as rank,
+  s.b as negative_id, p.score as positive_score, s.score as negative_score
+from p join s on p.a = s.a and not s.same and 50 * p.score <= 100 * s.score and 100 * s.score <= 95 * p.score
+qualify rank <= 3
+"""
+
+
+@query("op12_mine_negatives", NEGATIVES_SQL)
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.expr("if(vec_id % 7 = 0, (label + 1) % 10, label)")
+    return mine_negatives(
+        table(spark, folder, "embeddings").withColumn("label", label), anchor=F.col("vec_id") % 50 == 0)
