@@ -14,8 +14,10 @@ from __future__ import annotations
 import os
 import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,60 +38,101 @@ FOOTER = "<QQQQqQQB"
 FILE_TOKENS, FILE_DOCUMENTS = 1 << 26, 1 << 20
 #: Bytes of ids for a writing task.
 TASK_BYTES = 64 << 20
-#: Chunks of text whose ids a worker remembers.
-CHUNKS = 1 << 17
+#: Words whose ids a worker remembers, from task to task.
+WORDS = 1 << 19
 FILES = "part int, turn int, path string, documents long, tokens long"
 
 
+#: Letters and signs that the normaliser leaves alone but for ``lower``, besides ASCII.
+LETTERS = "".join(map(chr, [*range(0xC0, 0xD7), *range(0xD8, 0xF7), *range(0xF8, 0x130), *range(0x131, 0x180)]))
+SIGNS = "¡¿«»§°“”‘’–—…€£"
+SMALL = "".join(sorted(set(LETTERS.lower())))
+
+
+class Words(dict):
+    """Ids of words, encoded by the model of the ``tokenizers`` library when first asked for."""
+
+    def __init__(self, model, letters: dict[int, str], code: str):
+        super().__init__()
+        self.model, self.letters, self.code = model, letters, code
+
+    def __missing__(self, word: str) -> bytes:
+        found = self.model.tokenize(word if word.isascii() else word.translate(self.letters))
+        ids = array(self.code, [t.id for t in found])
+        if sys.byteorder == "big":
+            ids.byteswap()
+        self[word] = out = ids.tobytes()
+        return out
+
+
 class Tokens:
-    """Encodes with the ``tokenizers`` library, each distinct chunk between spaces or line feeds once.
+    """Ids of texts as the ``tokenizers`` library gives them, its merges applied once to each distinct word.
 
-    The file's normaliser and patterns must not reach over a space or a line feed, as with patterns of words
-    and of signs. ``check`` compares with whole texts.
+    Plain text (ASCII, Latin letters, a few signs) is lower-cased and cut into words by a pattern; the
+    library's model encodes each distinct word. Any other stretch between spaces, and special tokens, go
+    through the whole library. Construction compares both ways on every plain character; where they differ,
+    as with a file of another kind, the whole library is used for all texts.
     """
 
     def __init__(self, model: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
-
-        self.model = Tokenizer.from_str(model)
-        self.model.no_truncation()
-        self.model.no_padding()
-        if any(re.search(r"[ \n]", t.content) for t in self.model.get_added_tokens_decoder().values()):
-            raise ValueError("a special token holds a space or a line feed")
-        self.kind = "<u2" if self.model.get_vocab_size() <= 1 << 16 else "<u4"
-        self.known: dict[str, bytes] = {}
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.library = Tokenizer.from_str(model)
+        self.library.no_truncation()
+        self.library.no_padding()
+        self.kind = "<u2" if self.library.get_vocab_size() <= 1 << 16 else "<u4"
+        self.special = special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        plain = f"\\t-\\r -~{LETTERS}{SIGNS}"
+        self.foreign = re.compile(f"[^{plain}]").search
+        self.cut = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z{SMALL}]+|[0-9]|[^\sa-z0-9{SMALL}]+").findall
+        level = ByteLevel(add_prefix_space=False, use_regex=False)
+        letters = {ord(c): level.pre_tokenize_str(c)[0][0] for c in LETTERS + SMALL + SIGNS}
+        self.words = Words(self.library.model, letters, "H" if self.kind == "<u2" else "I")
+        self.by_words = not any(re.search(r"[ \n]", t) for t in special)
+        self.by_words = self.by_words and all(map(self.check, self.probes()))
+
+    def probes(self) -> Iterator[str]:
+        yield "it's don't we're I've I'm you'll he'd 'S 'RE ' '' 's's 12a34 a\tb\x0b\x0cc\r\nd"
+        for c in map(chr, [*range(9, 14), *range(32, 127), *map(ord, LETTERS + SIGNS)]):
+            yield f"{c} a{c}b {c}{c}1{c} '{c} !{c}! {c.upper()}s"
+
+    def whole(self, text: str) -> bytes:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, self.kind).tobytes()
+
+    def plain(self, text: str) -> bytes:
+        return b"".join(map(self.words.__getitem__, self.cut(text.lower())))
 
     def __call__(self, text: str) -> bytes:
-        chunks = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.known.__getitem__, chunks))
-        except KeyError:
-            pass
-        if len(self.known) > CHUNKS:
-            self.known = {}
-        new = list(set(chunks) - self.known.keys())
-        for i in range(0, len(new), 4096):
-            some = new[i : i + 4096]
-            for chunk, found in zip(some, self.model.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[chunk] = np.array(found.ids, self.kind).tobytes()
-        out = b"".join(map(self.known.__getitem__, chunks))
-        if len(self.known) > 2 * CHUNKS:  # one text with very many chunks
-            self.known = {}
-        return out
+        if not self.by_words:
+            return self.whole(text)
+        return self.fast(text)
+
+    def fast(self, text: str) -> bytes:
+        if len(self.words) > WORDS:
+            self.words.clear()
+        if not self.other(text):
+            return self.plain(text)
+        return b"".join(self.whole(p) if self.other(p) else self.plain(p) for p in re.split("[ \n]", text))
+
+    def other(self, text: str) -> bool:
+        return any(t in text for t in self.special) or bool(self.foreign(text))
 
     def check(self, text: str) -> bool:
-        ids = self.model.encode(text, add_special_tokens=False).ids
-        return np.array(ids, self.kind).tobytes() == self(text)
+        return self.whole(text) == self.fast(text)
 
 
 def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """``doc_id``, ``ids`` (little-endian, 16 bits where the vocabulary allows), ``end_id`` last."""
     with open(tokenizer, encoding="utf-8") as file:
-        model = docs.sparkSession.sparkContext.broadcast(file.read())
+        shipped = docs.sparkSession.sparkContext.broadcast({"model": file.read()})
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
-        tokens = Tokens(model.value)
+        held = shipped.value  # a worker keeps its copy, and with it the words, for its next task
+        if "tokens" not in held:
+            held["tokens"] = Tokens(held["model"])
+        tokens = held["tokens"]
         end = np.array([end_id], tokens.kind).tobytes()
         for batch in batches:
             ids, texts = batch["doc_id"], batch["text"]

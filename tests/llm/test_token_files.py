@@ -52,9 +52,10 @@ def test_elias_fano_is_near_the_least_space():
     assert 8 * len(made.to_bytes()) / 100_000 < 2 + np.log2(800) + 0.3
 
 
-def test_chunks_give_the_ids_of_whole_texts():
+def test_words_give_the_ids_of_whole_texts():
     with open(PATH, encoding="utf-8") as file:
         tokens = Tokens(file.read())
+    assert tokens.by_words
     rng = random.Random(5)
     parts = ["a", "The", " ", "  ", "\n", "\t", "\r\n", "é", "é", "́", "日本", "İ", "ΣΑΣ", "'s", "'", "12", "!?",
              "<|endoftext|>", "<|endof", "\x1c", "\x85", " ", " ", "ᄀ", "ᅡ", "🙂", "x" * 50]
@@ -94,3 +95,12 @@ def test_empty_table_and_foreign_files(spark, tmp_path):
     (tmp_path / "x").write_bytes(b"no token file at all" * 20)
     with pytest.raises(ValueError):
         TokenFile(str(tmp_path / "x"))
+
+
+def test_other_kinds_of_file_use_the_library(spark):
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    with open(path, encoding="utf-8") as file:
+        assert not Tokens(file.read()).by_words
+    rows = [(1, "Two words"), (2, " spaced  out\n\n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert got(token_file_round_trip(docs, path)) == expected(Tokenizer.from_file(path), rows)
