@@ -93,6 +93,42 @@ def a03(spark, sf):
     return out.withColumn("balance", r("balance"))
 
 
+# every fifth or so of 20 figures per part has gaps: 2^20 possible patterns of what a row lacks
+FIGURES = [(f"{how}_{name}", how, f"l_{name}") for name in ("quantity", "extendedprice", "discount", "tax", "linenumber")
+           for how in ("min", "max", "sum", "span")]
+HOW = {"min": "min({0})", "max": "max({0})", "span": "max({0}) - min({0})", "sum": "sum(cast(round({0} * 100) as bigint))"}
+
+
+def _many_gaps_sql() -> str:
+    names = [n for n, _, _ in FIGURES]
+    made = ", ".join(f"cast({HOW[how].format(c)} as double) as {n}" for n, how, c in FIGURES)
+    holes = ", ".join(f"case when {su(i, 'gap', 'id')} >= 0.05 then {n} end as {n}" for i, n in enumerate(names))
+    z = ", ".join(f"({n} - avg({n}) over ()) / stddev_pop({n}) over () as z_{n}" for n in names)
+    whole = " and ".join(f"{n} is not null" for n in names)
+    asked = " and ".join(f"q.{n} is not null" for n in names)
+    far = " + ".join(f"(case when q.z_{n} is null then 0 else (q.z_{n} - d.z_{n}) * (q.z_{n} - d.z_{n}) end)" for n in names)
+    means = ", ".join(f"avg(d_{n}) as m_{n}" for n in names)
+    given = ", ".join(f"d.{n} as d_{n}" for n in names)
+    out = ", ".join(f"{sr(f'coalesce(g.{n}, a.m_{n})')} as {n}" for n in names)
+    return f"""
+with p as (select l_partkey as id, {made} from lineitem group by 1), g as (select id, {holes} from p),
+     z as (select *, {z} from g), d as (select * from z where {whole}),
+     n as (select q.id, {given}, row_number() over (partition by q.id order by {far}, d.id) as rk
+           from z q, d where not ({asked})),
+     a as (select id, {means} from n where rk <= 5 group by 1)
+select g.id, {out} from g left join a on a.id = g.id"""
+
+
+@suite.add("a03_impute_many_gaps", _many_gaps_sql())
+def a03b(spark, sf):
+    names = [n for n, _, _ in FIGURES]
+    parts = table(spark, sf, "lineitem").groupBy(F.col("l_partkey").alias("id")).agg(
+        *[F.expr(HOW[how].format(c)).cast("double").alias(n) for n, how, c in FIGURES])
+    holes = parts.select("id", *[F.when(uniform(i, "gap", "id") >= 0.05, F.col(n)).alias(n) for i, n in enumerate(names)])
+    out = impute(holes, names, method="knn", row_key="id", k=5)
+    return out.select("id", *[r(n).alias(n) for n in names])
+
+
 @suite.add("a04_impute_fast_knn", _knn_sql(f"and {su(8, 'impute', 'id')} < 0.4"))
 def a04(spark, sf):
     out = impute(gaps(spark, sf), ["balance", "segment"], method="fast_knn", row_key="id", k=5,
@@ -220,7 +256,7 @@ def a09c(spark, sf):
         F.col("c_acctbal") / 40.0, F.col("c_nationkey") * F.lit(10.0)).alias("features"))
     d = table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.array(
         F.col("o_totalprice") / 1000.0, F.day("o_orderdate") * F.lit(8.0)).alias("features"))
-    out = nearest(q, d, 5, query_key="id", candidate_key="id", small=0)
+    out = nearest(q, d, 5, query_key="id", candidate_key="id", part_rows=1_000)
     return out.withColumn("distance", r("distance"))
 
 

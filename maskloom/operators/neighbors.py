@@ -1,10 +1,11 @@
 """Exact nearest neighbours and ball counts at scale, without comparing all pairs.
 
-The candidates' space is cut into leaves by a k-d partition learnt from a bounded sample. A query
-first looks into its own leaf, which bounds its search radius; only leaves whose tight box touches
-that ball are visited afterwards. Both passes run per (leaf, query chunk, candidate chunk), so no
-task ever holds more than a chunk of each side, however crowded a leaf is. The result is exact: a
-leaf is skipped only when its box is provably farther than the k-th neighbour already known.
+A two-level k-d tree: the top tree, learnt from a bounded sample and shipped to tasks, cuts the candidates
+into partitions; a task builds a tree over the candidates of one partition. A query is bounded by a search
+in its own partition (or by the smallest node above it with enough rows), then descends the top tree and
+opens only nodes whose tight box touches its ball. Both passes run per (partition, query chunk, candidate
+chunk), so no task ever holds more than a chunk of each side, however crowded a partition is. The result is
+exact: a node is skipped only when its box is provably farther than the k-th neighbour already known.
 
 Copies: of candidates with equal vectors only the k + 1 smallest keys can be among anyone's k
 nearest (ties go to the smaller key), so the others are dropped before the search by a partial
@@ -14,8 +15,6 @@ top-(k + 1) that runs ahead of the shuffle. Ball counts weigh each distinct vect
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
-from math import ceil
 
 import numpy as np
 import pyarrow as pa
@@ -26,71 +25,31 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 from maskloom.functions.validation import col
+from maskloom.operators.tree import PointTree, Splits, Tree, median_splits
 from maskloom.session import materialize
 
-LEAF_ROWS = 2_000
-MAX_LEAVES = 16_384
+PART_ROWS = 20_000
+#: Leaves of the top tree that are shipped at most. Partitions of larger tables are searched in chunks.
+TOP_LEAVES = 1 << 16
 SAMPLE_PER_LEAF = 16
-QUERY_CHUNK = 2_000
-CANDIDATE_CHUNK = 20_000
-BLOCK_CELLS = 250_000
-# below these sizes one pass over all pairs of chunks is cheaper than the partition
-SMALL_CANDIDATES = 20_000
-SMALL_QUERIES = 50_000
+QUERY_CHUNK = 4_000
+CANDIDATE_CHUNK = 2 * PART_ROWS
+#: Rows of a leaf of the tree within a task.
+TREE_LEAF = 32
 
 
-@dataclass(frozen=True)
-class SpacePartition:
-    """Splits of a k-d partition in heap order; bounded by ``MAX_LEAVES``, not by the data."""
-
-    axis: np.ndarray
-    cut: np.ndarray
-    depth: int
-
-    @property
-    def leaves(self) -> int:
-        return 1 << self.depth
-
-    def assign(self, points: np.ndarray) -> np.ndarray:
-        node = np.zeros(len(points), dtype=np.int64)
-        rows = np.arange(len(points))
-        for _ in range(self.depth):
-            right = points[rows, self.axis[node]] > self.cut[node]
-            node = 2 * node + 1 + right
-        return node - (self.leaves - 1)
-
-
-def fit_partition(candidates: DataFrame, vector: str, key: str, rows: int) -> SpacePartition:
-    """Median splits of the widest axis, learnt from a hash sample of bounded size."""
+def fit_partition(candidates: DataFrame, vector: str, key: str, rows: int, part_rows: int | None = None) -> Splits:
+    """Top tree: median splits learnt from a hash sample of bounded size, one leaf for ``part_rows`` rows."""
     depth = 0
-    while (1 << depth) < MAX_LEAVES and rows / (1 << depth) > LEAF_ROWS:
+    while (1 << depth) < TOP_LEAVES and rows / (1 << depth) > (part_rows or PART_ROWS):
         depth += 1
-    nodes = (1 << depth) - 1
-    axis, cut = np.zeros(max(nodes, 1), dtype=np.int64), np.full(max(nodes, 1), np.inf)
-    if depth:
-        wanted = SAMPLE_PER_LEAF << depth
-        share = min(1.0, 1.2 * wanted / rows)
-        chosen = F.pmod(F.xxhash64(col(key), F.lit(17)), F.lit(1_000_000)) < int(share * 1_000_000)
-        sample = candidates.where(chosen).select(vector).limit(2 * wanted).toPandas()[vector]
-        if sample.empty:
-            return SpacePartition(axis[:1], cut[:1], 0)
-        groups = {0: np.stack(sample.to_numpy())}
-        for node in range(nodes):
-            points = groups.pop(node)
-            if len(points):
-                widest = int(np.argmax(points.max(axis=0) - points.min(axis=0)))
-                values = points[:, widest]
-                middle = float(np.median(values))
-                if middle >= values.max():
-                    # more than half the sample shares the maximum: cut just below it
-                    below = values[values < middle]
-                    middle = float(below.max()) if len(below) else middle
-                axis[node], cut[node] = widest, middle
-                right = values > middle
-            else:
-                right = np.zeros(0, dtype=bool)
-            groups[2 * node + 1], groups[2 * node + 2] = points[~right], points[right]
-    return SpacePartition(axis, cut, depth)
+    if not depth:
+        return median_splits(np.zeros((0, 1)), 0)
+    wanted = SAMPLE_PER_LEAF << depth
+    share = min(1.0, 1.2 * wanted / rows)
+    chosen = F.pmod(F.xxhash64(col(key), F.lit(17)), F.lit(1_000_000)) < int(share * 1_000_000) + 1
+    sample = candidates.where(chosen).select(vector).limit(2 * wanted).toArrow()[vector]
+    return median_splits(_matrix(sample), depth if len(sample) else 0)
 
 
 def _matrix(vectors: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -105,7 +64,7 @@ def _values(table: pa.Table, name: str) -> np.ndarray:
     return table[name].to_numpy()
 
 
-def _with_leaf(df: DataFrame, vector: str, partition: SpacePartition) -> DataFrame:
+def _with_leaf(df: DataFrame, vector: str, partition: Splits) -> DataFrame:
     if partition.depth == 0:
         return df.withColumn("leaf", F.lit(0).cast("long"))
 
@@ -122,71 +81,17 @@ def _chunk(key: str, rows: F.Column | str, size: int):
     return chunks, F.pmod(F.xxhash64(col(key), F.lit(29)), chunks).cast("int")
 
 
-def _squared(queries: np.ndarray, candidates: np.ndarray) -> np.ndarray:
-    """Squared distances by direct differences, dimension after dimension."""
-    out = np.zeros((len(queries), len(candidates)))
-    step = np.empty_like(out)
-    for d in range(queries.shape[1]):
-        np.subtract(queries[:, d, None], candidates[None, :, d], out=step)
-        np.multiply(step, step, out=step)
-        out += step
-    return out
-
-
-def _slices(queries: int, candidates: int) -> Iterator[slice]:
-    step = max(1, BLOCK_CELLS // max(candidates, 1))
-    for begin in range(0, queries, step):
-        yield slice(begin, min(begin + step, queries))
-
-
-def _box_distance(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Squared distance of each point to each box, summed in the order of :func:`_squared`."""
-    out = np.zeros((len(points), len(low)))
-    for d in range(points.shape[1]):
-        x = points[:, d, None]
-        gap = np.maximum(np.maximum(low[None, :, d] - x, x - high[None, :, d]), 0.0)
-        out += gap * gap
-    return out
-
-
-def _reach(points: np.ndarray, low: np.ndarray, high: np.ndarray) -> np.ndarray:
-    """Squared distance of each point to the farthest corner of each box."""
-    out = np.zeros((len(points), len(low)))
-    for d in range(points.shape[1]):
-        x = points[:, d, None]
-        gap = np.maximum(np.abs(x - low[None, :, d]), np.abs(x - high[None, :, d]))
-        out += gap * gap
-    return out
-
-
-@dataclass(frozen=True)
-class _Boxes:
-    """Tight bounds and row counts of the non-empty leaves (at most ``MAX_LEAVES``)."""
-
-    leaf: np.ndarray
-    low: np.ndarray
-    high: np.ndarray
-    weight: np.ndarray
-    rows: np.ndarray
-
-
-def _boxes(candidates: DataFrame, dims: int) -> _Boxes:
-    aggs = [F.count(F.lit(1)).alias("rows"), F.sum("weight").alias("weight")]
-    for d in range(dims):
-        aggs += [F.min(F.col("vec")[d]).alias(f"lo{d}"), F.max(F.col("vec")[d]).alias(f"hi{d}")]
-    pdf = candidates.groupBy("leaf").agg(*aggs).toPandas().sort_values("leaf")
-    return _Boxes(
-        pdf["leaf"].to_numpy(),
-        pdf[[f"lo{d}" for d in range(dims)]].to_numpy(dtype=float),
-        pdf[[f"hi{d}" for d in range(dims)]].to_numpy(dtype=float),
-        pdf["weight"].to_numpy(),
-        pdf["rows"].to_numpy(),
-    )
-
-
-def _leaf_table(df: DataFrame, boxes: _Boxes) -> DataFrame:
-    rows = [(int(a), int(b)) for a, b in zip(boxes.leaf, boxes.rows)]
-    return df.sparkSession.createDataFrame(rows, "leaf bigint, leaf_rows bigint")
+def _top_tree(candidates: DataFrame, splits: Splits, dims: int) -> Tree:
+    """Tight boxes and row counts of the partitions, on the driver: as many as the top tree has leaves."""
+    bounds = [F.min(F.col("vec")[d]) for d in range(dims)], [F.max(F.col("vec")[d]) for d in range(dims)]
+    found = candidates.groupBy("leaf").agg(
+        F.sum("weight").alias("weight"), F.array(*bounds[0]).alias("low"), F.array(*bounds[1]).alias("high")).toArrow()
+    leaf = found["leaf"].to_numpy()
+    low, high = np.zeros((2, splits.leaves, dims))
+    weight = np.zeros(splits.leaves, dtype=np.int64)
+    if len(leaf):
+        low[leaf], high[leaf], weight[leaf] = _matrix(found["low"]), _matrix(found["high"]), found["weight"].to_numpy()
+    return Tree(splits, low, high, weight)
 
 
 def task_count(df: DataFrame, groups: int) -> int:
@@ -201,14 +106,15 @@ def task_count(df: DataFrame, groups: int) -> int:
     return max(1, min(max(groups, 1), max(cores, shuffle)))
 
 
-def _block_pairs(visits: DataFrame, candidates: DataFrame, boxes: _Boxes):
+def _block_pairs(visits: DataFrame, candidates: DataFrame):
     """Both sides keyed by (leaf, query chunk, candidate chunk), ready for a cogroup.
 
     A row of either side is repeated once per chunk of the other side in its leaf.
     """
-    leaf_rows = F.broadcast(_leaf_table(candidates, boxes))
+    leaf_rows = candidates.groupBy("leaf").agg(F.count(F.lit(1)).alias("leaf_rows"))
     visit_rows = visits.groupBy("leaf").agg(F.count(F.lit(1)).alias("visit_rows"))
-    sizes = visit_rows.join(leaf_rows, "leaf", "inner")
+    # a row per leaf of the top tree, which is bounded
+    sizes = materialize(visit_rows.join(leaf_rows, "leaf", "inner"))
     q_chunks, q_chunk = _chunk("qid", "visit_rows", QUERY_CHUNK)
     c_chunks, c_chunk = _chunk("cid", "leaf_rows", CANDIDATE_CHUNK)
     left = visits.join(F.broadcast(sizes), "leaf", "inner").withColumns(
@@ -218,21 +124,12 @@ def _block_pairs(visits: DataFrame, candidates: DataFrame, boxes: _Boxes):
         {"cc": c_chunk, "qc": F.explode(F.sequence(F.lit(0), q_chunks - 1))}
     )
     keys = ["leaf", "qc", "cc"]
-    tasks = task_count(visits, 4 * len(boxes.leaf))
+    blocks = sizes.agg(F.sum(q_chunks * c_chunks)).first()[0] or 1
+    tasks = task_count(visits, blocks)
     right = right.select(*keys, "cid", "vec", "weight")
     return left.repartition(tasks, *keys).groupBy(*keys), right.repartition(tasks, *keys).groupBy(*keys)
 
 
-def _small_pairs(queries: DataFrame, candidates: DataFrame, rows: int):
-    """Query chunks against all of a small candidate table."""
-    chunks = max(1, ceil(rows / (QUERY_CHUNK // 2)))
-    left = queries.withColumn("qc", F.pmod(F.xxhash64("qid"), F.lit(chunks)).cast("int"))
-    every = F.sequence(F.lit(0), F.lit(chunks - 1))
-    right = candidates.select("cid", "vec", F.explode(every).alias("qc"))
-    tasks = task_count(queries, chunks)
-    return left.repartition(tasks, "qc").groupBy("qc"), right.repartition(tasks, "qc").groupBy("qc")
-
-
 def _prepare(df: DataFrame, key: str, vector: str, name: str) -> DataFrame:
     return df.select(col(key).alias(name), col(vector).cast("array<double>").alias("vec"))
 
@@ -247,13 +144,14 @@ def nearest(
     query_vector: str = "features",
     candidate_vector: str = "features",
     exclude_self: bool = False,
-    small: int | None = None,
+    part_rows: int | None = None,
 ) -> DataFrame:
     """(query_id, neighbor_id, distance, rank): the ``k`` nearest candidates of every query.
 
-    Ties go to the smaller key. ``exclude_self`` drops the candidate with the query's own key.
-    Fails when there are fewer than ``k`` candidates to choose from. Up to ``small`` candidates are
-    compared without the partition; both ways give the same rows.
+    Ties go to the smaller key. ``exclude_self`` drops the candidate with the query's own key. A null entry
+    of a query's vector is not measured: its distances run over its other entries. Candidates have no nulls.
+    A partition of the top tree holds about ``part_rows`` candidates (default ``PART_ROWS``).
+    Fails when there are fewer than ``k`` candidates to choose from.
     """
     queries = _prepare(queries, query_key, query_vector, "qid")
     candidates = _prepare(candidates, candidate_key, candidate_vector, "cid")
@@ -270,27 +168,22 @@ def nearest(
     def search(left: pa.Table, right: pa.Table) -> pa.Table:
         return _top(left, right, k, exclude_self, out_type)
 
-    if total <= (SMALL_CANDIDATES if small is None else small):
-        rows = queries.count()
-        if rows <= SMALL_QUERIES:
-            free = queries.withColumn("r2", F.lit(float("inf")))
-            left, right = _small_pairs(free, candidates, rows)
-            found = left.cogroup(right).applyInArrow(search, schema)
-            return _with_distance(found)
-
     keep = k + int(exclude_self)
-    partition = fit_partition(candidates, "vec", "cid", total)
-    placed = materialize(_with_leaf(queries, "vec", partition))
-    same = Window.partitionBy("leaf", "vec").orderBy("cid")
-    # a rank limit runs as a partial limit before the shuffle, so copies never travel in bulk
-    useful = _with_leaf(candidates, "vec", partition)
-    useful = useful.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= keep)
+    splits = fit_partition(candidates, "vec", "cid", total, part_rows)
+    useful = _with_leaf(candidates, "vec", splits)
+    if splits.depth:
+        same = Window.partitionBy("leaf", "vec").orderBy("cid")
+        # a rank limit runs as a partial limit before the shuffle, so copies never travel in bulk
+        useful = useful.withColumn("copy", F.row_number().over(same)).where(F.col("copy") <= keep)
     useful = materialize(
         useful.select("cid", "vec", "leaf", F.lit(1).cast("bigint").alias("weight"))
     )
-    boxes = _boxes(useful, dims)
-    visits = _visits(placed, useful, boxes, k, exclude_self)
-    left, right = _block_pairs(visits, useful, boxes)
+    if splits.depth:
+        tree = _top_tree(useful, splits, dims)
+        visits = _visits(materialize(_with_leaf(queries, "vec", splits)), useful, tree, k, exclude_self)
+    else:
+        visits = queries.withColumns({"r2": F.lit(float("inf")), "leaf": F.lit(0).cast("long")})
+    left, right = _block_pairs(visits, useful)
     found = left.cogroup(right).applyInArrow(search, schema)
     best = Window.partitionBy("query_id").orderBy("d2", "neighbor_id")
     ranked = found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
@@ -314,58 +207,30 @@ def _top(
     if not left.num_rows or not right.num_rows:
         return schema.empty_table()
     right = right.sort_by("cid")
-    points, others = _matrix(left["vec"]), _matrix(right["vec"])
-    limit = _values(left, "r2")
+    tree = PointTree(_matrix(right["vec"]), max(TREE_LEAF, k + 1))
     own = _own(left, right) if exclude_self else None
-    found = []
-    for part in _slices(len(points), len(others)):
-        d2 = _squared(points[part], others)
-        if exclude_self:
-            d2[own[part]] = np.inf
-        bound = limit[part, None].copy()
-        loose = np.flatnonzero(np.isinf(bound[:, 0]))
-        if len(loose) and k < d2.shape[1]:
-            # the k-th smallest of every n-th candidate bounds the k-th smallest of all
-            some = d2[loose, :: max(1, d2.shape[1] // max(1_000, 8 * k))]
-            bound[loose] = np.partition(some, k - 1, axis=1)[:, k - 1 : k]
-        rows, cols = np.nonzero(d2 <= bound)
-        dist = d2[rows, cols]
-        if exclude_self:
-            real = np.isfinite(dist)
-            rows, cols, dist = rows[real], cols[real], dist[real]
-        order = np.lexsort((cols, dist, rows))
-        rows, cols, dist = rows[order], cols[order], dist[order]
-        starts = np.searchsorted(rows, np.arange(len(d2)))
-        keep = np.arange(len(rows)) - starts[rows] < k
-        rank = (np.arange(len(rows)) - starts[rows])[keep] + 1
-        found.append((rows[keep] + part.start, cols[keep], dist[keep], rank.astype("int32")))
-    rows, cols, dist, rank = (np.concatenate(x) for x in zip(*found))
+    rows, cols, dist = tree.nearest(_matrix(left["vec"]), _values(left, "r2"), k, own)
+    rank = np.arange(len(rows)) - np.searchsorted(rows, rows) + 1
     return pa.table(
         [left["qid"].take(pa.array(rows)), right["cid"].take(pa.array(cols)), pa.array(dist),
-         pa.array(rank)],
+         pa.array(rank.astype("int32"))],
         schema=schema,
     )
 
 
-class _own:
-    """Cells of a block in which a query meets itself."""
-
-    def __init__(self, left: pa.Table, right: pa.Table) -> None:
-        place = pc.index_in(left["qid"].combine_chunks(), value_set=right["cid"].combine_chunks())
-        self.column = place.fill_null(-1).to_numpy(zero_copy_only=False)
-
-    def __getitem__(self, part: slice) -> tuple[np.ndarray, np.ndarray]:
-        column = self.column[part]
-        rows = np.flatnonzero(column >= 0)
-        return rows, column[rows]
+def _own(left: pa.Table, right: pa.Table) -> np.ndarray:
+    """Row of ``right`` that has the query's own key, or -1."""
+    place = pc.index_in(left["qid"].combine_chunks(), value_set=right["cid"].combine_chunks())
+    return place.fill_null(-1).to_numpy(zero_copy_only=False)
 
 
 def _visits(
-    placed: DataFrame, useful: DataFrame, boxes: _Boxes, k: int, exclude_self: bool
+    placed: DataFrame, useful: DataFrame, tree: Tree, k: int, exclude_self: bool
 ) -> DataFrame:
-    """(qid, vec, r2, leaf) for every leaf that may hold one of the k nearest.
+    """(qid, vec, r2, leaf) for every partition that may hold one of the k nearest.
 
-    ``r2`` bounds the squared distance of the k-th neighbour.
+    ``r2`` bounds the squared distance of the k-th neighbour: by a search in the query's own partition, or,
+    where that has too few rows, by the smallest node above it that has enough.
     """
     schema = T.StructType([
         placed.schema["qid"],
@@ -374,26 +239,22 @@ def _visits(
         T.StructField("leaf", T.LongType()),
     ])
     out_type = to_arrow_schema(schema)
+    shipped = placed.sparkSession.sparkContext.broadcast(tree)
+    need = k + int(exclude_self)
 
     def bound(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return out_type.empty_table()
         points = _matrix(left["vec"])
-        radius = np.full(len(points), np.inf)
-        if right.num_rows >= k + int(exclude_self):
-            others = _matrix(right["vec"])
+        radius = shipped.value.radius(points, need)
+        if right.num_rows >= need:
             own = _own(left, right) if exclude_self else None
-            for part in _slices(len(points), len(others)):
-                d2 = _squared(points[part], others)
-                if exclude_self:
-                    d2[own[part]] = np.inf
-                radius[part] = np.partition(d2, k - 1, axis=1)[:, k - 1]
-        found = []
-        for part in _slices(len(points), len(boxes.leaf)):
-            near = _box_distance(points[part], boxes.low, boxes.high) <= radius[part, None]
-            rows, cols = np.nonzero(near)
-            found.append((rows + part.start, boxes.leaf[cols]))
-        rows, leaves = (np.concatenate(x) for x in zip(*found))
+            rows, _, dist = PointTree(_matrix(right["vec"]), max(TREE_LEAF, k + 1)).nearest(points, radius, k, own)
+            last, count = np.unique(rows, return_counts=True)
+            full = count == k
+            at = np.cumsum(count)[full] - 1
+            radius[last[full]] = np.minimum(radius[last[full]], dist[at])
+        rows, leaves = shipped.value.visit(points, radius)
         take = pa.array(rows)
         return pa.table(
             [left["qid"].take(take), left["vec"].take(take), pa.array(radius[rows]),
@@ -401,17 +262,17 @@ def _visits(
             schema=out_type,
         )
 
-    # the first chunk of the own leaf is enough for a valid radius
-    rows = F.broadcast(_leaf_table(useful, boxes))
-    chunks, chunk = _chunk("cid", "leaf_rows", CANDIDATE_CHUNK)
-    probe = useful.join(rows, "leaf").where(chunk == 0)
-    counts = F.broadcast(placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("visit_rows")))
+    # the first chunk of the own partition is enough for a valid radius
+    sizes = useful.groupBy("leaf").agg(F.count(F.lit(1)).alias("leaf_rows"))
+    counts = placed.groupBy("leaf").agg(F.count(F.lit(1)).alias("visit_rows"))
+    sizes = F.broadcast(materialize(counts.join(sizes, "leaf", "left").fillna(0, ["leaf_rows"])))
+    _, chunk = _chunk("cid", "leaf_rows", CANDIDATE_CHUNK)
     q_chunks, q_chunk = _chunk("qid", "visit_rows", QUERY_CHUNK)
-    left = placed.join(counts, "leaf").withColumn("qc", q_chunk)
-    right = probe.join(counts, "leaf").withColumn(
+    left = placed.join(sizes, "leaf").withColumn("qc", q_chunk)
+    right = useful.join(sizes, "leaf").where(chunk == 0).withColumn(
         "qc", F.explode(F.sequence(F.lit(0), q_chunks - 1))
     ).select("leaf", "qc", "cid", "vec")
-    tasks = task_count(placed, 4 * len(boxes.leaf))
+    tasks = task_count(placed, 4 * tree.leaves)
     left, right = (x.repartition(tasks, "leaf", "qc").groupBy("leaf", "qc") for x in (left, right))
     bounded = left.cogroup(right).applyInArrow(bound, schema)
     return materialize(bounded)
@@ -429,8 +290,9 @@ def count_within(
 ) -> DataFrame:
     """(query_id, n): candidates strictly nearer than the query's own squared ``radius`` column.
 
-    A leaf wholly inside the ball adds its row count, a leaf outside adds nothing; only leaves cut
-    by the sphere compare points.
+    The top tree is descended from its root: a node wholly inside the ball adds its row count, a node outside
+    adds nothing; only partitions cut by the sphere are joined, and searched by a tree of their own. Null
+    entries of a query are not measured.
     """
     queries = queries.select(
         col(query_key).alias("qid"), col(query_vector).cast("array<double>").alias("vec"),
@@ -438,12 +300,12 @@ def count_within(
     )
     candidates = _prepare(candidates, candidate_key, candidate_vector, "cid")
     total, dims = _shape(candidates)
-    partition = fit_partition(candidates, "vec", "cid", total)
-    distinct = _with_leaf(candidates, "vec", partition).groupBy("leaf", "vec").agg(
+    splits = fit_partition(candidates, "vec", "cid", total)
+    distinct = _with_leaf(candidates, "vec", splits).groupBy("leaf", "vec").agg(
         F.min("cid").alias("cid"), F.count(F.lit(1)).alias("weight")
     )
     distinct = materialize(distinct)
-    boxes = _boxes(distinct, dims)
+    tree = queries.sparkSession.sparkContext.broadcast(_top_tree(distinct, splits, dims))
     schema = T.StructType([
         queries.schema["qid"], T.StructField("vec", T.ArrayType(T.DoubleType())),
         T.StructField("r2", T.DoubleType()), T.StructField("inside", T.LongType()),
@@ -456,23 +318,13 @@ def count_within(
         for batch in batches:
             if not batch.num_rows:
                 continue
-            points, r2 = _matrix(batch["vec"]), batch["r2"].to_numpy()
-            inside, counts, leaves = [], [], []
-            for part in _slices(len(points), len(boxes.leaf)):
-                ball = r2[part, None]
-                near = _box_distance(points[part], boxes.low, boxes.high) < ball
-                whole = _reach(points[part], boxes.low, boxes.high) < ball
-                inside.append((whole * boxes.weight[None, :]).sum(axis=1))
-                rows, cols = np.nonzero(near & ~whole)
-                counts.append(np.bincount(rows, minlength=len(near)))
-                leaves.append(boxes.leaf[cols])
-            ends = np.concatenate([[0], np.cumsum(np.concatenate(counts))]).astype("int32")
-            lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(leaves)))
+            points = _matrix(batch["vec"])
+            rows, leaves, inside = tree.value.count(points, batch["r2"].to_numpy())
+            ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(points)))])
+            order = np.argsort(rows, kind="stable")
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype("int32")), pa.array(leaves[order]))
             yield pa.RecordBatch.from_arrays(
-                [batch["qid"], batch["vec"], batch["r2"],
-                 pa.array(np.concatenate(inside).astype("int64")), lists],
-                schema=split_type,
-            )
+                [batch["qid"], batch["vec"], batch["r2"], pa.array(inside), lists], schema=split_type)
 
     parted = materialize(queries.mapInArrow(split, schema))
     cut = parted.select("qid", "vec", "r2", F.explode("leaves").alias("leaf"))
@@ -482,15 +334,12 @@ def count_within(
     def count(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows or not right.num_rows:
             return count_type.empty_table()
-        points, others = _matrix(left["vec"]), _matrix(right["vec"])
-        r2, weight = _values(left, "r2"), _values(right, "weight")
-        n = np.zeros(len(points), dtype="int64")
-        for part in _slices(len(points), len(others)):
-            nearer = _squared(points[part], others) < r2[part, None]
-            n[part] = (nearer * weight[None, :]).sum(axis=1)
+        points = _matrix(right["vec"])
+        n = PointTree(points, TREE_LEAF).weight_within(
+            _matrix(left["vec"]), _values(left, "r2"), _values(right, "weight"))
         return pa.table([left["qid"], pa.array(n)], schema=count_type)
 
-    left, right = _block_pairs(cut, distinct, boxes)
+    left, right = _block_pairs(cut, distinct)
     compared = left.cogroup(right).applyInArrow(count, out_schema)
     known = parted.select("qid", F.col("inside").alias("n"))
     both = known.unionByName(compared).groupBy("qid").agg(F.sum("n").alias("n"))

@@ -18,7 +18,6 @@ from maskloom.session import materialize
 MEAN, MEDIAN, MODE, KNN, FAST_KNN = "mean", "median", "mode", "knn", "fast_knn"
 METHODS = (MEAN, MEDIAN, MODE, KNN, FAST_KNN)
 FLAG = "__isna"
-MAX_PATTERNS = 64
 
 
 def add_missing_flags(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -88,7 +87,7 @@ def impute(
 def _impute_knn(df, missing, numbers, row_key, k, fraction, seed, distance_columns) -> DataFrame:
     """Mean (or vote) over the k nearest complete rows, by the standardised observed numbers.
 
-    Rows are grouped by the numbers they observe, each group is one exact neighbour search.
+    One search for all rows, whatever they lack: a null is not measured.
     """
     axes = [c for c in (distance_columns or df.columns) if c in numbers and c != row_key]
     stats = df.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(axes)],
@@ -97,63 +96,36 @@ def _impute_knn(df, missing, numbers, row_key, k, fraction, seed, distance_colum
         c: (col(c).cast("double") - F.lit(stats[f"m{i}"])) / F.lit(stats[f"s{i}"])
         for i, c in enumerate(axes) if stats[f"s{i}"] and isfinite(stats[f"s{i}"])
     }
-    needed = sorted(set(missing) | set(z))
-    pattern = F.concat(*[F.when(col(c).isNull(), "1").otherwise("0") for c in needed])
-    table = df.withColumn("__pattern", pattern)
-    patterns = [
-        r["__pattern"] for r in table.select("__pattern").distinct().limit(MAX_PATTERNS + 1).collect()
-    ]
-    if len(patterns) > MAX_PATTERNS:
-        raise ValueError(f"Expected at most {MAX_PATTERNS} patterns of missing columns")
-    complete = table.where(F.col("__pattern") == "0" * len(needed))
-    training = complete
+    whole, gap = F.lit(True), F.lit(False)
+    for c in sorted(set(missing) | set(z)):
+        whole = whole & col(c).isNotNull()
+    for c in missing:
+        gap = gap | col(c).isNull()
+    measured = F.array(*z.values()) if z else F.array().cast("array<double>")
+    asked = df.where(gap).select(col(row_key).alias("__qid"), measured.alias("features"))
+    if not z or asked.where(~F.exists("features", lambda x: x.isNotNull())).take(1):
+        raise ValueError("a row with gaps has no observed number to measure distances")
+    training = df.where(whole)
     if fraction < 1.0:
-        training = complete.where(uniform(seed, "impute", col(row_key)) < F.lit(float(fraction)))
-    training = materialize(training)
-    donors = training.select(col(row_key).alias("neighbor_id"),
-                             *[col(c).alias(f"__d_{c}") for c in missing])
-    parts = [complete.drop("__pattern")]
-    # patterns that observe the same numbers share one search
-    by_axes: dict[tuple[str, ...], list[str]] = {}
-    for p in sorted(patterns):
-        absent = {c for c, bit in zip(needed, p) if bit == "1"}
-        if not absent:
-            continue
-        seen = tuple(c for c in z if c not in absent)
-        if not seen:
-            raise ValueError(f"rows without {absent} have no observed number to measure distances")
-        by_axes.setdefault(seen, []).append(p)
-    for seen, group in by_axes.items():
-        rows = table.where(F.col("__pattern").isin(group)).drop("__pattern")
-        vector = F.array(*[z[c] for c in seen])
-        near = materialize(nearest(
-            rows.select(col(row_key), vector.alias("features")),
-            training.select(col(row_key), vector.alias("features")),
-            k, query_key=row_key, candidate_key=row_key,
-        ))
-        fill = [c for c in missing if any(p[needed.index(c)] == "1" for p in group)]
-        picked = lookup(near, donors, "neighbor_id", how="inner")
-        aggs = []
-        for c in fill:
-            if c in numbers:
-                aggs.append(F.avg(col(f"__d_{c}")).alias(f"__f_{c}"))
-            else:
-                votes = F.collect_list(col(f"__d_{c}"))
-                aggs.append(most_frequent(votes).alias(f"__f_{c}"))
-        filled = picked.groupBy(F.col("query_id").alias("__qid")).agg(*aggs)
-        joined = rows.join(filled, col(row_key) == F.col("__qid"), "left")
-        types = {f.name: f.dataType for f in df.schema.fields}
-        out = {}
-        for c in fill:
-            value = F.col(f"__f_{c}")
-            if types[c].typeName() in ("integer", "long", "short", "byte"):
-                value = F.round(value)
-            out[c] = F.coalesce(col(c), value.cast(types[c]))
-        parts.append(joined.withColumns(out).select(*map(col, df.columns)))
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return whole
+        training = training.where(uniform(seed, "impute", col(row_key)) < F.lit(float(fraction)))
+    donors = materialize(training.select(
+        col(row_key).alias("neighbor_id"), measured.alias("features"), *[col(c).alias(f"__d_{c}") for c in missing]))
+    near = materialize(nearest(asked, donors, k, query_key="__qid", candidate_key="neighbor_id"))
+    aggs = []
+    for c in missing:
+        given = col(f"__d_{c}")
+        aggs.append((F.avg(given) if c in numbers else most_frequent(F.collect_list(given))).alias(f"__f_{c}"))
+    picked = lookup(near, donors.drop("features"), "neighbor_id", how="inner")
+    filled = picked.groupBy(F.col("query_id").alias("__qid")).agg(*aggs)
+    types = {f.name: f.dataType for f in df.schema.fields}
+    out = {}
+    for c in missing:
+        value = F.col(f"__f_{c}")
+        if types[c].typeName() in ("integer", "long", "short", "byte"):
+            value = F.round(value)
+        out[c] = F.coalesce(col(c), value.cast(types[c]))
+    joined = df.join(filled, col(row_key) == F.col("__qid"), "left")
+    return joined.withColumns(out).select(*map(col, df.columns))
 
 
 def most_frequent(values):

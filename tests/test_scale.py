@@ -10,7 +10,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from maskloom.functions import sizing
-from maskloom.operators import affine, neighbors, ordinal, quantiles
+from maskloom.operators import tree, affine, neighbors, ordinal, quantiles
 from maskloom.operators.processors import (
     InterRecordBoundedCumulatedDifferenceProcessor,
     InterRecordBoundedRangeDifferenceProcessor,
@@ -126,7 +126,7 @@ def cloud(spark, n, dims, seed, copies=0.34):
 def brute(queries, others, k, exclude):
     out = {}
     for i, q in enumerate(queries):
-        d2 = ((others - q) ** 2).sum(axis=1)
+        d2 = np.nan_to_num((others - q) ** 2).sum(axis=1)
         ranked = sorted((d, j) for j, d in enumerate(d2) if not (exclude and i == j))
         out[i] = [j for _, j in ranked[:k]]
     return out
@@ -134,11 +134,11 @@ def brute(queries, others, k, exclude):
 
 @pytest.fixture
 def small_leaves(monkeypatch):
-    monkeypatch.setattr(neighbors, "LEAF_ROWS", 40)
+    monkeypatch.setattr(neighbors, "PART_ROWS", 40)
+    monkeypatch.setattr(neighbors, "TREE_LEAF", 4)
     monkeypatch.setattr(neighbors, "QUERY_CHUNK", 30)
     monkeypatch.setattr(neighbors, "CANDIDATE_CHUNK", 25)
-    monkeypatch.setattr(neighbors, "BLOCK_CELLS", 500)
-    monkeypatch.setattr(neighbors, "SMALL_CANDIDATES", 0)
+    monkeypatch.setattr(tree, "BLOCK", 500)
 
 
 @pytest.mark.parametrize("dims, k, exclude", [(1, 3, True), (3, 7, True), (3, 1, False), (6, 5, True)])
@@ -151,6 +151,69 @@ def test_nearest_matches_brute_force(spark, small_leaves, dims, k, exclude):
     assert got == brute(points, points, k, exclude)
 
 
+@pytest.mark.parametrize("parted", [True, False])
+def test_nearest_measures_only_what_a_query_has(spark, request, parted):
+    if parted:
+        request.getfixturevalue("small_leaves")
+    df, points = cloud(spark, 400, 4, seed=51)
+    rng = np.random.default_rng(52)
+    asked = points[:150].copy()
+    asked[rng.random(asked.shape) < 0.4] = np.nan  # some rows have no entry at all
+    queries = spark.createDataFrame(
+        [(i, [None if np.isnan(x) else float(x) for x in p]) for i, p in enumerate(asked)],
+        "id bigint, features array<double>")
+    found = neighbors.nearest(queries, df, 5, query_key="id", candidate_key="id", exclude_self=True)
+    got = {}
+    for r in sorted(found.collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append(r["neighbor_id"])
+    assert got == brute(asked, points, 5, True)
+
+
+def test_nearest_grows_where_a_partition_has_too_few_rows(spark, small_leaves):
+    df, points = cloud(spark, 400, 2, seed=61)
+    asked, far = cloud(spark, 60, 2, seed=62)
+    queries = asked.withColumn("features", F.transform("features", lambda x: x * 40))
+    found = neighbors.nearest(queries, df, 90, query_key="id", candidate_key="id")
+    got = {}
+    for r in sorted(found.collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append(r["neighbor_id"])
+    assert got == brute(far * 40, points, 90, False)
+
+
+@pytest.mark.parametrize("n, d, leaf", [(1, 1, 4), (7, 2, 4), (300, 3, 5), (1000, 2, 32), (64, 6, 1)])
+def test_point_tree(n, d, leaf):
+    rng = np.random.default_rng(n)
+    points = np.round(rng.standard_normal((n, d)), 1)  # with ties
+    queries = np.round(rng.standard_normal((80, d)) * 1.5, 1)
+    queries[rng.random(queries.shape) < 0.2] = np.nan
+    made = tree.PointTree(points, leaf)
+    assert sorted(np.concatenate([made.members(x) for x in range(made.leaves)]).tolist()) == list(range(n))
+    far = tree.squared(queries, points)
+    k = min(3, n)
+    rows, columns, dist = made.nearest(queries, np.full(80, np.inf), k, None)
+    want = [sorted((far[q, j], j) for j in range(n))[:k] for q in range(80)]
+    assert [(a, b) for a, b in zip(dist, columns)] == [x for w in want for x in w]
+    r2 = rng.choice([0.0, 0.25, 1.0, 100.0, np.inf], 80)
+    weight = rng.integers(1, 5, n)
+    assert made.weight_within(queries, r2, weight).tolist() == ((far < r2[:, None]) * weight).sum(axis=1).tolist()
+    rows, leaves, inside = made.count(queries, r2)
+    for q, leaf_ in zip(rows, leaves):
+        inside[q] += (far[q, made.members(leaf_)] < r2[q]).sum()
+    assert inside.tolist() == (far < r2[:, None]).sum(axis=1).tolist()
+    ball = made.radius(queries, k)
+    assert all((far[q] <= ball[q]).sum() >= k for q in range(80))
+
+
+def test_search_opens_few_leaves():
+    rng = np.random.default_rng(9)
+    points = rng.standard_normal((50_000, 3))
+    made = tree.PointTree(points, 32)
+    queries = rng.standard_normal((200, 3))
+    rows, _, dist = made.nearest(queries, np.full(200, np.inf), 5, None)
+    _, leaves = made.visit(queries, dist[4::5])
+    assert len(leaves) < 200 * 30 < 200 * made.leaves / 30
+
+
 def test_nearest_on_a_small_table(spark):
     df, points = cloud(spark, 300, 3, seed=31)
     found = neighbors.nearest(df, df, 6, query_key="id", candidate_key="id", exclude_self=True)
