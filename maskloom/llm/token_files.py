@@ -21,14 +21,12 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from maskloom.llm.common import arrow_map, blocks, need
+from maskloom.llm.common import arrow_map, blocks, need, text_key
 from maskloom.llm.elias_fano import EliasFano
 from maskloom.session import RUN, materialize, shared_folder
 
@@ -36,7 +34,7 @@ MAGIC = b"MLTOKEF1"
 FOOTER = "<QQQQqQQB"
 #: Ids of a file, and documents of a file, after which the next file is begun (a longer document has its own).
 FILE_TOKENS, FILE_DOCUMENTS = 1 << 26, 1 << 20
-#: Bytes of ids for a writing task.
+#: Bytes of text for a writing task.
 TASK_BYTES = 64 << 20
 #: Words whose ids a worker remembers, from task to task.
 WORDS = 1 << 19
@@ -123,28 +121,6 @@ class Tokens:
         return self.whole(text) == self.fast(text)
 
 
-def encode(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
-    """``doc_id``, ``ids`` (little-endian, 16 bits where the vocabulary allows), ``end_id`` last."""
-    with open(tokenizer, encoding="utf-8") as file:
-        shipped = docs.sparkSession.sparkContext.broadcast({"model": file.read()})
-
-    def work(batches: Iterator[dict]) -> Iterator[dict]:
-        held = shipped.value  # a worker keeps its copy, and with it the words, for its next task
-        if "tokens" not in held:
-            held["tokens"] = Tokens(held["model"])
-        tokens = held["tokens"]
-        end = np.array([end_id], tokens.kind).tobytes()
-        for batch in batches:
-            ids, texts = batch["doc_id"], batch["text"]
-            sizes = pc.fill_null(pc.binary_length(texts), 0).to_pylist()
-            for a, b in blocks(sizes):
-                yield {"doc_id": ids.slice(a, b - a), "ids": pa.array(
-                    [tokens(t or "") + end for t in texts.slice(a, b - a).to_pylist()], pa.binary())}
-
-    return arrow_map(need(docs, "doc_id", "text").withColumn("doc_id", F.col("doc_id").cast("long")), work,
-                     "doc_id long, ids binary")
-
-
 def filesystem(path: str) -> tuple[arrow_fs.FileSystem, str]:
     """File system and path for local paths and any scheme that Arrow knows (file, hdfs, s3, gs, abfs)."""
     local = re.sub(r"^file:/+", "/", path)
@@ -242,20 +218,27 @@ def write_tokens(
 ) -> DataFrame:
     """Encode ``docs`` (``doc_id``, ``text``) and write files in ascending ``doc_id`` order; the table of files.
 
-    Rows without ``doc_id`` come first; rows of one ``doc_id`` are ordered by a hash of their ids, so equal
+    Rows without ``doc_id`` come first; rows of one ``doc_id`` are ordered by a hash of their texts, so equal
     rows stand together, and any number of them can be dealt over several files. A null text is empty and
-    consists of ``end_id`` alone. No rows give no files. Other columns are ignored.
+    consists of ``end_id`` alone. No rows give no files. Other columns are ignored. Texts are dealt by range
+    once, and encoded by the task that writes them.
     """
     spark = docs.sparkSession
     folder = folder or f"{shared_folder(spark).rstrip('/')}/{RUN}/{uuid.uuid4().hex}"
     with open(tokenizer, encoding="utf-8") as file:
-        width = np.dtype(Tokens(file.read()).kind).itemsize
-    coded = materialize(encode(docs, tokenizer, end_id))
-    size = coded.agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("ids")).alias("b")).first()
+        shipped = spark.sparkContext.broadcast({"model": file.read()})
+    docs = need(docs, "doc_id", "text").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    size = docs.agg(F.count(F.lit(1)).alias("n"), F.sum(F.octet_length("text")).alias("b")).first()
     parts = max(-(-(size["b"] or 0) // task_bytes), min(spark.sparkContext.defaultParallelism, size["n"]), 1)
 
     def work(batches: Iterator[dict]) -> Iterator[dict]:
         part, turn, out = TaskContext.get().partitionId(), 0, None
+        held = shipped.value  # a worker keeps its copy, and with it the words, for its next task
+        if "tokens" not in held:
+            held["tokens"] = Tokens(held["model"])
+        tokens = held["tokens"]
+        width = np.dtype(tokens.kind).itemsize
+        end = np.array([end_id], tokens.kind).tobytes()
 
         def done():
             out.close()
@@ -263,7 +246,8 @@ def write_tokens(
                     "tokens": [out.total]}
 
         for batch in batches:
-            for doc_id, ids in zip(batch["doc_id"].to_pylist(), batch["ids"].to_pylist()):
+            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
+                ids = tokens(text or "") + end
                 full = out and (out.total + len(ids) // width > file_tokens or len(out.ends) >= FILE_DOCUMENTS)
                 if full:
                     yield done()
@@ -274,10 +258,9 @@ def write_tokens(
             yield done()
 
     order = [F.col("doc_id").asc_nulls_first(), F.col("h"), F.col("place")]
-    dealt = coded.select("doc_id", "ids", F.xxhash64("ids").alias("h"),
-                         F.monotonically_increasing_id().alias("place"))
+    dealt = docs.withColumns({"h": text_key(), "place": F.monotonically_increasing_id()})
     ordered = dealt.repartitionByRange(int(parts), *order).sortWithinPartitions(*order)
-    return materialize(arrow_map(ordered.select("doc_id", "ids"), work, FILES))
+    return materialize(arrow_map(ordered.select("doc_id", "text"), work, FILES))
 
 
 def read_tokens(files: DataFrame) -> DataFrame:
