@@ -10,6 +10,7 @@ from checks.synthesis import pca_two_sql
 from maskloom.operators import multitable as mt
 from maskloom.operators import timeseries as ts
 from maskloom.operators.metrics import privacy, signal
+from maskloom.operators.assignment import assign_parents, assignment_bound
 from maskloom.operators.neighbors import nearest
 from maskloom.operators.synthesis.generate import neighbor_weights
 from maskloom.session import materialize
@@ -61,7 +62,7 @@ def m03(spark, sf):
 @suite.add("m04_link_linear_sum")
 def m04(spark, sf):
     a, b = points(spark, sf)
-    return mt.assign_parents(a, b, "id").withColumn("distance", r("distance"))
+    return assign_parents(a, b, "id").withColumn("distance", r("distance"))
 
 
 @suite.add("m04_link_linear_sum_line", f"""
@@ -72,11 +73,29 @@ from o join s using (pos)""")
 def m04b(spark, sf):
     """On a line the sorted matching is the least assignment, and blocks do not break it."""
     a, b = (df.select("id", F.array("balance").alias("features")) for df in (source(spark, sf), twin(spark, sf)))
-    return mt.assign_parents(a, b, "id").agg(
+    return assign_parents(a, b, "id").agg(
         F.count(F.lit(1)).alias("pairs"), F.count_distinct("parent_id").alias("parents"),
         F.count_distinct("synthetic_id").alias("targets"), r(F.sum("distance"), 3).alias("total"))
 
 
+@suite.add("m04_link_linear_sum_bound", f"""
+select count(*) as pairs, count(*) as parents, count(*) as targets, true as adds_up, true as near_least from ({SOURCE_SQL})""")
+def m04c(spark, sf):
+    """One-to-one, with the distances of its pairs, and near what no assignment can go below."""
+    a, b = points(spark, sf)
+    out = assign_parents(a, b, "id")
+    bound = assignment_bound(a, b, out, "id")
+    far = F.sqrt(F.aggregate(F.zip_with("x", "y", lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda s, v: s + v))
+    pairs = out.join(a.select(F.col("id").alias("parent_id"), F.col("features").alias("x")), "parent_id").join(
+        b.select(F.col("id").alias("synthetic_id"), F.col("features").alias("y")), "synthetic_id")
+    whole = pairs.agg(
+        F.count(F.lit(1)).alias("pairs"), F.count_distinct("parent_id").alias("parents"),
+        F.count_distinct("synthetic_id").alias("targets"), F.sum(far).alias("own"))
+    return whole.join(F.broadcast(bound)).select(
+        "pairs", "parents", "targets", (F.abs(F.col("own") - F.col("total")) < 1e-6).alias("adds_up"),
+        (F.col("total") <= 1.1 * F.col("lower_bound")).alias("near_least"))
+
+
 def _parents(spark, sf):
     customers = table(spark, sf, "customer").select("c_custkey", "c_mktsegment", "c_nationkey")
     parts = table(spark, sf, "part").select("p_partkey", "p_brand", "p_size")

@@ -106,7 +106,7 @@ def task_count(df: DataFrame, groups: int) -> int:
     return max(1, min(max(groups, 1), max(cores, shuffle)))
 
 
-def _block_pairs(visits: DataFrame, candidates: DataFrame):
+def _block_pairs(visits: DataFrame, candidates: DataFrame, *more: str):
     """Both sides keyed by (leaf, query chunk, candidate chunk), ready for a cogroup.
 
     A row of either side is repeated once per chunk of the other side in its leaf.
@@ -126,7 +126,7 @@ def _block_pairs(visits: DataFrame, candidates: DataFrame):
     keys = ["leaf", "qc", "cc"]
     blocks = sizes.agg(F.sum(q_chunks * c_chunks)).first()[0] or 1
     tasks = task_count(visits, blocks)
-    right = right.select(*keys, "cid", "vec", "weight")
+    right = right.select(*keys, "cid", "vec", "weight", *more)
     return left.repartition(tasks, *keys).groupBy(*keys), right.repartition(tasks, *keys).groupBy(*keys)
 
 
@@ -344,3 +344,51 @@ def count_within(
     known = parted.select("qid", F.col("inside").alias("n"))
     both = known.unionByName(compared).groupBy("qid").agg(F.sum("n").alias("n"))
     return both.select(F.col("qid").alias("query_id"), "n")
+
+
+def least_priced(queries: DataFrame, candidates: DataFrame) -> DataFrame:
+    """(query_id, neighbor_id, value): for each query the least distance plus price, ties to the smaller id.
+
+    ``queries`` has ``id, features, limit`` (a value that some candidate reaches), ``candidates`` has
+    ``id, features, price``. Nodes of the top tree are opened where their box and least price can reach a limit.
+    """
+    queries = queries.select(F.col("id").alias("qid"), F.col("features").cast("array<double>").alias("vec"),
+                             F.col("limit").cast("double").alias("u"))
+    candidates = candidates.select(F.col("id").alias("cid"), F.col("features").cast("array<double>").alias("vec"),
+                                   F.col("price").cast("double").alias("price"))
+    total, dims = _shape(candidates)
+    splits = fit_partition(candidates, "vec", "cid", total)
+    held = materialize(_with_leaf(candidates, "vec", splits).withColumn("weight", F.lit(1).cast("long")))
+    least = held.agg(F.min("price")).first()[0] or 0.0
+    reach = F.greatest(F.col("u") - F.lit(least), F.lit(0.0))
+    # a little wider than the limit, as its square is rounded
+    asked = queries.withColumn("r2", reach * reach * (1 + 1e-9) + 1e-12)
+    schema = T.StructType([
+        T.StructField("query_id", queries.schema["qid"].dataType),
+        T.StructField("neighbor_id", candidates.schema["cid"].dataType), T.StructField("value", T.DoubleType()),
+    ])
+    out_type = to_arrow_schema(schema)
+    tree = queries.sparkSession.sparkContext.broadcast(_top_tree(held, splits, dims))
+
+    @F.arrow_udf("array<long>")
+    def touched(points: pa.Array, r2: pa.Array) -> pa.Array:
+        rows, leaves = tree.value.visit(_matrix(points), r2.to_numpy(zero_copy_only=False))
+        order = np.argsort(rows, kind="stable")
+        ends = np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=len(points)))])
+        return pa.ListArray.from_arrays(pa.array(ends.astype("int32")), pa.array(leaves[order].astype("int64")))
+
+    visits = materialize(asked.withColumn("leaf", F.explode(touched("vec", "r2"))))
+
+    def search(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows or not right.num_rows:
+            return out_type.empty_table()
+        right = right.sort_by("cid")
+        rows, cols, value = PointTree(_matrix(right["vec"]), TREE_LEAF).least_priced(
+            _matrix(left["vec"]), _values(left, "u"), _values(right, "price"))
+        return pa.table([left["qid"].take(pa.array(rows)), right["cid"].take(pa.array(cols)), pa.array(value)],
+                        schema=out_type)
+
+    left, right = _block_pairs(visits, held, "price")
+    found = left.cogroup(right).applyInArrow(search, schema)
+    first = F.min(F.struct("value", "neighbor_id")).alias("m")
+    return found.groupBy("query_id").agg(first).select("query_id", "m.neighbor_id", "m.value")

@@ -225,6 +225,19 @@ class PointTree(Tree):
             far[own[rows][:, None] == members[None, :]] = np.inf
         return far
 
+    def least_priced(self, queries: np.ndarray, limit: np.ndarray, price: np.ndarray):
+        """(query, point, value) of the least distance plus price within ``limit``, ties to the lower point."""
+        best, at = np.full(len(queries), np.inf), np.full(len(queries), len(price))
+        reach = np.maximum(limit - price.min(), 0.0)
+        for rows, members in self.blocks(*self.visit(queries, reach * reach * (1 + 1e-9) + 1e-12)):
+            value = np.sqrt(squared(queries[rows], self.points[members])) + price[members][None, :]
+            least = value.min(axis=1)
+            point = np.where(value == least[:, None], members[None, :], len(price)).min(axis=1)
+            better = (least < best[rows]) | ((least == best[rows]) & (point < at[rows]))
+            best[rows[better]], at[rows[better]] = least[better], point[better]
+        found = np.flatnonzero(np.isfinite(best))
+        return found, at[found], best[found]
+
     def weight_within(self, queries: np.ndarray, r2: np.ndarray, weight: np.ndarray) -> np.ndarray:
         """Summed ``weight`` (of points) strictly within each query's squared radius."""
         total = np.zeros(len(queries), dtype=np.int64)

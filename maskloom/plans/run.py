@@ -22,6 +22,7 @@ from maskloom.operators.synthesis.generate import (
     shuffle_rows,
     synthesize,
 )
+from maskloom.operators.assignment import assign_parents
 from maskloom.operators.synthesis.impute import MODE, impute
 from maskloom.operators.synthesis.noise import private_rows
 from maskloom.operators.synthesis.project import fit_space
@@ -272,7 +273,7 @@ def link_children(
         if link.method == mt.MINIMUM_DISTANCE_ASSIGNMENT:
             mapping = mt.nearest_parents(parent.originals, parent.placed, parent.key)
         elif link.method == mt.LINEAR_SUM_ASSIGNMENT:
-            mapping = mt.assign_parents(parent.originals, parent.placed, parent.key)
+            mapping = assign_parents(parent.originals, parent.placed, parent.key)
         rows = mt.relink(rows, row_key_of(spec), spec.data, link.child_field, mapping)
     return rows
 

@@ -9,6 +9,7 @@ import pytest
 from conftest import FIXTURES, SMALL, rows_of
 from pyspark.sql import functions as F
 
+from maskloom.operators import assignment, neighbors
 from maskloom.operators import multitable as mt
 from maskloom.operators import timeseries as ts
 from maskloom.operators.metrics import privacy, signal
@@ -27,12 +28,12 @@ from maskloom.operators.synthesis.generate import (
 )
 from maskloom.operators.synthesis.impute import impute
 from maskloom.operators.synthesis.noise import private_rows
-from maskloom.operators.synthesis.noise import private_rows
 from maskloom.operators.synthesis.project import fit_space
 from maskloom.plans.parameters import Parameters, ParameterSet
 from maskloom.plans.pipeline import Pipeline
 from maskloom.plans.run import advise_parameters, run
 from maskloom.plans.specs import DatasetSpec
+from maskloom.session import materialize
 from maskloom.sources.tables import read_csv
 from maskloom.streaming.apply import preprocess_stream
 
@@ -231,21 +232,72 @@ def test_assignment_is_optimal():
     for n in (1, 2, 3, 5, 6):
         for _ in range(20):
             cost = rng.integers(0, 9, size=(n, n)).astype(float)
-            chosen = mt.least_assignment(cost)
+            chosen = assignment.least_assignment(cost)
             assert sorted(chosen) == list(range(n))
             best = min(sum(cost[i, p[i]] for i in range(n)) for p in itertools.permutations(range(n)))
             assert cost[np.arange(n), chosen].sum() == best
 
 
-def test_assign_parents_in_blocks(spark, monkeypatch):
+def test_assign_parents_in_blocks(spark):
     rng = np.random.default_rng(4)
     x, y = rng.normal(size=90), rng.normal(size=90)
-    out = mt.assign_parents(points(spark, x), points(spark, y), "id", block_rows=16).toPandas()
+    out = assignment.assign_parents(points(spark, x), points(spark, y), "id", block_rows=16).toPandas()
     assert sorted(out["parent_id"]) == sorted(out["synthetic_id"]) == list(range(90))
     # on a line the sorted matching is optimal and blocks do not break it
     assert out["distance"].sum() == pytest.approx(np.abs(np.sort(x) - np.sort(y)).sum())
 
 
+def test_assignment_of_many_blocks_is_near_the_least(spark):
+    rng = np.random.default_rng(14)
+    n = 1500
+    x, y = rng.normal(size=(n, 5)), rng.normal(size=(n, 5)) * 0.9 + 0.2
+    cost = assignment.distances(x, y)
+    exact = cost[np.arange(n), assignment.least_assignment(cost)].sum()
+    a, b = (spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(p)], "id long, features array<double>")
+            for p in (x, y))
+    made = materialize(assignment.assign_parents(a, b, "id"))
+    out = made.toPandas()
+    assert sorted(out["parent_id"]) == sorted(out["synthetic_id"]) == list(range(n))
+    assert out["distance"].to_numpy() == pytest.approx(cost[out["parent_id"], out["synthetic_id"]])
+    assert exact <= out["distance"].sum() + 1e-9 and out["distance"].sum() <= 1.01 * exact
+    bound = assignment.assignment_bound(a, b, made, "id", steps=6).first()
+    assert bound["total"] == pytest.approx(out["distance"].sum())
+    assert 0.95 * exact <= bound["lower_bound"] <= exact + 1e-9
+
+
+def test_assignment_of_few_and_equal_rows(spark):
+    def table(rows):
+        return spark.createDataFrame(rows, "id long, features array<double>")
+
+    same = table([(i, [1.0, 2.0]) for i in range(40)])
+    out = assignment.assign_parents(same, same, "id", block_rows=8).toPandas()
+    assert sorted(out["parent_id"]) == sorted(out["synthetic_id"]) == list(range(40)) and not out["distance"].any()
+    bound = assignment.assignment_bound(same, same, spark.createDataFrame(out), "id", block_rows=8).first()
+    assert bound["total"] == bound["lower_bound"] == 0.0
+    a, b = table([(1, [0.0]), (2, [5.0]), (3, [9.0])]), table([(1, [9.5]), (2, [0.5]), (3, [4.0])])
+    found = assignment.assign_parents(a, b, "id")
+    assert sorted(map(tuple, found.collect())) == [(1, 2, 0.5), (2, 3, 1.0), (3, 1, 0.5)]
+    bound = assignment.assignment_bound(a, b, found, "id").first()
+    assert bound["lower_bound"] == pytest.approx(2.0) == bound["total"]
+    with pytest.raises(ValueError, match="as many"):
+        assignment.assign_parents(a, same, "id")
+
+
+@pytest.mark.parametrize("part_rows", [None, 30])
+def test_least_priced_against_all_pairs(spark, monkeypatch, part_rows):
+    if part_rows:
+        monkeypatch.setattr(neighbors, "PART_ROWS", part_rows)
+    rng = np.random.default_rng(15)
+    x, y, price = rng.normal(size=(120, 3)), rng.normal(size=(250, 3)), rng.normal(size=250)
+    value = assignment.distances(x, y) + price
+    a = spark.createDataFrame([(i, v.tolist(), float(value[i, i])) for i, v in enumerate(x)],
+                              "id long, features array<double>, limit double")
+    b = spark.createDataFrame([(i, v.tolist(), float(p)) for i, (v, p) in enumerate(zip(y, price))],
+                              "id long, features array<double>, price double")
+    got = {r["query_id"]: (r["neighbor_id"], r["value"]) for r in neighbors.least_priced(a, b).collect()}
+    assert got == {i: (int(row.argmin()), pytest.approx(row.min())) for i, row in enumerate(value)}
+
+
 def test_alignment_against_numpy(make):
     t = [0.0, 1.0, 4.0, 10.0, 5.0, 7.0, 3.0]
     v = [1.0, 3.0, 0.0, 6.0, 2.0, 8.0, 9.0]
