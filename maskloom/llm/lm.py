@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from maskloom.llm.bpe import bpe_round_trip
 from maskloom.llm.common import arrow_map, blocks, small_side
-from maskloom.llm.ngrams import Arrays, array_blocks, codes_of, count_codes, losses, merge_counts, suffix, union_all
+from maskloom.llm.ngrams import FileArrays, codes_of, count_codes, losses, merge_counts, suffix, write_arrays
 from maskloom.session import materialize
 
 ORDER, BITS = 2, 20
@@ -77,7 +77,7 @@ def cross_entropy_difference(
         raise ValueError("order must be 1, 2 or 3")
     spark = docs.sparkSession
     coded = materialize(bpe_round_trip(docs, tokenizer=tokenizer, outputs=("n_tokens", "ids")).select(
-        "doc_id", "n_tokens", "ids", F.monotonically_increasing_id().alias("r")))
+        "doc_id", "n_tokens", "ids"))
     chosen = target.select(F.col("doc_id").cast("long").alias("doc_id")).where("doc_id is not null").distinct()
     marked = coded.join(small_side(chosen.withColumn("good", F.lit(True)), 16), "doc_id", "left").select(
         "ids", F.coalesce("good", F.lit(False)).alias("good"))
@@ -87,29 +87,23 @@ def cross_entropy_difference(
     both = losses(counts, order, BITS, "n", vocabulary).withColumnRenamed("loss", "b").join(
         losses(counts, order, BITS, "m", vocabulary).withColumnRenamed("loss", "a"), ["g", "code"])
     table = materialize(both)
-    parts = []
-    for arrays in array_blocks(table, "a", "b"):
-        shipped = spark.sparkContext.broadcast(arrays.of)
-
-        def work(batches: Iterator[dict], shipped=shipped) -> Iterator[dict]:
-            arrays = Arrays(shipped.value)
-            for batch in batches:
-                every = batch["ids"].to_pylist()
-                for a, b in blocks([len(c) for c in every], BLOCK):
-                    codes, starts = gram_codes(every[a:b], order)
-                    total = np.zeros((b - a, 2))
-                    if len(codes):
-                        full = [i for i in range(b - a) if every[a + i]]
-                        total[full] = np.add.reduceat(arrays.get("", codes).astype(np.float64), starts, axis=0)
-                    yield {"r": batch["r"].slice(a, b - a), "doc_id": batch["doc_id"].slice(a, b - a),
-                           "n_tokens": batch["n_tokens"].slice(a, b - a), "a": total[:, 0], "b": total[:, 1]}
-
-        parts.append(arrow_map(coded, work, "r long, doc_id long, n_tokens long, a double, b double"))
-    if not parts:
-        parts = [coded.select("r", "doc_id", "n_tokens", F.lit(0.0).alias("a"), F.lit(0.0).alias("b"))]
-    whole = parts[0]
-    if len(parts) > 1:
-        whole = union_all(parts).groupBy("r", "doc_id", "n_tokens").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    files = write_arrays(table, "a", "b")
+
+    def work(batches: Iterator[dict]) -> Iterator[dict]:
+        arrays = FileArrays(files)
+        for batch in batches:
+            every = batch["ids"].to_pylist()
+            for a, b in blocks([len(c) for c in every], BLOCK):
+                codes, starts = gram_codes(every[a:b], order)
+                total = np.zeros((b - a, 2))
+                if len(codes):
+                    full = [i for i in range(b - a) if every[a + i]]
+                    total[full] = np.add.reduceat(arrays.get("", codes).astype(np.float64), starts, axis=0)
+                yield {"doc_id": batch["doc_id"].slice(a, b - a), "n_tokens": batch["n_tokens"].slice(a, b - a),
+                       "a": total[:, 0], "b": total[:, 1]}
+
+    whole = arrow_map(coded.select("doc_id", "n_tokens", "ids"), work,
+                      "doc_id long, n_tokens long, a double, b double")
     mean = lambda c: F.try_divide(F.col(c), F.col("n_tokens"))
     first = mean("a") if known else F.lit(None).cast("double")
     return whole.select("doc_id", "n_tokens", first.alias("target_loss"), mean("b").alias("background_loss")).withColumn(

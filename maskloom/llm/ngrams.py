@@ -9,20 +9,24 @@ tables, back-off included, so scoring a position is one lookup of its code.
 
 from __future__ import annotations
 
+import json
+import mmap
+import uuid
 from functools import reduce
 
 import numpy as np
 import pyarrow as pa
+from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from maskloom.llm.common import small_side
-from maskloom.session import materialize
+from maskloom.llm.common import filesystem, small_side
+from maskloom.session import RUN, materialize, shared_folder
 
 #: Discounts where a table is too small to estimate them.
 PLAIN = (0.5, 1.0, 1.5)
-#: Entries of a broadcast block of losses (about 24 bytes each); a larger table is looked up block by block.
-BLOCK_ENTRIES = 4_000_000
+#: Entries of a file of losses, about 24 bytes each, as one task sorts them.
+BLOCK_ENTRIES = 2_000_000
 SPREAD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -191,21 +195,81 @@ class Arrays:
         return out
 
 
-def array_blocks(table: DataFrame, *columns: str):
-    """``Arrays`` of a (g, code, values) table, in blocks of at most about ``BLOCK_ENTRIES`` entries each.
+def write_arrays(table: DataFrame, *columns: str, entries: int | None = None) -> list[str]:
+    """Files of the sorted arrays of a (g, code, values) table, one for each remainder of the codes.
 
-    A block is fetched, broadcast and used before the next one, so the driver never holds more.
+    Tasks build and write them in the shared folder, each holding about ``entries`` entries; only their paths
+    come back. ``FileArrays`` looks codes up in all of them.
     """
-    parts = max(1, -(-table.count() // BLOCK_ENTRIES))
-    for part in range(parts):
-        rows = table if parts == 1 else table.where(F.pmod(F.xxhash64("code"), F.lit(parts)) == part)
-        got = rows.select("g", "code", *[F.col(c).cast("float") for c in columns]).toArrow()
-        values = np.stack([got.column(c).to_numpy() for c in columns], 1)
-        names = got.column("g").combine_chunks().dictionary_encode()
+    spark = table.sparkSession
+    folder = f"{shared_folder(spark).rstrip('/')}/{RUN}/{uuid.uuid4().hex}"
+    shards = max(1, -(-table.count() // (entries or BLOCK_ENTRIES)))
+    schema = pa.schema([("shard", pa.int64()), ("path", pa.string())])
+
+    def build(rows: pa.Table) -> pa.Table:
+        values = np.stack([rows.column(c).to_numpy() for c in columns], 1)
+        names = rows.column("g").combine_chunks().dictionary_encode()
         if isinstance(names, pa.ChunkedArray):
             names = names.combine_chunks()
-        yield Arrays().fill(names.indices.to_numpy(), got.column("code").to_numpy().view(np.uint64),
-                            values[:, 0] if len(columns) == 1 else values, names.dictionary.to_pylist())
+        arrays = Arrays().fill(names.indices.to_numpy(), rows.column("code").to_numpy().view(np.uint64),
+                               values[:, 0] if len(columns) == 1 else values, names.dictionary.to_pylist())
+        where, base = filesystem(folder)
+        where.create_dir(base, recursive=True)
+        name = f"{uuid.uuid4().hex}.arrays"  # an attempt that is repeated writes another file
+        with where.open_output_stream(f"{base}/{name}") as out:
+            places, at = {}, 0
+            for group, (keys, index, shift, found) in arrays.of.items():
+                places[group] = [int(shift), list(found.shape[1:])]
+                for part in (keys, index, found):
+                    data = np.ascontiguousarray(part).tobytes()
+                    out.write(data + bytes(-len(data) % 64))
+                    places[group].append([at, part.size])
+                    at += len(data) + -len(data) % 64
+            tail = json.dumps(places).encode()
+            out.write(tail + len(tail).to_bytes(8, "little"))
+        return pa.table({"shard": rows.column("shard")[:1], "path": [f"{folder}/{name}"]}, schema=schema)
+
+    dealt = table.select("g", "code", *[F.col(c).cast("float").alias(c) for c in columns],
+                         F.pmod("code", F.lit(shards)).alias("shard"))
+    made = dealt.groupBy("shard").applyInArrow(build, "shard long, path string")
+    found = {r["shard"]: r["path"] for r in materialize(made).collect()}
+    return [found.get(i, "") for i in range(shards)]
+
+
+class FileArrays:
+    """Values by group and code in the files of ``write_arrays``; pages of local files are shared by a machine's tasks."""
+
+    def __init__(self, paths: list[str]) -> None:
+        self.shards = [self._open(p) if p else Arrays() for p in paths]
+        self.width = next((v[3].shape[1:] for s in self.shards for v in s.of.values()), ())
+
+    @staticmethod
+    def _open(path: str) -> Arrays:
+        where, base = filesystem(path)
+        if isinstance(where, arrow_fs.LocalFileSystem):
+            with open(base, "rb") as file:
+                data = mmap.mmap(file.fileno(), 0, access=mmap.ACCESS_READ)
+        else:
+            with where.open_input_stream(base) as file:
+                data = file.read()
+        size = int.from_bytes(data[-8:], "little")
+        of = {}
+        for group, (shift, width, keys, index, values) in json.loads(data[-8 - size : -8]).items():
+            read = lambda place, kind: np.frombuffer(data, kind, place[1], place[0])
+            of[group] = (read(keys, "<u8"), read(index, "<i4"), np.uint64(shift), read(values, "<f4").reshape(-1, *width))
+        return Arrays(of)
+
+    def get(self, group: str, codes: np.ndarray) -> np.ndarray:
+        """Values of codes; 0 where a code is not in any file."""
+        if len(self.shards) == 1:
+            return self.shards[0].get(group, codes)
+        out = np.zeros((len(codes), *self.width), np.float32)
+        shard = (codes.view(np.int64) % len(self.shards)).astype(np.int64)
+        for i, arrays in enumerate(self.shards):
+            own = np.flatnonzero(shard == i)
+            if len(own):
+                out[own] = arrays.get(group, codes[own])
+        return out
 
 
 def union_all(frames: list[DataFrame]) -> DataFrame:

@@ -13,22 +13,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskloom.llm.common import arrow_map, blocks, mix64, small_side, text_key
-from maskloom.llm.ngrams import (
-    BLOCK_ENTRIES, Arrays, array_blocks, codes_of, count_codes, losses, merge_counts,
-    union_all,
-)
+from maskloom.llm.ngrams import FileArrays, codes_of, count_codes, losses, merge_counts, write_arrays
 from maskloom.session import materialize
 
 BLANKS = b"\x20\x09\x0a\x0b\x0c\x0d"
 SYMBOLS = b"#*$%&|<>"
 ORDER, BITS = 5, 9
 #: Bytes of text whose n-grams are arrays at once, some 100 bytes each.
-BLOCK = 1 << 20
+BLOCK = 1 << 19
+#: Codes of a language that a task gathers before it merges and sends them.
+WAITING = 1_000_000
 WINDOW = 5
 #: The lower limit: so many times the spreads of which good texts lie below by this share, and this at least.
 LOW_SHARE, LOW_MARGIN, LOW_LEAST = 0.01, 2.5, 5.0
@@ -121,8 +121,8 @@ def count_bytes(rows: DataFrame) -> DataFrame:
 
         for batch in batches:
             groups, good = batch["g"].to_pylist(), np.array(batch["good"].to_pylist(), bool)
-            texts = batch["t"].cast(pa.binary()).to_pylist()
-            for a, b in blocks([len(t) for t in texts], BLOCK):
+            for a, b in blocks(pc.binary_length(batch["t"]).to_pylist(), BLOCK):
+                texts = dict(zip(range(a, b), batch["t"].slice(a, b - a).cast(pa.binary()).to_pylist()))
                 for group in dict.fromkeys(groups[a:b]):
                     rows = [i for i in range(a, b) if groups[i] == group and texts[i]]
                     if not rows:
@@ -131,7 +131,7 @@ def count_bytes(rows: DataFrame) -> DataFrame:
                     codes, _ = byte_codes(part)
                     marks = np.repeat(good[rows], [len(t) for t in part])
                     waiting.setdefault(group, []).append(count_codes(codes, marks))
-                    if sum(len(p[0]) for p in waiting[group]) > 2_000_000:
+                    if sum(len(p[0]) for p in waiting[group]) > WAITING:
                         yield merged(group)
         for group in list(waiting):
             yield merged(group)
@@ -155,12 +155,15 @@ def judge(
     docs: DataFrame, reference: DataFrame | None, keep: tuple[str, ...], least_words: int, most_repeated: int,
     upper: float, lower: float, least_spread: float,
 ) -> DataFrame:
-    """Rows of ``quality_rules`` with the columns of ``keep`` in a struct ``o``."""
+    """Rows of ``quality_rules``; with ``keep`` also these columns in a struct ``o`` and ``text``.
+
+    A text goes to the Python worker once, and comes back only if it is to be kept.
+    """
     spark = docs.sparkSession
     rows = docs.select(
         F.col("doc_id").cast("long").alias("d"), F.coalesce(F.col("text"), F.lit("")).alias("t"),
         F.coalesce(F.col("lang").cast("string"), F.lit("")).alias("g"),
-        F.struct(*[F.col(c) for c in keep]).alias("o") if keep
+        F.struct(F.col("text").isNull().alias("__null"), *[F.col(c) for c in keep if c != "text"]).alias("o") if keep
         else F.lit(None).cast("string").alias("o"))
     rows = rows.withColumn("th", text_key("t"))
     good = spark.createDataFrame([], "d long") if reference is None else reference.select(
@@ -172,59 +175,47 @@ def judge(
     counts = counts.join(small_side(labelled, 32), "g").withColumn(
         "m", F.when(F.col("labelled"), F.col("m")).otherwise(F.col("n"))).drop("labelled")
     table = materialize(losses(counts, ORDER, BITS, "m"))
+    files = write_arrays(table, "loss")
     other_type = rows.schema["o"].dataType.simpleString()
     stats = ", ".join(f"{s} long" for s in STATS)
-    schema = f"d long, g string, th long, o {other_type}, r long, {stats}, n_bytes long, total double"
-    if table.count() > BLOCK_ENTRIES:  # rows are scored block by block and need a name that stays
-        rows = materialize(rows.withColumn("r", F.monotonically_increasing_id()))
-    else:
-        rows = rows.withColumn("r", F.lit(0).cast("long"))
-
-    def scored(arrays) -> DataFrame:
-        shipped = spark.sparkContext.broadcast(arrays.of)
-
-        def work(batches: Iterator[dict]) -> Iterator[dict]:
-            known, arrays = Hashes(), Arrays(shipped.value)
-            for batch in batches:
-                groups = batch["g"].to_pylist()
-                every = batch["t"].cast(pa.binary()).to_pylist()
-                for a, b in blocks([len(t) for t in every], BLOCK):
-                    texts = every[a:b]
-                    total = np.zeros(b - a)
-                    for group in dict.fromkeys(groups[a:b]):
-                        own = [i for i in range(b - a) if groups[a + i] == group and texts[i]]
-                        if own:
-                            codes, starts = byte_codes([texts[i] for i in own])
-                            total[own] = np.add.reduceat(arrays.get(group, codes).astype(np.float64), starts)
-                    part = {c: batch[c].slice(a, b - a) for c in ("d", "g", "th", "o", "r")}
-                    yield part | statistics(texts, known) | {
-                        "n_bytes": [len(t) for t in texts], "total": total}
-
-        return arrow_map(rows, work, schema)
-
-    parts = [scored(arrays) for arrays in array_blocks(table, "loss")]
-    whole = parts[0]
-    if len(parts) > 1:
-        same = [F.first(c).alias(c) for c in ("d", "g", "th", "o", *STATS, "n_bytes")]
-        whole = union_all(parts).groupBy("r").agg(*same, F.sum("total").alias("total"))
+    schema = f"d long, g string, th long, o {other_type}, {stats}, n_bytes long, total double" + ", t string" * bool(keep)
+
+    def work(batches: Iterator[dict]) -> Iterator[dict]:
+        known, arrays = Hashes(), FileArrays(files)
+        for batch in batches:
+            groups = batch["g"].to_pylist()
+            sizes = pc.binary_length(batch["t"]).to_pylist()
+            for a, b in blocks(sizes, BLOCK):
+                texts = batch["t"].slice(a, b - a).cast(pa.binary()).to_pylist()
+                total = np.zeros(b - a)
+                for group in dict.fromkeys(groups[a:b]):
+                    own = [i for i in range(b - a) if groups[a + i] == group and texts[i]]
+                    if own:
+                        codes, starts = byte_codes([texts[i] for i in own])
+                        total[own] = np.add.reduceat(arrays.get(group, codes).astype(np.float64), starts)
+                part = {c: batch[c].slice(a, b - a) for c in ("d", "g", "th", "o", *["t"] * bool(keep))}
+                yield part | statistics(texts, known) | {"n_bytes": sizes[a:b], "total": total}
+
+    whole = arrow_map(rows, work, schema)
     base = (F.col("n_words") < least_words) | (100 * F.col("n_repeat_words") > most_repeated * F.col("n_words"))
     whole = materialize(whole.withColumn("base_failed", base).withColumn(
         "loss", F.try_divide("total", "n_bytes")).join(good, "d", "left").withColumn(
             "good", F.coalesce("mark", F.lit(False))).drop("mark"))
     sound = materialize(whole.where(~F.col("base_failed")).groupBy("g", "th").agg(
         F.first("loss").alias("loss"), F.first("n_bytes").alias("n_bytes"), F.max("good").alias("good")))
-    middle = sound.groupBy("g").agg(F.percentile_approx("loss", 0.5, 10_000).alias("m"),
-        F.percentile_approx("n_bytes", 0.5, 10_000).alias("length"))
+    # a row per language each; joined by broadcast, so that no language meets in one task
+    middle = small_side(materialize(sound.groupBy("g").agg(F.percentile_approx("loss", 0.5, 10_000).alias("m"),
+        F.percentile_approx("n_bytes", 0.5, 10_000).alias("length"))), 64)
     spread = sound.join(middle, "g").groupBy("g").agg(F.percentile_approx(F.abs(F.col("loss") - F.col("m")), 0.5, 10_000).alias("s"))
-    bands = middle.join(spread, "g").select(
-        "g", "m", "length", F.greatest(1.4826 * F.col("s"), F.lit(least_spread)).alias("s"))
+    bands = small_side(materialize(middle.join(spread, "g").select(
+        "g", "m", "length", F.greatest(1.4826 * F.col("s"), F.lit(least_spread)).alias("s"))), 64)
     wide = F.greatest(F.lit(1.0), F.sqrt(F.try_divide("length", "n_bytes"))) * F.col("s")
     low = F.percentile_approx((F.col("m") - F.col("loss")) / wide, 1 - LOW_SHARE, 10_000)
     good_low = F.percentile_approx(
         F.when(F.col("good"), (F.col("m") - F.col("loss")) / wide), 1 - LOW_SHARE, 10_000)
     below = sound.join(bands, "g").groupBy("g").agg(F.coalesce(good_low, low).alias("low"))
-    bands = bands.join(below, "g").withColumn(
-        "below", F.least(F.lit(lower), F.greatest(F.lit(LOW_LEAST), LOW_MARGIN * F.col("low"))))
+    bands = small_side(materialize(bands.join(below, "g").withColumn(
+        "below", F.least(F.lit(lower), F.greatest(F.lit(LOW_LEAST), LOW_MARGIN * F.col("low"))))), 64)
     inside = (F.col("loss") <= F.col("m") + upper * wide) & (F.col("loss") >= F.col("m") - F.col("below") * wide)
     return whole.join(bands, "g", "left").withColumn(
         "kept", ~F.col("base_failed") & F.coalesce(inside, F.lit(True)))
@@ -257,4 +248,5 @@ def quality_rules(
 def good_documents(docs: DataFrame, reference: DataFrame | None = None) -> DataFrame:
     """The rows of ``docs`` that ``quality_rules`` keeps, with all their columns as they are."""
     judged = judge(docs, reference, tuple(docs.columns), 10, 20, 8.0, 25.0, 0.01)
-    return judged.where("kept").select(*[F.col("o")[c].alias(c) for c in docs.columns])
+    text = F.when(~F.col("o.__null"), F.col("t")).alias("text")
+    return judged.where("kept").select(*[text if c == "text" else F.col("o")[c].alias(c) for c in docs.columns])

@@ -21,12 +21,11 @@ from array import array
 from collections.abc import Iterator
 
 import numpy as np
-from pyarrow import fs as arrow_fs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from maskloom.llm.common import arrow_map, blocks, need, text_key
+from maskloom.llm.common import arrow_map, blocks, filesystem, need, text_key
 from maskloom.llm.elias_fano import EliasFano
 from maskloom.session import RUN, materialize, shared_folder
 
@@ -121,14 +120,6 @@ class Tokens:
         return self.whole(text) == self.fast(text)
 
 
-def filesystem(path: str) -> tuple[arrow_fs.FileSystem, str]:
-    """File system and path for local paths and any scheme that Arrow knows (file, hdfs, s3, gs, abfs)."""
-    local = re.sub(r"^file:/+", "/", path)
-    if local.startswith("/"):
-        return arrow_fs.LocalFileSystem(), local
-    return arrow_fs.FileSystem.from_uri(path)
-
-
 class Writer:
     """One file; ids go out as they come, ends and document ids stay until the footer."""
 

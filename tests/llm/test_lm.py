@@ -5,7 +5,7 @@ import public_tokenizers
 
 from maskloom.llm import lm
 from maskloom.llm.lm import cross_entropy_difference
-from maskloom.llm.ngrams import array_blocks
+from maskloom.llm.ngrams import write_arrays
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -39,7 +39,7 @@ def test_no_target_and_no_rows(spark):
 
 def test_unigrams_of_both_models_sum_to_one_over_all_tokens(spark, monkeypatch):
     tables = []
-    monkeypatch.setattr(lm, "array_blocks", lambda table, *columns: tables.append(table) or array_blocks(table, *columns))
+    monkeypatch.setattr(lm, "write_arrays", lambda table, *columns: tables.append(table) or write_arrays(table, *columns))
     text = lambda i: "the law of the sea" if not i else f"word{i} and some other thing {i * 37}"
     df = spark.createDataFrame([(i, text(i)) for i in range(40)], "doc_id bigint, text string")
     target = spark.createDataFrame([(0,)], "doc_id bigint")

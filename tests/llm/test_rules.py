@@ -68,7 +68,6 @@ def test_losses_in_blocks_are_the_same(spark, monkeypatch):
     rows = lambda: sorted(((r.doc_id, round(r.loss or 0, 4), r.kept) for r in quality_rules(df).collect()), key=str)
     one = rows()
     monkeypatch.setattr(ngrams, "BLOCK_ENTRIES", 700)
-    monkeypatch.setattr(rules, "BLOCK_ENTRIES", 700)
     assert rows() == one
 
 
