@@ -152,6 +152,43 @@ def pm08(spark, sf):
     return one(spark, hidden_rate=v)
 
 
+def _attributes(m: int):
+    """``m`` columns of 2 to 6 values per customer, and a twin in which a quarter of the values moved on."""
+    of = [(i, 2 + i % 5) for i in range(m)]
+    draw = lambda s, i: su(s, f"attribute{i}", "c_custkey")
+    own = {i: f"cast(floor({draw(5, i)} * {k}) as int)" for i, k in of}
+    made = {i: f"(case when {draw(6, i)} < 0.25 then ({own[i]} + 1) % {k} else {own[i]} end)" for i, k in of}
+    select = lambda which: "select c_custkey as id, " + ", ".join(
+        f"{v} as a{i}" for i, v in which.items()) + " from customer"
+    apart = " + ".join(f"cast(a.a{i} <> b.a{i} as int)" for i, _ in of)
+    sql = f"""
+with o as materialized ({select(own)}), s as materialized ({select(made)}),
+h as (select a.id as id, b.id as other, {apart} as d from o a, s b),
+m as (select id, min(d) as m from h group by 1),
+t as (select h.id as id, count(*) as ties, max(cast(h.id = other as int)) as own from h join m on h.id = m.id and d = m group by 1)
+select {sr("100.0 * avg(1.0 - own / ties::double)")} as hidden_rate from t"""
+
+    def tables(spark, sf):
+        df = table(spark, sf, "customer")
+        plain = {i: F.floor(uniform(5, f"attribute{i}", "c_custkey") * k).cast("int") for i, k in of}
+        moved = {i: F.when(uniform(6, f"attribute{i}", "c_custkey") < 0.25, (plain[i] + 1) % k).otherwise(plain[i])
+                 for i, k in of}
+        return [df.select(F.col("c_custkey").alias("id"), *[v.alias(f"a{i}") for i, v in which.items()])
+                for which in (plain, moved)]
+
+    return sql, tables
+
+
+for _m in (12, 30):
+    _sql, _tables = _attributes(_m)
+
+    def _many(spark, sf, m=_m, tables=_tables):
+        a, b = tables(spark, sf)
+        return one(spark, hidden_rate=privacy.categorical_hidden_rate(a, b, "id", [f"a{i}" for i in range(m)]))
+
+    suite.add(f"pm08_categorical_hidden_rate_{_m}", _sql)(_many)
+
+
 def _near_sql(name: str, column: str) -> str:
     z = f"({{}}.{column} - m.{name}m) / m.{name}s"
     d = f"(({z.format('a')}) - ({z.format('b')})) * (({z.format('a')}) - ({z.format('b')}))"

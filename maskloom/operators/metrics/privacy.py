@@ -19,7 +19,6 @@ from maskloom.operators.synthesis.project import fit_space
 from maskloom.session import materialize
 
 EARTH_RADIUS_KM = 6371.0088
-MAX_HAMMING_COLUMNS = 10
 
 
 def squared_distance(a: Column, b: Column) -> Column:
@@ -136,12 +135,13 @@ def categorical_hidden_rate(
 ) -> float:
     """Hidden rate under Hamming distance on ``columns``; ties count fractionally.
 
-    Rows agreeing on a subset of columns are counted once per subset, so the most columns on which
-    any synthetic row agrees, and how many do, come from equi-joins of grouped counts.
+    Two rows that differ in at most r columns agree on all of one of r + 1 blocks of columns. The radius
+    grows from 0: rows that have found a synthetic row nearer than their own, or reached their own's distance,
+    are done, so wide radii with their short blocks are left to few rows. Copies are counted rows.
     """
     m = len(columns)
-    if not 1 <= m <= MAX_HAMMING_COLUMNS:
-        raise ValueError(f"Expected 1 to {MAX_HAMMING_COLUMNS} columns, got {m} instead")
+    if not m:
+        raise ValueError("Expected one column or more")
 
     def values(df: DataFrame) -> Column:
         # nulls equal each other; a prefix keeps them apart from any text
@@ -150,34 +150,46 @@ def categorical_hidden_rate(
             for c in columns
         ])
 
-    def masked(df: DataFrame) -> DataFrame:
-        masks = F.sequence(F.lit(0), F.lit((1 << m) - 1))
-        shown = F.array(*[
-            F.when(F.expr(f"(mask & {1 << i}) <> 0"), F.col("t")[i]).otherwise(F.lit(""))
-            for i in range(m)
-        ])
-        return df.withColumn("mask", F.explode(masks)).withColumn("shown", shown)
-
     theirs = synthetic.select(col(key), values(synthetic).alias("s"))
-    groups = theirs.groupBy(F.col("s").alias("t")).agg(F.count(F.lit(1)).alias("n"))
-    agreeing = masked(groups).groupBy("mask", "shown").agg(F.sum("n").alias("found"))
-    own = F.size(F.filter(F.zip_with("t", "s", lambda a, b: a == b), lambda x: x))
+    groups = materialize(theirs.groupBy("s").agg(F.count(F.lit(1)).alias("n")))
+    apart = F.size(F.filter(F.zip_with("t", "s", lambda a, b: a != b), lambda x: x))
     mine = source.select(col(key), values(source).alias("t")).join(theirs, key, "inner")
-    mine = mine.groupBy("t", own.alias("own")).agg(F.count(F.lit(1)).alias("weight"))
-    joined = masked(mine).join(agreeing, ["mask", "shown"], "left")
-    level = F.bit_count("mask")
-    sums = [
-        F.sum(F.when(level == s, F.coalesce("found", F.lit(0))).otherwise(0)).alias(f"a{s}")
-        for s in range(m + 1)
-    ]
-    per_row = joined.groupBy("t", "own").agg(F.first("weight").alias("weight"), *sums)
-    best, ties = F.lit(0), F.col("a0")
-    for s in range(1, m + 1):
-        best = F.when(F.col(f"a{s}") > 0, s).otherwise(best)
-        ties = F.when(F.col(f"a{s}") > 0, F.col(f"a{s}")).otherwise(ties)
-    hidden = F.when(F.col("own") == best, 1 - 1 / ties).otherwise(F.lit(1.0))
-    total = F.sum(hidden * F.col("weight")) / F.sum("weight")
-    return per_row.agg((total * 100).alias("v")).first()["v"]
+    mine = mine.groupBy("t", apart.alias("own")).agg(F.count(F.lit(1)).alias("weight"))
+    left = materialize(mine.withColumn("q", F.monotonically_increasing_id()))
+    hidden = total = 0.0
+    for r in range(m):
+        edge = [b * m // (r + 1) for b in range(r + 2)]
+
+        def block(name: str, b: int, edge=edge) -> Column:
+            return F.slice(name, edge[b] + 1, edge[b + 1] - edge[b])
+
+        def keyed(df: DataFrame, name: str, r=r, block=block) -> DataFrame:
+            blocks = F.array(*[F.struct(F.lit(b).alias("b"), F.xxhash64(block(name, b)).alias("h")) for b in range(r + 1)])
+            return df.withColumn("x", F.explode(blocks)).select(*df.columns, "x.b", "x.h")
+
+        first = F.lit(-1)
+        for b in range(r, -1, -1):
+            first = F.when(block("t", b) == block("s", b), b).otherwise(first)
+        # a pair that agrees on several blocks counts at the first
+        met = keyed(left, "t").join(keyed(groups, "s"), ["b", "h"]).where(first == F.col("b"))
+        near = met.select("q", "own", "n", apart.alias("d")).where(F.col("d") <= F.least(F.lit(r), "own"))
+        found = near.groupBy("q").agg(
+            F.max((F.col("d") < F.col("own")).cast("int")).alias("nearer"),
+            F.sum(F.when(F.col("d") == F.col("own"), F.col("n"))).alias("ties"))
+        seen = materialize(left.join(found, "q", "left"))
+        done = F.coalesce(F.col("nearer") == 1, F.lit(False)) | (F.col("own") == r)
+        rate = F.when(F.col("nearer") == 1, 1.0).otherwise(1 - 1 / F.col("ties"))
+        row = seen.where(done).agg(F.sum(rate * F.col("weight")).alias("h"), F.sum("weight").alias("w")).first()
+        hidden, total = hidden + (row["h"] or 0.0), total + (row["w"] or 0)
+        left = materialize(seen.where(~done).select("t", "own", "weight", "q"))
+        if not left.take(1):
+            break
+    # what is left agrees with no synthetic row in any column: all of them are as far as its own
+    row = left.agg(F.sum("weight").alias("w")).first()
+    if row["w"]:
+        every = groups.agg(F.sum("n")).first()[0]
+        hidden, total = hidden + (1 - 1 / every) * row["w"], total + row["w"]
+    return 100 * hidden / total if total else None
 
 
 def nearest_by(
