@@ -189,6 +189,22 @@ for _m in (12, 30):
     suite.add(f"pm08_categorical_hidden_rate_{_m}", _sql)(_many)
 
 
+@suite.add("v1_correlations_wide", f"""
+with e as (select vec_id, unnest(range(192)) as j, embedding from embeddings),
+v as (select vec_id, j::int as j, case when (vec_id * 7 + j * 13) % 11 <> 0 then
+        case j // 64 when 0 then x when 1 then x * x else x * y end end as v
+      from (select vec_id, j, embedding[j % 64 + 1]::double as x, embedding[(j + 1) % 64 + 1]::double as y from e))
+select 'c' || p.j as a, 'c' || q.j as b, {sr('corr(p.v, q.v)')} as rho
+from v p join v q using (vec_id) group by p.j, q.j""")
+def v1w(spark, sf):
+    """192 columns with gaps: entries of embeddings, their squares and products."""
+    df = table(spark, sf, "embeddings").withColumn("e", F.col("embedding").cast("array<double>"))
+    kinds = [lambda x, y: x, lambda x, y: x * x, lambda x, y: x * y]
+    value = [kinds[j // 64](F.col("e")[j % 64], F.col("e")[(j + 1) % 64]) for j in range(192)]
+    wide = df.select(*[F.when((F.col("vec_id") * 7 + j * 13) % 11 != 0, value[j]).alias(f"c{j}") for j in range(192)])
+    return signal.correlations(wide, wide.columns).withColumn("rho", r("rho"))
+
+
 def _near_sql(name: str, column: str) -> str:
     z = f"({{}}.{column} - m.{name}m) / m.{name}s"
     d = f"(({z.format('a')}) - ({z.format('b')})) * (({z.format('a')}) - ({z.format('b')}))"

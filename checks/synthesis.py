@@ -19,6 +19,8 @@ from maskloom.operators.synthesis.generate import (
 from maskloom.operators.synthesis.impute import add_missing_flags, impute
 from maskloom.operators.synthesis.noise import private_rows
 from maskloom.operators.synthesis.project import fit_space
+from maskloom.operators.synthesis.sparse import fit_sparse_space
+from maskloom.session import materialize
 
 suite = Suite()
 
@@ -178,6 +180,31 @@ def a07(spark, sf):
     return out.select("p_partkey", *[r(F.col("features")[i]).alias(f"x{i}") for i in range(5)])
 
 
+@suite.add("a08_sparse_names", """
+select count(*) as n, true as centred, true as uncorrelated, true as falling, true as explained from orders""")
+def a08s(spark, sf):
+    """A column of names (the customer of each order) next to numbers and small categories, projected."""
+    df = table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.concat(F.lit("customer "), F.col("o_custkey")).alias("name"),
+        F.col("o_orderpriority").alias("priority"), F.col("o_orderstatus").alias("status"),
+        F.col("o_totalprice").alias("price"))
+    space = fit_sparse_space(df, ["name", "priority", "status", "price"], row_key="id", ncp=3, passes=3)
+    placed = materialize(space.place(df, "id").select("id", *[F.col("features")[j].alias(f"f{j}") for j in range(3)]))
+    small = lambda c: F.abs(c) < 1e-6
+    row = placed.agg(
+        F.count(F.lit(1)).alias("n"), *[F.avg(f"f{j}").alias(f"m{j}") for j in range(3)],
+        *[F.var_pop(f"f{j}").alias(f"v{j}") for j in range(3)],
+        *[F.covar_pop(f"f{i}", f"f{j}").alias(f"c{i}{j}") for i in range(3) for j in range(i)])
+    own = F.lit(True)
+    for j in range(3):
+        own = own & small(F.col(f"v{j}") - F.lit(float(space.explained[j])))
+    return row.select(
+        "n", (small(F.col("m0")) & small(F.col("m1")) & small(F.col("m2"))).alias("centred"),
+        (small(F.col("c10")) & small(F.col("c20")) & small(F.col("c21"))).alias("uncorrelated"),
+        ((F.col("v0") >= F.col("v1")) & (F.col("v1") >= F.col("v2")) & (F.col("v2") > 0)).alias("falling"),
+        own.alias("explained"))
+
+
 @suite.add("a08_projection")
 def a08(spark, sf):
     df = full(spark, sf)

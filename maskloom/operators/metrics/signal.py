@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from maskloom.functions.validation import col, is_number, is_time
+from maskloom.operators.comoments import correlation, pair_moments
 from maskloom.operators.histogram import bin_index
 from maskloom.operators.processors.datetime import to_seconds
 from maskloom.operators.synthesis.project import Space
@@ -93,29 +94,19 @@ def hellinger(
 
 
 def correlations(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(a, b, rho) for all pairs of columns, from one pass of mergeable moments.
+    """(a, b, rho) for all pairs of columns, from one pass of mergeable sums.
 
     Pairwise complete rows; NULL for a constant column.
     """
     names = _numeric(df, columns)
-    cells, aggs = [], []
-    for i, a in enumerate(names):
-        for j in range(i, len(names)):
-            b = names[j]
-            x, y = _number(df, a), _number(df, b)
-            both = x.isNotNull() & y.isNotNull()
-            x, y = F.when(both, x), F.when(both, y)
-            aggs += [
-                F.covar_samp(x, y).alias(f"c{i}_{j}"),
-                F.stddev_samp(x).alias(f"x{i}_{j}"), F.stddev_samp(y).alias(f"y{i}_{j}"),
-            ]
-            rho = F.try_divide(f"c{i}_{j}", F.col(f"x{i}_{j}") * F.col(f"y{i}_{j}"))
-            for left, right in {(a, b), (b, a)}:
-                cells.append(F.struct(
-                    F.lit(left).alias("a"), F.lit(right).alias("b"), rho.alias("rho")
-                ))
-    moments = df.agg(*aggs)
-    return moments.select(F.explode(F.array(*cells)).alias("x")).select("x.a", "x.b", "x.rho")
+    if not names:
+        return df.sparkSession.createDataFrame([], "a string, b string, rho double")
+    found = pair_moments(df, [_number(df, c) for c in names]).select("i", "j", correlation().alias("rho"))
+    listed = F.array(*[F.lit(c) for c in names])
+    ways = F.when(F.col("i") == F.col("j"), F.array(F.struct("i", "j"))).otherwise(
+        F.array(F.struct("i", "j"), F.struct(F.col("j").alias("i"), F.col("i").alias("j"))))
+    return found.select(F.explode(ways).alias("x"), "rho").select(
+        listed[F.col("x.i")].alias("a"), listed[F.col("x.j")].alias("b"), "rho")
 
 
 def correlation_difference(

@@ -12,7 +12,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from maskloom.functions.validation import col, is_number, is_time
-from maskloom.operators.synthesis.encode import Encoder, Feature, fit_encoder
+from maskloom.operators.profile import modality_counts
+from maskloom.operators.synthesis.encode import MAX_LEVELS, Encoder, Feature, fit_encoder
+from maskloom.operators.synthesis.sparse import SparseSpace, fit_sparse_space
 
 REDUCED_DIMS = 20
 
@@ -97,10 +99,19 @@ def fit_space(
     ncp: int | None = 5,
     weights: Mapping[str, float] | None = None,
     use_categorical_reduction: bool = False,
-) -> Space:
-    """Fit on complete columns. ``ncp=None`` keeps the encoded features as coordinates."""
-    encoder = fit_encoder(df, columns, weights)
+) -> Space | SparseSpace:
+    """Fit on complete columns. ``ncp=None`` keeps the encoded features as coordinates.
+
+    With more than ``MAX_LEVELS`` modalities the encoded row is too wide to be written out, and the space is
+    a ``SparseSpace`` (the same components, found without it).
+    """
     fields = {f.name: f for f in df.schema.fields}
+    categories = [c for c in columns if not (is_number(fields[c]) or is_time(fields[c]))]
+    if categories and modality_counts(df, categories).limit(MAX_LEVELS + 1).count() > MAX_LEVELS:
+        if ncp is None:
+            raise ValueError("Expected a number of components with so many modalities")
+        return fit_sparse_space(df, columns, row_key=row_key, ncp=ncp, weights=weights)
+    encoder = fit_encoder(df, columns, weights)
     numbers = tuple(f for f in encoder.features if f.level is None)
     indicators = tuple(f for f in encoder.features if f.level is not None)
     assert all(is_number(fields[f.column]) or is_time(fields[f.column]) for f in numbers)

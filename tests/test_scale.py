@@ -10,7 +10,7 @@ from conftest import rows_of
 from pyspark.sql import functions as F
 
 from maskloom.functions import sizing
-from maskloom.operators import tree, affine, neighbors, ordinal, quantiles
+from maskloom.operators import affine, comoments, neighbors, ordinal, quantiles, tree
 from maskloom.operators.processors import (
     InterRecordBoundedCumulatedDifferenceProcessor,
     InterRecordBoundedRangeDifferenceProcessor,
@@ -328,3 +328,25 @@ def test_hash_ordinal_is_dense(make, monkeypatch):
     out = rows_of(ordinal.hash_ordinal(df, "k", seed=3, stream="x", output="at", leading=F.col("v") % 100 == 7))
     assert sorted(out["at"]) == list(range(300))
     assert [out["at"][i] for i in (7, 107, 207)] == [0, 1, 2]
+
+
+def test_pair_moments_in_tiles(spark, monkeypatch):
+    rng = np.random.default_rng(33)
+    x = rng.standard_normal((200, 7)) * [1, 1, 5, 1, 1e-3, 1, 1] + [0, 1e6, 0, 3, 0, -2, 0]
+    x[:, 3] = 4.0
+    x[rng.random(x.shape) < 0.2] = np.nan
+    x[:, 5][~np.isnan(x[:, 6])] = np.nan  # never present together
+    names = [f"c{i}" for i in range(7)]
+    df = spark.createDataFrame([[None if np.isnan(v) else float(v) for v in row] for row in x],
+                               ", ".join(f"{c} double" for c in names)).repartition(3)
+    from maskloom.operators.metrics.signal import correlations
+
+    for tile in (256, 3):
+        monkeypatch.setattr(comoments, "TILE", tile)
+        got = {(r["a"], r["b"]): r["rho"] for r in correlations(df, names).collect()}
+        assert len(got) == 49
+        for i in range(7):
+            for j in range(7):
+                both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+                want = None if 3 in (i, j) or both.sum() < 2 else np.corrcoef(x[both, i], x[both, j])[0, 1]
+                assert got[f"c{i}", f"c{j}"] == (None if want is None else pytest.approx(want, abs=1e-9))

@@ -29,6 +29,7 @@ from maskloom.operators.synthesis.generate import (
 from maskloom.operators.synthesis.impute import impute
 from maskloom.operators.synthesis.noise import private_rows
 from maskloom.operators.synthesis.project import fit_space
+from maskloom.operators.synthesis.sparse import fit_sparse_space
 from maskloom.plans.parameters import Parameters, ParameterSet
 from maskloom.plans.pipeline import Pipeline
 from maskloom.plans.run import advise_parameters, run
@@ -480,3 +481,32 @@ def test_streaming(spark, tmp_path):
     blocked = InterRecordCumulatedDifferenceProcessor("user_id", "value", "f", "d", "event_id")
     with pytest.raises(ValueError, match="cannot run on a stream"):
         preprocess_stream(blocked, stream)
+
+
+def test_sparse_space_equals_the_dense_one(spark):
+    rng = np.random.default_rng(21)
+    n = 400
+    g = rng.integers(0, 4, n)
+    df = spark.createDataFrame(
+        [(i, float(g[i] + rng.normal() / 3), float(rng.normal()), f"a{g[i]}" if rng.random() < 0.9 else "b'x",
+          f"c{(g[i] + rng.integers(0, 2)) % 4}", "same") for i in range(n)],
+        "id long, x double, z double, p string, q string, r string")
+    columns = ["x", "p", "z", "q", "r"]
+    dense = fit_space(df, columns, row_key="id", ncp=3, weights={"p": 2.0})
+    sparse = fit_sparse_space(df, columns, row_key="id", ncp=3, weights={"p": 2.0}, passes=12)
+    a, b = (np.stack(s.place(df, "id").orderBy("id").toPandas()["features"].to_numpy()) for s in (dense, sparse))
+    assert sparse.explained == pytest.approx(a.var(axis=0), rel=1e-6)
+    for j in range(3):
+        assert abs(abs(np.corrcoef(a[:, j], b[:, j])[0, 1]) - 1) < 1e-6
+        assert b[:, j].var() == pytest.approx(a[:, j].var(), rel=1e-6)
+
+
+def test_a_column_of_names_is_projected(spark):
+    rows = [(i, f"name {i // 2}", f"g{i % 3}", float(i % 3)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, name string, g string, x double")
+    space = fit_sparse_space(df, ["name", "g", "x"], row_key="id", ncp=2, passes=3)
+    out = np.stack(space.place(df, "id").orderBy("id").toPandas()["features"].to_numpy())
+    assert np.abs(out.mean(axis=0)).max() < 1e-9 and abs(np.cov(out.T)[0, 1]) < 1e-6
+    assert out.var(axis=0) == pytest.approx(space.explained) and space.explained[0] >= space.explained[1] > 0
+    new = spark.createDataFrame([(1, "nobody", "g1", 1.0)], "id long, name string, g string, x double")
+    assert len(space.place(new, "id").first()["features"]) == 2
