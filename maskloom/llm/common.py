@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
+import sys
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -63,10 +66,20 @@ def arrow_map(df: DataFrame, work: Callable[[Iterator[dict]], Iterator[dict]], s
         for out in work(columns):
             yield pa.RecordBatch.from_arrays(
                 [as_array(out[f.name], f.type) for f in target], schema=target)
+        out = None
+        release()
 
     return df.mapInArrow(run, schema)
 
 
+def release() -> None:
+    """Give freed memory back to the machine: a worker that waits for its next task would hold it."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def as_array(values, kind: pa.DataType) -> pa.Array:
     if isinstance(values, pa.ChunkedArray):
         values = values.combine_chunks()

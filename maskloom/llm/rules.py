@@ -28,7 +28,7 @@ ORDER, BITS = 5, 9
 #: Bytes of text whose n-grams are arrays at once, some 100 bytes each.
 BLOCK = 1 << 19
 #: Codes of a language that a task gathers before it merges and sends them.
-WAITING = 1_000_000
+WAITING = 2_000_000
 WINDOW = 5
 #: The lower limit: so many times the spreads of which good texts lie below by this share, and this at least.
 LOW_SHARE, LOW_MARGIN, LOW_LEAST = 0.01, 2.5, 5.0
