@@ -50,6 +50,14 @@ def su(seed: int, stream: str, *keys: str) -> str:
     return f"(concat('0x', substr(md5(concat_ws('|', {parts})), 1, 8))::UBIGINT / 4294967296.0)"
 
 
+def sfine(seed: int, stream: str, *keys: str) -> str:
+    """SQL twin of ``fine``."""
+    parts = ", ".join(["'" + str(seed) + "'", f"'{stream}'"] + [f"cast({k} as varchar)" for k in keys])
+    text = f"md5(concat_ws('|', {parts}))"
+    high, low = (f"concat('0x', substr({text}, {a}, {n}))::UBIGINT::BIGINT" for a, n in ((1, 8), (9, 6)))
+    return f"(({high} * 2097152 + ({low} >> 3))::double / 9007199254740992.0)"
+
+
 def micros(name: str) -> Column:
     """Microseconds since 1970 of a timestamp without time zone, whatever the session's zone."""
     return F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"), F.col(name))

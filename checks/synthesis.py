@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from math import floor, log2
+
 from pyspark.sql import functions as F
 
-from checks.common import Suite, r, sr, su, table
+from checks.common import Suite, r, sfine, sr, su, table
 from maskloom.functions.uniform import uniform
 from maskloom.operators.neighbors import nearest
 from maskloom.operators.synthesis.advise import advise
@@ -389,26 +391,54 @@ def a15(spark, sf):
     return attach_excluded(out, df, ["segment"], strategy="coordinate_similarity").select("id", "segment")
 
 
-def _laplace_sql(scale: str, stream: str, *keys: str) -> str:
-    return (f"((-ln(1.0 - {su(13, stream + '+', *keys)})) - (-ln(1.0 - {su(13, stream + '-', *keys)}))) * {scale}")
+def _noise_sql(width: float, share: float, stream: str, key: str) -> tuple[str, str]:
+    """Two-sided geometric noise, and the step of its grid, for values that one row changes by ``width``."""
+    grid = 2.0 ** (floor(log2(width / share)) - 20)
+    scale = (width + (grid if width != 1 else 0)) / share
+    if width == 1:
+        grid = 1.0
+    step = lambda sign: f"floor(-ln(1.0 - {sfine(13, stream + sign, key)}) * {scale / grid!r})"
+    return f"(({step('+')} - {step('-')}) * {grid!r})", repr(grid)
+
+
+def _private_sql(gaps: bool) -> str:
+    own = 0.25 if gaps else 0.5
+    total, grid = _noise_sql(11000.0, 0.5, "sum:balance", "'balance'")
+    count, _ = _noise_sql(1, 0.5, "count:balance", "'balance'")
+    cell, step = _noise_sql(11000.0, own, "cell:balance", "id")
+    value = f"greatest(least(coalesce(round((c - mu) / {step}) * {step}, 0.0) + {cell} + mu, 10000.0), -1000.0)"
+    moved = f"""case when {su(13, 'keep:segment', 'id')} < exp({own}) / (exp({own}) + 4) and pos is not null then segment
+            when pos is not null then list_extract({SEGMENTS}, (pos - 1 + cast(floor({su(13, 'jump:segment', 'id')} * 4) as int) + 1) % 5 + 1)
+            else list_extract({SEGMENTS}, cast(floor({su(13, 'jump:segment', 'id')} * 5) as int) + 1) end"""
+    if gaps:
+        hide = "case when ({0} is null) = ({1} < exp(0.25) / (exp(0.25) + 1)) then null else {2} end"
+        value = hide.format("balance", su(13, "gap:balance", "id"), value)
+        moved = hide.format("segment", su(13, "gap:segment", "id"), moved)
+    return f"""
+with f as ({GAP_SQL if gaps else FULL_SQL}),
+     b as (select case when balance is not null then greatest(least(balance, 10000.0), -1000.0) end as c, * from f),
+     m as (select greatest(least(4500.0 + (coalesce(sum(cast(round((c - 4500.0) / {grid}) as hugeint)), 0)::double * {grid} + {total})
+                  / greatest(count(c) + {count}, 1.0), 10000.0), -1000.0) as mu from b),
+     k as (select *, list_position({SEGMENTS}, segment) as pos from b)
+select id, {'case when v is not null then ' if gaps else ''}{sr('v')}{' end' if gaps else ''} as balance, segment from (
+  select id, {value} as v, {moved} as segment from k, m)"""
+
+
+PRIVATE = {"epsilon": 2.0, "bounds": {"balance": (-1000.0, 10000.0)}, "modalities": {"segment": SEGMENTS}}
 
 
-@suite.add("a16_private_rows", f"""
-with f as ({FULL_SQL}),
-     b as (select greatest(least(balance, 10000.0), -1000.0) as c, * from f),
-     m as (select avg(c) + {_laplace_sql('11000.0', 'mean:balance', "'balance'")} / count(*) as mu from b),
-     k as (select *, exp(0.5) / (exp(0.5) + 4) as keep, list_position({SEGMENTS}, segment) as pos from b)
-select id, {sr(f"greatest(least((c - mu) + {_laplace_sql('22000.0', 'cell:balance', 'id')} + mu, 10000.0), -1000.0)")} as balance,
-       case when {su(13, 'keep:segment', 'id')} < keep and at is not null then segment
-            when at is not null then list_extract({SEGMENTS}, (at - 1 + cast(floor({su(13, 'jump:segment', 'id')} * 4) as int) + 1) % 5 + 1)
-            else list_extract({SEGMENTS}, cast(floor({su(13, 'jump:segment', 'id')} * 5) as int) + 1) end as segment
-from k, m""".replace(" at)", " pos)").replace(" as at ", " as pos ").replace("at is not null", "pos is not null").replace("(at - 1", "(pos - 1"))
+@suite.add("a16_private_rows", _private_sql(False))
 def a16(spark, sf):
-    out = private_rows(full(spark, sf), "id", epsilon=2.0, bounds={"balance": (-1000.0, 10000.0)},
-                       modalities={"segment": SEGMENTS}, seed=13)
+    out = private_rows(full(spark, sf), "id", **PRIVATE, seed=13)
     return out.withColumn("balance", r("balance"))
 
 
+@suite.add("a16_private_with_gaps", _private_sql(True))
+def a16b(spark, sf):
+    out = private_rows(gaps(spark, sf), "id", **PRIVATE, missing=["balance", "segment"], seed=13)
+    return out.withColumn("balance", F.when(F.col("balance").isNotNull(), r("balance")))
+
+
 @suite.add("a17_advice", """
 with l as (select count(distinct p_name) + count(distinct p_brand) + count(distinct p_type) as levels, count(*) as n from part)
 select 'part' as table_name, cast(greatest(5, least(50, floor(sqrt(n) / 2 + 0.5))) as int) as k,

@@ -37,6 +37,23 @@ def hidden_rate(originals: DataFrame, synthetic: DataFrame, key: str) -> float:
     return near.agg((F.avg(other) * 100).alias("v")).first()["v"]
 
 
+def hidden_individuals_rate(
+    originals: DataFrame, synthetic: DataFrame, key: str, individuals: DataFrame
+) -> float:
+    """Hidden rate of individuals who own several rows: 100 x share of those of whom no row is nearest to a
+    synthetic row made from a row of the same individual.
+
+    ``individuals`` is (key, individual_id); rows without an individual are left out.
+    """
+    owner = individuals.where(F.col("individual_id").isNotNull())
+    near = nearest_synthetic(originals, synthetic, key).select("query_id", "neighbor_id")
+    own = near.join(owner.select(col(key).alias("query_id"), "individual_id"), "query_id")
+    both = own.join(owner.select(col(key).alias("neighbor_id"), F.col("individual_id").alias("found")), "neighbor_id", "left")
+    exposed = F.coalesce(F.col("individual_id") == F.col("found"), F.lit(False)).cast("int")
+    each = both.groupBy("individual_id").agg(F.max(exposed).alias("exposed"))
+    return each.agg((100 - 100 * F.avg("exposed")).alias("v")).first()["v"]
+
+
 def cloaking_counts(originals: DataFrame, synthetic: DataFrame, key: str) -> DataFrame:
     """(query_id, n): synthetic rows strictly nearer to an original than its own synthetic row."""
     own = synthetic.select(col(key), F.col("features").alias("__own"))

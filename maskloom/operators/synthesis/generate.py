@@ -101,16 +101,20 @@ class Synthesis:
     unshuffled: DataFrame
     columns: tuple[str, ...]
     flagged: tuple[str, ...] = field(default=())
+    imputation: Mapping[str, object] = field(default_factory=dict)
 
-    def place(self, synthetic: DataFrame, *, method: str = "mode", seed: int = 0) -> DataFrame:
+    def place(self, synthetic: DataFrame) -> DataFrame:
         """Coordinates of synthetic rows in the space of the originals."""
-        return self.space.place(complete(synthetic, self, method, seed), self.row_key)
+        return self.space.place(complete(synthetic, self), self.row_key)
 
 
-def complete(df: DataFrame, synthesis: Synthesis, method: str, seed: int) -> DataFrame:
-    """Flags and temporary imputation, as done for the originals."""
-    out = add_missing_flags(df, synthesis.flagged) if synthesis.flagged else df
-    return impute(out, synthesis.columns, method=method, row_key=synthesis.row_key, seed=seed)
+def complete(df: DataFrame, synthesis: Synthesis) -> DataFrame:
+    """Flags and temporary imputation, as done for the originals: by the same method, statistics and donors."""
+    if not synthesis.flagged:
+        return df
+    return impute(
+        add_missing_flags(df, synthesis.flagged), synthesis.columns, row_key=synthesis.row_key,
+        reference=add_missing_flags(synthesis.source, synthesis.flagged), **synthesis.imputation)
 
 
 def synthesize(
@@ -139,12 +143,10 @@ def synthesize(
         raise ValueError("Expected no missing values for the row key")
     flagged = tuple(c for c in used if counts[c])
     prepared = source
+    imputation = {"method": imputation_method, "k": imputation_k, "training_fraction": imputation_training_fraction,
+                  "seed": seed, "distance_columns": used}
     if flagged:
-        prepared = impute(
-            add_missing_flags(source, flagged), used, method=imputation_method, row_key=row_key,
-            k=imputation_k, training_fraction=imputation_training_fraction, seed=seed,
-            distance_columns=used,
-        )
+        prepared = impute(add_missing_flags(source, flagged), used, row_key=row_key, **imputation)
         prepared = materialize(prepared)
     encoded = used + [c + FLAG for c in flagged]
     space = fit_space(
@@ -162,7 +164,8 @@ def synthesize(
         rows = restore_missing(rows, flagged)
     unshuffled = materialize(rows.select(col(row_key), *map(col, used)))
     return Synthesis(
-        row_key, source, prepared, space, originals, neighbors, unshuffled, tuple(used), flagged
+        row_key, source, prepared, space, originals, neighbors, unshuffled, tuple(used), flagged,
+        imputation,
     )
 
 

@@ -51,9 +51,15 @@ def impute(
     training_fraction: float = 1.0,
     seed: int = 0,
     distance_columns: Sequence[str] | None = None,
+    reference: DataFrame | None = None,
 ) -> DataFrame:
     """Fill nulls of ``columns``. Categorical columns always take the mode, or the vote of
-    the neighbours under the k-NN methods."""
+    the neighbours under the k-NN methods.
+
+    Statistics and neighbours are those of ``reference`` where given (a table with the same columns), so two
+    tables can be filled alike; by default those of ``df``.
+    """
+    fitted = df if reference is None else reference
     if method not in METHODS:
         raise ValueError(f"Expected an imputation method among {METHODS}, got {method!r} instead")
     counts = null_counts(df, columns)
@@ -63,17 +69,17 @@ def impute(
     numbers = {f.name for f in df.schema.fields if is_number(f)}
     if method in (KNN, FAST_KNN):
         fraction = training_fraction if method == FAST_KNN else 1.0
-        return _impute_knn(df, missing, numbers, row_key, k, fraction, seed, distance_columns)
+        return _impute_knn(df, fitted, missing, numbers, row_key, k, fraction, seed, distance_columns)
     fill: dict[str, object] = {}
     if method == MODE:
-        fill = modes(df, missing)
+        fill = modes(fitted, missing)
     else:
         numeric = [c for c in missing if c in numbers]
         if method == MEAN and numeric:
-            fill = df.agg(*[F.avg(col(c)).alias(c) for c in numeric]).first().asDict()
+            fill = fitted.agg(*[F.avg(col(c)).alias(c) for c in numeric]).first().asDict()
         for c in numeric if method == MEDIAN else []:
-            fill[c] = exact_quantiles(df, c, [0.5])[0]
-        fill |= modes(df, [c for c in missing if c not in numbers])
+            fill[c] = exact_quantiles(fitted, c, [0.5])[0]
+        fill |= modes(fitted, [c for c in missing if c not in numbers])
     types = {f.name: f.dataType for f in df.schema.fields}
     out = {}
     for c in missing:
@@ -84,13 +90,14 @@ def impute(
     return df.withColumns(out)
 
 
-def _impute_knn(df, missing, numbers, row_key, k, fraction, seed, distance_columns) -> DataFrame:
+def _impute_knn(df, fitted, missing, numbers, row_key, k, fraction, seed, distance_columns) -> DataFrame:
     """Mean (or vote) over the k nearest complete rows, by the standardised observed numbers.
 
-    One search for all rows, whatever they lack: a null is not measured.
+    One search for all rows, whatever they lack: a null is not measured. Without a ``reference`` a row that
+    has no number at all is an error; with one it takes the donors of the smallest keys.
     """
     axes = [c for c in (distance_columns or df.columns) if c in numbers and c != row_key]
-    stats = df.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(axes)],
+    stats = fitted.agg(*[F.avg(col(c)).alias(f"m{i}") for i, c in enumerate(axes)],
                    *[F.stddev_pop(col(c)).alias(f"s{i}") for i, c in enumerate(axes)]).first()
     z = {
         c: (col(c).cast("double") - F.lit(stats[f"m{i}"])) / F.lit(stats[f"s{i}"])
@@ -103,9 +110,9 @@ def _impute_knn(df, missing, numbers, row_key, k, fraction, seed, distance_colum
         gap = gap | col(c).isNull()
     measured = F.array(*z.values()) if z else F.array().cast("array<double>")
     asked = df.where(gap).select(col(row_key).alias("__qid"), measured.alias("features"))
-    if not z or asked.where(~F.exists("features", lambda x: x.isNotNull())).take(1):
+    if df is fitted and (not z or asked.where(~F.exists("features", lambda x: x.isNotNull())).take(1)):
         raise ValueError("a row with gaps has no observed number to measure distances")
-    training = df.where(whole)
+    training = fitted.where(whole)
     if fraction < 1.0:
         training = training.where(uniform(seed, "impute", col(row_key)) < F.lit(float(fraction)))
     donors = materialize(training.select(

@@ -2,10 +2,11 @@
 
 Mechanism, for a total budget ``epsilon`` per row:
 
-* ``preprocess_budget_ratio * epsilon`` is split evenly over the numeric columns; each gets its
-  mean as the clipped mean plus Laplace((upper - lower) / (n * share)).
+* ``preprocess_budget_ratio * epsilon`` is split evenly over the numeric columns; each spends one half on
+  the sum of its clipped values (taken from the middle of the bounds) and one on their number, and its
+  mean is the quotient of the two noisy figures. Exact counts are never used.
 * the rest is split evenly over all columns. A number is clipped to its public bounds, centred on
-  the noisy mean, and gets Laplace((upper - lower) / share). A category is kept with probability
+  the noisy mean, and gets noise of scale (upper - lower) / share. A category is kept with probability
   e^share / (e^share + m - 1), m the number of listed modalities, otherwise it is one of the other
   modalities, each alike (randomised response).
 
@@ -14,7 +15,9 @@ share on whether the value is missing, reported by randomised response, and the
 any other column a gap is filled: by the noisy mean plus noise, or by a random modality. Means are over
 the values present.
 
-By sequential composition a row spends ``epsilon``. Bounds and modalities must be public knowledge,
+Noise is two-sided geometric on a grid of powers of two, and values are put on that grid first, so the
+digits of a double tell nothing. ``budget_ledger`` lists what each step spends; by sequential composition a
+row spends their sum, which is ``epsilon`` (without numeric columns the part for means stays unspent). Bounds and modalities must be public knowledge,
 not read from the data. The noise is a function of ``seed``: the guarantee holds only if the seed is
 secret and random, and used once. Fixed seeds are for tests.
 """
@@ -22,12 +25,12 @@ secret and random, and used once. Fixed seeds are for tests.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from math import exp
+from math import exp, floor, log2
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from maskloom.functions.uniform import laplace, uniform
+from maskloom.functions.uniform import discrete_laplace, uniform
 from maskloom.functions.validation import INTEGERS, col
 
 
@@ -50,9 +53,10 @@ def private_rows(
     out: list[Column] = [col(row_key)]
     means = noisy_means(df, bounds, epsilon * preprocess_budget_ratio, seed)
     for c, (low, high) in bounds.items():
-        centred = F.coalesce(clip(col(c), low, high) - F.lit(means[c]), F.lit(0.0))
         own = share / 2 if c in missing else share
-        noise = laplace((high - low) / own, seed, f"cell:{c}", col(row_key))
+        grid = grid_of((high - low) / own)
+        centred = F.coalesce(F.round((clip(col(c), low, high) - F.lit(means[c])) / F.lit(grid)) * F.lit(grid), F.lit(0.0))
+        noise = discrete_laplace((high - low + grid) / own, grid, seed, f"cell:{c}", col(row_key))
         value = clip(centred + noise + F.lit(means[c]), low, high)
         if isinstance(types[c], INTEGERS):
             value = F.round(value)
@@ -82,21 +86,49 @@ def clip(value: Column, low: float, high: float) -> Column:
     return F.when(value.isNotNull(), inside)
 
 
+def grid_of(scale: float) -> float:
+    """Power of two, about a millionth of ``scale``: the step of noise and of the values it is added to."""
+    return 2.0 ** (floor(log2(scale)) - 20)
+
+
 def noisy_means(
     df: DataFrame, bounds: Mapping[str, tuple[float, float]], budget: float, seed: int
 ) -> dict[str, float]:
-    """Clipped means plus Laplace noise; one aggregate pass."""
+    """Quotients of noisy sums and noisy counts, within the bounds; one aggregate pass.
+
+    One row changes a sum by at most upper - lower and a count by at most 1.
+    """
     if not bounds:
         return {}
-    share = budget / len(bounds)
-    aggs = [F.avg(clip(col(c), lo, hi)).alias(c) for c, (lo, hi) in bounds.items()]
-    aggs += [F.greatest(F.count(col(c)), F.lit(1)).alias(f"__n{i}") for i, c in enumerate(bounds)]
-    noise = [
-        (laplace((hi - lo) / share, seed, f"mean:{c}", F.lit(c)) / F.col(f"__n{i}")
-         + F.coalesce(col(c), F.lit((lo + hi) / 2))).alias(c)
-        for i, (c, (lo, hi)) in enumerate(bounds.items())
-    ]
-    return df.agg(*aggs).select(*noise).first().asDict()
+    share = budget / len(bounds) / 2
+    aggs, out = [], []
+    for i, (c, (low, high)) in enumerate(bounds.items()):
+        grid, middle = grid_of((high - low) / share), (low + high) / 2
+        steps = F.round((clip(col(c), low, high) - F.lit(middle)) / F.lit(grid)).cast("decimal(38,0)")
+        aggs += [F.coalesce(F.sum(steps), F.lit(0)).cast("double").alias(f"s{i}"), F.count(col(c)).alias(f"n{i}")]
+        total = F.col(f"s{i}") * F.lit(grid) + discrete_laplace(
+            (high - low + grid) / share, grid, seed, f"sum:{c}", F.lit(c))
+        count = F.greatest(F.col(f"n{i}") + discrete_laplace(1 / share, 1.0, seed, f"count:{c}", F.lit(c)), F.lit(1.0))
+        out.append(clip(F.lit(middle) + total / count, low, high).alias(c))
+    return df.agg(*aggs).select(*out).first().asDict()
+
+
+def budget_ledger(
+    *, epsilon: float, bounds: Mapping[str, tuple[float, float]], modalities: Mapping[str, Sequence[str]],
+    preprocess_budget_ratio: float = 0.5, missing: Sequence[str] = (),
+) -> list[tuple[str, str, float]]:
+    """(column, step, epsilon) of everything ``private_rows`` with these settings spends on a row."""
+    out = []
+    for c in bounds:
+        each = epsilon * preprocess_budget_ratio / len(bounds) / 2
+        out += [(c, "sum", each), (c, "count", each)]
+    share = (1 - preprocess_budget_ratio) * epsilon / max(1, len(bounds) + len(modalities))
+    for c in [*bounds, *modalities]:
+        if c in missing:
+            out += [(c, "gap", share / 2), (c, "value", share / 2)]
+        else:
+            out.append((c, "value", share))
+    return out
 
 
 def randomised_response(

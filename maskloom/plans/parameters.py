@@ -27,6 +27,7 @@ class Parameters:
     dp_preprocess_budget_ratio: float = 0.5
     dp_bounds: Mapping[str, tuple[float, float]] = field(default_factory=dict)
     dp_modalities: Mapping[str, Sequence[str]] = field(default_factory=dict)
+    dp_missing: Sequence[str] = ()
     time_series_nf: int = 3
     time_series_projection_type: str = FPCA
     time_series_nb_points: int | None = None

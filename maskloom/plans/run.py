@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -24,8 +25,9 @@ from maskloom.operators.synthesis.generate import (
 )
 from maskloom.operators.assignment import assign_parents
 from maskloom.operators.synthesis.impute import MODE, impute
-from maskloom.operators.synthesis.noise import private_rows
-from maskloom.operators.synthesis.project import fit_space
+from maskloom.operators.synthesis.noise import budget_ledger, private_rows
+from maskloom.operators.synthesis.project import Space, fit_space
+from maskloom.operators.synthesis.sparse import SparseSpace
 from maskloom.plans.parameters import Parameters, ParameterSet
 from maskloom.plans.specs import DatasetSpec, LinkSpec, TableSpec
 from maskloom.session import materialize
@@ -52,6 +54,8 @@ class Twin:
     originals: DataFrame
     placed: DataFrame
     synthesis: Synthesis | None = None
+    space: Space | SparseSpace | None = None
+    individuals: DataFrame | None = None
 
 
 def row_key_of(spec: TableSpec) -> str:
@@ -64,14 +68,14 @@ def twin_from_pair(source: DataFrame, synthetic: DataFrame, key: str, p: Paramet
     """Metrics on a user's own pair of tables: nothing is synthesised."""
     columns = tuple(c for c in source.columns if c != key)
     filled = impute(source, columns, method=MODE, row_key=key)
-    other = impute(synthetic, columns, method=MODE, row_key=key)
+    other = impute(synthetic, columns, method=MODE, row_key=key, reference=source)
     space = fit_space(
         filled, columns, row_key=key, ncp=p.ncp, weights=p.column_weights,
         use_categorical_reduction=p.use_categorical_reduction,
     )
     return Twin(
         key, columns, source, synthetic, materialize(space.place(filled, key)),
-        materialize(space.place(other, key)),
+        materialize(space.place(other, key)), space=space,
     )
 
 
@@ -92,7 +96,7 @@ def synthesize_table(spec: TableSpec, p: Parameters) -> Twin:
             )
         private = private_rows(
             spec.data.drop(*excluded), key, epsilon=p.dp_epsilon, bounds=p.dp_bounds, modalities=p.dp_modalities,
-            preprocess_budget_ratio=p.dp_preprocess_budget_ratio, seed=p.seed,
+            preprocess_budget_ratio=p.dp_preprocess_budget_ratio, missing=p.dp_missing, seed=p.seed,
         )
         private = materialize(private)
         pair = spec.data.select(*map(col, private.columns))
@@ -110,8 +114,8 @@ def synthesize_table(spec: TableSpec, p: Parameters) -> Twin:
         rows = materialize(attach_excluded(
             made, spec.data, excluded, strategy=p.exclude_replacement_strategy
         ))
-    placed = materialize(made.place(made.unshuffled, seed=p.seed))
-    return Twin(key, tuple(used), made.source, rows, made.originals, placed, made)
+    placed = materialize(made.place(made.unshuffled))
+    return Twin(key, tuple(used), made.source, rows, made.originals, placed, made, made.space)
 
 
 @dataclass(frozen=True)
@@ -239,13 +243,17 @@ def privacy_values(twin: Twin, p: Parameters) -> dict[str, float]:
             twin.source, twin.unshuffled, twin.columns
         ),
     }
+    if twin.individuals is not None:
+        # a view of a table whose rows are not individuals: exposed is who is found by any of their rows
+        out["hidden_rate"] = privacy.hidden_individuals_rate(
+            twin.originals, twin.placed, twin.key, twin.individuals)
     if p.categorical_hidden_rate_variables:
         out["categorical_hidden_rate"] = privacy.categorical_hidden_rate(
             twin.source, twin.unshuffled, twin.key, list(p.categorical_hidden_rate_variables)
         )
     if p.known_variables:
         source = impute(twin.source, twin.columns, method=MODE, row_key=twin.key)
-        made = impute(twin.unshuffled, twin.columns, method=MODE, row_key=twin.key)
+        made = impute(twin.unshuffled, twin.columns, method=MODE, row_key=twin.key, reference=twin.source)
         key, known = twin.key, list(p.known_variables)
         others = [c for c in twin.columns if c not in known]
         out["correlation_protection_rate"] = privacy.correlation_protection_rate(
@@ -345,14 +353,17 @@ def enriched_views(
 def view_twin(
     dataset: DatasetSpec, name: str, source: DataFrame, synthetic: DataFrame, p: Parameters
 ) -> Twin:
-    """Twin of an enriched view; keys do not take part in distances."""
+    """Twin of an enriched view; keys do not take part in distances, but say whose rows they are."""
     spec = dataset.tables[name]
     key = row_key_of(spec)
     dropped = {*spec.foreign_keys, "individual_id"} - {key}
     keep = [c for c in source.columns if c not in dropped and c in synthetic.columns]
     weights = {c: w for c, w in p.column_weights.items() if c in keep}
     left, right = materialize(source.select(*map(col, keep))), materialize(synthetic.select(*map(col, keep)))
-    return twin_from_pair(left, right, key, replace(p, column_weights=weights))
+    twin = twin_from_pair(left, right, key, replace(p, column_weights=weights))
+    if "individual_id" not in source.columns:
+        return twin
+    return replace(twin, individuals=materialize(source.select(col(key), "individual_id")))
 
 
 def run(
@@ -361,9 +372,13 @@ def run(
     *,
     stages: Sequence[str] = STAGES,
     multi_table_metrics: bool = True,
+    figures: bool = True,
     seed: int = 0,
 ) -> RunResult:
-    """Synthesis, utility metrics and privacy metrics of all tables, in that order."""
+    """Synthesis, utility metrics and privacy metrics of all tables, in that order.
+
+    With ``figures`` each table also gets the tables behind the usual plots and the advice for it.
+    """
     unknown = set(stages) - set(STAGES)
     if unknown:
         raise ValueError(f"Expected stages among {STAGES}, got {sorted(unknown)} instead")
@@ -422,7 +437,20 @@ def run(
             for t, made in series.items():
                 values = series_signal(made) if stage == "signal_metrics" else series_privacy(made, parameters.get(t))
                 tables[t][stage] = metric_records(spark, t, STANDALONE, None, values)
-    whole = {}
+    for t, twin in twins.items():
+        p = parameters.get(t)
+        if figures:
+            tables[t] |= figure_tables(twin)
+            tables[t]["advice"] = advise(originals[t], keys[t], t)
+        if p.dp_epsilon:
+            tables[t]["privacy_budget"] = spark.createDataFrame(budget_ledger(
+                epsilon=p.dp_epsilon, bounds=p.dp_bounds, modalities=p.dp_modalities,
+                preprocess_budget_ratio=p.dp_preprocess_budget_ratio, missing=p.dp_missing,
+            ), "column string, step string, epsilon double")
+    whole = {"run_metadata": spark.createDataFrame([
+        (dataset.name, t, keys.get(t), ",".join(stages), seed, json.dumps(asdict(parameters.get(t)), default=str))
+        for t in tables
+    ], "dataset string, table_name string, row_key string, stages string, seed long, parameters string")}
     for stage, meta in (("signal_metrics", "meta_signal_metric"), ("privacy_metrics", "meta_privacy_metric")):
         found = [tables[t][stage] for t in tables if stage in tables[t]]
         if found:
@@ -433,6 +461,28 @@ def run(
     return RunResult(tables, whole)
 
 
+def figure_tables(twin: Twin) -> dict[str, DataFrame]:
+    """The tables behind the usual plots of a table and its synthetic rows."""
+    source, made, columns = twin.source, twin.unshuffled, twin.columns
+    first = twin.originals.select(F.size("features")).first()
+    out = {
+        "figures_projections": signal.projection_points(
+            twin.originals, twin.placed, twin.key, min(3, first[0] if first else 0)),
+        "figures_distributions": signal.distributions(source, made, columns),
+    }
+    if sum(is_number(source.schema[c]) for c in columns) > 1:
+        sides = [signal.correlations(df, columns).withColumn("side", F.lit(side))
+                 for df, side in ((source, "original"), (made, "synthetic"))]
+        out["figures_correlations"] = sides[0].unionByName(sides[1])
+        out["figures_correlation_difference"] = signal.correlation_difference(source, made, columns)
+    if any(is_number(source.schema[c]) for c in columns[:10]):
+        out["figures_aggregate_stats"] = signal.aggregate_stats(source, made, columns)
+    space = twin.space
+    if isinstance(space, SparseSpace) or (space and space.projection and not space.reduction):
+        out["figures_contributions"] = signal.contributions(source, space)
+    return out
+
+
 def _records(spark, table, twin, views, compute) -> DataFrame:
     out = metric_records(spark, table, STANDALONE, None, compute(twin))
     for kind, reference, view in views:

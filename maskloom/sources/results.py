@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 # Names of the results of a run.
 TABLE_RESULTS = (
     "shuffled", "unshuffled", "privacy_metrics", "signal_metrics", "original_projections",
-    "synthetic_projections", "advice", "figures",
+    "synthetic_projections", "advice", "figures", "privacy_budget",
 )
 RUN_RESULTS = ("meta_privacy_metric", "meta_signal_metric", "run_metadata")
 METRIC_RESULTS = ("privacy_metrics", "signal_metrics", "meta_privacy_metric", "meta_signal_metric")

@@ -21,6 +21,7 @@ from maskloom.operators.processors import (
 )
 from maskloom.operators.synthesis.encode import fit_encoder
 from maskloom.operators.synthesis.generate import (
+    complete,
     attach_excluded,
     neighbor_weights,
     shuffle_rows,
@@ -403,8 +404,49 @@ def test_run_private(iris):
     with pytest.raises(ValueError, match="Expected dp_bounds or dp_modalities for petal_length, petal_width"):
         run(dataset, parameters, stages=["synthesis"])
     parameters = parameters.update("iris", exclude_variable_names=["petal_length", "petal_width"])
-    out = run(dataset, parameters, stages=["synthesis"])
+    out = run(dataset, parameters.update("iris", dp_missing=["sepal_width"]), stages=["synthesis"])
     assert out.shuffled("iris").count() == 150
+    assert 0 < out.unshuffled("iris").where("sepal_width is null").count() < 150
+    spent = out.get("iris", "privacy_budget")
+    assert spent.agg(F.sum("epsilon")).first()[0] == pytest.approx(5.0)
+    assert {r["step"] for r in spent.where("column = 'sepal_width'").collect()} == {"sum", "count", "gap", "value"}
+    assert out.run["run_metadata"].first()["table_name"] == "iris"
+
+
+def test_run_attaches_figures(iris):
+    dataset = DatasetSpec("d").add_table("iris", iris, primary_key="id")
+    out = run(dataset, ParameterSet().set("iris", k=5, ncp=2), stages=["synthesis"])
+    assert out.get("iris", "figures_projections").count() == 300
+    rho = {(r["a"], r["b"]): r["rho"] for r in out.get("iris", "figures_correlations").where("side = 'original'").collect()}
+    assert len(rho) == 16 and rho["sepal_length", "sepal_length"] == pytest.approx(1.0)
+    shares = out.get("iris", "figures_distributions").groupBy("column").agg(F.sum("original")).collect()
+    assert all(r[1] == pytest.approx(1.0) for r in shares) and len(shares) == 5
+    assert {r["component"] for r in out.get("iris", "figures_contributions").collect()} == {1, 2}
+    assert out.get("iris", "figures_aggregate_stats").count() == 8
+    assert out.get("iris", "advice").first()["k"] >= 1
+
+
+def test_hidden_rate_of_individuals(spark):
+    def points(rows):
+        return spark.createDataFrame(rows, "id long, features array<double>")
+
+    originals = points([(1, [0.0]), (2, [10.0]), (3, [20.0]), (4, [30.0]), (5, [40.0])])
+    made = points([(1, [9.0]), (2, [1.0]), (3, [29.0]), (4, [50.0]), (5, [21.0])])
+    owners = spark.createDataFrame([(1, "a"), (2, "a"), (3, "b"), (4, "c"), (5, None)], "id long, individual_id string")
+    # 1 -> 2 and 2 -> 1 are rows of the same person; 3 -> 5 of nobody known; 4 -> 3 of another
+    assert privacy.hidden_rate(originals, made, "id") == 100.0
+    assert privacy.hidden_individuals_rate(originals, made, "id", owners) == pytest.approx(200 / 3)
+
+
+def test_synthetic_rows_are_filled_as_the_originals_were(spark):
+    rng = np.random.default_rng(17)
+    rows = [(i, None if i % 5 == 0 else float(i % 50), float(i % 50) + rng.normal() / 10) for i in range(200)]
+    df = spark.createDataFrame(rows, "id long, x double, y double")
+    made = synthesize(df, "id", k=4, ncp=2, imputation_method="knn", imputation_k=3)
+    filled = complete(df, made).orderBy("id").toPandas()
+    own = made.prepared.orderBy("id").toPandas()
+    assert filled["x"].to_numpy() == pytest.approx(own["x"].to_numpy())
+    assert (filled["x"] - [r[2] for r in rows]).abs().max() < 5
 
 
 def test_private_rows_keep_means_and_gaps(spark):
