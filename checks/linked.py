@@ -200,6 +200,26 @@ suite.add("ts02_flatten_scores")(_scores("flatten"))
 suite.add("ts03_fpca_scores")(_scores("fpca"))
 
 
+@suite.add("ts03_long_series", """
+select count(distinct user_id) as series, true as centred, true as orthogonal, true as falling from events""")
+def ts03_long(spark, sf):
+    """Series of 12,000 points: variances of the scores fall, their covariances are 0."""
+    aligned = materialize(_aligned(spark, sf, n=12_000).select("user_id", "point", "value"))
+    components = ts.fit_series_components(aligned, "user_id", ["value"], 12_000, nf=3, passes=2)
+    placed = materialize(components.place(aligned, "user_id").select(
+        "user_id", *[F.col("features")[j].alias(f"f{j}") for j in range(3)]))
+    row = placed.agg(
+        F.count(F.lit(1)).alias("series"), *[F.var_pop(f"f{j}").alias(f"v{j}") for j in range(3)],
+        *[F.covar_pop(f"f{i}", f"f{j}").alias(f"c{i}{j}") for i in range(3) for j in range(i)])
+    same = F.lit(True)
+    for j in range(3):
+        same = same & (F.abs(F.col(f"v{j}") - F.lit(float(components.explained[j]))) < 1e-9 * F.col("v0"))
+    return row.select(
+        "series", same.alias("centred"),
+        ((F.abs("c10") < 1e-9 * F.col("v0")) & (F.abs("c20") < 1e-9 * F.col("v0")) & (F.abs("c21") < 1e-9 * F.col("v0"))).alias("orthogonal"),
+        ((F.col("v0") >= F.col("v1")) & (F.col("v1") >= F.col("v2")) & (F.col("v2") > 0)).alias("falling"))
+
+
 def _two_points_sql(weight: str) -> str:
     return f"""
 with {_aligned_sql('any_value(2)')},
@@ -287,9 +307,7 @@ def ts07b(spark, sf):
 def ts07(spark, sf):
     aligned = materialize(_aligned(spark, sf))
     _, components = ts.series_scores(aligned, "user_id", ["value"], POINTS, nf=3)
-    vectors = ts.series_vectors(_joint(spark, sf), "user_id", ["value"], POINTS, "fpca")
-    placed = materialize(components.transform(vectors, "features"))
-    own = ts.series_vectors(aligned, "user_id", ["value"], POINTS, "fpca")
-    originals = materialize(components.transform(own, "features"))
+    placed = materialize(components.place(_joint(spark, sf), "user_id"))
+    originals = materialize(components.place(aligned, "user_id"))
     return one(spark, hidden_rate=privacy.hidden_rate(originals, placed, "user_id"),
                local_cloaking=privacy.local_cloaking(originals, placed, "user_id"))

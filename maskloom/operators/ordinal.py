@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 
 from maskloom.functions.uniform import uniform
 from maskloom.functions.validation import col
+from maskloom.operators.scan import scan
+from maskloom.session import materialize
 
 BUCKET_ROWS = 500_000
 MAX_BUCKETS = 65_536
@@ -25,16 +27,23 @@ def hash_ordinal(
     """Append ``output``: 0-based position in a seeded random order.
 
     Rows are bucketed by their hash, so buckets are even whatever the data. Only the bucket counts
-    (at most ``MAX_BUCKETS`` + 1) pass through the driver; each bucket is numbered on its own.
-    Rows with ``leading`` true come first, in key order.
+    (at most ``MAX_BUCKETS``) pass through the driver; each bucket is numbered on its own.
+    Rows with ``leading`` true come first, in key order: however many there are, they are numbered by ranges of
+    keys and the counts of these, not in one task.
     """
+    if leading is not None:
+        marked = materialize(df.withColumn("__leading", F.coalesce(leading, F.lit(False))))
+        ahead, rest = (marked.where(c).drop("__leading") for c in ("__leading", "not __leading"))
+        m = ahead.count()
+        placed = scan(ahead.withColumn("__all", F.lit(0)), ["__all"], [row_key], ordinal="__at",
+                      max_group_rows=BUCKET_ROWS, sizes=(m, m))
+        first = placed.select(*map(col, df.columns), (F.col("__at") - 1).cast("bigint").alias(output))
+        others = hash_ordinal(rest, row_key, seed=seed, stream=stream, output=output)
+        return first.unionByName(others.withColumn(output, col(output) + F.lit(m)))
     n = df.count() if rows is None else rows
     buckets = min(MAX_BUCKETS, max(8, n // BUCKET_ROWS))
     unit = uniform(seed, stream, col(row_key))
     bucket = F.floor(unit * buckets).cast("int")
-    if leading is not None:
-        bucket = F.when(leading, F.lit(-1)).otherwise(bucket)
-        unit = F.when(leading, F.lit(0.0)).otherwise(unit)
     placed = df.withColumns({"__unit": unit, "__bucket": bucket})
     counts = placed.groupBy("__bucket").count().collect()
     offsets, seen = [], 0

@@ -174,16 +174,15 @@ def synthesize_series(
         order = [c for c in spec.data.columns if c in rows.columns]
         made[name] = Series(
             ident, (*values, *carried), spec.data, materialize(rows.select(*map(col, order), "point")),
-            *[materialize(series_places(x, ident, n, models, q)) for x in (aligned, mixed)])
+            *[materialize(series_places(x, ident, models)) for x in (aligned, mixed)])
     return twin, made
 
 
-def series_places(aligned: DataFrame, ident: str, n: int, models: dict, q: Parameters) -> DataFrame:
+def series_places(aligned: DataFrame, ident: str, models: dict) -> DataFrame:
     """(ident, features): the scores of all numbers of a series in one array."""
     out = None
     for value, components in models.items():
-        vectors = ts.series_vectors(aligned, ident, [value], n, q.time_series_projection_type)
-        scores = components.transform(vectors, "features").select(col(ident), F.col("features").alias("__f"))
+        scores = components.place(aligned, ident).select(col(ident), F.col("features").alias("__f"))
         if out is None:
             out = scores.withColumnRenamed("__f", "features")
         else:

@@ -328,6 +328,11 @@ def test_hash_ordinal_is_dense(make, monkeypatch):
     out = rows_of(ordinal.hash_ordinal(df, "k", seed=3, stream="x", output="at", leading=F.col("v") % 100 == 7))
     assert sorted(out["at"]) == list(range(300))
     assert [out["at"][i] for i in (7, 107, 207)] == [0, 1, 2]
+    # many leading rows are ranked over several ranges of keys; a null leads nothing
+    lead = F.when(F.col("v") < 290, F.col("v") % 2 == 0)
+    out = rows_of(ordinal.hash_ordinal(df, "k", seed=3, stream="x", output="at", leading=lead))
+    assert sorted(out["at"]) == list(range(300))
+    assert [out["at"][i] for i in range(0, 290, 2)] == list(range(145))
 
 
 def test_pair_moments_in_tiles(spark, monkeypatch):

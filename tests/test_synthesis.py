@@ -552,3 +552,23 @@ def test_a_column_of_names_is_projected(spark):
     assert out.var(axis=0) == pytest.approx(space.explained) and space.explained[0] >= space.explained[1] > 0
     new = spark.createDataFrame([(1, "nobody", "g1", 1.0)], "id long, name string, g string, x double")
     assert len(space.place(new, "id").first()["features"]) == 2
+
+
+@pytest.mark.parametrize("projection", ["flatten", "fpca"])
+def test_series_components_against_numpy(spark, projection):
+    rng = np.random.default_rng(31)
+    n, points = 60, 30
+    t = np.linspace(0, 1, points)
+    a = rng.normal(size=(n, 1)) * np.sin(3 * t) + rng.normal(size=(n, 1)) * t**2 + 0.01 * rng.normal(size=(n, points)) + 5
+    b = 0.3 * rng.normal(size=(n, 1)) * np.cos(2 * t) + 0.01 * rng.normal(size=(n, points))
+    rows = [(i, j, float(a[i, j]), float(b[i, j])) for i in range(n) for j in range(points)]
+    aligned = spark.createDataFrame(rows, "id long, point int, a double, b double")
+    scores, made = ts.series_scores(aligned, "id", ["a", "b"], points, projection=projection, nf=3)
+    weight = np.ones(points) if projection == "flatten" else np.sqrt(np.where((t == 0) | (t == 1), 0.5, 1) / (points - 1))
+    whole = np.stack([a * weight, b * weight], axis=2).reshape(n, -1)
+    u, s, v = np.linalg.svd(whole - whole.mean(axis=0), full_matrices=False)
+    v = v * np.sign(v[np.arange(len(v)), np.abs(v).argmax(axis=1)])[:, None]
+    want = (whole - whole.mean(axis=0)) @ v[:3].T
+    got = np.stack(scores.orderBy("id").toPandas()["features"].to_numpy())
+    assert got == pytest.approx(want, abs=1e-6)
+    assert made.explained == pytest.approx(s[:3] ** 2 / n, rel=1e-6)
