@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from maskloom.functions.sizing import broadcast_if_small
 from maskloom.llm.common import need, small_side, text_key
 from maskloom.session import materialize
 
@@ -85,6 +86,7 @@ def windows(rows: DataFrame, width: int, stride: int, *keys: str) -> DataFrame:
 
 def find_leaks(
     docs: DataFrame, benchmark: DataFrame, *, width: int = 7, stride: int = 3, least: float = 0.5, run: int = 16,
+    literals: int = 3,
 ) -> DataFrame:
     """Documents that hold a benchmark item, as it is or with other numbers, names or units.
 
@@ -93,7 +95,8 @@ def find_leaks(
     the item found on consistent diagonals), coverage (their share of the item's windows, at least
     ``least``, or less where ``run`` tokens of the item stand verbatim in the document), n_slots (placeholder positions in matched windows) and n_changed (those whose values differ).
 
-    Hash-joined are all windows of ``width - stride + 1`` tokens of the items with every ``stride``-th one
+    Placeholders alone are no evidence: a window that is not the same in both counts only if ``literals`` of its
+    tokens are matched as they are. Hash-joined are all windows of ``width - stride + 1`` tokens of the items with every ``stride``-th one
     of the documents, of which each window of ``width`` tokens holds one. Items with fewer than ``width``
     tokens are one window and found where all their tokens stand in a row as they are. Null texts have no tokens; null ids take part as
     such; repeated documents and items are reported once each; other columns are left out.
@@ -130,7 +133,7 @@ def find_leaks(
         F.col("typed").alias("dtyped"), F.col("opened").alias("dopened"))
     aligned = (
         chosen.join(values, F.col("d").eqNullSafe(F.col("vd")) & (F.col("th") == F.col("vth")))
-        .join(small_side(items, 4096), "k"))
+        .join(broadcast_if_small(items), "k"))
     same = F.expr("transform(plain, (p, i) -> coalesce(p = get(dplain, i + diagonal) "
                   "OR typed[i] = get(dtyped, i + diagonal) OR opened[i] = get(dopened, i + diagonal), false))")
     exact = F.expr("transform(v, (w, i) -> coalesce(w = get(dv, i + diagonal), false))")
@@ -155,7 +158,8 @@ def find_leaks(
               AND (y.p.a = x.p.a OR y.p.b = x.p.b) AND y.n >= x.n)), x -> x.p)""",
         "bad": "transform(s, x -> coalesce(array_contains(odd, x), false))",
         "n": f"""size(filter(sequence(0, total - 1), i -> w[i] AND (NOT array_contains(slice(e, i + 1, {width}), false)
-              OR NOT array_contains(slice(bad, i + 1, {width}), true))))""",
+              OR (NOT array_contains(slice(bad, i + 1, {width}), true)
+                  AND size(filter(slice(kind, i + 1, {width}), t -> t IS NULL)) >= {literals}))))""",
     }
     for name, text in steps.items():
         if name in ("w", "s", "pairs", "bad", "n"):  # stored, or the optimiser puts it into the loops of the next

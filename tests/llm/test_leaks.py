@@ -67,3 +67,13 @@ def test_names_that_open_sentences_short_items_and_long_runs(spark):
             (7, PAD + " ".join(long.split()[20:35]))]
     got = find_leaks(frame(spark, rows), bench).collect()
     assert {(r.doc_id, r.item_id) for r in got} == {(i, i) for i in (1, 2, 3, 4, 5)}
+
+
+def test_numbers_alone_are_no_evidence(spark):
+    numbers = " ".join(str(7 * i) for i in range(1, 31))
+    bench = spark.createDataFrame([(1, numbers), (2, "Anna Bert Carla Dora Emil Fritz Gerd Hans Ida Jan Karl Lena")],
+                                  "item_id bigint, text string")
+    rows = [(1, " ".join(str(1000 + i) for i in range(30))), (2, "list " + numbers + " end"),
+            (3, "Otto Paul Quin Rosa Sven Tina Uwe Vera Willi Xaver Yves Zora"), (4, "5 " * 40)]
+    got = {(r.doc_id, r.item_id): r.n_changed for r in find_leaks(frame(spark, rows), bench).collect()}
+    assert got == {(2, 1): 0}
