@@ -26,7 +26,9 @@ from maskloom.llm.common import arrow_map, blocks
 
 INFINITE = np.iinfo(np.int64).max
 #: Pieces that a task remembers before it starts anew; bounds memory, not results.
-REMEMBERED = 400_000
+REMEMBERED = 250_000
+#: Bytes of text that are encoded at once.
+BLOCK = 1 << 19
 #: Single marks that are a pretoken of their own after letters.
 MARKS = ".,;:!?"
 #: White space of the Unicode property; Python's own notion has four control characters more.
@@ -276,7 +278,7 @@ def bpe_round_trip(
         encoder = Encoder(Vocabulary(**shipped.value))
         for batch in batches:
             sizes = [x or 0 for x in pa.compute.binary_length(batch["t"].cast(pa.binary())).to_pylist()]
-            for a, b in blocks(sizes):
+            for a, b in blocks(sizes, BLOCK):
                 texts = [x or "" for x in batch["t"].slice(a, b - a).to_pylist()]
                 ids = encoder.encode(texts)
                 raw = [encoder.decode(x) for x in ids] if decoding else []

@@ -37,7 +37,7 @@ def schema_of(text: str) -> StructType:
 
 
 #: Bytes of an Arrow batch: what a Python worker holds in several copies at once.
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
 
 
 def small_batches(spark: SparkSession) -> None:
