@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
 import numpy as np
 import pytest
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from maskloom.functions import sizing
 from maskloom.operators import affine, comoments, neighbors, ordinal, quantiles, tree
+from maskloom.operators.metrics import privacy
 from maskloom.operators.processors import (
     InterRecordBoundedCumulatedDifferenceProcessor,
     InterRecordBoundedRangeDifferenceProcessor,
@@ -204,6 +206,75 @@ def test_point_tree(n, d, leaf):
     assert all((far[q] <= ball[q]).sum() >= k for q in range(80))
 
 
+def test_point_tree_with_many_ties_opens_few_leaves():
+    """Points on 5 lines: cuts between lines do not keep queries from the leaves next to them."""
+    rng = np.random.default_rng(3)
+    points = np.column_stack([rng.random(15_000), rng.choice([3.0, 4.0, 4.0, 4.0, 5.0], 15_000)])
+    queries = np.column_stack([rng.random(2_000), rng.choice([3.0, 4.0, 5.0], 2_000)])
+    made = tree.PointTree(points, 32)
+    first = made.closest_leaf(queries)
+    far = [np.sort(tree.squared(queries[i : i + 1], points[made.members(x)])[0])[1] for i, x in enumerate(first)]
+    _, leaves = made.visit(queries, np.array(far))
+    assert len(leaves) < 2 * len(queries)
+
+
+@pytest.mark.parametrize("n, gaps, offset", [(4_000, 0.0, 0.0), (4_000, 0.2, 1e6), (900, 0.3, 0.0)])
+def test_point_tree_in_many_dimensions(monkeypatch, n, gaps, offset):
+    monkeypatch.setattr(tree, "WIDE_LEAF", 64)
+    monkeypatch.setattr(tree, "BLOCK", 3_000)
+    monkeypatch.setattr(tree, "PAIRS", 500)
+    rng = np.random.default_rng(n)
+    points = np.round(rng.standard_normal((n, 20)), 1) + offset
+    points[n // 2 :: 7] = points[0]  # copies
+    own = np.arange(150)
+    queries = points[:150].copy()
+    queries[rng.random(queries.shape) < gaps] = np.nan
+    made = tree.PointTree(points, 4)
+    far = tree.squared(queries, points)
+    r2 = np.sort(far, axis=1)[:, 9]
+    weight = rng.integers(1, 5, n)
+    assert made.weight_within(queries, r2, weight).tolist() == ((far < r2[:, None]) * weight).sum(axis=1).tolist()
+    far[own, own] = np.inf
+    rows, columns, dist = made.nearest(queries, np.full(150, np.inf), 6, own)
+    want = [sorted((far[q, j], j) for j in range(n))[:6] for q in range(150)]
+    assert [(a, b) for a, b in zip(dist, columns)] == [x for w in want for x in w]
+
+
+def test_search_holds_few_pairs_in_many_dimensions(monkeypatch):
+    """Without bounds nearly all pairs of this size would be held at once: 640 MB and more."""
+    rng = np.random.default_rng(8)
+    points = rng.standard_normal((20_000, 12))
+    tracemalloc.start()
+    tree.PointTree(points, 32).nearest(points[:2_000] * 3, np.full(2_000, np.inf), 5, None)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 100 << 20
+
+
+@pytest.mark.parametrize("parted", [True, False])
+def test_nearest_and_counts_in_many_dimensions(spark, monkeypatch, parted):
+    if parted:
+        monkeypatch.setattr(neighbors, "PART_ROWS", 60)
+        monkeypatch.setattr(neighbors, "WIDE_VALUES", 600)
+        monkeypatch.setattr(neighbors, "WIDE_QUERIES", 30)
+    df, points = cloud(spark, 400, 12, seed=71)
+    found = neighbors.nearest(df, df, 4, query_key="id", candidate_key="id", exclude_self=True)
+    got = {}
+    for r in sorted(found.collect(), key=lambda r: r["rank"]):
+        got.setdefault(r["query_id"], []).append(r["neighbor_id"])
+    assert got == brute(points, points, 4, True)
+    counted = neighbors.count_within(
+        df.withColumn("r2", F.lit(16.0)), df, query_key="id", candidate_key="id", radius="r2")
+    d2 = tree.squared(points, points)
+    assert {r["query_id"]: r["n"] for r in counted.collect()} == dict(enumerate((d2 < 16.0).sum(axis=1).tolist()))
+
+
+def test_closest_distances_are_searched_once(spark):
+    df, _ = cloud(spark, 60, 2, seed=5)
+    closest = privacy.closest_distances(df, df, "id")
+    assert "CoGroups" not in closest._jdf.queryExecution().toString()
+
+
 def test_search_opens_few_leaves():
     rng = np.random.default_rng(9)
     points = rng.standard_normal((50_000, 3))
