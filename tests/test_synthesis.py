@@ -193,6 +193,28 @@ def test_direct_matches(make):
     assert privacy.row_direct_match_protection(a, b, ["x", "c"]) == 50.0
 
 
+@pytest.mark.parametrize("compare_cost", [0.0, 1.5e-10, 1e9])
+def test_categorical_hidden_rate_of_many_columns(spark, monkeypatch, compare_cost):
+    """All pairs compared, both ways in turn, and keys of blocks only."""
+    monkeypatch.setattr(privacy, "COMPARE_COST", compare_cost)
+    monkeypatch.setattr(privacy, "COMPARED_ROWS", 100)
+    rng = np.random.default_rng(17)
+    n, sizes = 300, [2, 3, 4, 5, 2, 3, 4, 300]
+    a = np.column_stack([rng.integers(0, k, n) for k in sizes])
+    moved = rng.random(a.shape) < 0.35
+    b = np.where(moved, (a + 1) % sizes, a)
+    b[::9], a[::11] = b[0], a[0]
+    frame = lambda x: spark.createDataFrame(
+        [(i, *[None if v == 1 else int(v) for v in p]) for i, p in enumerate(x)],
+        "id bigint, " + ", ".join(f"c{i} int" for i in range(len(sizes))))
+    far = (a[:, None, :] != b[None, :, :]).sum(axis=2)
+    least = far.min(axis=1)
+    own = far[np.arange(n), np.arange(n)]
+    rate = np.where(own > least, 1.0, 1 - 1 / (far == least[:, None]).sum(axis=1))
+    got = privacy.categorical_hidden_rate(frame(a), frame(b), "id", [f"c{i}" for i in range(len(sizes))])
+    assert got == pytest.approx(100 * rate.mean(), abs=1e-9)
+
+
 def test_categorical_hidden_rate_brute_force(spark):
     rng = np.random.default_rng(2)
     a, b = (rng.integers(0, 3, size=(60, 3)) for _ in range(2))
