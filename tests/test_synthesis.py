@@ -193,6 +193,34 @@ def test_direct_matches(make):
     assert privacy.row_direct_match_protection(a, b, ["x", "c"]) == 50.0
 
 
+def test_least_assignment_keeps_pairs_that_are_least():
+    """On a line the sorted pairs are least: no path is searched."""
+    rng = np.random.default_rng(23)
+    x = np.sort(rng.random(200))
+    cost = assignment.distances(x[:, None], np.sort(x + rng.random(200) * 0.1)[:, None])
+    row_price, column_price, owner = assignment.kept_pairs(cost)
+    assert (owner >= 0).mean() > assignment.KEPT_SHARE
+    assert (cost - row_price[:, None] - column_price[None, :]).min() > -1e-12
+    mixed = rng.permutation(200)
+    for c in (cost, cost[:, mixed]):
+        cold, warm = assignment.least_assignment(c), assignment.least_assignment(c, True)
+        rows = np.arange(200)
+        assert sorted(warm) == rows.tolist()
+        assert c[rows, warm].sum() == pytest.approx(c[rows, cold].sum(), abs=1e-9)
+
+
+def test_series_components_write_no_long_table(spark, monkeypatch):
+    df = spark.range(60).select(
+        F.col("id"), (F.col("id") % 6).alias("u"), F.col("id").cast("double").alias("t"), F.sin("id").alias("v"))
+    written = []
+    keep = ts.materialize
+    monkeypatch.setattr(ts, "materialize", lambda x: written.append(keep(x)) or written[-1])
+    aligned = ts.align(df, "u", "t", ["v"], "id", method="specified", nb_points=500)
+    ts.fit_series_components(aligned, "u", ["v"], 500, nf=2, passes=1)
+    assert aligned.count() == 3_000
+    assert max(x.count() for x in written) <= 500
+
+
 @pytest.mark.parametrize("compare_cost", [0.0, 1.5e-10, 1e9])
 def test_categorical_hidden_rate_of_many_columns(spark, monkeypatch, compare_cost):
     """All pairs compared, both ways in turn, and keys of blocks only."""
