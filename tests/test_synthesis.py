@@ -209,6 +209,24 @@ def test_least_assignment_keeps_pairs_that_are_least():
         assert c[rows, warm].sum() == pytest.approx(c[rows, cold].sum(), abs=1e-9)
 
 
+def test_rows_with_cheapest_columns_of_their_own_search_no_path():
+    rng = np.random.default_rng(29)
+    cost = rng.random((40, 40)) + 2
+    order = rng.permutation(40)
+    cost[np.arange(40), order] -= 1.5
+    row_price, column_price, owner = assignment._reduced(cost)
+    assert owner[order].tolist() == list(range(40))
+    assert assignment.least_assignment(cost).tolist() == order.tolist()
+    assert len(assignment.least_assignment(np.zeros((0, 0)))) == 0
+    # prices bear out what is taken, whatever is left free
+    for c in (rng.random((60, 60)), rng.integers(0, 5, (60, 60)).astype(float), np.zeros((7, 7))):
+        row_price, column_price, owner = assignment._reduced(c)
+        over = c - row_price[:, None] - column_price[None, :]
+        held = np.flatnonzero(owner >= 0)
+        assert over.min(initial=0.0) >= -1e-12 and not over[owner[held], held].any()
+        assert len(set(owner[held])) == len(held) and sorted(assignment.least_assignment(c)) == list(range(len(c)))
+
+
 def test_series_components_write_no_long_table(spark, monkeypatch):
     df = spark.range(60).select(
         F.col("id"), (F.col("id") % 6).alias("u"), F.col("id").cast("double").alias("t"), F.sin("id").alias("v"))
