@@ -70,18 +70,22 @@ def templates(texts: DataFrame, *keys: str, values: bool = False) -> DataFrame:
 
 def windows(rows: DataFrame, width: int, stride: int, *keys: str) -> DataFrame:
     """Hashes of every ``stride``-th window with its place; those of the other templates where they differ."""
-    def every(column: str) -> str:
-        return (f"transform(sequence(0, size({column}) - {width}, {stride}), "
-                f"i -> struct(i AS at, xxhash64(slice({column}, i + 1, {width})) AS h))")
-
-    part = f"i + 1, {width}"
-    opening = (f"transform(filter(sequence(0, size(opened) - {width}, {stride}), i -> slice(opened, {part}) <> "
-               f"slice(typed, {part})), i -> struct(i AS at, xxhash64(slice(opened, {part})) AS h))")
-    both = F.expr(
-        f"CASE WHEN size(plain) < {width} THEN array() WHEN NOT array_contains(opened, '{NAME}') THEN {every('plain')} "
-        f"ELSE concat({every('plain')}, filter({every('typed')}, "
-        f"w -> array_contains(slice(typed, w.at + 1, {width}), '{NAME}')), {opening}) END")
-    return rows.select(*keys, F.explode(both).alias("w")).select(*keys, "w.at", "w.h")
+    def code(column: str) -> str:
+        # tokens one by one: a slice would copy the window first
+        return f"xxhash64({', '.join(f'{column}[i + {j}]' for j in range(width))})"
+
+    def every(*columns: str) -> str:
+        names = zip("pto", columns)
+        return (f"transform(sequence(0, size(plain) - {width}, {stride}), "
+                f"i -> struct(i AS at, {', '.join(f'{code(c)} AS {n}' for n, c in names)}))")
+
+    # the same window has the same hash in all templates; without names all are the same
+    all_three = rows.select(*keys, F.explode(F.expr(
+        f"CASE WHEN size(plain) < {width} THEN NULL WHEN array_contains(opened, '{NAME}') THEN {every('plain', 'typed', 'opened')} "
+        f"ELSE transform({every('plain')}, w -> struct(w.at AS at, w.p AS p, w.p AS t, w.p AS o)) END")).alias("w"))
+    return all_three.select(*keys, F.col("w.at").alias("at"), F.explode(F.expr(
+        "CASE WHEN w.p = w.t AND w.t = w.o THEN array(w.p) WHEN w.p = w.t THEN array(w.p, w.o) "
+        "WHEN w.t = w.o THEN array(w.p, w.t) ELSE array(w.p, w.t, w.o) END")).alias("h"))
 
 
 def find_leaks(

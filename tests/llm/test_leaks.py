@@ -1,4 +1,6 @@
-from maskloom.llm.leaks import find_leaks, without_leaks
+from pyspark.sql import functions as F
+
+from maskloom.llm.leaks import NAME, find_leaks, templates, windows, without_leaks
 
 ITEM = ("A farmer named Anna sold 12 apples for 3 dollars each day. After 12 days she gave 3 apples to her friend "
         "Bert and counted what was left in the basket")
@@ -77,3 +79,15 @@ def test_numbers_alone_are_no_evidence(spark):
             (3, "Otto Paul Quin Rosa Sven Tina Uwe Vera Willi Xaver Yves Zora"), (4, "5 " * 40)]
     got = {(r.doc_id, r.item_id): r.n_changed for r in find_leaks(frame(spark, rows), bench).collect()}
     assert got == {(2, 1): 0}
+
+
+def test_windows_are_hashed_without_copies(spark):
+    texts = spark.createDataFrame([(1, ITEM), (2, OTHER + " " + OTHER), (3, "One Two. Three four Five"), (4, None)], "d int, t string")
+    rows = templates(texts, "d")
+    got = windows(rows, 5, 3, "d")
+    assert "slice(" not in got._jdf.queryExecution().analyzed().toString()
+    parts = [F.expr(f"slice({c}, {i} + 1, 5)") for c in ("plain", "typed", "opened") for i in range(0, 40, 3)]
+    of = rows.select("d", F.posexplode(F.array(*parts)).alias("at", "x")).where("size(x) = 5")
+    expected = of.select("d", ((F.col("at") % 14) * 3).alias("at"), F.xxhash64("x").alias("h")).distinct()
+    assert rows.where(F.array_contains("opened", NAME)).count() == 2
+    assert sorted(map(tuple, got.distinct().collect())) == sorted(map(tuple, expected.collect()))
