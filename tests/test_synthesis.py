@@ -218,6 +218,8 @@ def test_rows_with_cheapest_columns_of_their_own_search_no_path():
     assert owner[order].tolist() == list(range(40))
     assert assignment.least_assignment(cost).tolist() == order.tolist()
     assert len(assignment.least_assignment(np.zeros((0, 0)))) == 0
+    with pytest.raises(ValueError, match="no distance"):
+        assignment.least_assignment(np.array([[1.0, np.nan], [np.nan, np.nan]]))
     # prices bear out what is taken, whatever is left free
     for c in (rng.random((60, 60)), rng.integers(0, 5, (60, 60)).astype(float), np.zeros((7, 7))):
         row_price, column_price, owner = assignment._reduced(c)
