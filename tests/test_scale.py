@@ -251,6 +251,37 @@ def test_search_holds_few_pairs_in_many_dimensions(monkeypatch):
     assert peak < 100 << 20
 
 
+def test_search_measures_few_pairs_in_many_dimensions(monkeypatch):
+    """Limits fall with each leaf, so products leave few pairs to be measured exactly."""
+    rng = np.random.default_rng(12)
+    points, seen, plain = rng.standard_normal((40_000, 24)), [], tree.pair_squared
+    monkeypatch.setattr(tree, "pair_squared", lambda x, y: seen.append(len(x)) or plain(x, y))
+    rows, columns, _ = tree.PointTree(points, 32).nearest(points[:1_000], np.full(1_000, np.inf), 5, np.arange(1_000))
+    far = tree.squared(points[:100], points)
+    far[np.arange(100), np.arange(100)] = np.inf
+    assert columns[:500].tolist() == np.argsort(far, axis=1, kind="stable")[:, :5].ravel().tolist()
+    assert sum(seen) < 25 * 1_000
+
+
+@pytest.mark.parametrize("spread, step", [(1e7, 1.0), (1e14, 1e7), (1.0, 1e-9), (1e-20, 1e-21)])
+@pytest.mark.parametrize("gaps", [0.0, 0.2])
+def test_search_where_single_precision_is_too_rough(spread, step, gaps):
+    rng = np.random.default_rng(14)
+    centres = rng.standard_normal((6, 12)) * spread
+    points = centres[rng.integers(0, 6, 5_000)] + step * rng.standard_normal((5_000, 12))
+    queries = points[:90] + step * rng.standard_normal((90, 12))
+    queries[rng.random(queries.shape) < gaps] = np.nan
+    made = tree.PointTree(points, 32)
+    far = tree.squared(queries, points)
+    rows, columns, dist = made.nearest(queries, np.full(90, np.inf), 4, None)
+    order = np.argsort(far, axis=1, kind="stable")[:, :4]
+    assert columns.tolist() == order.ravel().tolist()
+    assert dist.tolist() == np.take_along_axis(far, order, axis=1).ravel().tolist()
+    r2 = np.sort(far, axis=1)[:, 1_000]
+    for weight in (np.ones(5_000, dtype=np.int64), rng.integers(1, 5, 5_000)):
+        assert made.weight_within(queries, r2, weight).tolist() == ((far < r2[:, None]) * weight).sum(axis=1).tolist()
+
+
 @pytest.mark.parametrize("parted", [True, False])
 def test_nearest_and_counts_in_many_dimensions(spark, monkeypatch, parted):
     if parted:
