@@ -251,6 +251,23 @@ def test_search_holds_few_pairs_in_many_dimensions(monkeypatch):
     assert peak < 100 << 20
 
 
+@pytest.mark.parametrize("dims", [2, 12])
+def test_search_holds_few_of_many_ties(monkeypatch, dims):
+    """Queries with a single entry are as far from a whole group of points: only lower ones are held once k are found."""
+    rng = np.random.default_rng(16)
+    points = np.column_stack([rng.random((20_000, dims - 1)), rng.integers(0, 5, 20_000)])
+    queries = np.full((400, dims), np.nan)
+    queries[:, -1] = rng.integers(0, 5, 400)
+    held, plain = [], tree._first
+    monkeypatch.setattr(tree, "_first", lambda found, k: held.append(sum(len(x[0]) for x in found)) or plain(found, k))
+    monkeypatch.setattr(tree, "BLOCK", 10_000)
+    rows, columns, dist = tree.PointTree(points, 32).nearest(queries, np.full(400, np.inf), 5, None)
+    want = [np.flatnonzero(points[:, -1] == q)[:5].tolist() for q in queries[:, -1]]
+    assert columns.reshape(400, 5).tolist() == want and not dist.any()
+    # all ties: 1,600,000
+    assert sum(held) < 800_000
+
+
 def test_search_measures_few_pairs_in_many_dimensions(monkeypatch):
     """Limits fall with each leaf, so products leave few pairs to be measured exactly."""
     rng = np.random.default_rng(12)
