@@ -39,6 +39,8 @@ LEAF_SHINGLES = 2_000_000
 #: Equal tokens and marks, of all 128, from which a pair is compared on full sets.
 ALIKE = 78
 PIVOTS = 4
+#: Hashes that are mixed at once.
+CACHED = 1 << 16
 #: Tokens that name a child at levels below the first, and children that a class enters there.
 JOINT, CHILDREN = 2, 2
 STEPS = (np.arange(1, COORDINATES + MARKS + 1, dtype=np.uint64) * np.uint64(0xD1342543DE82EF95)) | np.uint64(1)
@@ -63,6 +65,23 @@ def shingle_sets(texts: list[bytes], known: Hashes, width: int) -> list[np.ndarr
     return out
 
 
+def minwise(flat: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Least value of each text's hashes under each of ``STEPS``, in pieces that stay in the processor's cache."""
+    low = np.empty((len(starts), len(STEPS)), np.uint64)
+    ends = np.append(starts[1:], len(flat))
+    a = 0
+    while a < len(starts):
+        b = max(a + 1, int(np.searchsorted(ends, starts[a] + CACHED, "right")))
+        own, at = flat[starts[a] : ends[b - 1]], starts[a:b] - starts[a]
+        mixed = np.empty_like(own)
+        for k, s in enumerate(STEPS):
+            np.bitwise_xor(own, s, out=mixed)
+            np.multiply(mixed, s, out=mixed)
+            low[a:b, k] = np.minimum.reduceat(mixed, at)
+        a = b
+    return low
+
+
 def sketches(docs: DataFrame, width: int) -> DataFrame:
     """d, th, n (set size), fp (128-bit fingerprint of the set), tokens and marks (minwise)."""
 
@@ -78,8 +97,7 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
                 if len(full):
                     flat = np.concatenate([sets[i] for i in full])
                     starts = np.cumsum(sizes[full]) - sizes[full]
-                    low = np.stack([np.minimum.reduceat((flat ^ s) * s, starts) for s in STEPS], 1)
-                    low = (mix64(low) >> np.uint64(32)).astype(np.uint32)
+                    low = (mix64(minwise(flat, starts)) >> np.uint64(32)).astype(np.uint32)
                     few, rest = low[:, :COORDINATES].view(np.int32), low[:, COORDINATES:].astype(np.uint8)
                     one = np.add.reduceat(mix64(flat), starts)
                     two = np.bitwise_xor.reduceat(mix64(flat + np.uint64(1)), starts)
@@ -92,29 +110,28 @@ def sketches(docs: DataFrame, width: int) -> DataFrame:
     return arrow_map(docs, work, "d long, th long, n long, fp binary, tokens array<int>, marks binary")
 
 
-class Forest:
-    """Union-find over the rows of one piece."""
-
-    def __init__(self, n: int) -> None:
-        self.up = list(range(n))
+LINK = "a binary, b binary"
+#: Sets from which a set is compared with all at once before it is compared one by one.
+FEW = 4
 
-    def root(self, i: int) -> int:
-        while self.up[i] != i:
-            self.up[i] = self.up[self.up[i]]
-            i = self.up[i]
-        return i
 
-    def join(self, i: int, j: int) -> None:
-        a, b = self.root(i), self.root(j)
-        self.up[max(a, b)] = min(a, b)
+def similar(both: int, a: int, b: int, percent: int) -> bool:
+    return 100 * both >= percent * (a + b - both)
 
 
-LINK = "a binary, b binary"
+def shared_at_most(a: np.ndarray, others: list[np.ndarray]) -> np.ndarray:
+    """Bounds from above of the values that ``a`` shares with each other set, close ones: by their lowest bits."""
+    mask = np.uint64((1 << (64 * len(a)).bit_length()) - 1)
+    held = np.zeros(int(mask) + 1, np.uint8)
+    held[a & mask] = 1
+    sizes = np.array([len(x) for x in others])
+    return np.add.reduceat(held[np.concatenate(others) & mask], np.cumsum(sizes) - sizes, dtype=np.int64)
 
 
 def compare(rows: pa.Table, width: int, percent: int) -> pa.Table:
     """Links that join the classes of one piece: exhaustive but for pairs already connected.
 
+    Known groups that turn out to be one are returned as links of the least label with each other label.
     Rows: fp, n, tokens, marks, z (packed text), label (known group), pivot (bool). Every pair is compared by
     its 128 minwise values; full sets decide on the pairs that agree in ``ALIKE`` of them (a pair at 80
     per cent agrees in fewer with a probability of about 1e-7, at 85 per cent of 1e-11) and whose sizes
@@ -122,40 +139,50 @@ def compare(rows: pa.Table, width: int, percent: int) -> pa.Table:
     """
     target = pa.schema([("a", pa.binary()), ("b", pa.binary())])
     seen: dict[bytes, int] = {}
-    for i, (fp, pivot) in enumerate(zip(rows.column("fp").to_pylist(), rows.column("pivot").to_pylist())):
+    pivots = rows.column("pivot").to_pylist()
+    for i, (fp, pivot) in enumerate(zip(rows.column("fp").to_pylist(), pivots)):
         if fp not in seen or pivot:
             seen[fp] = i
-    order = sorted(seen.values(), key=lambda i: not rows.column("pivot")[i].as_py())
-    rows = rows.take(pa.array(order, pa.int64()))
-    prints, labels, sizes = (rows.column(c).to_pylist() for c in ("fp", "label", "n"))
-    tokens = np.array(rows.column("tokens").to_pylist(), np.int32)
+    order = sorted(seen.values(), key=lambda i: not pivots[i])
+    rows = rows.select(["label", "n", "tokens", "marks", "z"]).take(pa.array(order, pa.int64()))
+    known: dict[bytes, int] = {}
+    group = np.array([known.setdefault(x, len(known)) for x in rows.column("label").to_pylist()], np.int64)
+    sizes = rows.column("n").to_numpy()
+    tokens = rows.column("tokens").combine_chunks().flatten().to_numpy().reshape(-1, COORDINATES)
     marks = np.frombuffer(b"".join(rows.column("marks").to_pylist()), np.uint8).reshape(-1, MARKS)
-    texts, known, sets = rows.column("z"), Hashes(), {}
+    texts, hashes, sets = rows.column("z"), Hashes(), {}
     unpack = zstandard.ZstdDecompressor().decompress
 
     def full(i: int) -> np.ndarray:
         if i not in sets:
-            sets[i] = shingle_sets([unpack(texts[i].as_py())], known, width)[0]
+            sets[i] = shingle_sets([unpack(texts[i].as_py())], hashes, width)[0]
         return sets[i]
 
-    forest, links, first = Forest(len(prints)), [], {}
-    for i, label in enumerate(labels):
-        if label in first:
-            forest.join(first[label], i)
-        first.setdefault(label, i)
-    for i in range(len(prints)):
-        alike = np.count_nonzero(tokens[i + 1 :] == tokens[i], 1) + np.count_nonzero(
-            marks[i + 1 :] == marks[i], 1) >= ALIKE
-        for j in (np.flatnonzero(alike) + i + 1).tolist():
-            low, high = min(sizes[i], sizes[j]), max(sizes[i], sizes[j])
-            if 100 * low < percent * high or forest.root(i) == forest.root(j):
+    now = group.copy()
+    for i in range(len(now) - 1):
+        low, high = np.minimum(sizes[i + 1 :], sizes[i]), np.maximum(sizes[i + 1 :], sizes[i])
+        others = np.flatnonzero((now[i + 1 :] != now[i]) & (100 * low >= percent * high)) + i + 1
+        alike = np.count_nonzero(marks[others] == marks[i], 1)
+        near = alike >= ALIKE - COORDINATES
+        others, alike = others[near], alike[near]
+        alike = alike + np.count_nonzero(tokens[others] == tokens[i], 1)
+        others = others[alike >= ALIKE].tolist()
+        if len(others) > FEW:
+            most = shared_at_most(full(i), [full(j) for j in others])
+            others = [j for j, n in zip(others, most.tolist()) if similar(n, len(full(i)), len(full(j)), percent)]
+        for j in others:
+            if now[i] == now[j]:
                 continue
             a, b = full(i), full(j)
             both = int((b[np.minimum(np.searchsorted(b, a), len(b) - 1)] == a).sum())
-            if 100 * both >= percent * (len(a) + len(b) - both):
-                forest.join(i, j)
-                links.append((prints[i], prints[j]))
+            if similar(both, len(a), len(b), percent):
+                now[now == now[j]] = now[i]
         sets.pop(i, None)
+    ends: dict[int, list[bytes]] = {}
+    first = np.unique(group, return_index=True)[1]
+    for label, g in zip(known, now[first].tolist()):
+        ends.setdefault(g, []).append(label)
+    links = [(least, x) for own in ends.values() for least in [min(own)] for x in own if x != least]
     return pa.table([as_array([x[k] for x in links], f.type) for k, f in enumerate(target)], schema=target)
 
 
@@ -181,12 +208,13 @@ def branches(members: DataFrame, classes: DataFrame, level: int) -> DataFrame:
             .select("fp", "n", F.explode(F.array(*children)).alias("node")))
 
 
-def open_nodes(rows: DataFrame, labels: DataFrame) -> DataFrame:
+def open_nodes(rows: DataFrame, labels: DataFrame | None = None) -> DataFrame:
     """Members of nodes that hold two groups or more; of nodes with the same members one is kept.
 
     ``rows``: node, fp, n. Adds label and ``cut``, the pieces of the size of a leaf that a node makes.
     """
-    labelled = rows.join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
+    labelled = rows.join(labels, "fp", "left") if labels else rows.withColumn("label", F.col("fp"))
+    labelled = labelled.withColumn("label", F.coalesce("label", "fp"))
     sizes = labelled.groupBy("node").agg(
         F.count("*").alias("m"), F.sum("n").alias("shingles"), F.min("label").alias("low"), F.max("label").alias("high"),
         F.bit_xor(F.xxhash64("fp")).alias("x"), F.sum(F.shiftright(F.xxhash64("fp"), 20)).alias("y"))
@@ -201,13 +229,14 @@ def groups_of(links: DataFrame) -> DataFrame:
     Least labels travel along links; after each round labels are replaced by their own labels, so long
     chains shrink fast. Rounds end when nothing changes.
     """
-    both = materialize(links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
+    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
     labels = materialize(both.groupBy(F.col("a").alias("fp")).agg(F.min("b").alias("o")).select(
         "fp", F.least("fp", "o").alias("label")))
     while True:
-        near = both.join(labels, both["b"] == labels["fp"]).groupBy("a").agg(F.min("label").alias("o"))
-        step = labels.join(near, labels["fp"] == near["a"]).select(
-            "fp", F.col("label").alias("was"), F.least("label", "o").alias("label"))
+        near = both.join(labels, both["b"] == labels["fp"]).select(
+            F.col("a").alias("fp"), "label", F.lit(None).cast("binary").alias("was"))
+        own = labels.select("fp", "label", F.col("label").alias("was"))
+        step = near.unionByName(own).groupBy("fp").agg(F.min("label").alias("label"), F.max("was").alias("was"))
         jump = labels.select(F.col("fp").alias("label"), F.col("label").alias("next"))
         new = materialize(step.join(jump, "label").select(
             "fp", "was", F.least("label", "next").alias("label")))
@@ -233,7 +262,6 @@ def near_groups(
     A pair that fulfils the threshold meets in the first level of at least one of ``trees`` trees with
     probability 1 - 0.15^trees or more; every reported link is checked on full sets.
     """
-    spark = docs.sparkSession
     plain = need(docs, "doc_id", "text").select(
         F.col("doc_id").cast("long").alias("d"), text_key("text").alias("th"), F.col("text").alias("t"))
     rows = materialize(sketches(plain.select("d", "th", "t"), width))
@@ -242,8 +270,7 @@ def near_groups(
             F.min("d").alias("d"), F.min(F.struct(F.coalesce("d", F.lit(-1)), "th", "d", "n", "tokens", "marks")).alias("r"))
         .select("fp", "d", F.col("r.d").alias("rd"), F.col("r.th").alias("th"), F.col("r.n").alias("n"),
                 F.col("r.tokens").alias("tokens"), F.col("r.marks").alias("marks")))
-    nobody = spark.createDataFrame([], "fp binary, label binary")
-    members = materialize(open_nodes(roots(classes, trees), nobody))
+    members = materialize(open_nodes(roots(classes, trees)))
     wanted = members.select("fp").distinct().join(classes, "fp").select("fp", "n", "tokens", "marks", "rd", "th")
     every = packed(plain.select("d", "th", "t"))
     texts = materialize(
@@ -292,8 +319,8 @@ def near_groups(
         pairs = large.withColumn("own", own).withColumn(
             "other", F.explode(F.sequence(F.lit(0).cast("long"), cut - 1)))
         key = F.concat_ws("-", "node", F.least("own", "other"), F.greatest("own", "other"))
-        links = links.unionByName(compared(pairs.select(
-            key.alias("key"), "fp", "label", F.lit(False).alias("pivot"))))
+        links = materialize(links.unionByName(compared(pairs.select(
+            key.alias("key"), "fp", "label", F.lit(False).alias("pivot")))))
     labels = groups_of(links)
     grouped = classes.select("fp", "d").join(labels, "fp", "left").withColumn("label", F.coalesce("label", "fp"))
     least = grouped.groupBy("label").agg(F.min("d").alias("component"))

@@ -1,6 +1,8 @@
 import random
 
+import pyarrow as pa
 import pytest
+import zstandard
 
 from maskloom.llm import near
 from maskloom.llm.near import near_groups, one_of_each_group
@@ -72,3 +74,66 @@ def test_one_row_of_each_group_stays(spark):
                                "doc_id bigint, text string, node string")
     assert sorted(map(tuple, one_of_each_group(df).collect())) == [(2, text, "b"), (9, None, "c")]
     assert one_of_each_group(df.limit(0)).collect() == []
+
+
+def piece(texts, labels=None):
+    """The rows of one piece as ``compare`` gets them, and the fingerprints of the texts."""
+    texts, prints, rows = [t.encode() for t in texts], [], []
+    batch = {"d": pa.array(range(len(texts))), "th": pa.array([0] * len(texts)), "t": pa.array(texts)}
+    (found,) = work_of(batch)
+    for k, t in enumerate(texts):
+        prints.append(found["fp"][k])
+        rows.append({"fp": found["fp"][k], "n": int(found["n"][k]), "tokens": [int(x) for x in found["tokens"][k]],
+                     "marks": found["marks"][k], "z": zstandard.ZstdCompressor().compress(t),
+                     "label": (labels or prints)[k], "pivot": False})
+    schema = pa.schema([("fp", pa.binary()), ("n", pa.int64()), ("tokens", pa.list_(pa.int32())),
+                        ("marks", pa.binary()), ("z", pa.binary()), ("label", pa.binary()), ("pivot", pa.bool_())])
+    return pa.Table.from_pylist(rows, schema), prints
+
+
+def work_of(batch):
+    held = []
+    near.arrow_map, kept = (lambda df, work, schema: held.append(work)), near.arrow_map
+    try:
+        near.sketches(None, 5)
+    finally:
+        near.arrow_map = kept
+    return list(held[0](iter([batch])))
+
+
+def test_links_of_a_piece_start_at_the_least_label(monkeypatch):
+    random.seed(3)
+    base = [f"x{i}" for i in range(400)]
+    table, prints = piece([edited(base, 1) for _ in range(12)] + ["quite another text of seven words"])
+    got = list(zip(*near.compare(table, 5, 85).to_pydict().values()))
+    least = min(prints[:12])
+    assert sorted(got) == sorted((least, x) for x in prints[:12] if x != least)
+
+
+def test_sets_below_the_threshold_are_seldom_compared_one_by_one(monkeypatch):
+    random.seed(4)
+    base = [f"x{i}" for i in range(400)]
+    # of 400 words each text has its own 3 to 9 edited: pairs lie on both sides of the threshold
+    texts = [edited(base, random.choice([3, 6, 7, 8, 9])) for _ in range(60)]
+    exact, searched = [], near.np.searchsorted
+    monkeypatch.setattr(near.np, "searchsorted", lambda *a: exact.append(1) or searched(*a))
+    table, prints = piece(texts)
+    exact.clear()
+    links = near.compare(table, 5, 85)
+    up = {x: x for x in prints}
+    for a, b in zip(*links.to_pydict().values()):
+        up[b] = a
+    want = {r[0]: r[2] for r in brute(list(enumerate(texts)))}
+    for i in range(60):
+        for j in range(i):
+            assert (up[prints[i]] == up[prints[j]]) == (want[i] == want[j])
+    assert len(exact) < 2 * 60
+
+
+def test_groups_of_stars_end_after_few_rounds(spark, monkeypatch):
+    written, kept = [], near.materialize
+    monkeypatch.setattr(near, "materialize", lambda df: written.append(1) or kept(df))
+    links = [(bytes([2, t]), bytes([9, i])) for t in range(6) for i in range(50) if (i + t) % 3 or t == 0]
+    found = near.groups_of(spark.createDataFrame(links, "a binary, b binary")).collect()
+    assert {bytes(r["label"]) for r in found} == {bytes([2, 0])} and len(found) == 56
+    assert len(written) <= 3
