@@ -263,6 +263,47 @@ def test_categorical_hidden_rate_of_many_columns(spark, monkeypatch, compare_cos
     assert got == pytest.approx(100 * rate.mean(), abs=1e-9)
 
 
+@pytest.mark.parametrize("compare_cost", [0.0, 1e9])
+def test_categorical_hidden_rate_broadcasts_no_rows(spark, monkeypatch, compare_cost):
+    """Rows of few values are small in a file and large in memory."""
+    monkeypatch.setattr(privacy, "COMPARE_COST", compare_cost)
+    plans, keep = [], privacy.materialize
+
+    def spy(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return keep(df)
+
+    monkeypatch.setattr(privacy, "materialize", spy)
+    rows = [(i, i % 2, i % 3, i % 5) for i in range(200)]
+    a = spark.createDataFrame(rows, "id bigint, p int, q int, r int")
+    b = a.withColumn("q", (F.col("q") + F.col("id") % 2) % 3)
+    rate = privacy.categorical_hidden_rate(a, b, "id", ["p", "q", "r"])
+    x, y = (np.array([r[1:] for r in sorted(t.collect())]) for t in (a, b))
+    far = (x[:, None, :] != y[None, :, :]).sum(axis=2)
+    own = (far[np.arange(200), np.arange(200)] == far.min(axis=1)) / (far == far.min(axis=1)[:, None]).sum(axis=1)
+    assert rate == pytest.approx(100 * (1 - own.mean()))
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
+@pytest.mark.parametrize(("sizes", "numbered"), [([2, 3, 9, 40, 2, 6], 2_000), ([2, 3, 400, 4], 2_000), ([3, 2, 5], 4), ([2] * 300, 2_000)])
+def test_categorical_hidden_rate_of_few_and_many_values(spark, monkeypatch, sizes, numbered):
+    """Bits of words, numbers, and values that are not numbered for all tasks; values that only one side has."""
+    monkeypatch.setattr(privacy, "COMPARE_COST", 0.0)
+    monkeypatch.setattr(privacy, "NUMBERED_VALUES", numbered)
+    monkeypatch.setattr(privacy, "TILE", (7, 50))
+    rng = np.random.default_rng(31)
+    n, m = 150, len(sizes)
+    a = np.column_stack([rng.integers(0, k, n) for k in sizes])
+    b = np.where(rng.random(a.shape) < 0.3, (a + 1) % (np.array(sizes) + 1), a)
+    frame = lambda x: spark.createDataFrame(
+        [(i, *map(int, p)) for i, p in enumerate(x)], "id bigint, " + ", ".join(f"c{i} int" for i in range(m)))
+    far = (a[:, None, :] != b[None, :, :]).sum(axis=2)
+    least, own = far.min(axis=1), far[np.arange(n), np.arange(n)]
+    rate = np.where(own > least, 1.0, 1 - 1 / (far == least[:, None]).sum(axis=1))
+    got = privacy.categorical_hidden_rate(frame(a), frame(b), "id", [f"c{i}" for i in range(m)])
+    assert got == pytest.approx(100 * rate.mean(), abs=1e-9)
+
+
 def test_categorical_hidden_rate_brute_force(spark):
     rng = np.random.default_rng(2)
     a, b = (rng.integers(0, 3, size=(60, 3)) for _ in range(2))
