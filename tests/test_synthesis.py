@@ -9,7 +9,7 @@ import pytest
 from conftest import FIXTURES, SMALL, rows_of
 from pyspark.sql import functions as F
 
-from maskloom.operators import assignment, neighbors
+from maskloom.operators import assignment, neighbors, tree
 from maskloom.operators import multitable as mt
 from maskloom.operators import timeseries as ts
 from maskloom.operators.metrics import privacy, signal
@@ -411,6 +411,39 @@ def test_least_priced_against_all_pairs(spark, monkeypatch, part_rows):
     assert got == {i: (int(row.argmin()), pytest.approx(row.min())) for i, row in enumerate(value)}
 
 
+@pytest.mark.parametrize(("scale", "offset"), [(1.0, 0.0), (1.0, 1e3), (1e-8, 0.0)])
+def test_least_priced_in_many_dimensions_by_products(monkeypatch, scale, offset):
+    """Few pairs are measured one by one, and the least are those of all pairs, ties to the lower point."""
+    rng = np.random.default_rng(19)
+    y = scale * (rng.normal(size=(6_000, 20)) + 3 * rng.integers(0, 3, (6_000, 1)) + offset)
+    y[50:90] = y[10]
+    x = y[rng.permutation(6_000)[:300]] + scale * 0.7 * rng.normal(size=(300, 20))
+    price = scale * rng.normal(size=6_000)
+    price[50:90] = price[10]
+    limit = np.sqrt(((x - y[:300]) ** 2).sum(axis=1)) + price[:300]
+    measured, keep = [], tree.pair_squared
+    monkeypatch.setattr(tree, "pair_squared", lambda a, b: measured.append(len(a)) or keep(a, b))
+    rows, points, value = tree.PointTree(y, 32).least_priced(x, limit, price)
+    whole = np.sqrt(tree.squared(x, y)) + price
+    assert rows.tolist() == list(range(300))
+    assert points.tolist() == whole.argmin(axis=1).tolist() and value.tolist() == whole.min(axis=1).tolist()
+    assert 0 < sum(measured) < whole.size / 10
+
+
+def test_least_priced_of_many_dimensions_and_partitions(spark, monkeypatch):
+    monkeypatch.setattr(neighbors, "PART_ROWS", 300)
+    monkeypatch.setattr(neighbors, "WIDE_VALUES", 4_000)
+    rng = np.random.default_rng(20)
+    x, y, price = rng.normal(size=(120, 12)), rng.normal(size=(1_500, 12)), rng.normal(size=1_500)
+    value = assignment.distances(x, y) + price
+    a = spark.createDataFrame([(i, v.tolist(), float(value[i, i])) for i, v in enumerate(x)],
+                              "id long, features array<double>, limit double")
+    b = spark.createDataFrame([(i, v.tolist(), float(p)) for i, (v, p) in enumerate(zip(y, price))],
+                              "id long, features array<double>, price double")
+    got = {r["query_id"]: (r["neighbor_id"], r["value"]) for r in neighbors.least_priced(a, b).collect()}
+    assert got == {i: (int(row.argmin()), pytest.approx(row.min())) for i, row in enumerate(value)}
+
+
 def test_alignment_against_numpy(make):
     t = [0.0, 1.0, 4.0, 10.0, 5.0, 7.0, 3.0]
     v = [1.0, 3.0, 0.0, 6.0, 2.0, 8.0, 9.0]
