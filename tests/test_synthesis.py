@@ -378,22 +378,25 @@ def test_assignment_of_many_blocks_is_near_the_least(spark):
     assert 0.95 * exact <= bound["lower_bound"] <= exact + 1e-9
 
 
-def test_cells_of_pairs_are_not_written(spark, monkeypatch):
+def test_blocks_of_pairs_are_solved_one_to_one(spark):
     rng = np.random.default_rng(24)
     pairs = spark.createDataFrame(
         [(i, x.tolist(), i + 1_000, y.tolist()) for i, (x, y) in enumerate(zip(rng.random((300, 2)), rng.random((300, 2))))],
         "parent_id long, px array<double>, synthetic_id long, sx array<double>")
-    written = []
-    monkeypatch.setattr(assignment, "materialize", lambda df: written.append(df) or df)
     for turn in (2, 3):
         blocks = assignment._near_blocks(pairs, 300, 40, turn)
-        solved = assignment._solve(blocks, 300, 40, True).toPandas()
+        plan = assignment._solve(blocks, 300, 40, True)
+        assert "FlatMapGroupsInArrow" in plan._jdf.queryExecution().executedPlan().toString()
+        solved = plan.toPandas()
         sizes = [r["count"] for r in blocks.groupBy("block").count().collect()]
         assert len(sizes) > 4 and sum(sizes) == 300
         assert sorted(solved["parent_id"]) == list(range(300)) and sorted(solved["synthetic_id"]) == list(range(1_000, 1_300))
         apart = np.stack(solved["px"].to_numpy()) - np.stack(solved["sx"].to_numpy())
         assert solved["distance"].to_numpy() == pytest.approx(np.sqrt((apart ** 2).sum(axis=1)))
-    assert not written
+    whole = spark.createDataFrame([(1, [0.0, 1.0]), (2, [1.0, 1.0])], "id long, features array<double>")
+    gap = spark.createDataFrame([(1, [0.0, 1.0]), (2, None)], "id long, features array<double>")
+    with pytest.raises(Exception, match="no distance"):
+        assignment.assign_parents(gap, whole, "id").collect()
 
 
 def test_assignment_of_few_and_equal_rows(spark):
